@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emberline.llm import exact_dedup, simhash_dedup
+from emberline.llm import exact_dedup, mixing, packing, simhash_dedup
 
 
 def documents(spark, sf_dir):
@@ -13,9 +13,17 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
 
+def op2_source_mixing(spark, sf_dir):
+    return mixing.taken_words(documents(spark, sf_dir))
+
+
+def op3_sequence_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_sequence_packing, op9_simhash_near_dedup)}
 ORACLE = {"op1_exact_dedup": exact_dedup.ORACLE}
