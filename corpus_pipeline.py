@@ -1,10 +1,56 @@
-"""Corpus pipeline over ``documents``: stages are written as Parquet one after the other."""
+"""Corpus pipeline over ``documents``: toxic documents go, then exact and near copies; the rest is mixed and packed.
+
+Each stage works on all that the one before it kept, which is written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from emberline.llm import exact_dedup, mixing, packing, simhash_dedup, toxicity
+from emberline.llm.common import table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones, doesn't find toxic."""
+    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space, the longest one."""
+    return exact_dedup.deduplicate(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked fingerprints, the document with the smallest id."""
+    return simhash_dedup.deduplicate(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources to their target weights: a row per document and pass over its source."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 2048 tokens. A document that the mix holds twice is packed twice."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("simhash_near_dedup", drop_near_copies),
+    ("source_mixing", mix_sources),
+    ("sequence_packing", pack_sequences),
+]
+
+#: SQL can't express the classifier, so the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows, from ``documents`` in ``sf_dir``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = table(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

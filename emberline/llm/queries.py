@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emberline.llm import embedding_dedup, exact_dedup, mixing, packing, secret_scan, simhash_dedup, substring_dedup, toxicity
+from emberline.llm import embedding_dedup, exact_dedup, html_extract, mixing, packing, secret_scan, simhash_dedup, substring_dedup, toxicity
 
 
 def documents(spark, sf_dir):
@@ -34,6 +34,10 @@ def op7_substring_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept_text")
 
 
+def op8_html_extract(spark, sf_dir):
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(documents(spark, sf_dir))
 
@@ -42,5 +46,5 @@ def op10_embedding_near_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_sequence_packing, op5_secret_scan, op6_toxicity, op7_substring_dedup, op9_simhash_near_dedup, op10_embedding_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_sequence_packing, op5_secret_scan, op6_toxicity, op7_substring_dedup, op8_html_extract, op9_simhash_near_dedup, op10_embedding_near_dedup)}
 ORACLE = {"op1_exact_dedup": exact_dedup.ORACLE}
