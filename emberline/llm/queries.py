@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emberline.llm import embedding_dedup, exact_dedup, html_extract, mixing, packing, secret_scan, simhash_dedup, substring_dedup, toxicity
+from emberline.llm import embedding_dedup, exact_dedup, html_extract, mixing, packing, pii_surrogates, secret_scan, simhash_dedup, substring_dedup, toxicity
 
 
 def documents(spark, sf_dir):
@@ -21,6 +21,10 @@ def op3_sequence_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
 
 
+def op4_pii_surrogates(spark, sf_dir):
+    return pii_surrogates.replace_entities(documents(spark, sf_dir))
+
+
 def op5_secret_scan(spark, sf_dir):
     return secret_scan.scan(documents(spark, sf_dir))
 
@@ -46,5 +50,5 @@ def op10_embedding_near_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_sequence_packing, op5_secret_scan, op6_toxicity, op7_substring_dedup, op8_html_extract, op9_simhash_near_dedup, op10_embedding_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_sequence_packing, op4_pii_surrogates, op5_secret_scan, op6_toxicity, op7_substring_dedup, op8_html_extract, op9_simhash_near_dedup, op10_embedding_near_dedup)}
 ORACLE = {"op1_exact_dedup": exact_dedup.ORACLE}
