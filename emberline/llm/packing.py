@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 import itertools
 import zlib
@@ -19,6 +20,8 @@ WINDOW, UNIT, DEPTH, END = 2048, 32, 4, 1
 UNITS = WINDOW // UNIT
 #: Words whose ids a task remembers; the memory starts anew beyond it.
 REMEMBERED = 400_000
+#: Signs that a word may end with; an apostrophe can start a piece of its own.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _ZEROS = bytes(4 * UNIT)
 
 
@@ -27,46 +30,81 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class _Words:
-    """Token ids of words, as bytes of unsigned 32-bit numbers. The tokenizer never joins characters across white space."""
+    """Token ids of words, as bytes of unsigned 32-bit numbers. The tokenizer never joins characters across white space.
+
+    Words are remembered whole; new ones are split into letters and the signs that follow, because the tokenizer splits
+    them there too. Stretches of letters are encoded many at once: each ends with an end-of-word id.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tok, self.ids = Tokenizer.from_file(path), {}
-        self.stop = {i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")}
+        self.tok = Tokenizer.from_file(path)
+        self.words: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.stop = np.zeros(self.tok.get_vocab_size(), bool)
+        self.stop[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _spell(self, letters: list[str]) -> None:
+        if len(self.letters) + len(letters) > REMEMBERED:
+            self.letters.clear()
+        single = []
+        for at in range(0, len(letters), 512):
+            some = letters[at : at + 512]
+            ids = self._encoded([" ".join(some)])[0]
+            ends = np.flatnonzero(self.stop[ids]) + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                single += some
+                continue
+            raw, last = ids.tobytes(), 0
+            for w, e in zip(some, (4 * ends).tolist()):
+                self.letters[w], last = raw[last:e], e
+        for w, e in zip(single, self._encoded(single)):
+            self.letters[w] = e.tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.ids) + len(words) > REMEMBERED:
-            self.ids.clear()
-        plain = [w for w in words if w.isalpha() and w.isascii()]
-        other = [w for w in words if not (w.isalpha() and w.isascii())]
-        for at in range(0, len(plain), 512):  # letters only: one piece a word, which ends with an end-of-word id
-            some = plain[at : at + 512]
-            flat = self.tok.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
-            ends = [i + 1 for i, t in enumerate(flat) if t in self.stop]
-            if len(ends) != len(some) or ends[-1] != len(flat):
-                other += some
-                continue
-            raw, last = np.array(flat, "<u4").tobytes(), 0
-            for w, e in zip(some, ends):
-                self.ids[w], last = raw[4 * last : 4 * e], e
-        for w, e in zip(other, self.tok.encode_batch_fast([w.decode() for w in other], add_special_tokens=False) if other else ()):
-            self.ids[w] = np.array(e.ids, "<u4").tobytes()
+        split: list[tuple[bytes, str, str]] = []
+        other: list[bytes] = []
+        for raw in words:
+            w = raw.decode()
+            head = w.rstrip(_SIGNS)
+            if head.isalpha():
+                split.append((raw, head.lower() if head.isascii() else head, w[len(head) :]))
+            else:
+                other.append(raw)
+        need = {x for _, head, tail in split for x in (head, tail)}
+        new = [x for x in need if x not in self.letters]
+        self._spell([x for x in new if x.isalpha()])
+        rest = [x for x in need if x not in self.letters]  # signs, and letters if the memory was cleared
+        for x, e in zip(rest, self._encoded(rest)):
+            self.letters[x] = e.tobytes()
+        for raw, head, tail in split:
+            self.words[raw] = self.letters[head] + self.letters[tail]
+        for raw, e in zip(other, self._encoded([w.decode() for w in other])):
+            self.words[raw] = e.tobytes()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         split = [(t or b"").split() for t in texts]
-        seen: set[bytes] = set().union(*split)
-        if new := [w for w in seen if w not in self.ids]:
-            before = self.ids
-            self._learn(new)
-            if missing := [w for w in seen if w not in self.ids]:  # the memory was cleared
-                self._learn(missing)
-            assert before is self.ids
-        get = self.ids.__getitem__
+        seen = set(itertools.chain.from_iterable(split))
+        new = seen.difference(self.words)
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words.clear()
+            new = seen
+        self._learn(list(new))
+        get = self.words.__getitem__
         end = np.array([END], "<u4").tobytes()
         return [b"".join(map(get, words)) + end for words in split]
 
 
+@functools.lru_cache(maxsize=1)
+def _words(path: str) -> _Words:
+    """One memory per Python worker, which serves many tasks."""
+    return _Words(path)
+
+
 def tokenized(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: what packing needs to know of it.
 
@@ -75,7 +113,7 @@ def tokenized(docs: DataFrame, path: str, id_column: str = "doc_id", text_column
     """
 
     def run(batches):
-        words, crc = _Words(path), zlib.crc32
+        words, crc = _words(path), zlib.crc32
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary()).to_pylist()
             n, windows, units, tails = [], [], [], []
