@@ -54,10 +54,10 @@ ELIGIBLE_SCENES = f"WITH {SCENES} SELECT id, date, cloud FROM s WHERE date BETWE
 
 def facility_envelopes(spark, sf_dir):
     e = catalogue.envelopes(proxies.facilities(spark, sf_dir))
-    return e.select("project", "name", "units", F.round("capacity", 2).alias("capacity"), *(F.round(c, 6).alias(c) for c in ("w", "s", "e", "n")))
+    return e.select("project", "name", "units", F.round("capacity", 2).alias("capacity"), *((F.round(c, 6) + 0.0).alias(c) for c in ("w", "s", "e", "n")))
 
 
-FACILITY_ENVELOPES = f"""WITH {FACILITIES} SELECT project, min(name) AS name, count(*) AS units, round(sum(capacity), 2) AS capacity, round(min(lon) - 2e-2, 6) AS w, round(min(lat) - 2e-2, 6) AS s, round(max(lon) + 2e-2, 6) AS e, round(max(lat) + 2e-2, 6) AS n FROM f GROUP BY project"""
+FACILITY_ENVELOPES = f"""WITH {FACILITIES} SELECT project, min(name) AS name, count(*) AS units, round(sum(capacity), 2) AS capacity, round(min(lon) - 2e-2, 6) + 0e0 AS w, round(min(lat) - 2e-2, 6) + 0e0 AS s, round(max(lon) + 2e-2, 6) + 0e0 AS e, round(max(lat) + 2e-2, 6) + 0e0 AS n FROM f GROUP BY project"""
 
 
 def first_facilities(spark, sf_dir):
@@ -68,10 +68,10 @@ FIRST_FACILITIES = f"WITH {FACILITIES} SELECT id, name, project FROM (SELECT *,
 
 
 def queried_facilities(spark, sf_dir):
-    return proxies.facilities(spark, sf_dir).where(catalogue.parsed_query("name=N3, project=7")).select("id", "name", "project")
+    return proxies.facilities(spark, sf_dir).where(catalogue.parsed_query("name=N3")).select("id", "name", "project")
 
 
-QUERIED_FACILITIES = f"WITH {FACILITIES} SELECT id, name, project FROM f WHERE name = 'N3' AND project = 7"
+QUERIED_FACILITIES = f"WITH {FACILITIES} SELECT id, name, project FROM f WHERE name = 'N3'"
 
 
 def open_work(spark, sf_dir):
@@ -138,11 +138,11 @@ FROM g WHERE (uid + CAST(substr(date, 9, 2) AS INTEGER)) % 5 <> 0"""
 def record_retrievals(spark, sf_dir):
     """Records as JSON to the retrievals view: records without features stay, with validity unknown."""
     v = records.retrievals_view(records.parsed(proxies.record_texts(spark, sf_dir)), ["site1:2024-01-0", "site2%:plume-1"])
-    return v.select("target_id", "scene", "date", "status", "detected", "id", "pixels", "valid", F.round("lon", 9).alias("lon"))
+    return v.select("target_id", "scene", "date", "status", "detected", "id", "pixels", F.col("valid").cast("int").alias("valid"), F.round("lon", 9).alias("lon"))
 
 
 RECORD_RETRIEVALS = f"""WITH {DETECTIONS}, g AS (SELECT *, (uid + CAST(substr(date, 9, 2) AS INTEGER)) % 5 = 0 AS none, 'site' || uid AS t, 'plume-' || pixels AS p FROM d)
-SELECT t AS target_id, 'scene-' || uid || '-' || date AS scene, date, 'ok' AS status, TRUE AS detected, p AS id, pixels, (t || ':' || date || ':' || p) LIKE 'site1:2024-01-0%' OR (t || ':' || date || ':' || p) LIKE 'site2%:plume-1%' AS valid, round(lon, 9) AS lon FROM g WHERE NOT none
+SELECT t AS target_id, 'scene-' || uid || '-' || date AS scene, date, 'ok' AS status, TRUE AS detected, p AS id, pixels, CAST((t || ':' || date || ':' || p) LIKE 'site1:2024-01-0%' OR (t || ':' || date || ':' || p) LIKE 'site2%:plume-1%' AS INTEGER) AS valid, round(lon, 9) AS lon FROM g WHERE NOT none
 UNION ALL SELECT DISTINCT t, 'scene-' || uid || '-' || date, date, 'cloudy', FALSE, NULL, NULL, NULL, NULL FROM g WHERE none"""
 
 
