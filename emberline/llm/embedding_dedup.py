@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.common import id_key, null_if_no_id, splittable, table
+from emberline.llm.common import splittable, table
 from emberline.llm.components import connected_components
 
 #: Cosine of a link; neighbours in the sorted order that a vector is compared with; bits of a pass's signature; rows of a block.
 LEAST, NEIGHBOURS, BITS, BLOCK = 0.9, 64, 64, 256
 #: Chance that two vectors at a typical link (cosine 0.95) fall on the same side of a plane, and the share of links that passes may leave out.
 SAME_SIDE, MISSED = 0.9, 0.03
+#: Stands for a null id: after every other.
+LAST_ID = 2**63 - 1
 _HALF = math.cos(math.acos(LEAST) / 2) + 1e-9
 
 
@@ -131,7 +133,7 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column
     values = F.col(vector_column).cast("array<double>")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    rows = vectors.select(id_key(id_column).alias("vec_id"), values.alias("v"))
+    rows = vectors.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST_ID)).alias("vec_id"), values.alias("v"))
     rows = rows.withColumn("good", F.coalesce(~bad & (norm > 0) & (norm < float("inf")), F.lit(False)))
     rows = table(rows.select("vec_id", "good", F.when(F.col("good"), F.transform("v", lambda x: x + F.lit(0.0))).alias("v"), F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g")))
     key = ["h", "g"]
@@ -159,8 +161,8 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column
     labels = table(reps.select(*key, "rep", "copies").join(found, "rep", "left"))
     ident, component = F.col("vec_id"), F.coalesce("component_id", "rep", "vec_id")
     return rows.join(labels.withColumn("good", F.lit(True)), [*key, "good"], "left").select(
-        null_if_no_id(ident).alias("vec_id"),
+        F.when(ident != LAST_ID, ident).alias("vec_id"),
         F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)).cast("long").alias("n_links"),
-        null_if_no_id(component).alias("component_id"),
+        F.when(component != LAST_ID, component).alias("component_id"),
         (ident == component).alias("kept"),
     )
