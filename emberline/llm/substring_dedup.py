@@ -94,7 +94,7 @@ def _paths(docs: DataFrame) -> DataFrame:
 
 
 def _spans(docs: DataFrame, paths: DataFrame) -> DataFrame:
-    """(x, y, words, doc_id, start): stretches of words that may be repeated, with two 64-bit hashes of their words.
+    """(x, y, words, doc_id, start): stretches of words that may be repeated, with a 64-bit and a 32-bit hash of their words.
 
     Those are each compacted path of at least a window, and each window that lies in no such path but whose anchor is repeated.
     """
@@ -118,6 +118,8 @@ def _spans(docs: DataFrame, paths: DataFrame) -> DataFrame:
                     p = place[lo:hi]
                     live = p < words.count[i]
                     at = np.unique(p[live])
+                    if not len(at):
+                        continue
                     follows = np.isin(at, p[live & solid[lo:hi]])
                     heads = np.flatnonzero(~np.concatenate(([False], follows[:-1])))
                     number = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(at)))) + len(begin)
@@ -126,7 +128,7 @@ def _spans(docs: DataFrame, paths: DataFrame) -> DataFrame:
                     path_of[at] = number
                     stops = np.append(heads[1:], len(at)) - 1
                     begin += at[heads].tolist()
-                    end += np.minimum(at[stops] + K, words.first[i] + words.count[i]).tolist() if len(at) else []
+                    end += np.minimum(at[stops] + K, words.first[i] + words.count[i]).tolist()
                 begin, end = np.array(begin, np.int64), np.array(end, np.int64)
                 mine = repeated[anchor]
                 start, path = start[mine], path_of[anchor[mine]]
@@ -138,12 +140,12 @@ def _spans(docs: DataFrame, paths: DataFrame) -> DataFrame:
                     continue
                 x, y = _digests(hashes, first, length), _digests(second, first, length)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array(length.astype(np.int32)), pa.array(ids[row + words.doc[first]]), pa.array(words.place[first].astype(np.int32))],
+                    [pa.array(x.view(np.int64)), pa.array((mixed(y) >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(length.astype(np.int32)), pa.array(ids[row + words.doc[first]]), pa.array(words.place[first].astype(np.int32))],
                     names=["x", "y", "words", "doc_id", "start"],
                 )
 
     joined = docs.join(paths, "doc_id").select("doc_id", "text", "anchors")
-    return joined.mapInArrow(run, "x long, y long, words int, doc_id long, start int")
+    return joined.mapInArrow(run, "x long, y int, words int, doc_id long, start int")
 
 
 def _digests(hashes: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -170,7 +172,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
        windows have equal anchors. Anchors that occur once rule their windows out.
     2. Repeated anchors are the nodes of a de Bruijn graph whose edges lead to a document's next anchor. Joins find the
        edges that neither branch nor merge; paths of such edges compact to one span per document.
-    3. Spans, and the windows across their ends, are read from the text at their coordinates and compared by two 64-bit
+    3. Spans, and the windows across their ends, are read from the text at their coordinates and compared by 96 bits of
        hashes of all their words. The earliest of equal spans stays, the words of the others go.
 
     No step gathers a k-mer's or a span's occurrences: counts and earliest places merge before they are shuffled, and
