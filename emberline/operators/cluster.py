@@ -35,9 +35,9 @@ def grid_components(cells: DataFrame) -> DataFrame:
         spread = edges.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("label").alias("label")).withColumnRenamed("a", "id")
         jumped = spread.join(labels.select(F.col("id").alias("label"), F.col("label").alias("further")), "label").select("id", F.least("label", "further").alias("label"))
         after = cut(jumped)
-        changed = after.join(labels.withColumnRenamed("label", "before"), "id").where("label <> before").isEmpty()
+        settled = after.join(labels.withColumnRenamed("label", "before"), "id").where("label <> before").isEmpty()
         labels = after
-        if changed:
+        if settled:
             return base.join(labels, "id").select("r", "c", F.col("label").alias("component"))
 
 
