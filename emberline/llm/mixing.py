@@ -110,7 +110,8 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     words; slots of the output are mapped to blocks and joined with them by (source, block). The mix is as long as the
     corpus. A source's words differ from its target by rounding only, no document is used more than MOST times, and
     reruns agree. Null text has no words, null ids come first within their source, rows that repeat an id count each;
-    without any words all targets are zero.
+    without any words all targets are zero. Tables that compress well look small enough to broadcast but aren't: joins
+    of tables that grow are told to sort and merge.
     """
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
@@ -125,7 +126,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     sources = sources.withColumn("weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("source_rank") % len(WEIGHTS) + 1).cast("int")).cast("long"))
     sources = table(_targets(sources).withColumn("quota", F.round("target").cast("long")))
     documents = table(
-        rows.join(sources, ["no_source", "src"]).select(
+        rows.join(sources.hint("merge"), ["no_source", "src"]).select(
             "row_index", "doc_id", "size", "source_size", "target", "source_rank", (F.col("before") - F.col("source_start")).alias("at")
         )
     )
@@ -133,7 +134,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     spans = documents.where("size > 0").withColumn("block", F.explode(F.sequence(block_of(F.col("at")), block_of(F.col("at") + F.col("size") - 1))))
     start, end = F.greatest("at", F.col("block") * BLOCK), F.least(F.col("at") + F.col("size"), F.col("block") * BLOCK + F.col("take"))
     pieces = (
-        spans.join(_slots(sources), ["source_rank", "block"])
+        spans.join(_slots(sources).hint("merge"), ["source_rank", "block"])
         .select("row_index", "doc_id", (start - F.col("at")).alias("first"), (end - start).alias("words"), "pass", "shard")
         .where("words > 0")
     )
@@ -144,7 +145,7 @@ def taken_words(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken (words that the mix takes, repeats counted)."""
     documents, pieces = mix(docs)
     taken = pieces.groupBy("row_index").agg(F.sum("words").alias("taken"))
-    return documents.join(taken, "row_index", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    return documents.join(taken.hint("merge"), "row_index", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
