@@ -161,45 +161,56 @@ def _text_key(b: Block) -> int:
     return _key("t", f"{b.path}\0{b.text}")
 
 
+def _page_key(host: str, page: str) -> int:
+    return _key("p", f"{host}\0{page}")
+
+
 def _tokens(pages: DataFrame) -> DataFrame:
-    """(host, page_key, token, tag, n): how often each token occurs on a page. Tokens are tags on their paths and whole texts on theirs."""
+    """(key, host, tokens, counts, tags), one row per distinct html of a host: its tokens, the first ``tags`` of them tags, and how often each occurs.
+
+    Tokens are tags on their paths and whole texts on theirs. Copies of a page, under whatever urls, merge before the exchange.
+    """
 
     def run(batches):
         for batch in batches:
             out: list[tuple] = []
-            for row, (url, page) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+            for url, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 found, tags = blocks(page or "")
-                counts: dict[tuple[int, bool], int] = {}
-                for k in [(_key("e", t), True) for t in tags] + [(_text_key(b), False) for b in found]:
-                    counts[k] = counts.get(k, 0) + 1
-                host, number = _host(url), _key("p", f"{url}\0{page}")
-                out += [(host, number, k, is_tag, n) for (k, is_tag), n in counts.items()]
+                counts: list[dict[int, int]] = [{}, {}]
+                for at, k in [(0, _key("e", t)) for t in tags] + [(1, _text_key(b)) for b in found]:
+                    counts[at][k] = counts[at].get(k, 0) + 1
+                host = _host(url)
+                out.append((_page_key(host, page or ""), host, [*counts[0], *counts[1]], [*counts[0].values(), *counts[1].values()], len(counts[0])))
             cols = list(zip(*out)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.bool_()), pa.array(cols[4], pa.int32())],
-                names=["host", "page_key", "token", "tag", "n"],
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.list_(pa.int32())), pa.array(cols[4], pa.int32())],
+                names=["key", "host", "tokens", "counts", "tags"],
             )
 
-    return pages.mapInArrow(run, "host string, page_key long, token long, tag boolean, n int")
+    return pages.mapInArrow(run, "key long, host string, tokens array<long>, counts array<int>, tags int").dropDuplicates(["key", "host"])
 
 
-def template_texts(pages: DataFrame) -> DataFrame:
-    """(host, token): texts that belong to the template of their host's pages.
+def template_texts(tokens: DataFrame) -> DataFrame:
+    """(host, token): texts that belong to the template of their host's pages, from :func:`_tokens`.
 
-    A token's occurrence vector says how often it occurs on each of the host's pages; a hash that doesn't depend on the
-    pages' order stands for it and merges before the exchange, as do the counts. Tokens with equal vectors form an
-    equivalence class. A class is valid if it spans at least LEAST_PAGES pages and LEAST_SHARE of the host's, and holds
-    tags: it is then a piece of the template, the page's frame or a part nested in it that some pages have. Texts in
-    such classes are fixed text of the template; all other texts are slots.
+    A token's occurrence vector says how often it occurs on each of the host's distinct pages; sums of the halves of
+    hashes, which don't depend on the pages' order, stand for it and merge before the exchange, as do the counts. Tokens
+    with equal vectors form an equivalence class. A class is valid if it spans at least LEAST_PAGES distinct pages and
+    LEAST_SHARE of the host's, and holds tags: it is then a piece of the template, the page's frame or a part nested in
+    it that some pages have. Texts in such classes are fixed text of the template; all other texts are slots.
     """
-    tokens = _tokens(pages)
+    each = tokens.select("key", "host", "tags", F.posexplode(F.arrays_zip("tokens", "counts")).alias("at", "t"))
+    each = each.select("host", F.col("t.tokens").alias("token"), (F.col("at") < F.col("tags")).alias("tag"), F.xxhash64("key", "t.counts").alias("hash"))
     vectors = (
-        tokens.groupBy("host", "token", "tag")
-        .agg(F.bit_xor(F.xxhash64("page_key", "n")).alias("vector"), F.count("*").alias("pages"))
+        each.groupBy("host", "token", "tag")
+        .agg(
+            F.sum(F.col("hash").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned("hash", 32)).alias("high"), F.count("*").alias("pages")
+        )
         .where(F.col("pages") >= LEAST_PAGES)
-    )
+        .select("host", "token", "tag", F.xxhash64("low", "high").alias("vector"), "pages")
+    )
     vectors = table(vectors)
-    hosts = pages.groupBy(F.lower(F.regexp_extract("url", r"^\s*[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)).alias("host")).agg(F.count("*").alias("of"))
+    hosts = tokens.groupBy("host").agg(F.count("*").alias("of"))
     valid = (
         vectors.groupBy("host", "vector", "pages").agg(F.max("tag").alias("has_tag"), F.min("tag").alias("all_tags"))
         .where("has_tag and not all_tags")
@@ -230,23 +241,14 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     The main text of the whole page: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, markup
     and reader comments are left out, as are texts of the host's template (see :func:`template_texts`). Character
     references are decoded; each block is one line. Null html counts as empty and gives an empty text; a null url forms
-    a host of its own. Rows that repeat a page are extracted each. Fixed texts reach a page by a join on their token,
+    a host of its own. Rows that repeat a page are extracted each, but count once for the template. Fixed texts reach a page by a join on their token,
     so hosts of any size are spread over tasks and nothing is gathered by host.
     """
     plain = pages.select(id_key(id_column).alias("page_id"), F.col(url_column).cast("string").alias("url"), F.col(html_column).cast("string").alias("html"))
-    fixed = template_texts(plain)
-
-    def texts(batches):
-        for batch in batches:
-            out = []
-            for number, url, page in zip(*(c.to_pylist() for c in batch.columns)):
-                key, host = _key("p", f"{url}\0{page}"), _host(url)
-                out += [(key, host, k) for k in {_text_key(b) for b in blocks(page or "")[0]}]
-            cols = list(zip(*out)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], names=["key", "host", "token"])
-
-    on_page = plain.mapInArrow(texts, "key long, host string, token long").distinct()
-    per_page = on_page.join(table(fixed), ["host", "token"]).groupBy("key", splittable("key")).agg(F.collect_set("token").alias("fixed")).drop("_one")
+    tokens = table(_tokens(plain))
+    texts = F.expr("slice(tokens, tags + 1, size(tokens))")
+    on_page = tokens.select("key", "host", F.explode(texts).alias("token"))
+    per_page = on_page.join(table(template_texts(tokens)), ["host", "token"]).groupBy("key", splittable("key")).agg(F.collect_set("token").alias("fixed")).drop("_one")
 
     def run(batches):
         for batch in batches:
@@ -255,7 +257,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
 
     def keyed(batches):
         for batch in batches:
-            keys = [_key("p", f"{url}\0{page}") for url, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            keys = [_page_key(_host(url), page or "") for url, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["page_id", "url", "html", "key"])
 
     known = plain.mapInArrow(keyed, "page_id long, url string, html string, key long")

@@ -89,6 +89,20 @@ def test_pages(spark):
     assert html_extract.extract(df.where("false")).count() == 0
 
 
+def test_copied_pages(spark):
+    frame = "<html><body><section class='q7'><span>Buy now and save</span></section><article id='post-{0}'><p>Text {0} of this page</p><table><tr><td>Cell {0}</table></article></body></html>"
+    rows = [(i, f"http://one.example/{i}", frame.format(i)) for i in range(10)]
+    rows += [(100 + i, f"http://one.example/{'x' if i % 2 else i + 100}", frame.format(17)) for i in range(7)]  # copies are a third of the host's rows
+    rows += [(200 + i, f"http://two.example/{i}", frame.format(3)) for i in range(6)]  # nothing but copies
+    rows += [(300 + i, f"http://three.example/{i // 2}", frame.format(i // 2)) for i in range(16)]  # each page twice
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    text = lambda n: f"Text {n} of this page\nCell {n}"
+    assert [got[i] for i in range(10)] == [text(i) for i in range(10)]
+    assert [got[100 + i] for i in range(7)] == [text(17)] * 7
+    assert [got[200 + i] for i in range(6)] == [text(3)] * 6
+    assert [got[300 + i] for i in range(16)] == [text(i // 2) for i in range(16)]
+
+
 def test_pipeline(spark, sf_dir):
     assert corpus_pipeline.ORACLE_SQL is None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
