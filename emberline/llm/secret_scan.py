@@ -26,12 +26,12 @@ CLASSES = (("hex", re.compile(r"[0-9a-fA-F]+"), 3.0), ("base64", re.compile(r"[A
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: Candidates that are never secrets: words and compound words, numbers and dates, UUIDs, alphabets, file paths and placeholders.
 ALLOWED = re.compile(
-    r"[A-Za-z]?[a-z]*(?:[-_/+=]*[A-Z]?[a-z]+)*[-_/+=]*|[A-Z]+(?:[-_/+=]+[A-Z]+)*|[0-9+/_=-]+"
+    r"[A-Za-z]?[a-z]*(?:[-_/+=]+[A-Z]?[a-z]+|[A-Z][a-z]+)*[-_/+=]*|[A-Z]+(?:[-_/+=]+[A-Z]+)*|[0-9+/_=-]+"
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|.*(?:0123456789|abcdefghijkl|ABCDEFGHIJKL|EXAMPLE|example|placeholder).*"
 )
-#: n -> n log2 n, for the counts of a window.
-_NLOG = [0.0] + [n * math.log2(n) for n in range(1, WIDTH + 1)]
+#: n -> n log2 n, for the counts of a window and the character after it.
+_NLOG = [0.0] + [n * math.log2(n) for n in range(1, WIDTH + 2)]
 
 
 def entropy_spans(text: str, width: int = WIDTH) -> list[tuple[int, int]]:
@@ -41,7 +41,7 @@ def entropy_spans(text: str, width: int = WIDTH) -> list[tuple[int, int]]:
     """
     out = []
     for c in CANDIDATE.finditer(text):
-        if ALLOWED.fullmatch(c[0]) or not (any(x.isdigit() for x in c[0]) and any(x.isalpha() for x in c[0])):
+        if not (any(x.isdigit() for x in c[0]) and any(x.isalpha() for x in c[0])) or ALLOWED.fullmatch(c[0]):
             continue
         for _, chars, least in CLASSES:
             most = (math.log2(width) - least) * width + 1e-9

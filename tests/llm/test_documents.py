@@ -3,7 +3,10 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -243,6 +246,13 @@ def test_secrets(docs, none, rows):
     assert secret_scan.scan(none).count() == 0
 
 
+def test_long_slugs_end():
+    code = "from emberline.llm import secret_scan as s; print(s.find('see ' + 'documentation/configuration-' * 4 + '2020 ' + 'a' * 100 + '1')[1])"
+    root = str(Path(secret_scan.__file__).parents[2])
+    got = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=60, check=True)
+    assert got.stdout.strip() == "[]"
+
+
 def test_entropy_by_incremental_counts():
     import math
 
