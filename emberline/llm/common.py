@@ -77,6 +77,11 @@ def null_if_no_id(column: Column) -> Column:
     return F.when(column != NO_ID, column)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number ``_row`` of its own for each row, written once so that the numbers stay."""
+    return table(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def splittable(key: str) -> Column:
     """A second grouping key that is always 0.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.common import SPACE, table
+from emberline.llm.common import SPACE, numbered, table
 
 #: Runs that the input partitions form, and how many of them one round merges into one.
 RUNS, FAN_IN = 64, 8
@@ -30,15 +30,28 @@ def duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_column: st
     share reaches a round as one row per run and task, because rows merge before each exchange. The last join brings the
     verdict back; its two sides have exchanges of their own, so adaptive execution splits a hot digest.
     """
+    judged = _judged(docs, id_column, text_column, F.monotonically_increasing_id())
+    return judged.select(
+        "doc_id",
+        F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
+        F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
+        F.coalesce(F.col("best.row") == F.col("row"), F.lit(True)).alias("kept"),
+        F.col("digest").alias("text_sha256"),
+    )
+
+
+def _judged(docs: DataFrame, id_column: str, text_column: str, row: Column) -> DataFrame:
+    """One row per row of ``docs`` (row, doc_id, digest), with the best row and the count n of its group if that holds more than one."""
     text = normalised(F.col(text_column))
     rows = table(
         docs.select(
+            row.alias("row"),
             F.col(id_column).cast("long").alias("doc_id"),
             F.length(F.coalesce(F.col(text_column).cast("string"), F.lit(""))).alias("points"),
             text.alias("bare"),
         )
-        .select("doc_id", "points", F.sha2("bare", 256).alias("digest"), F.xxhash64("bare").alias("check"), F.length("bare").alias("size"))
-        .withColumns({"row": F.monotonically_increasing_id(), "run": F.pmod(F.spark_partition_id(), F.lit(RUNS))})
+        .select("row", "doc_id", "points", F.sha2("bare", 256).alias("digest"), F.xxhash64("bare").alias("check"), F.length("bare").alias("size"))
+        .withColumn("run", F.pmod(F.spark_partition_id(), F.lit(RUNS)))
     )
     best = F.struct((-F.col("points")).alias("order"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     key = ["digest", "check", "size"]
@@ -46,13 +59,7 @@ def duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_column: st
     for _ in range(_rounds(RUNS, FAN_IN)):
         merged = merged.withColumn("run", F.floor(F.col("run") / FAN_IN).cast("int")).groupBy("run", *key).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
     verdict = merged.where("n > 1").select(*key, "best", "n")
-    return rows.join(verdict, key, "left").select(
-        "doc_id",
-        F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
-        F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
-        F.coalesce(F.col("best.row") == F.col("row"), F.lit(True)).alias("kept"),
-        F.col("digest").alias("text_sha256"),
-    )
+    return rows.join(verdict, key, "left")
 
 
 def _rounds(runs: int, fan_in: int) -> int:
@@ -63,16 +70,10 @@ def _rounds(runs: int, fan_in: int) -> int:
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    Rows with a null id can't be named and pass. Rows that repeat an id with the same text stay once.
-    """
-    verdict = table(duplicate_groups(docs, id_column, text_column).where(~F.col("kept")).select("doc_id", "keep_id"))
-    dropped = verdict.where(F.col("doc_id") != F.col("keep_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    stays = docs.join(dropped, F.col(id_column) == F.col("_gone"), "left_anti")
-    if verdict.where(F.col("doc_id") == F.col("keep_id")).isEmpty():
-        return stays
-    return stays.where(F.col(id_column).isNotNull()).dropDuplicates([id_column]).unionByName(stays.where(F.col(id_column).isNull()))
+    """The rows of ``docs`` that stay, with all their columns: the one kept row of each group, whatever ids are null or repeated."""
+    rows = numbered(docs)
+    gone = _judged(rows, id_column, text_column, F.col("_row")).where(F.col("best.row") != F.col("row")).select(F.col("row").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 ORACLE = r"""

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.common import WORD, running_totals, table
+from emberline.llm.common import WORD, numbered, running_totals, table
 
 #: Words in a block; blocks in an output shard; weights that sources take in turn; how often a source may be repeated at most.
 BLOCK, SHARD, WEIGHTS, MOST = 512, 1024, (1, 2, 3), 3
@@ -100,11 +100,12 @@ def _slots(sources: DataFrame) -> DataFrame:
     return chunks.mapInPandas(spread, "source_rank long, block long, take long, pass long, shard long")
 
 
-def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", carried: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces) of the mix of all ``docs`` to weights 1, 2, 3 repeating over the sources in code-point order, null last.
 
     documents: row_index, doc_id, size, source_size, target. pieces: row_index, doc_id, first, words, pass, shard: the
-    mix takes ``words`` words of the document from word ``first`` on; passes over a source are numbered from 0.
+    mix takes ``words`` words of the document from word ``first`` on; passes over a source are numbered from 0. Both have
+    the columns ``carried`` of ``docs`` besides.
 
     All of a source's documents, in the order of their ids, form one run of words that is cut into blocks of BLOCK
     words; slots of the output are mapped to blocks and joined with them by (source, block). The mix is as long as the
@@ -119,6 +120,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
         F.coalesce(F.col(source_column).cast("string"), F.lit("")).alias("src"),
         F.regexp_count(F.coalesce(F.col(text_column).cast("string"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
         F.xxhash64(text_column).alias("tie"),
+        *carried,
     )
     rows = running_totals(rows, ["no_source", "src", "doc_id", "tie"], "size").drop("tie")
     sizes = rows.groupBy("no_source", "src").agg(F.sum("size").alias("source_size"))
@@ -127,7 +129,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     sources = table(_targets(sources).withColumn("quota", F.round("target").cast("long")))
     documents = table(
         rows.join(sources.hint("merge"), ["no_source", "src"]).select(
-            "row_index", "doc_id", "size", "source_size", "target", "source_rank", (F.col("before") - F.col("source_start")).alias("at")
+            "row_index", "doc_id", "size", "source_size", "target", "source_rank", (F.col("before") - F.col("source_start")).alias("at"), *carried
         )
     )
     block_of = lambda c: F.floor(c / BLOCK).cast("long")
@@ -135,7 +137,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     start, end = F.greatest("at", F.col("block") * BLOCK), F.least(F.col("at") + F.col("size"), F.col("block") * BLOCK + F.col("take"))
     pieces = (
         spans.join(_slots(sources).hint("merge"), ["source_rank", "block"])
-        .select("row_index", "doc_id", (start - F.col("at")).alias("first"), (end - start).alias("words"), "pass", "shard")
+        .select("row_index", "doc_id", (start - F.col("at")).alias("first"), (end - start).alias("words"), "pass", "shard", *carried)
         .where("words > 0")
     )
     return documents, pieces
@@ -152,19 +154,16 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself, with the columns of ``docs``: one row per document and pass that takes words of it.
 
     A pass that takes all words of a document keeps its text; any other text consists of the taken words, joined by one
-    space. Documents are found by doc_id, so rows with a null id are left out. n_chars, where there is one, is counted anew.
+    space. Documents are found by numbers of their rows, so null and repeated ids are mixed like any other. n_chars,
+    where there is one, is counted anew.
     """
-    _, pieces = mix(docs)
-    per_pass = (
-        pieces.where("doc_id is not null")
-        .groupBy("doc_id", "row_index", "pass")
-        .agg(F.array_sort(F.collect_list(F.struct("first", "words"))).alias("spans"))
-        .select(F.col("doc_id").alias("_id"), "spans")
-    )
+    rows = numbered(docs)
+    _, pieces = mix(rows, carried=("_row",))
+    per_pass = pieces.groupBy("_row", "pass").agg(F.array_sort(F.collect_list(F.struct("first", "words"))).alias("_spans")).select("_row", "_spans")
     words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
-    some = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice(F.col("_words"), (s["first"] + 1).cast("int"), s["words"].cast("int")))), " ")
-    count = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["words"])
-    out = docs.join(per_pass, F.col("doc_id") == F.col("_id")).withColumn("_words", words)
+    some = F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice(F.col("_words"), (s["first"] + 1).cast("int"), s["words"].cast("int")))), " ")
+    count = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s["words"])
+    out = rows.join(per_pass, "_row").withColumn("_words", words)
     text = F.when(count >= F.size("_words"), F.col("text")).otherwise(some)
     kept = [F.col(c) for c in docs.columns]
     renewed = [text.alias("text") if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else k for c, k in zip(docs.columns, kept)]

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.common import NO_ID, id_key, null_if_no_id, table
+from emberline.llm.common import NO_ID, id_key, null_if_no_id, numbered, splittable, table
 from emberline.llm.components import connected_components
 
 SHINGLE, SEED, BITS, MAX_BITS_APART = 4, 42, 64, 4
@@ -103,6 +103,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each group of near-duplicates the one with the smallest id, with all its columns. Null ids pass."""
-    gone = near_duplicates(docs, id_column, text_column).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: of each group of near-duplicates the one with the smallest id, null last.
+
+    Rows are told apart by numbers of their own, so null and repeated ids are judged by their texts like any other.
+    """
+    rows = numbered(docs)
+    parts = near_duplicates(rows, "_row", text_column).select(F.col("doc_id").alias("_row"), "component_id")
+    placed = table(rows.select("_row", F.col(id_column).cast("long").alias("id")).join(parts, "_row"))
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "_row")
+    best = placed.groupBy("component_id", splittable("component_id")).agg(F.min(order).alias("best"), F.count("*").alias("n")).where("n > 1")
+    gone = placed.join(best.select("component_id", F.col("best._row").alias("stays")), "component_id").where("_row <> stays").select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)

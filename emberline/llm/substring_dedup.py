@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberline.llm.bytes_np import Words, chunks, mixed, runs_of
-from emberline.llm.common import id_key, null_if_no_id, splittable, table
+from emberline.llm.common import id_key, null_if_no_id, numbered, splittable, table
 
 #: Words of a window; words of a k-mer; a window's k-mers, of which the one with the least hash stands for it.
 WINDOW, K = 20, 6
@@ -37,7 +37,7 @@ def _windows(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _anchors(docs: DataFrame) -> DataFrame:
-    """(h, doc_id, nth, place, link): every anchor of every document, numbered from 0, with its k-mer's hash and first word.
+    """(h, row, nth, place, link): every anchor of every document, numbered from 0, with its k-mer's hash and first word.
 
     link is a 32-bit hash of all words from the anchor to the end of the document's next one.
     """
@@ -58,14 +58,14 @@ def _anchors(docs: DataFrame) -> DataFrame:
                 nth = np.arange(len(at)) - (count.cumsum() - count)[doc]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(kmers[at].view(np.int64)), pa.array(ids[row + doc]), pa.array(nth.astype(np.int32)), pa.array(words.place[at].astype(np.int32)), pa.array((mixed(link) >> np.uint64(32)).astype(np.uint32).view(np.int32))],
-                    names=["h", "doc_id", "nth", "place", "link"],
+                    names=["h", "row", "nth", "place", "link"],
                 )
 
-    return docs.mapInArrow(run, "h long, doc_id long, nth int, place int, link int")
+    return docs.mapInArrow(run, "h long, row long, nth int, place int, link int")
 
 
 def _paths(docs: DataFrame) -> DataFrame:
-    """One row (doc_id, anchors) per document with repeated k-mers: the places of its repeated anchors, in order, each with ``solid``.
+    """One row (row, anchors) per document with repeated k-mers: the places of its repeated anchors, in order, each with ``solid``.
 
     An edge leads from an anchor to the document's next one and names the words on the way. It is solid if it is the only way on from the one and the
     only way to the other, that is if edge, source and target occur equally often in the corpus. Paths of solid edges
@@ -73,28 +73,28 @@ def _paths(docs: DataFrame) -> DataFrame:
     """
     counts = _anchors(docs).groupBy("h", splittable("h")).agg(F.count("*").alias("n")).where("n > 1").select("h", "n")
     repeated = table(_anchors(docs).join(counts, "h"))
-    order = Window.partitionBy("doc_id").orderBy("place")
+    order = Window.partitionBy("row").orderBy("place")
     ahead = lambda c: F.lead(c).over(order)
     chained = table(
         repeated.select(
-            "doc_id",
+            "row",
             "place",
             F.when((ahead("nth") == F.col("nth") + 1) & (ahead("n") == F.col("n")), F.xxhash64("h", ahead("h"), ahead("place") - F.col("place"), "link")).alias("edge"),
             "n",
         )
     )
     edges = chained.where("edge is not null").groupBy("edge", "n", splittable("edge")).agg(F.count("*").alias("m")).where("m = n").select("edge")
-    solid = chained.where("edge is not null").join(edges, "edge", "left_semi").select("doc_id", F.col("place").alias("at"))
+    solid = chained.where("edge is not null").join(edges, "edge", "left_semi").select("row", F.col("place").alias("at"))
     return (
-        chained.select("doc_id", F.col("place").alias("at"), F.lit(False).alias("solid"))
+        chained.select("row", F.col("place").alias("at"), F.lit(False).alias("solid"))
         .unionByName(solid.withColumn("solid", F.lit(True)))
-        .groupBy("doc_id")
+        .groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct("at", "solid"))).alias("anchors"))
     )
 
 
 def _spans(docs: DataFrame, paths: DataFrame) -> DataFrame:
-    """(x, y, words, doc_id, start): stretches of words that may be repeated, with a 64-bit and a 32-bit hash of their words.
+    """(x, y, words, row, start): stretches of words that may be repeated, with a 64-bit and a 32-bit hash of their words.
 
     Those are each compacted path of at least a window, and each window that lies in no such path but whose anchor is repeated.
     """
@@ -141,11 +141,11 @@ def _spans(docs: DataFrame, paths: DataFrame) -> DataFrame:
                 x, y = _digests(hashes, first, length), _digests(second, first, length)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x.view(np.int64)), pa.array((mixed(y) >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(length.astype(np.int32)), pa.array(ids[row + words.doc[first]]), pa.array(words.place[first].astype(np.int32))],
-                    names=["x", "y", "words", "doc_id", "start"],
+                    names=["x", "y", "words", "row", "start"],
                 )
 
-    joined = docs.join(paths, "doc_id").select("doc_id", "text", "anchors")
-    return joined.mapInArrow(run, "x long, y int, words int, doc_id long, start int")
+    joined = docs.join(paths, "row").select("row", "text", "anchors")
+    return joined.mapInArrow(run, "x long, y int, words int, row long, start int")
 
 
 def _digests(hashes: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -166,7 +166,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     A word is removed if a window of 20 consecutive words that covers it also starts earlier: in a document with a
     smaller id, or in the same document before. Windows are judged on the input. Null text has no words; a null id
-    comes before every other. Rows that repeat an id stand for one document: they aren't removed in favour of each other.
+    comes before every other. Rows with one id and different texts are documents of their own, in the order of their
+    texts' hashes; rows that repeat id and text stand for one document: they aren't removed in favour of each other.
 
     1. Of each window's 6-word k-mers the one with the least hash is its anchor: about an eighth of all k-mers, and equal
        windows have equal anchors. Anchors that occur once rule their windows out.
@@ -179,15 +180,21 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     joins on them have splittable sides.
     """
     plain = docs.select(id_key(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    spans = table(_spans(plain, _paths(plain)))
+    if plain.groupBy("doc_id").count().where("count > 1").isEmpty():
+        plain, order = plain.withColumn("row", F.col("doc_id")), ["row", "start"]
+    else:  # ids don't tell rows apart
+        plain, order = numbered(plain).withColumnRenamed("_row", "row"), ["doc_id", "tie", "start"]
+    spans = table(_spans(plain.select("row", "text"), _paths(plain.select("row", "text"))))
+    if "tie" in order:
+        spans = spans.join(plain.select("row", "doc_id", F.xxhash64("text").alias("tie")), "row")
     key = ["x", "y", "words"]
-    here = F.struct("doc_id", "start")
+    here = F.struct(*order)
     first = spans.groupBy(*key, splittable("x")).agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").select(*key, "first")
     gone = (
         spans.join(first, key)
         .where(here != F.col("first"))
-        .select("doc_id", "start", "words")
-        .groupBy("doc_id")
+        .select("row", "start", "words")
+        .groupBy("row")
         .agg(F.collect_list(F.struct("start", "words")).alias("spans"))
     )
 
@@ -219,6 +226,6 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"],
             )
 
-    out = plain.join(gone, "doc_id", "left").select("doc_id", "text", "spans")
+    out = plain.join(gone, "row", "left").select("doc_id", "text", "spans")
     done = out.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")
     return done.withColumn("doc_id", null_if_no_id(F.col("doc_id")))

@@ -189,6 +189,24 @@ def test_mixing(spark, docs, none, rows):
     assert {s: n for s, n in per_source.items() if n} == {s: n for s, n in again.items() if n}
 
 
+def test_null_and_repeated_ids(spark):
+    """Two different texts without an id and two under one id are four documents; one copy of each text stays."""
+    rng = random.Random(11)
+    some = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    a, b, c, d = (some(60) for _ in range(4))
+    rows = [(None, a, "s"), (None, b, "s"), (5, c, "s"), (5, d, "s"), (6, d, "s"), (None, a, "s"), (7, "x y", "s")]
+    df = frame(spark, rows).repartition(3)
+    texts = lambda f: sorted(r.text for r in f.collect())
+    assert texts(exact_dedup.deduplicate(df)) == texts(simhash_dedup.deduplicate(df)) == sorted([a, b, c, d, "x y"])
+    assert {(r.doc_id, r.text) for r in simhash_dedup.deduplicate(df).collect()} == {(None, a), (None, b), (5, c), (5, d), (7, "x y")}
+    got = [(r.doc_id, r.text) for r in mixing.mixed_documents(df).collect()]
+    assert sorted(got, key=str) == sorted(((i, t) for i, t, _ in rows), key=str)
+    shared = some(30)
+    rows = [(None, f"{a} {shared}", "s"), (None, b, "s"), (5, f"{some(25)} {shared}", "s"), (5, f"{d} {shared} {c}", "s"), (5, b, "s"), (8, d, "s")]
+    kept = sorted(((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(frame(spark, rows).repartition(3)).collect()), key=str)
+    assert kept == sorted([(None, 90, 0), (None, 60, 0), (5, 55, 30), (5, 150, 30), (5, 60, 60), (8, 60, 60)], key=str)
+
+
 def test_permutation():
     for n in (1, 2, 3, 7, 64, 1000):
         i = np.arange(n)
