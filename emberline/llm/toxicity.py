@@ -14,7 +14,7 @@ from emberline.llm.common import id_key, null_if_no_id, table
 #: Lengths of n-grams in characters of the lower-cased text.
 GRAMS = (3, 4, 5)
 #: Labelled rows of each class that the classifier is fitted on at most; n-grams share 2 ** BUCKETS features by their hash.
-SAMPLE, BUCKETS = 1200, 20
+SAMPLE, BUCKETS = 2000, 20
 HELD_OUT_OF = 5
 #: Characters of a text that are looked at together; a longer text is read in such parts.
 PART = 1 << 16
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(weights, bias)
 
 
-def _regression(columns: list[np.ndarray], y: np.ndarray, r: np.ndarray, penalty: float = 3e-4, rounds: int = 50, together: int = 256) -> tuple[np.ndarray, float]:
+def _regression(columns: list[np.ndarray], y: np.ndarray, r: np.ndarray, penalty: float = 3e-4, rounds: int = 60, together: int = 256) -> tuple[np.ndarray, float]:
     """(w * r, b) of a logistic regression on x[i, f] = r[f] for f in columns[i]; lengths are scaled to a mean of 1 and classes weigh alike."""
     used, flat = np.unique(np.concatenate([*columns, np.zeros(0, np.int32)]), return_inverse=True)
     ends = np.cumsum([len(c) for c in columns])
