@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from emberline.llm.common import id_key, null_if_no_id, splittable, table
 
-#: Pages that a class's tokens must occur on; share of the host's pages that they must occur on.
-LEAST_PAGES, LEAST_SHARE = 5, 0.2
+#: Distinct pages of a host that a class must occur on to be told from chance, and the share of them.
+LEAST_PAGES, LEAST_SHARE = 3, 0.5
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.DOTALL)
+_NAME = re.compile(r"[A-Za-z][^\s/>]*")
+_UNQUOTED = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _WHITE = re.compile("[\x20\x09-\x0d\xa0]+")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -25,93 +26,138 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math object canvas".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-_OUT = frozenset("nav aside footer form head button select option dialog menu input label legend".split())
+_CLOSES_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+_HOLDS_ROWS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
+_OUT = frozenset("nav aside footer head button select option dialog menu input label legend".split())
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+#: Words in a class or id that name parts which never hold the article, and words that may also name what is around it.
 _OUT_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner promo promotion promoted sponsor sponsored sidebar widget widgets comment comments"
-    " commentlist disqus discussion respond reply replies nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead cookie cookies"
-    " consent gdpr notice notices alert newsletter subscribe subscription signup login share sharing social related recommended recommendations"
-    " popup modal overlay toolbar pagination pager search skip hidden copyright".split()
+    "ad ads adv advert adverts advertisement advertising adsense promo promotion promoted sponsor sponsored comment comments commentlist disqus discussion"
+    " respond reply replies breadcrumb breadcrumbs cookie cookies consent gdpr newsletter related recommended recommendations popup pagination pager copyright".split()
 )
+_AROUND_WORDS = frozenset(
+    "banner sidebar widget widgets nav navbar navigation menu menus footer masthead notice notices alert subscribe subscription signup login share sharing social"
+    " modal overlay toolbar search skip hidden".split()
+)
+#: How a block is left out: not at all; by what may be around the article too; for certain.
+_IN, _SOFT, _HARD = 0, 1, 2
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape((m[2] or "").strip("\"'")) for m in _ATTRIBUTE.finditer(text)} if text.strip(" /\n\t") else {}
 
 
-def _left_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
-    """Whether what an element holds is never main text."""
-    if tag in _OUT or (tag == "header" and not in_article) or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
-    if attributes.get("role", "").lower() in _OUT_ROLES or "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    if tag in ("body", "html", "main", "article"):
-        return False
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return any(w.lower() in _OUT_WORDS for w in _PARTS.findall(named))
+def _left_out(tag: str, attributes: dict[str, str], in_article: bool) -> int:
+    """How an element leaves out what it holds."""
+    if tag in _OUT:
+        return _HARD
+    if attributes and (
+        "hidden" in attributes
+        or attributes.get("aria-hidden") == "true"
+        or attributes.get("role", "").lower() in _OUT_ROLES
+        or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+    ):
+        return _HARD
+    if tag == "form" or (tag == "header" and not in_article):
+        return _SOFT
+    if tag in ("body", "html", "main", "article") or not attributes:
+        return _IN
+    named = {w.lower() for w in _PARTS.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")}
+    return _HARD if named & _OUT_WORDS else _SOFT if named & _AROUND_WORDS else _IN
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
-class Block:
-    """A block of text: its words, whether it lies in a part that is left out, its article (a number, 0 outside), its length in links."""
+def _hash(text: str, seed: int = 0) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed)
 
-    __slots__ = ("text", "out", "article", "linked", "path")
 
-    def __init__(self, text: str, out: bool, article: int, linked: int, path: str):
-        self.text, self.out, self.article, self.linked, self.path = text, out, article, linked, path
+def _tag_end(page: str, at: int, lost: set[str]) -> int:
+    """Where the tag whose attributes begin at ``at`` ends (its ">"), or -1. Quotes without an end, noted in ``lost``, are plain characters."""
+    while True:
+        at = _UNQUOTED.match(page, at).end()
+        if at >= len(page):
+            return -1
+        if page[at] == ">":
+            return at
+        close = -1 if page[at] in lost else page.find(page[at], at + 1)
+        if close < 0:
+            lost.add(page[at])
+            at += 1
+        else:
+            at = close + 1
 
 
-def blocks(page: str) -> tuple[list[Block], list[str]]:
-    """The blocks of a page in order, and the signatures of its tags (name, class and id below that of the element around).
+def blocks(page: str) -> tuple[list[tuple[str, int, bool, int]], list[int]]:
+    """(blocks, tags) of a page in order.
 
-    Unclosed elements end where HTML ends them: a paragraph at the next block, the rest with what is around them.
+    A block is its text, how it is left out, whether it lies in an article and the signature of its element; tags are
+    the signatures of all elements: a hash of name, class and id and of the signature of the element around. Unclosed
+    elements end where HTML ends them: a paragraph at the next block, the rest with what is around them. Time and
+    memory grow with the page's length only, however tags nest or stay open.
     """
-    found: list[Block] = []
-    tags: list[str] = []
-    stack: list[tuple[str, bool, int, str, bool]] = []  # tag, left out, article, path, link
+    found: list[tuple[str, int, bool, int]] = []
+    tags: list[int] = []
+    stack: list[tuple[str, int, bool, int]] = []  # tag, left out, in an article, signature
+    open_at: dict[str, list[int]] = {}  # tag -> its places on the stack
+    block_at: list[int] = []  # places of elements that aren't inline
     parts: list[str] = []
-    linked, article, pos, n = 0, 0, 0, len(page)
+    lost: set[str] = set()
+    pos, n, last_end = 0, len(page), page.rfind(">")
 
     def close() -> None:
-        nonlocal linked
         text = _WHITE.sub(" ", html.unescape("".join(parts))).strip(" ")
         if text:
-            top = stack[-1] if stack else ("", False, 0, "", False)
-            found.append(Block(text, top[1], top[2], linked, top[3]))
+            _, out, article, signature = stack[-1] if stack else ("", _IN, False, 0)
+            found.append((text, out, article, signature))
         parts.clear()
-        linked = 0
 
-    def add(text: str) -> None:
-        nonlocal linked
-        if text:
-            parts.append(text)
-            if stack and stack[-1][4]:
-                linked += len(text)
+    def pop_to(depth: int) -> None:
+        while len(stack) > depth:
+            tag = stack.pop()[0]
+            open_at[tag].pop()
+            if block_at and block_at[-1] == len(stack):
+                block_at.pop()
+
+    innermost = lambda names: max((open_at[t][-1] for t in names if open_at.get(t)), default=-1)
 
     while pos < n:
-        m = _MARKUP.search(page, pos)
-        if not m:
-            add(page[pos:])
+        less = page.find("<", pos) if pos <= last_end else -1
+        if less < 0:
+            parts.append(page[pos:])
             break
-        add(page[pos : m.start()])
-        pos = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
+        parts.append(page[pos:less])
+        if page.startswith("<!--", less):
+            end = page.find("-->", less + 4)
+            pos = n if end < 0 else end + 3
             continue
-        if m[1] or m[4]:
+        if page[less + 1 : less + 2] in ("!", "?"):
+            pos = page.find(">", less) + 1 or n
+            continue
+        closing = page.startswith("</", less)
+        name = _NAME.match(page, less + 1 + closing)
+        end = _tag_end(page, name.end(), lost) if name else -1
+        if end < 0:
+            parts.append("<")
+            pos = less + 1
+            continue
+        tag, inner, pos = name[0].lower(), page[name.end() : end], end + 1
+        if closing:
             if tag not in _INLINE:
                 close()
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
+            if open_at.get(tag):
+                pop_to(open_at[tag][-1])
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(page, pos)
-            pos = end.end() if end else n
-            add(" ")
+            if not (tag in ("svg", "math") and inner.endswith("/")):
+                stop = re.compile(rf"</{re.escape(tag)}\b", re.IGNORECASE).search(page, pos)
+                pos = (page.find(">", stop.end()) + 1 if stop else 0) or n
+            parts.append(" ")
             continue
         if tag == "br":
-            add(" ")
+            parts.append(" ")
         if tag in _VOID:
             if tag == "hr":
                 close()
@@ -119,30 +165,23 @@ def blocks(page: str) -> tuple[list[Block], list[str]]:
         if tag not in _INLINE:
             close()
             if tag in _CLOSES_P:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == "p":
-                        del stack[depth:]
-                        break
-                    if stack[depth][0] not in _INLINE:
-                        break
-            elif tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-                same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] in same:
-                        del stack[depth:]
-                        break
-                    if stack[depth][0] in ("ul", "ol", "dl", "table", "tr", "select"):
-                        break
-        attributes = _attributes(m[3] if m[2] else m[6])
-        top = stack[-1] if stack else ("", False, 0, "", False)
-        inside = top[2]
-        if not inside and (tag in ("article", "main") or attributes.get("role") == "main" or attributes.get("itemprop") == "articleBody"):
-            article += 1
-            inside = article
-        path = f"{top[3]}/{tag}.{attributes.get('class', '')}#{attributes.get('id', '')}" if tag not in _INLINE else top[3]
-        stack.append((tag, top[1] or (tag not in ("a",) and _left_out(tag, attributes, bool(inside))), inside, path, top[4] or tag == "a"))
+                if block_at and stack[block_at[-1]][0] == "p":
+                    pop_to(block_at[-1])
+            elif tag in _CLOSES_SAME:
+                same = innermost(_CLOSES_SAME[tag])
+                if same > innermost(_HOLDS_ROWS[tag]):
+                    pop_to(same)
+        attributes = _attributes(inner)
+        _, out, article, signature = stack[-1] if stack else ("", _IN, False, 0)
+        if tag in ("article", "main") or attributes.get("role") == "main" or attributes.get("itemprop") == "articleBody":
+            article, out = True, _IN if out == _SOFT else out
+        out = max(out, _left_out(tag, attributes, article) if tag != "a" else _IN)
         if tag not in _INLINE:
-            tags.append(path)
+            signature = _hash(f"{tag}.{attributes.get('class', '')}#{attributes.get('id', '')}", signature)
+            tags.append(signature)
+            block_at.append(len(stack))
+        open_at.setdefault(tag, []).append(len(stack))
+        stack.append((tag, out, article, signature))
     close()
     return found, tags
 
@@ -152,114 +191,113 @@ def _host(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _key(kind: str, text: str) -> int:
-    x = xxhash.xxh64_intdigest(f"{kind}{text}".encode("utf-8", "replace"))
-    return x - (1 << 64) if x >> 63 else x
-
+def candidates(found: list[tuple[str, int, bool, int]]) -> list[tuple[str, int, bool, int]]:
+    """The blocks that may be main text: those of the articles, if there are any, else all that aren't left out.
 
-def _text_key(b: Block) -> int:
-    return _key("t", f"{b.path}\0{b.text}")
+    If nothing else holds text, parts whose class or kind may also stand around an article are taken.
+    """
+    for most in (_IN, _SOFT):
+        some = [b for b in found if b[1] <= most]
+        inside = [b for b in some if b[2]]
+        if some:
+            return inside or some
+    return []
 
 
-def _page_key(host: str, page: str) -> int:
-    return _key("p", f"{host}\0{page}")
+def main_text(kept: list[str], fixed: list[bool]) -> str:
+    """The candidates that aren't fixed text of the template. If over half of their text is fixed, the pages are copies of each other and all of it stays."""
+    template = sum(len(t) for t, f in zip(kept, fixed) if f)
+    if 2 * template > sum(map(len, kept)):
+        template = 0
+    return "\n".join(t for t, f in zip(kept, fixed) if not (f and template))
 
 
-def _tokens(pages: DataFrame) -> DataFrame:
-    """(key, host, tokens, counts, tags), one row per distinct html of a host: its tokens, the first ``tags`` of them tags, and how often each occurs.
+def _parsed(pages: DataFrame) -> DataFrame:
+    """One row per row of ``pages``, parsed once.
 
-    Tokens are tags on their paths and whole texts on theirs. Copies of a page, under whatever urls, merge before the exchange.
+    row, page_id, url, host, key (names the host and html); kept (texts of the candidates) and kept_tokens; tokens, counts
+    and tags: the page's distinct tokens, the first ``tags`` of them elements, the rest texts in their elements
+    (``holders``), and how often each occurs.
     """
 
     def run(batches):
         for batch in batches:
-            out: list[tuple] = []
-            for url, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                found, tags = blocks(page or "")
+            columns: list[list] = [[] for _ in range(8)]
+            for url, page in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                page, host = page or "", _host(url)
+                found, tags = blocks(page)
+                keys = [_signed(_hash(b[0], b[3])) for b in found]
                 counts: list[dict[int, int]] = [{}, {}]
-                for at, k in [(0, _key("e", t)) for t in tags] + [(1, _text_key(b)) for b in found]:
-                    counts[at][k] = counts[at].get(k, 0) + 1
-                host = _host(url)
-                out.append((_page_key(host, page or ""), host, [*counts[0], *counts[1]], [*counts[0].values(), *counts[1].values()], len(counts[0])))
-            cols = list(zip(*out)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.list_(pa.int32())), pa.array(cols[4], pa.int32())],
-                names=["key", "host", "tokens", "counts", "tags"],
-            )
-
-    return pages.mapInArrow(run, "key long, host string, tokens array<long>, counts array<int>, tags int").dropDuplicates(["key", "host"])
-
-
-def template_texts(tokens: DataFrame) -> DataFrame:
-    """(host, token): texts that belong to the template of their host's pages, from :func:`_tokens`.
+                for at, some in enumerate(([_signed(t) for t in tags], keys)):
+                    for k in some:
+                        counts[at][k] = counts[at].get(k, 0) + 1
+                holder = {k: _signed(b[3]) for k, b in zip(keys, found)}
+                main = candidates([(k, *b[1:]) for k, b in enumerate(found)])
+                one = (
+                    host, _signed(_hash(page, _hash(host))), [found[b[0]][0] for b in main], [keys[b[0]] for b in main],
+                    [*counts[0], *counts[1]], [*counts[0].values(), *counts[1].values()], len(counts[0]), [*counts[0], *(holder[k] for k in counts[1])],
+                )
+                for c, v in zip(columns, one):
+                    c.append(v)
+            longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+            kinds = [pa.string(), pa.int64(), pa.list_(pa.string()), longs, longs, ints, pa.int32(), longs]
+            names = ["row", "page_id", "url", "host", "key", "kept", "kept_tokens", "tokens", "counts", "tags", "holders"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, k) for c, k in zip(columns, kinds))], names=names)
+
+    schema = "row long, page_id long, url string, host string, key long, kept array<string>, kept_tokens array<long>, tokens array<long>, counts array<int>, tags int, holders array<long>"
+    return pages.mapInArrow(run, schema)
+
+
+def template_texts(parsed: DataFrame) -> DataFrame:
+    """(host, token): texts that belong to the template of their host's pages, from rows (key, host, tokens, counts, tags, holders).
 
     A token's occurrence vector says how often it occurs on each of the host's distinct pages; sums of the halves of
     hashes, which don't depend on the pages' order, stand for it and merge before the exchange, as do the counts. Tokens
-    with equal vectors form an equivalence class. A class is valid if it spans at least LEAST_PAGES distinct pages and
-    LEAST_SHARE of the host's, and holds tags: it is then a piece of the template, the page's frame or a part nested in
-    it that some pages have. Texts in such classes are fixed text of the template; all other texts are slots.
+    with equal vectors form an equivalence class. A class is valid if it spans LEAST_PAGES distinct pages and
+    LEAST_SHARE of the host's, and holds elements: the page's frame, or a part nested in it that some pages have. A text
+    is fixed if the element around it is of the same valid class, so that it always holds this text; elements whose
+    texts differ or that repeat are slots.
     """
-    each = tokens.select("key", "host", "tags", F.posexplode(F.arrays_zip("tokens", "counts")).alias("at", "t"))
-    each = each.select("host", F.col("t.tokens").alias("token"), (F.col("at") < F.col("tags")).alias("tag"), F.xxhash64("key", "t.counts").alias("hash"))
-    vectors = (
-        each.groupBy("host", "token", "tag")
-        .agg(
-            F.sum(F.col("hash").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned("hash", 32)).alias("high"), F.count("*").alias("pages")
-        )
+    distinct = parsed.dropDuplicates(["key", "host"])
+    each = distinct.select("key", "host", "tags", F.posexplode(F.arrays_zip("tokens", "counts", "holders")).alias("at", "t"))
+    each = each.select("host", F.col("t.tokens").alias("token"), F.col("t.holders").alias("holder"), (F.col("at") < F.col("tags")).alias("tag"), F.xxhash64("key", "t.counts").alias("hash"))
+    vectors = table(
+        each.groupBy("host", "token", "holder", "tag")
+        .agg(F.sum(F.col("hash").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned("hash", 32)).alias("high"), F.count("*").alias("pages"))
         .where(F.col("pages") >= LEAST_PAGES)
-        .select("host", "token", "tag", F.xxhash64("low", "high").alias("vector"), "pages")
-    )
-    vectors = table(vectors)
-    hosts = tokens.groupBy("host").agg(F.count("*").alias("of"))
-    valid = (
-        vectors.groupBy("host", "vector", "pages").agg(F.max("tag").alias("has_tag"), F.min("tag").alias("all_tags"))
-        .where("has_tag and not all_tags")
-        .join(hosts, "host").where(F.col("pages") >= LEAST_SHARE * F.col("of"))
-        .select("host", "vector", "pages")
-    )
-    return vectors.where("not tag").join(valid, ["host", "vector", "pages"], "left_semi").select("host", "token")
-
-
-def main_text(found: list[Block], fixed: set[int]) -> str:
-    """The main text: the slots of the part with the most text among articles; without articles, of all that isn't left out."""
-    slots = [b for b in found if not b.out and not (fixed and _text_key(b) in fixed)]
-    size: dict[int, int] = {}
-    for b in slots:
-        size[b.article] = size.get(b.article, 0) + len(b.text)
-    articles = {a: s for a, s in size.items() if a}
-    if articles:
-        best = max(articles, key=lambda a: (articles[a], -a))
-        slots = [b for b in slots if b.article == best]
-    else:
-        slots = [b for b in slots if b.linked * 2 <= len(b.text)]
-    return "\n".join(b.text for b in slots)
+        .select("host", "token", "holder", "tag", F.xxhash64("low", "high").alias("vector"), "pages")
+    )
+    hosts = distinct.groupBy("host").agg(F.count("*").alias("of"))
+    elements = vectors.where("tag").select("host", F.col("token").alias("holder"), "vector", "pages")
+    fixed = vectors.where("not tag").join(elements, ["host", "holder", "vector", "pages"], "left_semi")
+    return fixed.join(hosts, "host").where(F.col("pages") >= LEAST_SHARE * F.col("of")).select("host", "token")
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars.
 
-    The main text of the whole page: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, markup
-    and reader comments are left out, as are texts of the host's template (see :func:`template_texts`). Character
-    references are decoded; each block is one line. Null html counts as empty and gives an empty text; a null url forms
-    a host of its own. Rows that repeat a page are extracted each, but count once for the template. Fixed texts reach a page by a join on their token,
-    so hosts of any size are spread over tasks and nothing is gathered by host.
+    The main text of the whole page: the blocks of its articles, or of the whole page if it marks none, without menus,
+    headers, footers, sidebars, notices, adverts, forms, scripts, styles, markup, reader comments and texts of the
+    host's template (see :func:`template_texts` and :func:`main_text`). Character references are decoded; each block is
+    one line. Null html counts as empty and gives an empty text; pages without a host in their url form one group. Rows
+    that repeat a page are extracted each, but count once for the template. Pages are parsed once; fixed texts reach a
+    page by a join on their token, so hosts of any size are spread over tasks and nothing is gathered by host.
     """
-    plain = pages.select(id_key(id_column).alias("page_id"), F.col(url_column).cast("string").alias("url"), F.col(html_column).cast("string").alias("html"))
-    tokens = table(_tokens(plain))
-    texts = F.expr("slice(tokens, tags + 1, size(tokens))")
-    on_page = tokens.select("key", "host", F.explode(texts).alias("token"))
-    per_page = on_page.join(table(template_texts(tokens)), ["host", "token"]).groupBy("key", splittable("key")).agg(F.collect_set("token").alias("fixed")).drop("_one")
+    plain = pages.select(
+        F.monotonically_increasing_id().alias("row"), id_key(id_column).alias("page_id"), F.col(url_column).cast("string").alias("url"), F.col(html_column).cast("string").alias("html")
+    )
+    parsed = table(_parsed(plain))
+    on_page = parsed.select("row", "host", F.explode(F.array_distinct("kept_tokens")).alias("token"))
+    fixed = on_page.join(table(template_texts(parsed)), ["host", "token"]).groupBy("row", splittable("row")).agg(F.collect_list("token").alias("fixed")).drop("_one")
 
     def run(batches):
         for batch in batches:
-            rows = [main_text(blocks(page or "")[0], set(fixed or ())) for page, fixed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.string()), pa.array([len(t) for t in rows], pa.int64())], names=["page_id", "url", "text", "n_chars"])
-
-    def keyed(batches):
-        for batch in batches:
-            keys = [_page_key(_host(url), page or "") for url, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["page_id", "url", "html", "key"])
-
-    known = plain.mapInArrow(keyed, "page_id long, url string, html string, key long")
-    out = known.join(per_page, "key", "left").select("page_id", "url", "html", "fixed").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+            out = []
+            for kept, tokens, some in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
+                gone = set(some or ())
+                out.append(main_text(kept, [t in gone for t in tokens]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
+    joined = parsed.select("row", "page_id", "url", "kept", "kept_tokens").join(fixed, "row", "left")
+    out = joined.select("page_id", "url", "kept", "kept_tokens", "fixed").mapInArrow(run, "page_id long, url string, text string, n_chars long")
     return out.withColumn("page_id", null_if_no_id(F.col("page_id")))

@@ -1,6 +1,7 @@
 """Vectors, pages, components, the pipeline."""
 
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -103,6 +104,61 @@ def test_copied_pages(spark):
     assert [got[300 + i] for i in range(16)] == [text(i // 2) for i in range(16)]
 
 
+def extracted(spark, rows):
+    return {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+
+
+def test_equal_articles_stay(spark):
+    """Pages that differ in a notice only are copies, however many there are; so are two articles on a page main text both."""
+    page = "<html><body><div class='ad'>Offer {0}</div>{1}</body></html>"
+    article, plain = "<article><h1>Same</h1><p>Equal words.</p></article>", "<div><p>Same</p><p>Equal words.</p></div>"
+    rows = [(100 * k + i, f"http://{h}{k}.example/{i}", page.format(i, body)) for h, body in (("a", article), ("b", plain)) for k in range(1 + (h == "b") * 8, 8 + (h == "b") * 8) for i in range(k % 8)]
+    assert set(extracted(spark, rows).values()) == {"Same\nEqual words."}
+    two = "<article><p>Part one is the longer one.</p></article><p>between</p><article><p>Part two.</p><p><a href='/x'>See this long and interesting page.</a></p></article>"
+    assert extracted(spark, [(1, "http://h/1", two)]) == {1: "Part one is the longer one.\nPart two.\nSee this long and interesting page."}
+
+
+def test_wrappers_keep_the_article():
+    text = lambda page: "\n".join(b[0] for b in html_extract.candidates(html_extract.blocks(page)[0]))
+    for around in ("class='content-sidebar-wrap'", "class='site-content has-sidebar'", "id='search-content'"):
+        assert text(f"<body><div {around}><main><p>Words</p></main><div class='sidebar'>No</div></div></body>") == "Words"
+    assert text("<body><div id='search-content'><p>All the text</p></div></body>") == "All the text"
+    assert text("<body><form><article><p>In a form</p><div class='comments'><article>No</article></div></article></form></body>") == "In a form"
+    assert text("<article><svg width='1'/><p>After</p><svg><text>No</text></svg><p>1 < 2 &amp; <b>3</b></p></article>") == "After\n1 < 2 & 3"
+
+
+def test_awkward_markup_takes_linear_time():
+    n = 50_000
+    for page in ("<div>" * n, "<a " * n, "<a \"" * n + ">", "<a '\">" * n, "<b>" * n + "<p></i>" * n, "<script></script " * n, "<!--" * n, "<li><b>" * n, "&" * n, "<" * n):
+        began = time.time()
+        html_extract.blocks(page)
+        assert time.time() - began < 5, page[:20]
+
+
+def test_classes_by_brute_force(spark):
+    rng = random.Random(5)
+    part = lambda: rng.choice(["<section class='s{0}'><b>fixed {0}</b></section>", "<p>words {0}</p>", "<div id='d{0}'>{1}</div>"]).format(rng.randrange(4), rng.randrange(3))
+    rows = [(i, f"http://h{i % 3}/{i}", "<body>" + "".join(part() for _ in range(rng.randrange(8))) + f"<i>{i % 20}</i></body>") for i in range(60)]
+    rows += [(100 + i, u, h) for i, (_, u, h) in enumerate(rows[:30])]  # copies count once
+    parsed = html_extract._parsed(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row long, page_id long, url string, html string")).cache()
+    got = {(r.host, r.token) for r in html_extract.template_texts(parsed).collect()}
+    pages = {(r.host, r.key): r for r in parsed.collect()}
+    want = set()
+    for host in ("h0", "h1", "h2"):
+        mine = [p for (h, _), p in pages.items() if h == host]
+        vector, holder, tags = {}, {}, set()
+        for at, p in enumerate(mine):
+            for k, (token, count, around) in enumerate(zip(p.tokens, p.counts, p.holders)):
+                vector.setdefault(token, [0] * len(mine))[at] = count
+                holder[token] = around
+                tags |= {token} if k < p.tags else set()
+        for token, v in vector.items():
+            on = sum(c > 0 for c in v)
+            if token not in tags and vector[holder[token]] == v and on >= html_extract.LEAST_PAGES and on >= html_extract.LEAST_SHARE * len(mine):
+                want.add((host, token))
+    assert got == want and want
+
+
 def test_pipeline(spark, sf_dir):
     assert corpus_pipeline.ORACLE_SQL is None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
