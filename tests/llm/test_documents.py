@@ -310,6 +310,32 @@ def test_surrogates_are_distinct(spark):
     assert len(got) == len(made) == 100 and not made & {r.entity for r in got}
 
 
+def test_crowded_formats(spark):
+    """More entities than their format has surrogates: all stay distinct, none is real, and the rounds end."""
+    rng = random.Random(2)
+    entities = {("last latin", rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") + rng.choice("abcdefghijklmnopqrstuvwxyz")) for _ in range(900)}
+    entities |= {("given f latin", f"N{a}{b}a") for a in "aeiou" for b in "bcdfghjk"} | {("ip", f"{a}.{b}.{c}.1") for a in range(10) for b in range(10) for c in range(8)}
+    entities |= {("phone", f"1{n:04d}") for n in range(9000)} | {("email", f"{a}@{b}.io") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"}
+    got = pii_surrogates.assigned(spark.createDataFrame(sorted(entities), "kind string, entity string"), "k").collect()
+    made = {(r.kind, r.surrogate) for r in got}
+    assert {(r.kind, r.entity) for r in got} == entities and len(got) == len(made) and not made & entities
+
+
+def test_people(spark):
+    """A name keeps its surrogate with any title or none, in either gender's form; rows that repeat an id are replaced each."""
+    names = ["Smith", "Li", "Xu", "Wong"] + [f"{a}{b}" for a in "BCDFGHJKLM" for b in ("ark", "olm", "ene")]
+    rows = [(1, f"Mr {n} met Mrs Anna {n}, then John {n} left.", "s") for n in names] + [(None, "г-н Иванов и г-жа Иванова, Ольга Иванова.", "s"), (None, "Sir Marvellous and Wise", "s")]
+    got = [r.text for r in pii_surrogates.replace_entities(frame(spark, rows), key="k").collect()]
+    lasts = set()
+    for text in got:
+        if m := re.fullmatch(r"Mr (\w+) met Mrs (\w+) (\w+), then (\w+) (\w+) left\.", text):
+            assert m[1] == m[3] == m[5] and m[1] not in names and m[2] in pii_surrogates.GIVEN["f", "latin"] and m[4] in pii_surrogates.GIVEN["m", "latin"]
+            lasts.add(m[1])
+    assert len(lasts) == len(names)
+    m = next(filter(None, (re.fullmatch(r"г-н (\w+ов) и г-жа (\w+), (\w+) (\w+)\.", t) for t in got)))
+    assert m[2] == m[4] == m[1] + "а" != "Иванова" and m[3] in pii_surrogates.GIVEN["f", "cyrillic"]
+
+
 def test_toxicity(spark, docs, none):
     rng = random.Random(1)
     bad = ["vile", "scumbag", "moronic"]
