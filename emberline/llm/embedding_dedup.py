@@ -7,23 +7,30 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, FloatType
 
 from emberline.llm.common import splittable, table
 from emberline.llm.components import connected_components
 
-#: Cosine of a link; neighbours in the sorted order that a vector is compared with; bits of a pass's signature; rows of a block.
-LEAST, NEIGHBOURS, BITS, BLOCK = 0.9, 64, 64, 256
-#: Chance that two vectors at a typical link (cosine 0.95) fall on the same side of a plane, and the share of links that passes may leave out.
-SAME_SIDE, MISSED = 0.9, 0.03
+#: Cosine of a link; neighbours in the sorted order that a vector is compared with at least; bits of a pass's signature.
+LEAST, NEIGHBOURS, BITS = 0.9, 256, 64
+#: Chance that two vectors at the least cosine of a link fall on the same side of a plane, and the share of such links that passes may leave out.
+SAME_SIDE, MISSED = 1 - math.acos(LEAST) / math.pi, 0.04
+#: Vectors that are compared with all others to measure what the passes found, the share of their links that must be found, and how often passes are added for it at most.
+ASKED, FOUND, MOST_ROUNDS = 256, 0.95, 8
+#: Members of a component that a task compares with as many others, some at a time.
+BLOCK, TOGETHER = 4096, 512
 #: Stands for a null id: after every other.
 LAST_ID = 2**63 - 1
 _HALF = math.cos(math.acos(LEAST) / 2) + 1e-9
 
 
 def passes_for(vectors: int) -> int:
-    """How many passes find all but MISSED of the links: a pass finds a link if the bits that cut the corpus to a window's size agree."""
+    """How many passes find all but MISSED of the links at the least cosine: a pass finds one if the bits that cut evenly spread vectors to a window's size agree."""
     bits = max(1.0, math.log2(max(2, vectors) / NEIGHBOURS))
     return max(4, math.ceil(math.log(MISSED) / math.log(1 - SAME_SIDE**bits)))
 
@@ -32,15 +39,35 @@ def _planes(number: int, dim: int) -> np.ndarray:
     return np.random.default_rng([number, dim, 7]).standard_normal((BITS, dim))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """The lists of a column, all of one length, as doubles scaled to length 1."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    m = flat.reshape(len(column), -1)
+def _scaled(m: np.ndarray) -> np.ndarray:
+    """Rows as doubles of length 1."""
+    m = m.astype(np.float64)
     return m / np.sqrt((m * m).sum(1, keepdims=True))
 
 
-def _signed(vectors: DataFrame, passes: int) -> DataFrame:
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The lists of a column, all of one length, as rows of length 1."""
+    return _scaled(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1))
+
+
+def _forest(ids: np.ndarray, near: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): as few links as join all ends of the links near[i, j] between ids[i] and others[j]; others begin with ids."""
+    i, j = np.nonzero(near)
+    root = np.arange(len(others))
+    while len(i):
+        low, high = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
+        apart = low != high
+        i, j = i[apart], j[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while (root != root[root]).any():
+            root = root[root]
+    linked = np.flatnonzero(root != np.arange(len(others)))
+    return others[linked], others[root[linked]]
+
+
+def _signed(vectors: DataFrame, turns: range) -> DataFrame:
     """(dim, turn, signature, rep, embedding): a row per vector and pass; the signature concatenates BITS random hashes."""
+    kind = vectors.schema["embedding"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
@@ -48,7 +75,7 @@ def _signed(vectors: DataFrame, passes: int) -> DataFrame:
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
                 unit = _matrix(part.column(2))
-                for turn in range(passes):
+                for turn in turns:
                     side = (unit @ _planes(turn, int(dim)).T) > 0
                     signature = np.packbits(side, axis=1).view(">u8").ravel().astype(np.uint64).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
@@ -56,62 +83,125 @@ def _signed(vectors: DataFrame, passes: int) -> DataFrame:
                         names=["dim", "turn", "signature", "rep", "embedding"],
                     )
 
-    return vectors.select("rep", "dim", "embedding").mapInArrow(run, "dim int, turn int, signature long, rep long, embedding array<double>")
+    return vectors.select("rep", "dim", "embedding").mapInArrow(run, f"dim int, turn int, signature long, rep long, embedding {kind}")
 
 
 def _window_links(signed: DataFrame) -> DataFrame:
-    """(a, b): verified links of vectors with the next NEIGHBOURS in sorted order, as a spanning forest of each task's links."""
+    """(a, b): verified links of vectors with at least the next NEIGHBOURS in sorted order, as few as join the same vectors.
+
+    A task walks its part of the order in blocks of NEIGHBOURS rows, each compared with itself and the next one. It also
+    passes on its first and last block, and neighbouring tasks' blocks are compared in a second step.
+    """
+    kind = signed.schema["embedding"].dataType
+    names = ["a", "b", "border", "dim", "turn", "first", "rep", "embedding"]
+    pairs = lambda a, b: [pa.array(a), pa.array(b), *(pa.nulls(len(a), t) for t in (pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), to_arrow_type(kind)))]
 
     def run(batches):
-        held = None
+        task, key, ids, unit, edge = TaskContext.get().partitionId(), None, None, None, None
+
+        def at_border(rows: pa.RecordBatch, first: bool) -> pa.RecordBatch:
+            n = len(rows)
+            none = pa.nulls(n, pa.int64())
+            place = pa.array(np.full(n, task - first, np.int32))
+            return pa.RecordBatch.from_arrays([none, none, place, rows.column(0), rows.column(1), pa.array([first] * n, pa.bool_()), rows.column(3), rows.column(4)], names=names)
+
+        def compared(last: bool):
+            nonlocal ids, unit
+            while len(ids) >= 2 * NEIGHBOURS or (last and len(ids)):
+                near = unit[:NEIGHBOURS] @ unit[: 2 * NEIGHBOURS].T >= LEAST
+                yield pa.RecordBatch.from_arrays(pairs(*_forest(ids[:NEIGHBOURS], near, ids[: 2 * NEIGHBOURS])), names=names)
+                ids, unit = ids[NEIGHBOURS:], unit[NEIGHBOURS:]
+
+        begun = 0
         for batch in batches:
             keys = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], 1)
-            for key in np.unique(keys, axis=0):
-                part = batch.filter(pa.array((keys == key).all(1)))
-                ids, unit = part.column(3).to_numpy(), _matrix(part.column(4))
-                if held is not None and (held[0] == key).all():
-                    ids, unit = np.concatenate((held[1], ids)), np.concatenate((held[2], unit))
-                held = (key, ids[-NEIGHBOURS:], unit[-NEIGHBOURS:])
-                root = np.arange(len(ids))
-                for d in range(1, min(NEIGHBOURS, len(ids) - 1) + 1):
-                    near = np.flatnonzero(np.einsum("ij,ij->i", unit[:-d], unit[d:]) >= LEAST)
-                    for i in near[root[near] != root[near + d]]:
-                        x, y = int(i), int(i) + d
-                        while root[x] != x:
-                            x = root[x]
-                        while root[y] != y:
-                            y = root[y]
-                        root[max(x, y)] = min(x, y)
-                    while (root != root[root]).any():
-                        root = root[root]
-                linked = np.flatnonzero(root != np.arange(len(ids)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[root[linked]])], names=["a", "b"])
+            turns = np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1
+            for lo, hi in zip([0, *turns], [*turns, len(batch)]):
+                part = batch.slice(lo, hi - lo)
+                if not len(part):
+                    continue
+                if key is None or (key != keys[lo]).any():
+                    if key is not None:
+                        yield from compared(True)
+                        begun = NEIGHBOURS  # what follows doesn't continue the task before
+                    key, ids, unit, edge = keys[lo], np.zeros(0, np.int64), np.zeros((0, keys[lo][0])), None
+                if begun < NEIGHBOURS:
+                    yield at_border(part.slice(0, NEIGHBOURS - begun), True)
+                    begun += len(part)
+                tail = pa.Table.from_batches([*([edge] if edge is not None else []), part])
+                edge = tail.slice(max(0, len(tail) - NEIGHBOURS)).combine_chunks().to_batches()[0]
+                ids, unit = np.concatenate((ids, part.column(3).to_numpy())), np.concatenate((unit, _matrix(part.column(4))))
+                yield from compared(False)
+        if key is not None:
+            yield from compared(True)
+            yield at_border(edge, False)
 
     order = ["dim", "turn", "signature", "rep"]
-    return signed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long").distinct()
+    schema = f"a long, b long, border int, dim int, turn int, first boolean, rep long, embedding {kind.simpleString()}"
+    out = table(signed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema))
+
+    def across(pdf: pd.DataFrame) -> pd.DataFrame:
+        before, after = pdf[~pdf["first"]], pdf[pdf["first"]]
+        if not len(before) or not len(after):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        unit = [_scaled(np.stack(x["embedding"].to_numpy())) for x in (before, after)]
+        ids = np.concatenate((before["rep"], after["rep"]))
+        near = np.concatenate((np.zeros((len(before), len(before)), bool), unit[0] @ unit[1].T >= LEAST), axis=1)
+        return pd.DataFrame(dict(zip("ab", _forest(ids[: len(before)], near, ids))))
+
+    borders = out.where("border is not null").groupBy("border", "dim", "turn").applyInPandas(across, "a long, b long")  # 2 * NEIGHBOURS rows each
+    return out.where("a is not null").select("a", "b").unionByName(borders).distinct()
+
+
+def _found(reps: DataFrame, parts: DataFrame) -> float:
+    """The share of all links of ASKED vectors, by brute force, whose ends the passes brought into one component."""
+    asked = reps.orderBy(F.xxhash64("rep"), "rep").limit(ASKED).select("rep", "dim", "embedding").toPandas()
+    queries = {int(d): (g["rep"].to_numpy(), _scaled(np.stack(g["embedding"].to_numpy()))) for d, g in asked.groupby("dim")}
+    shared = reps.sparkSession.sparkContext.broadcast(queries)  # ASKED vectors
+
+    def run(batches):
+        for batch in batches:
+            dims = batch.column(1).to_numpy()
+            for dim, (ids, unit) in shared.value.items():
+                part = batch.filter(pa.array(dims == dim))
+                if len(part):
+                    i, j = np.nonzero(_matrix(part.column(2)) @ unit.T >= LEAST)
+                    a, b = part.column(0).to_numpy()[i], ids[j]
+                    yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"])
+
+    links = reps.select("rep", "dim", "embedding").mapInArrow(run, "a long, b long")
+    for end in "ab":
+        links = links.join(parts.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left")
+    row = links.agg(F.count("*").alias("of"), F.count(F.when(F.col("ca") == F.col("cb"), 1)).alias("n")).first()
+    return row.n / row.of if row.of else 1.0
 
 
 def _outer_links(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """(rep, links): for pairs within a component of which at least one lies outside its core, how many vectors link with rep.
 
-    Members are spread over blocks of about BLOCK; a task compares one block's outer members with one block of members.
+    Members lie in blocks of about BLOCK, members outside the core in blocks of their own besides; a task compares one
+    block of either kind. Thus a component's members are copied once per block of outer members only.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = members.join(sizes.where("outer > 0"), "component_id").withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), blocks - 1))
-    left = placed.where("not core").select("component_id", F.col("block").alias("x"), others.alias("y"), "rep", "copies", "core", "embedding", F.lit(True).alias("asks"))
-    right = placed.select("component_id", others.alias("x"), F.col("block").alias("y"), "rep", "copies", "core", "embedding", F.lit(False).alias("asks"))
+    count = lambda c: F.greatest(F.ceil(F.col(c) / BLOCK), F.lit(1)).cast("int")
+    drawn = lambda seed, n: F.pmod(F.xxhash64("rep", F.lit(seed)), n).cast("int")
+    placed = members.join(sizes.where("outer > 0"), "component_id")
+    columns = ["component_id", "x", "y", "rep", "copies", "core", "embedding", "asks"]
+    left = placed.where("not core").withColumns({"x": drawn(1, count("outer")), "y": F.explode(F.sequence(F.lit(0), count("size") - 1)), "asks": F.lit(True)}).select(columns)
+    right = placed.withColumns({"y": drawn(2, count("size")), "x": F.explode(F.sequence(F.lit(0), count("outer") - 1)), "asks": F.lit(False)}).select(columns)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = pdf[pdf["asks"]], pdf[~pdf["asks"]]
         if not len(a) or not len(b):
             return pd.DataFrame({"rep": [], "links": []}).astype("int64")
-        unit = [np.stack(x["embedding"].to_numpy()).astype(np.float64) for x in (a, b)]
-        unit = [u / np.sqrt((u * u).sum(1, keepdims=True)) for u in unit]
-        near = (unit[0] @ unit[1].T >= LEAST) & (a["rep"].to_numpy()[:, None] != b["rep"].to_numpy()[None, :])
-        core = b["core"].to_numpy()
-        back = near[:, core].T @ a["copies"].to_numpy()
-        return pd.DataFrame({"rep": np.concatenate((a["rep"], b["rep"][core])), "links": np.concatenate((near @ b["copies"].to_numpy(), back))})
+        one, two = (_scaled(np.stack(x["embedding"].to_numpy())) for x in (a, b))
+        ids, core, copies = b["rep"].to_numpy(), b["core"].to_numpy(), b["copies"].to_numpy()
+        links, back = np.zeros(len(a), np.int64), np.zeros(int(core.sum()), np.int64)
+        for at in range(0, len(a), TOGETHER):
+            some = slice(at, at + TOGETHER)
+            near = (one[some] @ two.T >= LEAST) & (a["rep"].to_numpy()[some, None] != ids[None, :])
+            links[some] = near @ copies
+            back += a["copies"].to_numpy()[some] @ near[:, core]
+        return pd.DataFrame({"rep": np.concatenate((a["rep"], ids[core])), "links": np.concatenate((links, back))})
 
     pairs = left.unionByName(right).groupBy("component_id", "x", "y").applyInPandas(compare, "rep long, links long")
     return pairs.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -126,25 +216,36 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column
 
     A pass sorts all vectors by a signature of random hashes (range partitioning) and compares each with its next
     neighbours; vectors that differ little share long prefixes in some pass. Links of all passes are united to
-    components. Then links are counted within components, exactly, whatever the windows saw: members within half the
+    components. The number of passes follows from the number of vectors if they are spread evenly; where many crowd
+    together, a window holds less of a prefix. So what was found is measured: ASKED vectors are compared with all, and
+    as many passes again are added until FOUND of their links lie within components. Then links are counted within components, exactly, whatever the windows saw: members within half the
     link's angle of the centre link with each other for certain; all others are compared in blocks. A window thus bounds
     the search but not a vector's links, and large groups never form pairs.
     """
-    values = F.col(vector_column).cast("array<double>")
+    kind = vectors.schema[vector_column].dataType
+    single = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
+    values = F.col(vector_column).cast("array<float>" if single else "array<double>")  # floats are shuffled as such; all sums are of doubles
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     rows = vectors.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST_ID)).alias("vec_id"), values.alias("v"))
     rows = rows.withColumn("good", F.coalesce(~bad & (norm > 0) & (norm < float("inf")), F.lit(False)))
-    rows = table(rows.select("vec_id", "good", F.when(F.col("good"), F.transform("v", lambda x: x + F.lit(0.0))).alias("v"), F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g")))
+    rows = table(rows.select("vec_id", "good", F.when(F.col("good"), F.transform("v", lambda x: x + F.lit(0.0).cast("float" if single else "double"))).alias("v"), F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g")))
     key = ["h", "g"]
     reps = table(
         rows.where("good").groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("embedding")).withColumn("dim", F.size("embedding"))
     )
-    links = _window_links(_signed(reps, passes_for(reps.count())))
-    parts = connected_components(links)
+    passes = passes_for(reps.count())
+    done, links = 0, None
+    while True:
+        new = _window_links(_signed(reps, range(done, done + passes)))
+        links = table(new if links is None else links.unionByName(new).distinct())
+        parts = table(connected_components(links))
+        done += passes
+        if done >= MOST_ROUNDS * passes or _found(reps, parts) >= FOUND:
+            break
     members = reps.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("component_id")), "rep")
-    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    spread = members.select("component_id", "copies", F.posexplode(F.transform("embedding", lambda x: x / length)))
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    spread = members.select("component_id", "copies", F.posexplode(F.transform("embedding", lambda x: x.cast("double") / length)))
     centre = (
         spread.groupBy("component_id", "pos").agg(F.sum(F.col("col") * F.col("copies")).alias("c")).groupBy("component_id", splittable("component_id"))
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "c"))), lambda s: s["c"]).alias("centre"))
@@ -166,3 +267,13 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column
         F.when(component != LAST_ID, component).alias("component_id"),
         (ident == component).alias("kept"),
     )
+
+
+ORACLE = r"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_dot_product(e, e) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(vec_id, r) AS (SELECT vec_id, vec_id FROM v UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.r = links.a),
+part AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = part.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM part
+"""

@@ -62,12 +62,64 @@ def test_embeddings(spark):
     assert (found <= n).all() and found.sum() >= 0.9 * n.sum()
     for i in range(900, 906):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
-    assert all(got[i].component_id <= i and got[i].kept == (got[i].component_id == i) for i in ids)
+    parts = components_of(link)
+    same = [got[i].component_id == parts[i] and got[i].kept == (parts[i] == i) for i in ids]
+    assert np.mean(same) >= 0.98 and all(got[i].component_id <= i for i in ids)
     assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+def components_of(link):
+    label = np.arange(len(link))
+    while True:
+        new = np.minimum(label, np.where(link, label[None, :], len(link)).min(1))
+        if (new == label).all():
+            return label
+        label = new
+
+
+def test_embeddings_by_sql(spark, sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+    want = con.execute(embedding_dedup.ORACLE).fetchall()
+    got = embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def pairs_at(rng, n, dim, cosine, base=None):
+    """n pairs of vectors at a cosine, as rows."""
+    a = rng.normal(size=(n, dim)) if base is None else base
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = rng.normal(size=(n, dim))
+    b -= (a * b).sum(1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    return np.stack((a, cosine * a + np.sqrt(1 - cosine**2) * b), 1).reshape(2 * n, dim)
+
+
+def test_recall_at_the_least_cosine(spark, tmp_path):
+    """Isolated pairs just above the limit among 80,000 vectors, and pairs within a crowd that is dense but unlinked."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(4)
+    cone = rng.normal(size=48) / np.sqrt(48) + 0.55 * rng.normal(size=(4000, 48)) / np.sqrt(48)
+    x = np.concatenate((pairs_at(rng, 3000, 48, 0.905), pairs_at(rng, 4000, 48, 0.93, cone), rng.normal(size=(66_000, 48))))
+    place = rng.permutation(len(x))
+    ids = np.empty(len(x), np.int64)
+    ids[place] = np.arange(len(x))
+    flat = pa.array(x[place].ravel().astype(np.float32))
+    pq.write_table(pa.table({"vec_id": pa.array(np.arange(len(x))), "embedding": pa.FixedSizeListArray.from_arrays(flat, 48).cast(pa.list_(pa.float32()))}), tmp_path / "e.parquet")
+    got = embedding_dedup.near_duplicates(spark.read.parquet(str(tmp_path / "e.parquet")).repartition(5)).toPandas().set_index("vec_id").sort_index()
+    part, links = got["component_id"].to_numpy(), got["n_links"].to_numpy()
+    for lo, hi in ((0, 6000), (6000, 14_000)):
+        a, b = ids[lo:hi:2], ids[lo + 1 : hi : 2]
+        assert (part[a] == part[b]).mean() >= 0.9
+    assert links[ids[14_000:]].sum() == 0
+
+
 def test_passes_grow_slowly():
-    assert embedding_dedup.passes_for(0) >= 1 and embedding_dedup.passes_for(10**9) < 60
+    assert embedding_dedup.passes_for(0) >= 1 and embedding_dedup.passes_for(10**9) < 100
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body><header>Site name</header><nav><ul><li><a href="/">Home</a></ul></nav>
