@@ -82,9 +82,12 @@ def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     added: list[tuple[int, int, int]] = []
     if any(len(w) >= WIDTH for w in text.split()):
         base += [(m.start(), 2, m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= LEAST_HEX]
-        found = entropy_spans(text)
-        outer = [(s, e) for s, _, e in base] + found
-        added = [(s, 3, e) for s, e in found if not any((a, b) != (s, e) and a <= s and e <= b for a, b in outer) and (s, e) not in {(a, b) for a, _, b in base}]
+        found, known = set(entropy_spans(text)), {(s, e) for s, _, e in base}
+        reach = -1
+        for s, e in sorted(found | known, key=lambda x: (x[0], -x[1])):  # whatever contains a span comes before it
+            if reach < e and (s, e) not in known:
+                added.append((s, 3, e))
+            reach = max(reach, e)
     return sorted(base), sorted(added)
 
 
