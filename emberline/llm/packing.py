@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import importlib
 import itertools
+import re
 import zlib
 
 import numpy as np
@@ -18,8 +19,10 @@ from emberline.llm.common import id_key, null_if_no_id, running_totals, table
 #: Tokens in a window; a remainder's body is a multiple of UNIT tokens; lengths in a combination at most; the id that ends a document.
 WINDOW, UNIT, DEPTH, END = 2048, 32, 4, 1
 UNITS = WINDOW // UNIT
-#: Words whose ids a task remembers; the memory starts anew beyond it.
-REMEMBERED = 400_000
+#: Bytes that a task spends on words whose ids it remembers; the memory starts anew beyond it.
+REMEMBERED = 24 << 20
+#: Letters that stay single letters under normalisation and lower-casing: ASCII, Latin-1 and basic Cyrillic.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿЀ-џ]+")
 #: Signs that a word may end with; an apostrophe can start a piece of its own.
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _ZEROS = bytes(4 * UNIT)
@@ -32,8 +35,9 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class _Words:
     """Token ids of words, as bytes of unsigned 32-bit numbers. The tokenizer never joins characters across white space.
 
-    Words are remembered whole; new ones are split into letters and the signs that follow, because the tokenizer splits
-    them there too. Stretches of letters are encoded many at once: each ends with an end-of-word id.
+    Words are remembered whole. New ones that are plain letters and the signs that follow are split there, because the
+    tokenizer splits them there too, and stretches of letters are encoded many at once: each ends with an end-of-word
+    id. All other words are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -42,15 +46,18 @@ class _Words:
         self.tok = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
         self.letters: dict[str, bytes] = {}
+        self.held = 0
         self.stop = np.zeros(self.tok.get_vocab_size(), bool)
         self.stop[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
+    def _keep(self, memory: dict, word, ids: bytes) -> None:
+        memory[word] = ids
+        self.held += 200 + len(word) + len(ids)  # with what Python spends on the entry
+
     def _spell(self, letters: list[str]) -> None:
-        if len(self.letters) + len(letters) > REMEMBERED:
-            self.letters.clear()
         single = []
         for at in range(0, len(letters), 512):
             some = letters[at : at + 512]
@@ -61,9 +68,10 @@ class _Words:
                 continue
             raw, last = ids.tobytes(), 0
             for w, e in zip(some, (4 * ends).tolist()):
-                self.letters[w], last = raw[last:e], e
+                self._keep(self.letters, w, raw[last:e])
+                last = e
         for w, e in zip(single, self._encoded(single)):
-            self.letters[w] = e.tobytes()
+            self._keep(self.letters, w, e.tobytes())
 
     def _learn(self, words: list[bytes]) -> None:
         split: list[tuple[bytes, str, str]] = []
@@ -71,29 +79,27 @@ class _Words:
         for raw in words:
             w = raw.decode()
             head = w.rstrip(_SIGNS)
-            if head.isalpha():
-                split.append((raw, head.lower() if head.isascii() else head, w[len(head) :]))
+            if _LETTERS.fullmatch(head):
+                split.append((raw, head.lower(), w[len(head) :]))
             else:
                 other.append(raw)
-        need = {x for _, head, tail in split for x in (head, tail)}
-        new = [x for x in need if x not in self.letters]
-        self._spell([x for x in new if x.isalpha()])
-        rest = [x for x in need if x not in self.letters]  # signs, and letters if the memory was cleared
-        for x, e in zip(rest, self._encoded(rest)):
-            self.letters[x] = e.tobytes()
+        new = {x for _, head, tail in split for x in (head, tail) if x not in self.letters}
+        self._spell([x for x in new if _LETTERS.fullmatch(x)])
+        signs = [x for x in new if x not in self.letters]
+        for x, e in zip(signs, self._encoded(signs)):
+            self._keep(self.letters, x, e.tobytes())
         for raw, head, tail in split:
-            self.words[raw] = self.letters[head] + self.letters[tail]
+            self._keep(self.words, raw, self.letters[head] + self.letters[tail])
         for raw, e in zip(other, self._encoded([w.decode() for w in other])):
-            self.words[raw] = e.tobytes()
+            self._keep(self.words, raw, e.tobytes())
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t or b"").split() for t in texts]
-        seen = set(itertools.chain.from_iterable(split))
-        new = seen.difference(self.words)
-        if len(self.words) + len(new) > REMEMBERED:
+        if self.held > REMEMBERED:
             self.words.clear()
-            new = seen
-        self._learn(list(new))
+            self.letters.clear()
+            self.held = 0
+        split = [(t or b"").split() for t in texts]
+        self._learn(list(set(itertools.chain.from_iterable(split)).difference(self.words)))
         get = self.words.__getitem__
         end = np.array([END], "<u4").tobytes()
         return [b"".join(map(get, words)) + end for words in split]
@@ -117,8 +123,8 @@ def tokenized(docs: DataFrame, path: str, id_column: str = "doc_id", text_column
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary()).to_pylist()
             n, windows, units, tails = [], [], [], []
-            for at in range(0, len(texts), 64):
-                for raw in words.encode(texts[at : at + 64]):
+            for at in range(0, len(texts), 32):
+                for raw in words.encode(texts[at : at + 32]):
                     count = len(raw) // 4
                     full, rest = divmod(count, WINDOW)
                     n.append(count)

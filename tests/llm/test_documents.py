@@ -238,6 +238,20 @@ def test_packing(docs, none, rows):
     assert packing.pack(none).count() == 0
 
 
+def test_words_like_the_tokenizer():
+    """Words one by one give the ids of the whole text, whatever the characters."""
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    tok, words, rng = Tokenizer.from_file(path), packing._Words(path), random.Random(6)
+    ranges = [(0x21, 0x7E)] * 6 + [(0xA0, 0x24F), (0x300, 0x36F), (0x370, 0x52F), (0x5D0, 0x6FF), (0x900, 0x97F), (0x1E00, 0x2060), (0x3040, 0x9FFF), (0xAC00, 0xD7A3), (0x1F300, 0x1FAFF), (0x10400, 0x1044F)]
+    char = lambda: chr(rng.randint(*rng.choice(ranges)))
+    texts = ["gel TAL\u0130, git", "\u0130\u0130!", "don't CAN'T we'll, x's", "<|endoftext|> a<|startoftext|>b", "\u1e9e\u00df\u03a3 \u03a3\u03a3.", "e\u0301 \u0301e, 1st2nd A1!?", "", " \n\t "]
+    texts += ["".join(rng.choice([char, lambda: rng.choice("abcEFG"), lambda: rng.choice(" \t\n  ,.!")])() for _ in range(rng.randrange(80))) for _ in range(1500)]
+    for text, raw in zip(texts, words.encode([t.encode() for t in texts])):
+        assert np.frombuffer(raw, "<u4").tolist() == [*tok.encode(text, add_special_tokens=False).ids, packing.END], repr(text)
+
+
 def test_repeat_counts():
     combos = packing.combinations()
     assert all(sum(c) == packing.UNITS and 2 <= len(c) <= packing.DEPTH for c in combos)
@@ -285,6 +299,62 @@ def test_entropy_by_incremental_counts():
     assert got == covered
 
 
+def plain_entropy_spans(text):
+    """Windows one by one, with counts made anew."""
+    import math
+
+    out = set()
+    for c in secret_scan.CANDIDATE.finditer(text):
+        if not re.search("[0-9]", c[0]) or not re.search("[A-Za-z]", c[0]) or secret_scan.ALLOWED.fullmatch(c[0]):
+            continue
+        for _, chars, least in secret_scan.CLASSES:
+            for run in chars.finditer(c[0]):
+                if not re.search("[0-9]", run[0]):
+                    continue
+                at, good = c.start() + run.start(), []
+                for i in range(len(run[0]) - 19):
+                    w = run[0][i : i + 20]
+                    if -sum(w.count(x) / 20 * math.log2(w.count(x) / 20) for x in set(w)) >= least - 1e-9:
+                        good.append(i)
+                for i in good:
+                    if not any(i - d in good for d in range(1, 21)):  # windows that overlap or touch form one stretch
+                        j = i
+                        while any(j + d in good for d in range(1, 21)):
+                            j = max(j + d for d in range(1, 21) if j + d in good)
+                        out.add((at + i, at + j + 20))
+    return out
+
+
+def test_secrets_by_brute_force():
+    rng = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+    made = [
+        lambda: "".join(rng.choice(letters) for _ in range(rng.randrange(5, 90))), lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(15, 60))),
+        lambda: "AKIA" + "".join(rng.choice("ABCDEFGH23456789") for _ in range(rng.randrange(10, 24))), lambda: rng.choice(["Password", "api_key", "TOKEN", "secret"]) + rng.choice([" = ", ":", "\"=\"", "  "]),
+        lambda: rng.choice(WORDS), lambda: "a1" * rng.randrange(12), lambda: "".join(rng.choice("abcdef0") * rng.randrange(1, 9) for _ in range(12)),
+    ]
+    kinds = (secret_scan.ASSIGN, 2, 6), (secret_scan.ACCESS, 0, 20), (secret_scan.HEX, 0, 24)
+    some = 0
+    for _ in range(400):
+        text = "".join(rng.choice(made)() + rng.choice(["", " ", " ", "\n", "\U0001f600", ","]) for _ in range(rng.randrange(1, 14)))
+        base, added = secret_scan.find(text)
+        want = sorted((m.start(), k, m.end()) for k, (pattern, group, least) in enumerate(kinds) for m in pattern.finditer(text) if len(m[group]) >= least)
+        found, known = plain_entropy_spans(text), {(s, e) for s, _, e in want}
+        free = sorted((s, 3, e) for s, e in found if (s, e) not in known and not any((a, b) != (s, e) and a <= s and e <= b for a, b in found | known))
+        assert (base, added) == (want, free), text
+        some += len(added)
+    assert some > 100
+
+
+def test_many_secrets_in_one_text():
+    import time
+
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(24)) for _ in range(20_000))
+    began = time.time()
+    assert len(secret_scan.find(text)[1]) > 10_000 and time.time() - began < 20
+
+
 def test_pii(spark, docs, none):
     df = frame(spark, [(1, "Mr. John Smith and Mrs Anna Smith, (555) 123-4567 or 555-123-4567. A.Bc@Xy.org; 4111 1111 1111 1111 078-05-1120 10.20.30.4", "s"), (2, None, "s"), (None, "", "s"), (2, "Mr. Smith a.bc@xy.org", "s"), (3, "4242424242424242", "s")])
     got = {(r.doc_id, r.n_entities): r for r in pii_surrogates.replace_entities(df, key="k").collect()}
