@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from emberline.llm.common import SPACE, numbered, table
 
-#: Runs that the input partitions form, and how many of them one round merges into one.
-RUNS, FAN_IN = 64, 8
+#: Bits of a digit of a run's number, and how many runs meet in a round.
+DIGIT = 3
+FAN_IN = 1 << DIGIT
 
 
 def normalised(text: Column) -> Column:
@@ -23,11 +24,11 @@ def duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_column: st
     then the smallest id. Null texts count as empty, null ids come last in a tie; if rows repeat id and text, one of
     them stays (kept) and all name the same keep_id. Whole texts are read once; other columns are ignored.
 
-    Each input partition's rows form part of one of ``RUNS`` runs, which hold the digests they saw with the best row
-    for each. In every round ``FAN_IN`` neighbouring runs meet at the lowest one: equal digests merge, and the best
-    identifier and the count are carried on. The last run holds each digest once. Digests count as equal only if
-    SHA-256, an independent 64-bit hash and the length all agree, at every level. A digest that a third of all rows
-    share reaches a round as one row per run and task, because rows merge before each exchange. The last join brings the
+    Rows are dealt over FAN_IN ** r runs (at least as many as the session's shuffle partitions). In round k the runs whose numbers differ in digit k only exchange: each takes the share of the digests whose digit k is
+    its own, sorts it and merges equal digests to the best row and the count. A run lies in one partition; after r
+    rounds it holds its share of all digests, each once. Digests count as equal only if SHA-256, an independent 64-bit
+    hash and the length all agree, at every level. A digest that a third of all rows share is dealt over all runs of its
+    first round and reaches later ones as one row per run, so no task gets its copies together. The last join brings the
     verdict back; its two sides have exchanges of their own, so adaptive execution splits a hot digest.
     """
     judged = _judged(docs, id_column, text_column, F.monotonically_increasing_id())
@@ -43,6 +44,8 @@ def duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_column: st
 def _judged(docs: DataFrame, id_column: str, text_column: str, row: Column) -> DataFrame:
     """One row per row of ``docs`` (row, doc_id, digest), with the best row and the count n of its group if that holds more than one."""
     text = normalised(F.col(text_column))
+    rounds = _rounds(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    runs = FAN_IN**rounds
     rows = table(
         docs.select(
             row.alias("row"),
@@ -51,21 +54,31 @@ def _judged(docs: DataFrame, id_column: str, text_column: str, row: Column) -> D
             text.alias("bare"),
         )
         .select("row", "doc_id", "points", F.sha2("bare", 256).alias("digest"), F.xxhash64("bare").alias("check"), F.length("bare").alias("size"))
-        .withColumn("run", F.pmod(F.spark_partition_id(), F.lit(RUNS)))
+        .withColumn("run", F.pmod(F.xxhash64("row"), F.lit(runs)).cast("int"))
     )
     best = F.struct((-F.col("points")).alias("order"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     key = ["digest", "check", "size"]
-    merged = rows.groupBy("run", *key).agg(F.min(best).alias("best"), F.count("*").alias("n"))
-    for _ in range(_rounds(RUNS, FAN_IN)):
-        merged = merged.withColumn("run", F.floor(F.col("run") / FAN_IN).cast("int")).groupBy("run", *key).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
+    merged = rows.select("run", *key, best.alias("best"), F.lit(1).cast("long").alias("n"))
+    for k in range(rounds):
+        merged = _exchange(merged, k, runs).groupBy("run", *key).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
     verdict = merged.where("n > 1").select(*key, "best", "n")
     return rows.join(verdict, key, "left")
 
 
-def _rounds(runs: int, fan_in: int) -> int:
-    n = 0
-    while runs > 1:
-        runs, n = -(-runs // fan_in), n + 1
+def _exchange(runs: DataFrame, k: int, of: int) -> DataFrame:
+    """Sends each digest to the run of its own run's group that shares its digit k, one partition per run, sorted there."""
+    low = FAN_IN - 1
+    wanted = F.shiftright("check", DIGIT * k).bitwiseAND(F.lit(low)).cast("int")
+    held = F.shiftright("run", DIGIT * k).bitwiseAND(F.lit(low))
+    moved = runs.withColumn("run", F.col("run") + (wanted - held) * FAN_IN**k)
+    return moved.repartitionById(of, "run").sortWithinPartitions("run", "digest", "check", "size")
+
+
+def _rounds(partitions: int) -> int:
+    """Rounds after which there are at least as many runs as partitions."""
+    n = 1
+    while FAN_IN**n < partitions:
+        n += 1
     return n
 
 
