@@ -78,8 +78,11 @@ def null_if_no_id(column: Column) -> Column:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number ``_row`` of its own for each row, written once so that the numbers stay."""
-    return table(docs.withColumn("_row", F.monotonically_increasing_id()))
+    """(row, doc): the rows of ``docs`` as structs, each with a number of its own, written once so that the numbers stay.
+
+    Inside the struct the columns can't clash with an operator's own, whatever their names; ``select("doc.*")`` brings them back.
+    """
+    return table(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")))
 
 
 def splittable(key: str) -> Column:

@@ -85,8 +85,9 @@ def _rounds(partitions: int) -> int:
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: the one kept row of each group, whatever ids are null or repeated."""
     rows = numbered(docs)
-    gone = _judged(rows, id_column, text_column, F.col("_row")).where(F.col("best.row") != F.col("row")).select(F.col("row").alias("_row"))
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    texts = rows.select("row", F.col("doc")[id_column].alias("doc_id"), F.col("doc")[text_column].alias("text"))
+    gone = _judged(texts, "doc_id", "text", F.col("row")).where(F.col("best.row") != F.col("row")).select("row")
+    return rows.join(gone, "row", "left_anti").select("doc.*")
 
 
 ORACLE = r"""

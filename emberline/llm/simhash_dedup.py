@@ -108,9 +108,10 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     Rows are told apart by numbers of their own, so null and repeated ids are judged by their texts like any other.
     """
     rows = numbered(docs)
-    parts = near_duplicates(rows, "_row", text_column).select(F.col("doc_id").alias("_row"), "component_id")
-    placed = table(rows.select("_row", F.col(id_column).cast("long").alias("id")).join(parts, "_row"))
-    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "_row")
+    texts = rows.select("row", F.col("doc")[id_column].cast("long").alias("id"), F.col("doc")[text_column].alias("text"))
+    parts = near_duplicates(texts, "row", "text").select(F.col("doc_id").alias("row"), "component_id")
+    placed = table(texts.select("row", "id").join(parts, "row"))
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
     best = placed.groupBy("component_id", splittable("component_id")).agg(F.min(order).alias("best"), F.count("*").alias("n")).where("n > 1")
-    gone = placed.join(best.select("component_id", F.col("best._row").alias("stays")), "component_id").where("_row <> stays").select("_row")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    gone = placed.join(best.select("component_id", F.col("best.row").alias("stays")), "component_id").where("row <> stays").select("row")
+    return rows.join(gone, "row", "left_anti").select("doc.*")

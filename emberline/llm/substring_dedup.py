@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberline.llm.bytes_np import Words, chunks, mixed, runs_of
-from emberline.llm.common import id_key, null_if_no_id, numbered, splittable, table
+from emberline.llm.common import id_key, null_if_no_id, splittable, table
 
 #: Words of a window; words of a k-mer; a window's k-mers, of which the one with the least hash stands for it.
 WINDOW, K = 20, 6
@@ -183,7 +183,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     if plain.groupBy("doc_id").count().where("count > 1").isEmpty():
         plain, order = plain.withColumn("row", F.col("doc_id")), ["row", "start"]
     else:  # ids don't tell rows apart
-        plain, order = numbered(plain).withColumnRenamed("_row", "row"), ["doc_id", "tie", "start"]
+        plain, order = table(plain.withColumn("row", F.monotonically_increasing_id())), ["doc_id", "tie", "start"]
     spans = table(_spans(plain.select("row", "text"), _paths(plain.select("row", "text"))))
     if "tie" in order:
         spans = spans.join(plain.select("row", "doc_id", F.xxhash64("text").alias("tie")), "row")
