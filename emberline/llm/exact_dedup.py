@@ -24,9 +24,10 @@ def duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_column: st
     then the smallest id. Null texts count as empty, null ids come last in a tie; if rows repeat id and text, one of
     them stays (kept) and all name the same keep_id. Whole texts are read once; other columns are ignored.
 
-    Rows are dealt over FAN_IN ** r runs (at least as many as the session's shuffle partitions). In round k the runs whose numbers differ in digit k only exchange: each takes the share of the digests whose digit k is
-    its own, sorts it and merges equal digests to the best row and the count. A run lies in one partition; after r
-    rounds it holds its share of all digests, each once. Digests count as equal only if SHA-256, an independent 64-bit
+    Rows are dealt over FAN_IN ** r runs (at least as many as the session's shuffle partitions). In round k the runs
+    whose numbers differ in digit k only exchange: each takes the share of the digests whose digit k is its own, sorts
+    it and merges equal digests to the best row and the count. A run lies in one partition; after r rounds it holds its
+    share of all digests, each once. Digests count as equal only if SHA-256, an independent 64-bit
     hash and the length all agree, at every level. A digest that a third of all rows share is dealt over all runs of its
     first round and reaches later ones as one row per run, so no task gets its copies together. The last join brings the
     verdict back; its two sides have exchanges of their own, so adaptive execution splits a hot digest.
@@ -62,7 +63,7 @@ def _judged(docs: DataFrame, id_column: str, text_column: str, row: Column) -> D
     for k in range(rounds):
         merged = _exchange(merged, k, runs).groupBy("run", *key).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
     verdict = merged.where("n > 1").select(*key, "best", "n")
-    return rows.join(verdict, key, "left")
+    return rows.join(verdict.hint("merge"), key, "left")
 
 
 def _exchange(runs: DataFrame, k: int, of: int) -> DataFrame:
