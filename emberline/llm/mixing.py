@@ -11,7 +11,7 @@ from emberline.llm.common import WORD, numbered, running_totals, table
 
 #: Words in a block at most, and blocks that a source is cut into at least if it has the words; weights that sources take in turn;
 #: how often a source may be repeated at most.
-BLOCK, BLOCKS, WEIGHTS, MOST = 512, 1 << 17, (1, 2, 3), 3
+BLOCK, BLOCKS, WEIGHTS, MOST = 512, 1 << 16, (1, 2, 3), 3
 #: Slots of an output shard at least, and output shards at most; sources that a shard's first draw tells apart.
 SHARD, SHARDS, TOLD_APART = 1024, 4096, 1024
 SEED = 20_240_229
