@@ -20,7 +20,7 @@ from emberline.llm.common import id_key, null_if_no_id, running_totals, table
 WINDOW, UNIT, DEPTH, END = 2048, 32, 4, 1
 UNITS = WINDOW // UNIT
 #: Bytes that a task spends on words whose ids it remembers; the memory starts anew beyond it.
-REMEMBERED = 24 << 20
+REMEMBERED = 160 << 20
 #: Letters that stay single letters under normalisation and lower-casing: ASCII, Latin-1 and basic Cyrillic.
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿЀ-џ]+")
 #: Signs that a word may end with; an apostrophe can start a piece of its own.
@@ -53,10 +53,6 @@ class _Words:
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _keep(self, memory: dict, word, ids: bytes) -> None:
-        memory[word] = ids
-        self.held += 200 + len(word) + len(ids)  # with what Python spends on the entry
-
     def _spell(self, letters: list[str]) -> None:
         single = []
         for at in range(0, len(letters), 512):
@@ -68,10 +64,9 @@ class _Words:
                 continue
             raw, last = ids.tobytes(), 0
             for w, e in zip(some, (4 * ends).tolist()):
-                self._keep(self.letters, w, raw[last:e])
-                last = e
+                self.letters[w], last = raw[last:e], e
         for w, e in zip(single, self._encoded(single)):
-            self._keep(self.letters, w, e.tobytes())
+            self.letters[w] = e.tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
         split: list[tuple[bytes, str, str]] = []
@@ -87,11 +82,11 @@ class _Words:
         self._spell([x for x in new if _LETTERS.fullmatch(x)])
         signs = [x for x in new if x not in self.letters]
         for x, e in zip(signs, self._encoded(signs)):
-            self._keep(self.letters, x, e.tobytes())
+            self.letters[x] = e.tobytes()
         for raw, head, tail in split:
-            self._keep(self.words, raw, self.letters[head] + self.letters[tail])
+            self.words[raw] = self.letters[head] + self.letters[tail]
         for raw, e in zip(other, self._encoded([w.decode() for w in other])):
-            self._keep(self.words, raw, e.tobytes())
+            self.words[raw] = e.tobytes()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         if self.held > REMEMBERED:
@@ -99,7 +94,9 @@ class _Words:
             self.letters.clear()
             self.held = 0
         split = [(t or b"").split() for t in texts]
-        self._learn(list(set(itertools.chain.from_iterable(split)).difference(self.words)))
+        new = list(set(itertools.chain.from_iterable(split)).difference(self.words))
+        self._learn(new)
+        self.held += 400 * len(new) + 4 * sum(map(len, new))  # a word's entry, that of its letters, and what Python spends on both
         get = self.words.__getitem__
         end = np.array([END], "<u4").tobytes()
         return [b"".join(map(get, words)) + end for words in split]
