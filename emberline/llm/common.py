@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 #: White space of all contracts here: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Numbers that are sent to all tasks at most (8 MB).
+FEW = 1 << 20
 #: Stands for a null id where ids are compared; sorts before every other.
 NO_ID = -(2**63)
 
@@ -85,6 +87,16 @@ def numbered(docs: DataFrame) -> DataFrame:
     return table(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")))
 
 
+def without_rows(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The columns in ``doc`` of those ``rows`` (see :func:`numbered`) whose number isn't in ``gone``.
+
+    Up to FEW numbers are sent to all tasks, so that texts aren't shuffled; more are joined by sorting.
+    """
+    gone = table(gone.select("row"))
+    few = gone.count() <= FEW
+    return rows.join(F.broadcast(gone) if few else gone.hint("merge"), "row", "left_anti").select("doc.*")
+
+
 def splittable(key: str) -> Column:
     """A second grouping key that is always 0.
 

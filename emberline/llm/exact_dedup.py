@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.common import SPACE, numbered, table
+from emberline.llm.common import SPACE, numbered, table, without_rows
 
 #: Bits of a digit of a run's number, and how many runs meet in a round.
 DIGIT = 3
@@ -88,7 +88,7 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     rows = numbered(docs)
     texts = rows.select("row", F.col("doc")[id_column].alias("doc_id"), F.col("doc")[text_column].alias("text"))
     gone = _judged(texts, "doc_id", "text", F.col("row")).where(F.col("best.row") != F.col("row")).select("row")
-    return rows.join(gone, "row", "left_anti").select("doc.*")
+    return without_rows(rows, gone)
 
 
 ORACLE = r"""

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.common import NO_ID, id_key, null_if_no_id, numbered, splittable, table
+from emberline.llm.common import NO_ID, id_key, null_if_no_id, numbered, splittable, table, without_rows
 from emberline.llm.components import connected_components
 
 SHINGLE, SEED, BITS, MAX_BITS_APART = 4, 42, 64, 4
@@ -114,4 +114,4 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
     best = placed.groupBy("component_id", splittable("component_id")).agg(F.min(order).alias("best"), F.count("*").alias("n")).where("n > 1")
     gone = placed.join(best.select("component_id", F.col("best.row").alias("stays")), "component_id").where("row <> stays").select("row")
-    return rows.join(gone, "row", "left_anti").select("doc.*")
+    return without_rows(rows, gone)
