@@ -88,13 +88,10 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def without_rows(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """The columns in ``doc`` of those ``rows`` (see :func:`numbered`) whose number isn't in ``gone``.
-
-    Up to FEW numbers are sent to all tasks, so that texts aren't shuffled; more are joined by sorting.
-    """
+    """The ``rows`` whose number ``row`` isn't in ``gone``. Up to FEW numbers are sent to all tasks, so that rows aren't shuffled; more are joined by sorting."""
     gone = table(gone.select("row"))
     few = gone.count() <= FEW
-    return rows.join(F.broadcast(gone) if few else gone.hint("merge"), "row", "left_anti").select("doc.*")
+    return rows.join(F.broadcast(gone) if few else gone.hint("merge"), "row", "left_anti")
 
 
 def splittable(key: str) -> Column:

@@ -88,7 +88,7 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     rows = numbered(docs)
     texts = rows.select("row", F.col("doc")[id_column].alias("doc_id"), F.col("doc")[text_column].alias("text"))
     gone = _judged(texts, "doc_id", "text", F.col("row")).where(F.col("best.row") != F.col("row")).select("row")
-    return without_rows(rows, gone)
+    return without_rows(rows, gone).select("doc.*")
 
 
 ORACLE = r"""

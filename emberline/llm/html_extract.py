@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.common import id_key, null_if_no_id, splittable, table
+from emberline.llm.common import FEW, id_key, null_if_no_id, splittable, table, without_rows
 
 #: Distinct pages of a host that a class must occur on to be told from chance, and the share of them.
 LEAST_PAGES, LEAST_SHARE = 3, 0.5
@@ -215,9 +215,9 @@ def main_text(kept: list[str], fixed: list[bool]) -> str:
 def _parsed(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages``, parsed once.
 
-    row, page_id, url, host, key (names the host and html); kept (texts of the candidates) and kept_tokens; tokens, counts
-    and tags: the page's distinct tokens, the first ``tags`` of them elements, the rest texts in their elements
-    (``holders``), and how often each occurs.
+    row, page_id, url, host, key (names the host and html); tokens, counts and tags: the page's distinct tokens, the
+    first ``tags`` of them elements, the rest texts in their elements, and how often each occurs; holders: for each text
+    token the place of its element's; kept (texts of the candidates) and kept_at (the places of their tokens).
     """
 
     def run(batches):
@@ -231,25 +231,27 @@ def _parsed(pages: DataFrame) -> DataFrame:
                 for at, some in enumerate(([_signed(t) for t in tags], keys)):
                     for k in some:
                         counts[at][k] = counts[at].get(k, 0) + 1
-                holder = {k: _signed(b[3]) for k, b in zip(keys, found)}
+                place = {t: i for i, t in enumerate([*counts[0]])}
+                holder = {k: place.get(_signed(b[3]), -1) for k, b in zip(keys, found)}
+                at = {t: len(place) + i for i, t in enumerate(counts[1])}
                 main = candidates([(k, *b[1:]) for k, b in enumerate(found)])
                 one = (
-                    host, _signed(_hash(page, _hash(host))), [found[b[0]][0] for b in main], [keys[b[0]] for b in main],
-                    [*counts[0], *counts[1]], [*counts[0].values(), *counts[1].values()], len(counts[0]), [*counts[0], *(holder[k] for k in counts[1])],
+                    host, _signed(_hash(page, _hash(host))), [*counts[0], *counts[1]], [*counts[0].values(), *counts[1].values()], len(place),
+                    [holder[k] for k in counts[1]], [found[b[0]][0] for b in main], [at[keys[b[0]]] for b in main],
                 )
                 for c, v in zip(columns, one):
                     c.append(v)
             longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-            kinds = [pa.string(), pa.int64(), pa.list_(pa.string()), longs, longs, ints, pa.int32(), longs]
-            names = ["row", "page_id", "url", "host", "key", "kept", "kept_tokens", "tokens", "counts", "tags", "holders"]
+            kinds = [pa.string(), pa.int64(), longs, ints, pa.int32(), ints, pa.list_(pa.string()), ints]
+            names = ["row", "page_id", "url", "host", "key", "tokens", "counts", "tags", "holders", "kept", "kept_at"]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, k) for c, k in zip(columns, kinds))], names=names)
 
-    schema = "row long, page_id long, url string, host string, key long, kept array<string>, kept_tokens array<long>, tokens array<long>, counts array<int>, tags int, holders array<long>"
+    schema = "row long, page_id long, url string, host string, key long, tokens array<long>, counts array<int>, tags int, holders array<int>, kept array<string>, kept_at array<int>"
     return pages.mapInArrow(run, schema)
 
 
 def template_texts(parsed: DataFrame) -> DataFrame:
-    """(host, token): texts that belong to the template of their host's pages, from rows (key, host, tokens, counts, tags, holders).
+    """(host, token): texts that belong to the template of their host's pages, from :func:`_parsed`.
 
     A token's occurrence vector says how often it occurs on each of the host's distinct pages; sums of the halves of
     hashes, which don't depend on the pages' order, stand for it and merge before the exchange, as do the counts. Tokens
@@ -258,9 +260,12 @@ def template_texts(parsed: DataFrame) -> DataFrame:
     is fixed if the element around it is of the same valid class, so that it always holds this text; elements whose
     texts differ or that repeat are slots.
     """
-    distinct = parsed.dropDuplicates(["key", "host"])
-    each = distinct.select("key", "host", "tags", F.posexplode(F.arrays_zip("tokens", "counts", "holders")).alias("at", "t"))
-    each = each.select("host", F.col("t.tokens").alias("token"), F.col("t.holders").alias("holder"), (F.col("at") < F.col("tags")).alias("tag"), F.xxhash64("key", "t.counts").alias("hash"))
+    copied = parsed.groupBy("key", "host", splittable("key")).agg(F.min("row").alias("stays"), F.count("*").alias("n")).where("n > 1").select("key", "host", "stays")
+    distinct = without_rows(parsed, parsed.select("row", "key", "host").join(copied, ["key", "host"]).where("row <> stays"))
+    own = F.slice("tokens", F.lit(1), F.col("tags"))
+    holders = F.concat(own, F.transform("holders", lambda i: F.when(i >= 0, F.element_at("tokens", i + 1)).otherwise(0)))
+    each = distinct.select("key", "host", "tags", F.posexplode(F.arrays_zip("tokens", "counts", holders.alias("around"))).alias("at", "t"))
+    each = each.select("host", F.col("t.tokens").alias("token"), F.col("t.around").alias("holder"), (F.col("at") < F.col("tags")).alias("tag"), F.xxhash64("key", "t.counts").alias("hash"))
     vectors = table(
         each.groupBy("host", "token", "holder", "tag")
         .agg(F.sum(F.col("hash").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned("hash", 32)).alias("high"), F.count("*").alias("pages"))
@@ -287,8 +292,12 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
         F.monotonically_increasing_id().alias("row"), id_key(id_column).alias("page_id"), F.col(url_column).cast("string").alias("url"), F.col(html_column).cast("string").alias("html")
     )
     parsed = table(_parsed(plain))
-    on_page = parsed.select("row", "host", F.explode(F.array_distinct("kept_tokens")).alias("token"))
-    fixed = on_page.join(table(template_texts(parsed)), ["host", "token"]).groupBy("row", splittable("row")).agg(F.collect_list("token").alias("fixed")).drop("_one")
+    kept_tokens = F.transform("kept_at", lambda i: F.element_at("tokens", i + 1))
+    on_page = parsed.select("row", "host", F.explode(F.array_distinct(kept_tokens)).alias("token"))
+    held = table(on_page.join(table(template_texts(parsed)), ["host", "token"]).select("row", "token"))
+    few = held.count() <= FEW  # rows, sent to all tasks; more are joined by sorting
+    fixed = held.groupBy("row", splittable("row")).agg(F.collect_list("token").alias("fixed")).drop("_one")
+    fixed = F.broadcast(fixed) if few else fixed.hint("merge")
 
     def run(batches):
         for batch in batches:
@@ -298,6 +307,6 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
                 out.append(main_text(kept, [t in gone for t in tokens]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    joined = parsed.select("row", "page_id", "url", "kept", "kept_tokens").join(fixed, "row", "left")
+    joined = parsed.select("row", "page_id", "url", "kept", kept_tokens.alias("kept_tokens")).join(fixed, "row", "left")
     out = joined.select("page_id", "url", "kept", "kept_tokens", "fixed").mapInArrow(run, "page_id long, url string, text string, n_chars long")
     return out.withColumn("page_id", null_if_no_id(F.col("page_id")))

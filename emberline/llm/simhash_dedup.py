@@ -114,4 +114,4 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
     best = placed.groupBy("component_id", splittable("component_id")).agg(F.min(order).alias("best"), F.count("*").alias("n")).where("n > 1")
     gone = placed.join(best.select("component_id", F.col("best.row").alias("stays")), "component_id").where("row <> stays").select("row")
-    return without_rows(rows, gone)
+    return without_rows(rows, gone).select("doc.*")

@@ -200,7 +200,7 @@ def test_classes_by_brute_force(spark):
         mine = [p for (h, _), p in pages.items() if h == host]
         vector, holder, tags = {}, {}, set()
         for at, p in enumerate(mine):
-            for k, (token, count, around) in enumerate(zip(p.tokens, p.counts, p.holders)):
+            for k, (token, count, around) in enumerate(zip(p.tokens, p.counts, [*p.tokens[: p.tags], *(p.tokens[i] for i in p.holders)])):
                 vector.setdefault(token, [0] * len(mine))[at] = count
                 holder[token] = around
                 tags |= {token} if k < p.tags else set()
