@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberline.functions.geo import pad_bbox
@@ -23,6 +23,15 @@ def dedup_scenes(scenes: DataFrame, most_cloud: float) -> DataFrame:
     return ranked.where((F.col("_n") == 1) & (cloud <= most_cloud)).drop("_n", "_tile")
 
 
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """(index, id, properties map<string,string>, geometry JSON) of the features of a GeoJSON file; other files are read alike, each numbered from 0."""
+    texts = spark.read.option("wholetext", True).text(path)
+    one = F.from_json(F.get_json_object("value", "$.features"), "array<string>")
+    each = texts.select(F.posexplode(one).alias("index", "f"))
+    get = lambda p: F.get_json_object("f", p)
+    return each.select("index", get("$.id").alias("id"), F.coalesce(F.from_json(get("$.properties"), "map<string,string>"), F.expr("map()").cast("map<string,string>")).alias("properties"), get("$.geometry").alias("geometry"))
+
+
 def areas(features: DataFrame, pad_km: float = 0.0) -> DataFrame:
     """(id, name, w, s, e, n, properties, geometry) of a FeatureCollection's features: index, id, properties map<string,string>, geometry JSON."""
     box = geometry_bounds(F.col("geometry"))
@@ -71,6 +80,11 @@ def parsed_query(text: str) -> Column:
     return F.col("id").cast("string").isin(parts)
 
 
+def in_tiles(tiles: list[str] | None, column: str = "mgrs") -> Column:
+    """Rows of the named tiles; all rows without names. A leading ``MGRS-`` doesn't matter."""
+    return F.regexp_replace(F.col(column), "^MGRS-", "").isin([t.removeprefix("MGRS-") for t in tiles]) if tiles else F.lit(True)
+
+
 def in_window(start: str | None, end: str | None, box: tuple[float, float, float, float] | None = None) -> Column:
     """Rows with a date from ``start`` to ``end`` and a place in the box (w, s, e, n), ends included; None leaves a side open."""
     out = F.lit(True)

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,101 +14,50 @@ from emberline.work import cut
 DEGREE = 111320.0
 
 
-def grid_components(cells: DataFrame) -> DataFrame:
-    """(r, c, component): occupied cells (r, c) that touch, corners included, get the same number.
+def _in_reach(points: DataFrame, anchors: DataFrame, metres: float) -> DataFrame:
+    """(a, ka, b, how): points (a, key ka) and anchors in reach, by an equi-join on the 3 x 3 cells around a point.
 
-    Labels spread to neighbouring cells and jump to their label's label, so long chains take few rounds; the work is on
-    distinct cells, whatever the number of detections in them.
+    Both carry det_id, key, lon, lat, r, c. how = struct(d, dr, dc, key) orders a point's anchors: the nearest first, in
+    a tie the one whose cell comes first, then the brighter.
     """
-    key = F.xxhash64("r", "c")
-    base = cut(cells.select("r", "c").distinct().withColumn("id", key))
-    around = F.explode(F.array(*(F.struct((F.col("r") + dr).alias("r"), (F.col("c") + dc).alias("c")) for dr in (-1, 0, 1) for dc in (-1, 0, 1))))
-    edges = cut(
-        base.select(F.col("id").alias("a"), around.alias("n")).select("a", "n.r", "n.c").join(base.withColumnRenamed("id", "b"), ["r", "c"]).select("a", "b")
-    )
-    labels = base.select("id", F.col("id").alias("label"))
-    while True:
-        spread = edges.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("label").alias("label")).withColumnRenamed("a", "id")
-        jumped = spread.join(labels.select(F.col("id").alias("label"), F.col("label").alias("further")), "label").select("id", F.least("label", "further").alias("label"))
-        after = cut(jumped)
-        settled = after.join(labels.withColumnRenamed("label", "before"), "id").where("label <> before").isEmpty()
-        labels = after
-        if settled:
-            return base.join(labels, "id").select("r", "c", F.col("label").alias("component"))
-
-
-def _greedy(metres: float):
-    """The greedy pass over one component: brightest first, each detection joins the nearest earlier anchor in reach or becomes one."""
-    cell = metres / DEGREE
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["max_b12", "date", "scene", "lon", "lat", "det_id"], ascending=[False, True, True, True, True, True], kind="stable")
-        lon, lat = pdf["lon"].to_numpy(), pdf["lat"].to_numpy()
-        rows, cols = np.floor(lat / cell).astype(np.int64), np.floor(lon / cell).astype(np.int64)
-        anchors: dict[tuple[int, int], list[int]] = {}
-        anchor_of = np.zeros(len(pdf), np.int64)
-        for i, (r, c) in enumerate(zip(rows.tolist(), cols.tolist())):
-            best, least = -1, math.inf
-            for near in ((r + dr, c + dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)):
-                for j in anchors.get(near, ()):
-                    dy = math.radians(lat[j] - lat[i])
-                    dx = math.radians(lon[j] - lon[i]) * math.cos(math.radians((lat[i] + lat[j]) * 0.5))
-                    d = geo.EARTH_RADIUS * math.sqrt(dx * dx + dy * dy)
-                    if d <= metres and d < least:
-                        best, least = j, d
-            if best < 0:
-                anchors.setdefault((r, c), []).append(i)
-                best = i
-            anchor_of[i] = best
-        ids = pdf["det_id"].to_numpy()
-        return pd.DataFrame({"det_id": ids, "site": ids[anchor_of], "rank": np.arange(len(pdf))})
-
-    return run
+    steps = F.explode(F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr in (-1, 0, 1) for dc in (-1, 0, 1)))).alias("s")
+    near = points.select(F.col("det_id").alias("a"), F.col("key").alias("ka"), F.col("lon").alias("xa"), F.col("lat").alias("ya"), "r", "c", steps)
+    near = near.select("a", "ka", "xa", "ya", (F.col("r") + F.col("s.dr")).alias("r"), (F.col("c") + F.col("s.dc")).alias("c"), "s")
+    far = anchors.select(F.col("det_id").alias("b"), F.col("key").alias("kb"), F.col("lon").alias("xb"), F.col("lat").alias("yb"), "r", "c")
+    met = near.join(far, ["r", "c"]).withColumn("d", geo.distance_m("ya", "xa", "yb", "xb")).where(F.col("d") <= metres)
+    return met.select("a", "ka", "b", F.struct("d", "s.dr", "s.dc", F.col("kb").alias("key")).alias("how"))
 
 
 def assign_sites(detections: DataFrame, metres: float = 135.0) -> DataFrame:
-    """``detections`` (with a unique det_id) with site (the det_id of its anchor) and rank (within its component).
-
-    Anchors act within 3 x 3 cells only, so components of touching occupied cells are independent: each is one group of a
-    grouped pandas function and gives exactly the sequence's result. Ties in brightness fall to date, scene, place, id.
-    """
-    cell = metres / DEGREE
-    placed = detections.withColumns({"r": F.floor(F.col("lat") / cell), "c": F.floor(F.col("lon") / cell)})
-    parts = grid_components(placed)
-    keyed = placed.join(parts, ["r", "c"]).select("component", "det_id", "max_b12", "date", "scene", "lon", "lat")
-    sites = keyed.groupBy("component").applyInPandas(_greedy(metres), "det_id long, site long, rank long")
-    return detections.join(sites, "det_id")
+    """``detections`` (with a unique det_id) with site: the det_id of the anchor that each belongs to.
 
+    Brightest first, a detection joins the nearest earlier anchor within ``metres`` and the 3 x 3 cells around it, or
+    becomes one. Ties in brightness fall to date, scene, place, id. Detections without a place are left out.
 
-def assign_sites_relational(detections: DataFrame, metres: float = 135.0) -> DataFrame:
-    """The same assignment without groups: anchors are the first maximal independent set of the graph of detections in reach.
-
-    For a component too large for one task. Pairs in reach come from an equi-join on neighbouring cells. Round by round, a
-    detection with an earlier anchor in reach is a member, and one whose earlier neighbours are all members is an anchor.
+    Whether a place holds an anchor depends on the brightest detection there, so the search runs on distinct places,
+    however many dates saw them: anchors are the first maximal independent set of the places in reach of each other.
+    Round by round, a place with an earlier anchor in reach is a member, and one whose earlier neighbours are all members
+    is an anchor. Anchors keep apart, so few are in reach of a place; each detection takes the first of these that is
+    earlier than itself. No group is gathered but a place's anchors.
     """
     cell = metres / DEGREE
-    ranked = cut(
-        detections.select("det_id", "lon", "lat", F.struct((-F.col("max_b12")).alias("b"), "date", "scene", "lon", "lat", "det_id").alias("key"))
-        .withColumns({"r": F.floor(F.col("lat") / cell), "c": F.floor(F.col("lon") / cell)})
-    )
-    steps = F.explode(F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr in (-1, 0, 1) for dc in (-1, 0, 1)))).alias("s")
-    near = ranked.select(F.col("det_id").alias("a"), F.col("key").alias("ka"), F.col("lon").alias("xa"), F.col("lat").alias("ya"), "r", "c", steps)
-    near = near.select("a", "ka", "xa", "ya", (F.col("r") + F.col("s.dr")).alias("r"), (F.col("c") + F.col("s.dc")).alias("c"), "s")
-    far = ranked.select(F.col("det_id").alias("b"), F.col("key").alias("kb"), F.col("lon").alias("xb"), F.col("lat").alias("yb"), "r", "c")
-    pairs = cut(
-        near.join(far, ["r", "c"]).where(F.col("kb") < F.col("ka"))
-        .withColumn("d", geo.distance_m("ya", "xa", "yb", "xb")).where(F.col("d") <= metres)
-        .select("a", "b", F.struct("d", "s", "kb").alias("how"))
-    )
-    state = cut(ranked.select("det_id", F.lit(0).alias("state")))  # 1 anchor, 2 member
+    key = F.struct((-F.col("max_b12")).alias("b"), "date", "scene", "lon", "lat", "det_id")
+    keyed = detections.where("lon is not null and lat is not null")
+    places = keyed.groupBy("lon", "lat").agg(F.min(key).alias("key")).withColumns({"det_id": F.col("key.det_id"), "r": F.floor(F.col("lat") / cell), "c": F.floor(F.col("lon") / cell)})
+    places = cut(places)
+    earlier = cut(_in_reach(places, places, metres).where(F.col("how.key") < F.col("ka")).select("a", "b"))
+    state = cut(places.select("det_id", F.lit(0).alias("state")))  # 1 anchor, 2 member
     while not state.where("state = 0").isEmpty():
-        seen = pairs.join(state.select(F.col("det_id").alias("b"), F.col("state").alias("sb")), "b").groupBy("a").agg(F.max((F.col("sb") == 1).cast("int")).alias("anchored"), F.min((F.col("sb") == 2).cast("int")).alias("free"))
+        seen = earlier.join(state.select(F.col("det_id").alias("b"), F.col("state").alias("sb")), "b")
+        seen = seen.groupBy("a").agg(F.max((F.col("sb") == 1).cast("int")).alias("anchored"), F.min((F.col("sb") == 2).cast("int")).alias("free"))
         judged = state.join(seen.withColumnRenamed("a", "det_id"), "det_id", "left")
         state = cut(judged.select("det_id", F.when(F.col("state") > 0, F.col("state")).when(F.col("anchored") == 1, 2).when(F.coalesce("free", F.lit(1)) == 1, 1).otherwise(0).alias("state")))
-    anchors = state.where("state = 1").select(F.col("det_id").alias("b"))
-    nearest = pairs.join(anchors, "b").groupBy("a").agg(F.min_by("b", "how").alias("site"))
-    chosen = state.join(nearest.withColumnRenamed("a", "det_id"), "det_id", "left").select("det_id", F.when(F.col("state") == 1, F.col("det_id")).otherwise(F.col("site")).alias("site"))
-    return detections.join(chosen, "det_id")
+    anchors = places.join(state.where("state = 1").select("det_id"), "det_id", "left_semi")
+    reach = _in_reach(places, anchors, metres).groupBy("a").agg(F.array_sort(F.collect_list(F.struct("how", "b"))).alias("anchors"))
+    listed = places.select("lon", "lat", F.col("det_id").alias("a")).join(reach, "a").select("lon", "lat", "anchors")
+    own = keyed.withColumn("_key", key).join(listed, ["lon", "lat"])
+    first = F.get(F.filter("anchors", lambda x: x["how"]["key"] <= F.col("_key")), F.lit(0))
+    return own.withColumn("site", first["b"]).select(*detections.columns, "site")
 
 
 def best_per_date(detections: DataFrame, site: str = "site") -> DataFrame:

@@ -24,17 +24,19 @@ def grid_sites(boxes: DataFrame) -> DataFrame:
 def cover_sites(sites: DataFrame, scenes: DataFrame) -> DataFrame:
     """(site columns, date, scene, hist, valid, cloud_frac): classes around each site in each scene that holds it.
 
-    scenes: date, scene, epsg, width, height, min_x, min_y, max_x, max_y, w, s, e, n (degrees), scl. Sites meet scenes by the
-    whole degrees that a scene's box touches, an equi-join, before places are compared.
+    scenes: date, scene, epsg, width, height, min_x, min_y, max_x, max_y, w, s, e, n (degrees), scl. Sites meet the
+    scenes' footprints by the whole degrees that a scene's box touches, an equi-join, before places are compared; rasters
+    aren't part of that join. The places that lie in a scene then meet its raster once, by date and scene.
     """
     touched = lambda a, b: F.explode(F.sequence(F.floor(F.col(a)), F.floor(F.col(b))))
-    spread = scenes.withColumn("_x", touched("w", "e")).withColumn("_y", touched("s", "n"))
+    spread = scenes.drop("scl").withColumn("_x", touched("w", "e")).withColumn("_y", touched("s", "n"))
     at = geo.wgs84_to_utm("lon", "lat", geo.utm_zone("epsg"), geo.utm_is_north("epsg"))
     keyed = sites.withColumns({"_x": F.floor("lon"), "_y": F.floor("lat")})
     met = keyed.join(spread, ["_x", "_y"]).withColumn("_at", at)
     col = F.floor((F.col("_at.easting") - F.col("min_x")) / ((F.col("max_x") - F.col("min_x")) / F.col("width"))).cast("int")
     row = F.floor((F.col("max_y") - F.col("_at.northing")) / ((F.col("max_y") - F.col("min_y")) / F.col("height"))).cast("int")
     inside = met.withColumns({"_c": col, "_r": row}).where("_c >= 0 and _r >= 0 and _c < width and _r < height")
+    inside = inside.select(*sites.columns, "date", "scene", "width", "height", "_c", "_r").join(scenes.select("date", "scene", "scl"), ["date", "scene"])
     near = pixels.padded_window(F.col("scl"), F.col("width"), F.col("height"), F.col("_c") - HALF, F.col("_r") - HALF, 2 * HALF + 1)
     valid = lambda h: F.aggregate(F.slice(h, 2, pixels.CLASSES - 1), F.lit(0), lambda a, x: a + x)
     # cells outside of the image read as class 0, which has no data

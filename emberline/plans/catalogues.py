@@ -22,12 +22,12 @@ SCENE_DEDUP = f"""WITH {SCENES} SELECT tile, date, id FROM (SELECT *, row_number
 
 
 def scene_backgrounds(spark, sf_dir):
-    """The first twenty clear scenes around each of some targets."""
+    """The first twenty clear scenes around each scene."""
     s = proxies.scenes(spark, sf_dir)
-    return catalogue.chosen_backgrounds(catalogue.background_candidates(s.where("id % 97 = 1").select("id", "tile", "t"), s)).select("target", "id", "gap")
+    return catalogue.chosen_backgrounds(catalogue.background_candidates(s.select("id", "tile", "t"), s)).select("target", "id", "gap")
 
 
-SCENE_BACKGROUNDS = f"""WITH {SCENES}, n AS (SELECT a.id AS target, b.id, b.clear, abs(a.t - b.t) AS gap FROM s AS a JOIN s AS b USING (tile) WHERE a.id % 97 = 1 AND coalesce(b.cloud, 100) <= 95 AND abs(a.t - b.t) BETWEEN 300 AND 10368000),
+SCENE_BACKGROUNDS = f"""WITH {SCENES}, n AS (SELECT a.id AS target, b.id, b.clear, abs(a.t - b.t) AS gap FROM s AS a JOIN s AS b USING (tile) WHERE coalesce(b.cloud, 100) <= 95 AND abs(a.t - b.t) BETWEEN 300 AND 10368000),
 p AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY gap, id) AS place FROM n),
 q AS (SELECT *, sum(CASE WHEN clear >= 95 THEN 1 ELSE 0 END) OVER (PARTITION BY target ORDER BY place) AS k FROM p),
 l AS (SELECT *, max(CASE WHEN clear >= 95 THEN 1 ELSE 0 END) OVER (PARTITION BY target) AS any_strict FROM q WHERE k < 20 OR (k = 20 AND clear >= 95)),
@@ -37,11 +37,11 @@ SELECT target, id, gap FROM o WHERE r <= 20"""
 
 def most_similar(spark, sf_dir):
     s = proxies.scenes(spark, sf_dir)
-    near = catalogue.background_candidates(s.where("id % 97 = 1").select("id", "tile", "t"), s)
+    near = catalogue.background_candidates(s.select("id", "tile", "t"), s)
     return catalogue.most_similar(near.withColumn("distance", F.when(F.col("id") % 5 == 0, float("inf")).otherwise((F.col("id") * 13 % 17).cast("double"))))
 
 
-MOST_SIMILAR = f"""WITH {SCENES}, n AS (SELECT a.id AS target, b.id, abs(a.t - b.t) AS gap FROM s AS a JOIN s AS b USING (tile) WHERE a.id % 97 = 1 AND coalesce(b.cloud, 100) <= 95 AND abs(a.t - b.t) BETWEEN 300 AND 10368000)
+MOST_SIMILAR = f"""WITH {SCENES}, n AS (SELECT a.id AS target, b.id, abs(a.t - b.t) AS gap FROM s AS a JOIN s AS b USING (tile) WHERE coalesce(b.cloud, 100) <= 95 AND abs(a.t - b.t) BETWEEN 300 AND 10368000)
 SELECT target, id FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY id * 13 % 17, gap, id) AS r FROM n WHERE id % 5 <> 0) WHERE r = 1"""
 
 
@@ -77,23 +77,23 @@ QUERIED_FACILITIES = f"WITH {FACILITIES} SELECT id, name, project FROM f WHERE n
 def open_work(spark, sf_dir):
     """Pairs of areas and scenes whose boxes overlap, without what is complete."""
     f = catalogue.envelopes(proxies.facilities(spark, sf_dir)).select(F.col("project").alias("id"), "w", "s", "e", "n")
-    s = proxies.scenes(spark, sf_dir).where("id % 20 = 0").select("id", F.col("tile").cast("double").alias("w"), (F.col("tile") - 10).cast("double").alias("s"))
+    s = proxies.scenes(spark, sf_dir).select("id", F.col("tile").cast("double").alias("w"), (F.col("tile") - 10).cast("double").alias("s"))
     s = s.withColumns({"e": F.col("w") + 1.5, "n": F.col("s") + 1.5})
     done = s.select(F.lit("flares").alias("detector"), F.lit("m").alias("method"), F.col("w").cast("long").alias("area"), F.col("id").alias("scene"))
     return catalogue.work_list(f, s, done, "flares", "m")
 
 
 OPEN_WORK = f"""WITH {FACILITIES}, {SCENES}, v AS (SELECT project AS id, min(lon) - 2e-2 AS w, min(lat) - 2e-2 AS s, max(lon) + 2e-2 AS e, max(lat) + 2e-2 AS n FROM f GROUP BY project)
-SELECT v.id AS area, s.id AS scene FROM v JOIN s ON v.w <= s.tile + 15e-1 AND s.tile <= v.e AND v.s <= s.tile - 10 + 15e-1 AND s.tile - 10 <= v.n WHERE s.id % 20 = 0 AND s.tile <> v.id"""
+SELECT v.id AS area, s.id AS scene FROM v JOIN s ON v.w <= s.tile + 15e-1 AND s.tile <= v.e AND v.s <= s.tile - 10 + 15e-1 AND s.tile - 10 <= v.n WHERE s.tile <> v.id"""
 
 
 def scenes_of_tiles(spark, sf_dir):
-    f = catalogue.envelopes(proxies.facilities(spark, sf_dir).where("project % 5 = 0")).select("w", "s", "e", "n")
+    f = catalogue.envelopes(proxies.facilities(spark, sf_dir)).select("w", "s", "e", "n")
     s = proxies.scenes(spark, sf_dir).select("id", F.col("tile").cast("double").alias("w"), (F.col("tile") - 10).cast("double").alias("s"))
     return catalogue.scenes_of_tiles(f, s.withColumns({"e": F.col("w") + 1.5, "n": F.col("s") + 1.5})).select("id")
 
 
-SCENES_OF_TILES = f"""WITH {FACILITIES}, {SCENES}, v AS (SELECT min(lon) - 2e-2 AS w, min(lat) - 2e-2 AS s, max(lon) + 2e-2 AS e, max(lat) + 2e-2 AS n FROM f WHERE project % 5 = 0 GROUP BY project)
+SCENES_OF_TILES = f"""WITH {FACILITIES}, {SCENES}, v AS (SELECT min(lon) - 2e-2 AS w, min(lat) - 2e-2 AS s, max(lon) + 2e-2 AS e, max(lat) + 2e-2 AS n FROM f GROUP BY project)
 SELECT id FROM s WHERE EXISTS (SELECT 1 FROM v WHERE v.w <= s.tile + 15e-1 AND s.tile <= v.e AND v.s <= s.tile - 10 + 15e-1 AND s.tile - 10 <= v.n)"""
 
 
@@ -194,5 +194,57 @@ TILES_AS_JSON = f"""WITH {DETECTIONS} SELECT '[' || string_agg('{{"mgrs":"' || m
 
 
 def colours(spark, sf_dir):
-    """Colours of event values: checked in the tests."""
+    """Colours of event values."""
     return proxies.read(spark, sf_dir, "events").select("event_id", F.array_join(pixels.viridis(F.col("value") / 100).cast("array<string>"), ",").alias("rgb"))
+
+
+COLOURS = """WITH t AS (SELECT event_id, greatest(0e0, least(1e0, value / 100)) * 4 AS x, [[68, 1, 84], [59, 82, 139], [33, 145, 140], [94, 201, 98], [253, 231, 37]] AS c FROM events),
+k AS (SELECT *, CAST(least(floor(x), 3) AS INTEGER) AS k FROM t)
+SELECT event_id, array_to_string(list_transform([1, 2, 3], lambda i: CAST(round(c[k + 1][i] + (c[k + 2][i] - c[k + 1][i]) * (x - k)) AS INTEGER)), ',') AS rgb FROM k"""
+
+
+def scene_features(spark, sf_dir):
+    """Features of each scene's detections as JSON, without the scene's own keys."""
+    d = proxies.detections(spark, sf_dir).select("det_id", "date", "mgrs", "scene", "lon", "lat", "pixels")
+    made = records.features_by_scene(d).select("scene", F.explode("features").alias("f"))
+    return made.select("scene", F.get_json_object("f", "$.properties.det_id").cast("long").alias("det_id"), F.get_json_object("f", "$.properties.pixels").cast("int").alias("pixels"), F.col("f").contains("date").alias("dated"))
+
+
+SCENE_FEATURES = f"WITH {DETECTIONS} SELECT scene, det_id, pixels, FALSE AS dated FROM d"
+
+
+def area_boxes(spark, sf_dir):
+    """Areas from GeoJSON features: id and name from several keys, boxes of nested coordinates, footprints of the boxes."""
+    f = proxies.facilities(spark, sf_dir)
+    ring = F.array(*(F.array(F.col("lon") + a, F.col("lat") + b) for a, b in ((-1, -1), (1, -1), (1, 1), (-1, -1))))
+    shape = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(ring)).alias("coordinates")))
+    kept = F.map_from_arrays(F.array(F.lit("ProjectID"), F.lit("TerminalName")), F.array(F.when(F.col("id") % 3 == 0, "").otherwise(F.concat(F.lit("P"), F.col("project").cast("string"))), "name"))
+    features = f.select(F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("id"), F.col("id").alias("index"), kept.alias("properties"), shape.alias("geometry"))
+    made = catalogue.areas(features)
+    return made.select("id", "name", *(F.round(c, 6).alias(c) for c in ("w", "s", "e", "n")), F.get_json_object(geo.footprint("w", "s", "e", "n"), "$.type").alias("shape"))
+
+
+AREA_BOXES = f"""WITH {FACILITIES} SELECT CASE WHEN id % 2 = 0 THEN CAST(id AS VARCHAR) WHEN id % 3 <> 0 THEN 'P' || project ELSE CAST(id AS VARCHAR) END AS id, name,
+round(lon - 1, 6) AS w, round(lat - 1, 6) AS s, round(lon + 1, 6) AS e, round(lat + 1, 6) AS n, 'Polygon' AS shape FROM f"""
+
+
+def scene_links(spark, sf_dir):
+    """Links to the assets that a catalogue's profile names."""
+    s = proxies.scenes(spark, sf_dir)
+    assets = F.map_from_arrays(F.array(*map(F.lit, ("swir22", "nir08", "thumbnail"))), F.array(*(F.concat(F.lit(f"s3://b/{n}/"), F.col("id").cast("string")) for n in ("x", "y", "z"))))
+    links = text.band_links(assets, "aws", "L2A")
+    return s.select("id", F.array_join(F.array_sort(F.map_keys(links)), ",").alias("bands"), text.https_link(links["B12"], "https://h.example").alias("b12"), text.virtual_path(links["B8A"]).alias("b8a"))
+
+
+SCENE_LINKS = f"WITH {SCENES} SELECT id, 'B12,B8A' AS bands, 'https://h.example/b/x/' || id AS b12, '/vsis3/b/y/' || id AS b8a FROM s"
+
+
+def open_errors(spark, sf_dir):
+    """Errors that are still open: new ones replace old ones, successes clear them."""
+    s = proxies.scenes(spark, sf_dir).select(F.col("tile").cast("string").alias("area"), F.col("id").alias("scene"), F.lit("flares").alias("detector"))
+    said = lambda rule, what: s.where(rule).withColumn("message", F.lit(what))
+    return records.errors_after(said("scene % 3 = 0", "old"), said("scene % 4 = 0", "new"), s.where("scene % 5 = 0"))
+
+
+OPEN_ERRORS = f"""WITH {SCENES} SELECT CAST(tile AS VARCHAR) AS area, id AS scene, 'flares' AS detector, CASE WHEN id % 4 = 0 THEN 'new' ELSE 'old' END AS message FROM s
+WHERE (id % 3 = 0 OR id % 4 = 0) AND id % 5 <> 0"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from emberline.functions import geo, pixels
@@ -169,6 +171,16 @@ def scene_statuses(spark, sf_dir):
 SCENE_STATUSES = f"""WITH {PIXELS} SELECT vec_id AS id, CASE WHEN vec_id * 7 % 100 < 50 THEN 'cloudy' WHEN count_if(prob <= 45e-2) * 2 > 64 THEN 'out_of_swath' WHEN vec_id % 3 = 0 THEN 'no_background' ELSE 'ok' END AS status FROM pr GROUP BY vec_id"""
 
 
+def _utm(frame: str) -> str:
+    """SQL of u: the rows of ``frame`` (lon, lat) with easting and northing in zone 39 north."""
+    return f"""k AS (SELECT 1 / 298257223563e-9 AS f), c0 AS (SELECT f * (2 - f) AS e2 FROM k), q AS (SELECT e2, e2 / (1 - e2) AS ep FROM c0),
+a AS (SELECT p.*, q.*, radians(lat) AS phi, radians(lon - 51) AS dl FROM {frame} AS p, q), b AS (SELECT *, tan(phi) ** 2 AS t, ep * cos(phi) ** 2 AS cc, cos(phi) * dl AS aa, 6378137e0 / sqrt(1 - e2 * sin(phi) ** 2) AS n0 FROM a),
+g AS (SELECT *, 6378137e0 * ((1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256) * phi - (3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024) * sin(2 * phi) + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024) * sin(4 * phi) - 35 * e2 ** 3 / 3072 * sin(6 * phi)) AS m,
+      cos(radians(lat + 25e-2)) AS cb FROM b),
+u AS (SELECT *, 9996e-4 * n0 * (aa + (1 - t + cc) * aa ** 3 / 6 + (5 - 18 * t + t * t + 72 * cc - 58 * ep) * aa ** 5 / 120) + 500000 AS easting,
+ 9996e-4 * (m + n0 * tan(phi) * (aa ** 2 / 2 + (5 - t + 9 * cc + 4 * cc * cc) * aa ** 4 / 24 + (61 - 58 * t + t * t + 600 * cc - 330 * ep) * aa ** 6 / 720)) AS northing FROM g)"""
+
+
 def projected_places(spark, sf_dir):
     """Places to UTM and back, distances, areas and padded boxes."""
     d = proxies.detections(spark, sf_dir)
@@ -182,40 +194,100 @@ def projected_places(spark, sf_dir):
     )
 
 
-PROJECTED_PLACES = f"""WITH {DETECTIONS}, k AS (SELECT 1 / 298257223563e-9 AS f), c AS (SELECT f * (2 - f) AS e2 FROM k), q AS (SELECT e2, e2 / (1 - e2) AS ep FROM c),
-a AS (SELECT d.*, q.*, radians(lat) AS phi, radians(lon - 51) AS dl FROM d, q), b AS (SELECT *, tan(phi) ** 2 AS t, ep * cos(phi) ** 2 AS cc, cos(phi) * dl AS aa, 6378137e0 / sqrt(1 - e2 * sin(phi) ** 2) AS n FROM a),
-g AS (SELECT *, 6378137e0 * ((1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256) * phi - (3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024) * sin(2 * phi) + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024) * sin(4 * phi) - 35 * e2 ** 3 / 3072 * sin(6 * phi)) AS m,
-      cos(radians(lat + 25e-2)) AS cb FROM b)
-SELECT det_id, round(9996e-4 * n * (aa + (1 - t + cc) * aa ** 3 / 6 + (5 - 18 * t + t * t + 72 * cc - 58 * ep) * aa ** 5 / 120) + 500000, 3) AS easting,
- round(9996e-4 * (m + n * tan(phi) * (aa ** 2 / 2 + (5 - t + 9 * cc + 4 * cc * cc) * aa ** 4 / 24 + (61 - 58 * t + t * t + 600 * cc - 330 * ep) * aa ** 6 / 720)), 3) AS northing,
+PROJECTED_PLACES = f"""WITH {DETECTIONS}, {_utm("d")}
+SELECT det_id, round(easting, 3) AS easting, round(northing, 3) AS northing,
  round(lon, 7) AS lon, round(lat, 7) AS lat, round(6371000e0 * sqrt(pow(radians(252e-1 - lat), 2) + pow(radians(5105e-2 - lon) * cos(radians((lat + 252e-1) / 2)), 2)), 4) AS metres,
- round((5e-1 + 2 * 15e-1 / 111) * 111 * (5e-1 + 2 * 15e-1 / (111 * cb)) * 111 * cb, 5) AS km2, CAST(round(lon * 1000) AS BIGINT) AS i, CAST(round(lat * 1000) AS BIGINT) AS j FROM g"""
+ round((5e-1 + 2 * 15e-1 / 111) * 111 * (5e-1 + 2 * 15e-1 / (111 * cb)) * 111 * cb, 5) AS km2, CAST(round(lon * 1000) AS BIGINT) AS i, CAST(round(lat * 1000) AS BIGINT) AS j FROM u"""
 
 
 def grid_cells(spark, sf_dir):
-    """The cells that tile each tile's box of detections with few of them."""
-    d = proxies.detections(spark, sf_dir).where("uid < 3")
+    """The cells that tile each user's box of detections."""
+    d = proxies.detections(spark, sf_dir)
     boxes = d.groupBy("uid").agg(F.min("lon").alias("w"), F.min("lat").alias("s"), F.max("lon").alias("e"), F.max("lat").alias("n"))
     return coverage.grid_sites(boxes).select("uid", "i", "j", "cell")
 
 
-GRID_CELLS = f"""WITH {DETECTIONS}, b AS (SELECT uid, CAST(round(min(lon) * 1000) AS BIGINT) AS w, CAST(round(min(lat) * 1000) AS BIGINT) AS s, CAST(round(max(lon) * 1000) AS BIGINT) AS e, CAST(round(max(lat) * 1000) AS BIGINT) AS n FROM d WHERE uid < 3 GROUP BY uid),
+GRID_CELLS = f"""WITH {DETECTIONS}, b AS (SELECT uid, CAST(round(min(lon) * 1000) AS BIGINT) AS w, CAST(round(min(lat) * 1000) AS BIGINT) AS s, CAST(round(max(lon) * 1000) AS BIGINT) AS e, CAST(round(max(lat) * 1000) AS BIGINT) AS n FROM d GROUP BY uid),
 x AS (SELECT *, unnest(range(w, e + 1)) AS i FROM b), y AS (SELECT *, unnest(range(s, n + 1)) AS j FROM x) SELECT uid, i, j, printf('%.3f,%.3f', i / 1000e0, j / 1000e0) AS cell FROM y"""
 
 
 def image_blocks(spark, sf_dir):
-    """Blocks of a 10 980-pixel image that each user's box touches: checked in the tests."""
+    """Blocks of a 10 980-pixel image that each user's box touches."""
     d = proxies.detections(spark, sf_dir)
     boxes = d.groupBy("uid").agg(F.min("lon").alias("w"), F.min("lat").alias("s"), F.max("lon").alias("e"), F.max("lat").alias("n"))
     image = {"width": 10980, "height": 10980, "min_x": 450000.0, "min_y": 2690000.0, "max_x": 559800.0, "max_y": 2799800.0, "epsg": 32639}
     return detect.overlapping_blocks(boxes.withColumns({k: F.lit(v) for k, v in image.items()})).select("uid", "br", "bc", "x0", "y0", "x1", "y1")
 
 
+IMAGE_BLOCKS = f"""WITH {DETECTIONS}, bx AS (SELECT uid, min(lon) AS w, min(lat) AS s, max(lon) AS e, max(lat) AS n FROM d GROUP BY uid),
+co AS (SELECT uid, 0 AS hi, w AS lon, s AS lat FROM bx UNION ALL SELECT uid, 1, e, n FROM bx), {_utm("co")},
+x AS (SELECT uid, max(easting) FILTER (hi = 0) AS e0, max(northing) FILTER (hi = 0) AS n0, max(easting) FILTER (hi = 1) AS e1, max(northing) FILTER (hi = 1) AS n1 FROM u GROUP BY uid),
+y AS (SELECT uid, greatest(0, floor((greatest(e0, 450000) - 450000) / 10)) AS x0, greatest(0, floor((2799800 - least(n1, 2799800)) / 10)) AS y0,
+      least(10980, ceil((least(e1, 559800) - 450000) / 10)) AS x1, least(10980, ceil((2799800 - greatest(n0, 2690000)) / 10)) AS y1 FROM x),
+z AS (SELECT uid, unnest(range(CAST(floor(y0 / 256e0) AS BIGINT), CAST(ceil(y1 / 256e0) AS BIGINT))) AS br, x0, x1 FROM y WHERE x1 > x0 AND y1 > y0),
+v AS (SELECT uid, br, unnest(range(CAST(floor(x0 / 256e0) AS BIGINT), CAST(ceil(x1 / 256e0) AS BIGINT))) AS bc FROM z)
+SELECT uid, br, bc, greatest(0, bc * 256 - 10) AS x0, greatest(0, br * 256 - 10) AS y0, least(10980, (bc + 1) * 256 + 10) AS x1, least(10980, (br + 1) * 256 + 10) AS y1 FROM v"""
+
+
 def covered_sites(spark, sf_dir):
-    """Scene classes around the detections' cells in an image of each date: checked in the tests."""
-    cells = proxies.detections(spark, sf_dir).select(F.round(F.col("lon"), 3).alias("lon"), F.round(F.col("lat"), 3).alias("lat")).distinct().where("lon < 51.03")
+    """Scene classes around the detections' cells in each vector's image."""
+    cells = proxies.detections(spark, sf_dir).select(F.round(F.col("lon"), 3).alias("lon"), F.round(F.col("lat"), 3).alias("lat")).distinct()
     box = geo.corner_bbox(F.col("min_x"), F.col("min_y"), F.col("max_x"), F.col("max_y"), F.col("epsg"))
     image = {"width": 8, "height": 8, "min_x": 500000.0, "max_x": 508000.0, "min_y": 2764000.0, "max_y": 2772000.0}
-    scenes = proxies.blocks(spark, sf_dir).where("vec_id % 10 = 0").drop("width", "height").withColumns({k: F.lit(v) for k, v in image.items()}).withColumn("box", box)
+    scenes = proxies.blocks(spark, sf_dir).drop("width", "height").withColumns({k: F.lit(v) for k, v in image.items()}).withColumn("box", box)
     scenes = scenes.select("date", "scene", "epsg", *image, "box.w", "box.s", "box.e", "box.n", "scl")
     return coverage.cover_sites(cells, scenes).select("lon", "lat", "scene", F.array_join(F.col("hist").cast("array<string>"), ",").alias("hist"), "valid", *_r(9, "cloud_frac"))
+
+
+COVERED_SITES = f"""WITH {DETECTIONS}, {PIXELS}, cl AS (SELECT DISTINCT round(lon, 3) AS lon, round(lat, 3) AS lat FROM d), {_utm("cl")},
+pt AS (SELECT lon, lat, CAST(floor((easting - 500000) / 1000) AS INTEGER) AS x, CAST(floor((2772000 - northing) / 1000) AS INTEGER) AS y FROM u),
+xy AS (SELECT DISTINCT x, y FROM pt WHERE x BETWEEN 0 AND 7 AND y BETWEEN 0 AND 7),
+hs AS (SELECT vec_id, x, y, list_transform(range(0, 12), lambda k: CAST(len(list_filter(list(scl), lambda v: v = k)) AS INTEGER)) AS h, CAST(25 - count(*) AS INTEGER) AS beyond FROM pr JOIN xy ON abs(idx % 8 - x) <= 2 AND abs(idx // 8 - y) <= 2 GROUP BY vec_id, x, y),
+vd AS (SELECT *, CAST(list_sum(h[2:]) AS INTEGER) AS valid FROM hs)
+SELECT lon, lat, 'V' || vec_id AS scene, array_to_string(list_prepend(h[1] + beyond, h[2:]), ',') AS hist, valid, round((h[4] + h[9] + h[10] + h[11]) / CAST(valid AS DOUBLE), 9) AS cloud_frac
+FROM vd JOIN pt USING (x, y) WHERE valid > 0"""
+
+
+def chip_fractions(spark, sf_dir):
+    """Share of obscured pixels around cells of a chip, of the pixels with data."""
+    b = proxies.blocks(spark, sf_dir)
+    cells = F.array(*(F.struct(F.lit(n).alias("cell"), F.lit(x).alias("col"), F.lit(y).alias("row")) for n, x, y in (("a", 0, 0), ("b", 7, 7), ("c", 3, 1))))
+    chips = b.select("scene", "width", "height", F.transform("b12", lambda v: F.when(v == 1000, 0).otherwise(v)).alias("blue"), F.transform("scl", lambda v: v % 3).alias("class"), cells.alias("cells"))
+    return coverage.chip_cell_fractions(chips).select("scene", "cell", *_r(9, "fraction"))
+
+
+CHIP_FRACTIONS = f"""WITH {PIXELS}, c AS (SELECT * FROM (VALUES ('a', 0, 0), ('b', 7, 7), ('c', 3, 1)) AS v(cell, col, row))
+SELECT 'V' || vec_id AS scene, cell, round(count_if(scl % 3 <> 0) / CAST(count(*) AS DOUBLE), 9) AS fraction FROM pr JOIN c ON abs(idx % 8 - col) <= 5 AND abs(idx // 8 - row) <= 5
+WHERE dn12 <> 1000 GROUP BY vec_id, cell"""
+
+
+def wind_samples(spark, sf_dir):
+    """Bilinear samples of an 8 x 8 grid, also beyond its edge."""
+    r = proxies.rasters(spark, sf_dir)
+    at = lambda m: F.col("id") % m / F.lit(4e0) - 1
+    return r.select("id", F.round(geo.bilinear(F.col("prob"), 8, 8, at(37), at(29)), 9).alias("value"))
+
+
+WIND_SAMPLES = f"""WITH {PIXELS}, z AS (SELECT vec_id, map_from_entries(list((idx, prob))) AS m FROM pr GROUP BY vec_id),
+a AS (SELECT vec_id, m, vec_id % 37 / 4e0 - 1 AS x, vec_id % 29 / 4e0 - 1 AS y FROM z), b AS (SELECT *, CAST(floor(x) AS INTEGER) AS i, CAST(floor(y) AS INTEGER) AS j FROM a),
+c AS (SELECT *, x - i AS u, y - j AS v, greatest(0, least(7, i)) AS i0, greatest(0, least(7, i + 1)) AS i1, greatest(0, least(7, j)) AS j0, greatest(0, least(7, j + 1)) AS j1 FROM b)
+SELECT vec_id AS id, round((m[j0 * 8 + i0] * (1 - u) + m[j0 * 8 + i1] * u) * (1 - v) + (m[j1 * 8 + i0] * (1 - u) + m[j1 * 8 + i1] * u) * v, 9) AS value FROM c"""
+
+
+def plume_pipeline(spark, sf_dir):
+    """The whole plume pipeline on small images of each vector, with a transmittance table of its own: checked in the tests."""
+    amf, columns = [2.0, 2.2, 2.5, 3.0, 4.0], [1300.0, 1800.0, 2500.0, 4000.0, 8000.0]
+    along = lambda k: [[math.exp(-k * a * c / 1e4) for c in columns] for a in amf]
+    own = {"transmittance_b12": along(0.5), "transmittance_b11": along(0.1), "transmittance_b12_bg": [math.exp(-0.09 * a) for a in amf], "transmittance_b11_bg": [math.exp(-0.018 * a) for a in amf]}
+    table = {"amf_arr": amf, "mr_ch4_arr": [columns] * 5, "background_concentration": 1800.0, "S2B": own}
+    cells = F.sequence(F.lit(0), F.lit(24 * 24 - 1))
+    wide = F.transform(cells, lambda i: F.get("prob", (F.floor(F.floor(i / 24) / 3) * 8 + F.floor(i % 24 / 3)).cast("int")))
+    band = lambda k: F.transform(wide, lambda p, i: 1000 + p * 300 + (i * (37 + k)) % 50)
+    image = F.flatten(F.array(*(band(k) for k in range(6))))
+    scenes = proxies.rasters(spark, sf_dir).select(
+        "id", F.lit(24).alias("width"), F.lit(24).alias("height"), image.alias("target"), F.when(F.col("id") % 7 > 0, F.transform(image, lambda v, i: v + i % 3)).alias("background"),
+        F.transform(cells, lambda i: F.lit(True)).alias("valid"), F.array(F.lit(3.0), F.col("id") % 5 + F.lit(0.5)).alias("wind"), F.lit("S2B").alias("satellite"), F.lit(35.0).alias("sun_zenith"), F.lit(5.0).alias("view_zenith"),
+        (F.col("id") * 13 % 100).cast("double").alias("clear_percent"), F.transform(wide, lambda p: F.when(p > 0.55, 0.9).otherwise(p / 2)).alias("prob"),
+    )
+    got = plume.detect_plumes(scenes, table).select("id", "status", F.round("score", 6).alias("score"), F.explode_outer("plumes").alias("p"))
+    return got.select("id", "status", "score", "p.component", "p.pixels", *(F.round(f"p.{c}", 4).alias(c) for c in ("row", "col", "max_probability", "rate", "sigma")))

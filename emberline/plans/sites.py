@@ -98,32 +98,56 @@ SELECT site, first_date, round(max_b12, 9) AS max_b12, round(max_ratio, 9) AS ma
        coalesce(min_glint >= 6e-1 AND max_ratio < 13e-1, FALSE) AS glint_suspect FROM t WHERE exact_total >= 1e-1"""
 
 
+#: The greedy pass in SQL: places in the order of their brightest detection; each becomes an anchor if none is in reach.
+_METRES = "6371000e0 * sqrt(pow(radians({0}.lat - {1}.lat), 2) + pow(radians({0}.lon - {1}.lon) * cos(radians(({1}.lat + {0}.lat) / 2)), 2))"
+_ORDER = "max_b12 DESC, date, scene, lon, lat, det_id"
+_ASSIGNED = f"""
+k AS (SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS rk FROM d),
+pl AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY rk) AS n FROM (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY uid, lon, lat ORDER BY rk) = 1)),
+gr(uid, n, anchors) AS (SELECT uid, 1::BIGINT, [{{'id': det_id, 'lon': lon, 'lat': lat, 'rk': rk}}] FROM pl WHERE n = 1
+  UNION ALL SELECT gr.uid, gr.n + 1, CASE WHEN len(list_filter(anchors, lambda a: {_METRES.format("a", "pl")} <= 135)) > 0 THEN anchors
+    ELSE list_append(anchors, {{'id': det_id, 'lon': lon, 'lat': lat, 'rk': rk}}) END FROM gr JOIN pl ON pl.uid = gr.uid AND pl.n = gr.n + 1),
+an AS (SELECT uid, unnest(arg_max(anchors, n)) AS a FROM gr GROUP BY uid),
+si AS (SELECT k.*, (a).id AS site FROM k JOIN an USING (uid) WHERE (a).rk <= k.rk AND {_METRES.format("a", "k")} <= 135
+  QUALIFY row_number() OVER (PARTITION BY det_id ORDER BY round({_METRES.format("a", "k")}, 6), floor((a).lat / (135e0 / 111320e0)), floor((a).lon / (135e0 / 111320e0)), (a).rk) = 1)"""
+
+
 def clusters(spark, sf_dir):
-    """Greedy anchors of 135 m: not a SQL query; tests compare it with the sequential pass and the relational form."""
+    """Greedy anchors of 135 m, the best detection of each date, scores. Tests compare the anchors with the sequential pass, too."""
     sites = cluster.cluster(proxies.detections(spark, sf_dir), ClusterOptions(min_dates=20, min_avg_b12=0.0, observations=30))
-    return sites.select("site", "id", "mgrs", "date_count", *_r("lon", "lat", "avg_b12", "total_score"))
+    return sites.select("site", "mgrs", "date_count", *_r("lon", "lat", "avg_b12", "total_score"))
+
+
+CLUSTERS = f"""WITH RECURSIVE {DETECTIONS}, {_ASSIGNED}, b AS (SELECT * FROM si QUALIFY row_number() OVER (PARTITION BY site, date ORDER BY max_b12 DESC, scene, lon, lat, det_id) = 1), {_AGG},
+t AS (SELECT site, mgrs, lon, lat FROM b QUALIFY row_number() OVER (PARTITION BY site ORDER BY max_b12 DESC, date, scene, lon, lat) = 1),
+w AS (SELECT *, {_scores("date_count", "30")} FROM a)
+SELECT site, mgrs, date_count, round(lon, 9) AS lon, round(lat, 9) AS lat, round(avg_b12, 9) AS avg_b12, total_score FROM w JOIN t USING (site)"""
 
 
 def clusters_relational(spark, sf_dir):
-    placed = cluster.assign_sites_relational(proxies.detections(spark, sf_dir))
+    """Members of each anchor."""
+    placed = cluster.assign_sites(proxies.detections(spark, sf_dir))
     return placed.groupBy("site").agg(F.count("*").alias("members"), F.min("date").alias("first_date"))
 
 
+CLUSTERS_RELATIONAL = f"WITH RECURSIVE {DETECTIONS}, {_ASSIGNED} SELECT site, count(*) AS members, min(date) AS first_date FROM si GROUP BY site"
+
+
 def neighbours_in_reach(spark, sf_dir):
-    """Range join: detections within 135 m of the brightest one of their user's site, by cells."""
+    """Range join: detections within 135 m of the brightest one of each user's site, by cells."""
     d = proxies.detections(spark, sf_dir)
     cell = 135.0 / cluster.DEGREE
-    anchors = d.where("det_id % 50 = 0").select(F.col("det_id").alias("a"), F.col("lon").alias("x"), F.col("lat").alias("y"))
+    top = F.struct((-F.col("max_b12")).alias("b"), "date", "scene", "lon", "lat", "det_id")
+    anchors = d.groupBy("uid").agg(F.min(top).alias("t")).select(F.col("t.det_id").alias("a"), F.col("t.lon").alias("x"), F.col("t.lat").alias("y"))
     step = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
     spread = anchors.withColumn("_s", step).select("a", "x", "y", (F.floor(F.col("x") / cell) + F.col("_s.i")).alias("i"), (F.floor(F.col("y") / cell) + F.col("_s.j")).alias("j"))
     met = d.withColumns({"i": F.floor(F.col("lon") / cell), "j": F.floor(F.col("lat") / cell)}).join(spread, ["i", "j"])
     return met.where(geo.distance_m("lat", "lon", "y", "x") <= 135.0).groupBy("a").agg(F.count("*").alias("n"), F.sum("det_id").alias("ids"))
 
 
-NEIGHBOURS_IN_REACH = f"""WITH {DETECTIONS}, k AS (SELECT *, floor(lon / (135e0 / 111320e0)) AS ci, floor(lat / (135e0 / 111320e0)) AS cj FROM d)
-SELECT a.det_id AS a, count(*) AS n, CAST(sum(k.det_id) AS BIGINT) AS ids FROM k AS a JOIN k ON abs(k.ci - a.ci) <= 1 AND abs(k.cj - a.cj) <= 1
- AND 6371000e0 * sqrt(pow(radians(a.lat - k.lat), 2) + pow(radians(a.lon - k.lon) * cos(radians((a.lat + k.lat) / 2)), 2)) <= 135
-WHERE a.det_id % 50 = 0 GROUP BY a.det_id"""
+NEIGHBOURS_IN_REACH = f"""WITH {DETECTIONS}, k AS (SELECT *, CAST(floor(lon / (135e0 / 111320e0)) AS BIGINT) AS ci, CAST(floor(lat / (135e0 / 111320e0)) AS BIGINT) AS cj FROM d),
+t AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY uid ORDER BY {_ORDER}) = 1), s AS (SELECT t.*, ci + x.i AS ni, cj + y.j AS nj FROM t, (VALUES (-1), (0), (1)) AS x(i), (VALUES (-1), (0), (1)) AS y(j))
+SELECT a.det_id AS a, count(*) AS n, CAST(sum(k.det_id) AS BIGINT) AS ids FROM s AS a JOIN k ON k.ci = a.ni AND k.cj = a.nj WHERE {_METRES.format("a", "k")} <= 135 GROUP BY a.det_id"""
 
 
 def needed_mask(spark, sf_dir):
@@ -207,6 +231,12 @@ def site_names(spark, sf_dir):
     return d.select("uid", text.site_id(F.col("t")).alias("id"))
 
 
+_DIGITS = "list_transform(range(0, 7), lambda i: substr('0123456789abcdefghijklmnopqrstuvwxyz', 1 + CAST(h // CAST(pow(36, 6 - i) AS BIGINT) % 36 AS INTEGER), 1))"
+SITE_NAMES = f"""WITH {DETECTIONS}, n AS (SELECT DISTINCT uid, 'u' || uid || ',' || mgrs AS t FROM d),
+h AS (SELECT uid, list_reduce(list_transform(range(1, len(t) + 1), lambda i: CAST(ascii(substr(t, CAST(i AS INTEGER), 1)) AS BIGINT)), lambda a, c: (a * 31 + c) % 4294967296, CAST(0 AS BIGINT)) AS h FROM n)
+SELECT uid, CASE WHEN h = 0 THEN '0' ELSE ltrim(array_to_string({_DIGITS}, ''), '0') END AS id FROM h"""
+
+
 def united_dates(spark, sf_dir):
     """Union by name with a typed empty frame, and set union of dates."""
     d = proxies.detections(spark, sf_dir).select("uid", "date", "mgrs")
@@ -220,3 +250,24 @@ def united_dates(spark, sf_dir):
 
 UNITED_DATES = f"""WITH {DETECTIONS} SELECT uid, rows, n FROM (SELECT uid, count(*) AS rows FROM d GROUP BY uid) JOIN
 (SELECT uid, count(DISTINCT date) AS n FROM (SELECT uid, date FROM d UNION ALL SELECT uid, strftime(CAST(date AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d') FROM d WHERE mgrs = 'T1') GROUP BY uid) USING (uid)"""
+
+
+def tile_filter(spark, sf_dir):
+    """Detections of the named tiles."""
+    return proxies.detections(spark, sf_dir).where(catalogue.in_tiles(["MGRS-T1", "T2"])).select("det_id", "mgrs")
+
+
+TILE_FILTER = f"WITH {DETECTIONS} SELECT det_id, mgrs FROM d WHERE mgrs IN ('T1', 'T2')"
+
+
+def coverage_rescore(spark, sf_dir):
+    """Sites rescored by clear looks whether or not the mask has any for them."""
+    sites = coverage.rescore(_sites(spark, sf_dir), proxies.clouds(spark, sf_dir).where("i % 2 = 0"), always=True)
+    return sites.select("site", "n_observed", *_r("persistence", "persistence_score", "total_score"))
+
+
+COVERAGE_RESCORE = f"""WITH {DETECTIONS}, {CLOUDS}, {_BEST}, {_AGG}, {_AROUND.replace(f"(SELECT *, {_SITE} FROM d)", "b")},
+m AS (SELECT DISTINCT site, own, date FROM ar JOIN (SELECT * FROM c WHERE i % 2 = 0) USING (i, j) WHERE cloud_frac <= 1e-1), h AS (SELECT site, bool_or(own) AS has FROM m GROUP BY site),
+u AS (SELECT site, count(DISTINCT date) AS n FROM (SELECT site, date FROM m JOIN h USING (site) WHERE own OR NOT has UNION ALL SELECT site, date FROM b) GROUP BY site),
+z AS (SELECT a.*, greatest(u.n, date_count) AS seen FROM a JOIN u USING (site)), w AS (SELECT *, {_scores("date_count", "seen")} FROM z)
+SELECT site, CAST(seen AS BIGINT) AS n_observed, round(date_count / CAST(seen AS DOUBLE), 9) AS persistence, persistence_score, total_score FROM w"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,10 +114,46 @@ def site_features(sites: DataFrame) -> DataFrame:
     return sites.select("mgrs", F.to_json(F.struct(F.lit("Feature").alias("type"), point.alias("geometry"), F.struct(*names).alias("properties"))).alias("feature"))
 
 
+def feature(lon: str, lat: str, properties: list[str]) -> Column:
+    """A GeoJSON point as JSON text; properties that are null are left out."""
+    point = F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
+    return F.to_json(F.struct(F.lit("Feature").alias("type"), point.alias("geometry"), F.struct(*properties).alias("properties")))
+
+
+#: What a record states once for its scene, so that its features needn't.
+SCENE_KEYS = ("date", "mgrs", "scene", "sun_elevation", "sun_azimuth", "satellite", "footprint", "method")
+
+
+def features_by_scene(rows: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """(scene, features): the features of each scene's detections, cells of the cloud mask or plumes, without the keys that belong to the scene.
+
+    A scene's features become one record, so they are gathered by scene.
+    """
+    own = [c for c in rows.columns if c not in (*SCENE_KEYS, lon, lat)]
+    made = rows.select("scene", feature(lon, lat, own).alias("f"))
+    return made.groupBy("scene").agg(F.array_sort(F.collect_list("f")).alias("features"))
+
+
+def write_features(features: DataFrame, target: str) -> None:
+    """One FeatureCollection below ``target``: a single task writes all features as they come, a line each; none is an empty collection."""
+
+    def lines(batches):
+        lead = '{"type":"FeatureCollection","features":['
+        for batch in batches:
+            texts = batch.column(0).drop_null().to_pylist()
+            if texts:
+                yield pa.RecordBatch.from_arrays([pa.array([lead + texts[0], *("," + t for t in texts[1:])])], names=["value"])
+                lead = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["]}" if lead == "," else lead + "]}"])], names=["value"])
+
+    one = features.sparkSession.range(1).select(F.lit(None).cast("string").alias("feature"))  # so that there is a task without features, too
+    features.select("feature").unionByName(one).repartition(1).sortWithinPartitions("feature").mapInArrow(lines, "value string").write.mode("overwrite").text(target)
+
+
 def write_sites(sites: DataFrame, target: str) -> None:
-    """Sites as GeoJSON lines (``*.geojson``: a feature per line), one Parquet table (``*.parquet``) or a folder per tile."""
+    """Sites as one GeoJSON FeatureCollection (``*.geojson``), one Parquet table (``*.parquet``) or a folder per tile."""
     if target.endswith((".geojson", ".json")):
-        site_features(sites).select(F.col("feature").alias("value")).write.mode("overwrite").text(target)
+        write_features(site_features(sites), target)
     elif target.endswith(".parquet"):
         sites.write.mode("overwrite").option("compression", "zstd").parquet(target)
     else:
@@ -152,9 +191,11 @@ def envelope(detector: str, analysis: DataFrame) -> DataFrame:
 def commit_records(records: DataFrame, root: str) -> None:
     """Writes each (path, json) as a file of its own below ``root``, under another name first, then renamed.
 
-    An empty list of features is a result like any other. Files are written by the executors through Hadoop's interface
-    (pyarrow's where that is missing: a shared file system), so rerun tasks overwrite what a lost one left.
+    An empty list of features is a result like any other. Files are written by the executors through pyarrow's file
+    systems (``file``, ``hdfs``, ``s3``, ``gs``; ``s3a`` and ``s3n`` are names of ``s3``), so rerun tasks overwrite what
+    a lost one left.
     """
+    root = re.sub("^s3[an]://", "s3://", root)
 
     def write(rows):
         from pyarrow import fs

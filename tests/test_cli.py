@@ -7,6 +7,8 @@ import shutil
 import subprocess
 import sys
 
+import pytest
+
 from emberline import cli
 
 
@@ -25,7 +27,41 @@ def test_records_to_sites(spark, tmp_path):
     r = spark.read.parquet(f"{root}/sites.parquet").first()
     assert r.date_count == 3 and r.n_observed == 4 and r.persistence == 0.75 and r.mgrs == "39RWN"
     cli.main(["cluster", "--detections", f"{root}/views/detections", "--out", f"{root}/sites.geojson"])
-    assert json.loads(spark.read.text(f"{root}/sites.geojson").first()[0])["properties"]["date_count"] == 3
+    made = json.loads("".join(p.read_text() for p in (tmp_path / "sites.geojson").glob("part-*")))
+    assert made["type"] == "FeatureCollection" and [f["properties"]["date_count"] for f in made["features"]] == [3]
+    cli.main(["cluster", "--detections", f"{root}/views/detections", "--tiles", "40RAA", "--out", f"{root}/none.geojson"])
+    assert json.loads("".join(p.read_text() for p in (tmp_path / "none.geojson").glob("part-*")))["features"] == []
+
+
+def test_refused_options():
+    for args in (["--mode", "plumes", "--region", "--scenes", "s", "--table", "t"], ["--mode", "plumes", "--level", "L2A", "--scenes", "s", "--table", "t"], ["--mode", "plumes", "--scenes", "s"], [], ["--blocks", "b", "--start", "2024-02-01", "--end", "2024-01-01"]):
+        with pytest.raises(SystemExit):
+            cli.main(["detect", *args, "--out", "o"])
+
+
+def test_detect_in_areas(spark, tmp_path):
+    from emberline.plans import proxies
+
+    blocks = proxies.blocks(spark, "/root/testdata/sf0.001")
+    blocks.write.parquet(f"file://{tmp_path}/blocks")
+    box = lambda x: {"type": "Polygon", "coordinates": [[[x, 25.2], [x + 0.1, 25.2], [x + 0.1, 25.4], [x, 25.4], [x, 25.2]]]}
+    for name, x in (("in", 50.95), ("out", 10.0)):
+        (tmp_path / f"{name}.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"name": name}, "geometry": box(x)}]}))
+    run = lambda out, *more: (cli.main(["detect", "--blocks", f"file://{tmp_path}/blocks", "--out", f"file://{tmp_path}/{out}", *more]), spark.read.parquet(f"file://{tmp_path}/{out}").count())[1]
+    n = run("all")
+    assert n > 0 and run("inside", "--areas", f"file://{tmp_path}/in.geojson") == n and run("outside", "--areas", f"file://{tmp_path}/out.geojson") == 0
+    assert run("tile", "--tiles", "MGRS-39RWN") == n and run("other", "--tiles", "40RAA") == 0 and 0 < run("days", "--start", "2024-01-10") < n
+
+
+def test_models(spark, tmp_path, capsys):
+    import hashlib
+
+    (tmp_path / "w.bin").write_bytes(b"weights")
+    right = hashlib.sha256(b"weights").hexdigest()
+    cli.main(["models", "--files", f"file://{tmp_path}/w.bin", "--sha256", right])
+    assert right in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        cli.main(["models", "--files", f"file://{tmp_path}/w.bin", "--sha256", "0" * 64])
 
 
 def test_entry_without_llm(tmp_path):

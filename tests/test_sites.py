@@ -18,34 +18,35 @@ def detections(spark, rows):
     )
 
 
-def twelve(b12, b11, sun):
-    return [(51.0, 25.0, f"2024-{m:02d}-{d:02d}", b12, b11, sun, None) for m in range(5, 9) for d in (5, 15, 25)]
+def seen(b12, b11, sun):
+    """Ten looks at one place, two in each month from April to August."""
+    return [(51.3, 24.7, f"2023-{m:02d}-{d:02d}", b12, b11, sun, None) for m in range(4, 9) for d in (3, 19)]
 
 
 def test_glint_and_flare(spark):
-    r = cluster.cluster(detections(spark, twelve(1.41, 1.40, 65.0))).first()
-    assert r.median_b12_b11_ratio == pytest.approx(1.41 / 1.40) and r.min_sun_elevation == 65 and r.likely_glint and r.seasonal and r.date_count == 12
-    r = cluster.cluster(detections(spark, twelve(0.9, 0.4, 65.0))).first()
-    assert r.median_b12_b11_ratio > 1.5 and not r.likely_glint
-    r = cluster.cluster(detections(spark, [(*x[:4], None, None, None) for x in twelve(0.9, 0, 0)[:4]])).first()
+    r = cluster.cluster(detections(spark, seen(1.26, 1.2, 58.0))).first()
+    assert r.median_b12_b11_ratio == pytest.approx(1.05) and r.min_sun_elevation == 58 and r.likely_glint and r.seasonal and r.date_count == 10
+    r = cluster.cluster(detections(spark, seen(1.1, 0.55, 58.0))).first()
+    assert r.median_b12_b11_ratio == pytest.approx(2) and not r.likely_glint
+    r = cluster.cluster(detections(spark, [(*x[:4], None, None, None) for x in seen(1.1, 0, 0)[:5]])).first()
     assert (r.median_b12_b11_ratio, r.min_sun_elevation, r.likely_glint) == (None, None, None)
-    assert [cluster.cluster(detections(spark, twelve(1.0, b11, 50.0))).first().likely_glint for b11 in (0.78, 0.83)] == [False, True]
+    assert [cluster.cluster(detections(spark, seen(1.2, b11, 50.0))).first().likely_glint for b11 in (0.95, 0.97)] == [False, True]
 
 
 def test_observations_and_threshold(spark):
-    sites = cluster.cluster(detections(spark, twelve(0.9, 0.4, 65.0)), ClusterOptions(observations=12))
+    sites = cluster.cluster(detections(spark, seen(1.1, 0.5, 58.0)), ClusterOptions(observations=10))
     r = sites.first()
     assert r.ratio_score == 1 and r.persistence_score == 1 and 0 < r.total_score <= 0.9
-    assert [cluster.set_observations(sites, F.lit(n)).first().persistence for n in (24, 1)] == [0.5, 1.0]
-    glint = detections(spark, twelve(1.0, 1.0, 20.0))
-    assert cluster.cluster(glint, ClusterOptions(score_threshold=0.5)).count() == 0 and cluster.cluster(glint).count() == 1
+    assert [cluster.set_observations(sites, F.lit(n)).first().persistence for n in (40, 3)] == [0.25, 1.0]
+    glint = detections(spark, seen(0.95, 0.95, 15.0))
+    assert cluster.cluster(glint, ClusterOptions(score_threshold=0.45)).count() == 0 and cluster.cluster(glint).count() == 1
     empty = glint.where("false")
     assert cluster.cluster(empty).count() == 0
 
 
 def test_infinite_ratio_falls_back(spark):
-    r = cluster.cluster(detections(spark, [(*x[:6], float("inf")) for x in twelve(0.9, 0.5, 65.0)])).first()
-    assert r.max_ratio == pytest.approx(1.8)
+    r = cluster.cluster(detections(spark, [(*x[:6], float("inf")) for x in seen(1.2, 0.75, 58.0)])).first()
+    assert r.max_ratio == pytest.approx(1.6)
 
 
 def sequential(rows, metres=135.0):
@@ -68,16 +69,16 @@ def sequential(rows, metres=135.0):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_both_assignments_equal_the_sequential_pass(spark, seed):
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sites_equal_the_sequential_pass(spark, seed):
+    """Spread places, places far north, and few places that many dates see."""
     rng = random.Random(seed)
-    lat = 25.0 if seed == 1 else 62.0
-    rows = [(51 + rng.random() * 0.01, lat + rng.random() * 0.01, f"2024-01-{rng.randint(1, 28):02d}", round(0.5 + rng.random(), 1), 0.5, 40.0) for _ in range(250)]
+    lat = 62.0 if seed == 2 else 25.0
+    step = lambda: rng.randrange(9) * 4e-4 if seed == 3 else rng.random() * 0.01
+    rows = [(51 + step(), lat + step(), f"2024-01-{rng.randint(1, 28):02d}", round(0.5 + rng.random(), 1), 0.5, 40.0) for _ in range(250)]
     df = detections(spark, [(*r, None) for r in rows]).repartition(3)
-    want = sequential(rows)
-    assert {r.det_id: r.site for r in cluster.assign_sites(df).collect()} == want
-    if seed == 1:
-        assert {r.det_id: r.site for r in cluster.assign_sites_relational(df).collect()} == want
+    assert {r.det_id: r.site for r in cluster.assign_sites(df).collect()} == sequential(rows)
+    assert cluster.assign_sites(df.withColumn("lon", F.lit(None).cast("double"))).count() == 0
 
 
 def test_cover(spark):
@@ -94,11 +95,11 @@ def test_cover(spark):
 
 
 def test_clear_dates_and_rescore(spark):
-    sites = cluster.cluster(detections(spark, twelve(0.9, 0.4, 65.0)), ClusterOptions(observations=12))
+    sites = cluster.cluster(detections(spark, seen(1.1, 0.5, 58.0)), ClusterOptions(observations=10))
     cloud = lambda rows: spark.createDataFrame(rows, "i long, j long, date string, cloud_frac double")
-    own = cloud([(51000, 25000, "2024-05-01", 0.05), (51000, 25000, "2024-05-02", 0.5), (51001, 25000, "2024-05-03", 0.0)])
-    assert coverage.rescore(sites, own).first().n_observed == 13
-    near = cloud([(51000, 25000, "2024-05-02", 0.5), (51001, 25000, "2024-05-03", 0.0), (51001, 25001, "2024-05-04", 0.0)])
-    assert coverage.rescore(sites, near).first().n_observed == 14
-    none = cloud([(0, 0, "2024-05-02", 0.0)])
-    assert coverage.rescore(sites, none).first().persistence == 1.0 and coverage.rescore(sites, none, always=True).first().n_observed == 12
+    own = cloud([(51300, 24700, "2024-01-01", 0.05), (51300, 24700, "2024-01-02", 0.5), (51301, 24700, "2024-01-03", 0.0)])
+    assert coverage.rescore(sites, own).first().n_observed == 11
+    near = cloud([(51300, 24700, "2024-01-02", 0.5), (51301, 24700, "2024-01-03", 0.0), (51301, 24701, "2024-01-04", 0.0)])
+    assert coverage.rescore(sites, near).first().n_observed == 12
+    none = cloud([(0, 0, "2024-01-02", 0.0)])
+    assert coverage.rescore(sites, none).first().persistence == 1.0 and coverage.rescore(sites, none, always=True).first().n_observed == 10
