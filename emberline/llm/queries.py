@@ -51,4 +51,4 @@ def op10_embedding_near_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_sequence_packing, op4_pii_surrogates, op5_secret_scan, op6_toxicity, op7_substring_dedup, op8_html_extract, op9_simhash_near_dedup, op10_embedding_near_dedup)}
-ORACLE = {"op1_exact_dedup": exact_dedup.ORACLE, "op10_embedding_near_dedup": embedding_dedup.ORACLE}
+ORACLE = {"op1_exact_dedup": exact_dedup.ORACLE, "op7_substring_dedup": substring_dedup.ORACLE, "op10_embedding_near_dedup": embedding_dedup.ORACLE}

@@ -229,3 +229,14 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     out = plain.join(gone, "row", "left").select("doc_id", "text", "spans")
     done = out.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")
     return done.withColumn("doc_id", null_if_no_id(F.col("doc_id")))
+
+
+ORACLE = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, p, md5_number(array_to_string(w[p : p + 19], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM t WHERE len(w) >= 20)),
+dup AS (SELECT doc_id, p FROM win QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS p FROM dup),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS rest, count(*) AS n
+         FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM t) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256 FROM t LEFT JOIN kept USING (doc_id)
+"""
