@@ -19,12 +19,13 @@ from emberline.llm.common import id_key, null_if_no_id, running_totals, table
 #: Tokens in a window; a remainder's body is a multiple of UNIT tokens; lengths in a combination at most; the id that ends a document.
 WINDOW, UNIT, DEPTH, END = 2048, 32, 4, 1
 UNITS = WINDOW // UNIT
-#: Bytes that a task spends on words whose ids it remembers; the memory starts anew beyond it.
-REMEMBERED = 160 << 20
-#: Letters that stay single letters under normalisation and lower-casing: ASCII, Latin-1 and basic Cyrillic.
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿЀ-џ]+")
-#: Signs that a word may end with; an apostrophe can start a piece of its own.
-_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Bytes that a task spends on words whose ids it remembers; the memory starts anew beyond it. What Python spends on a word besides its own bytes.
+REMEMBERED, ENTRY = 160 << 20, 200
+#: Words that the tokenizer splits into their letters and the signs that follow: letters that stay single letters under
+#: normalisation and lower-casing (ASCII, Latin-1, basic Cyrillic), signs without the apostrophe, which can start a piece of its own.
+_PLAIN = re.compile(r"""[A-Za-zÀ-ÖØ-öø-ÿЀ-џ]+([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)""")
+#: Bytes of text that are encoded together.
+TOGETHER = 1 << 20
 _ZEROS = bytes(4 * UNIT)
 
 
@@ -35,9 +36,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class _Words:
     """Token ids of words, as bytes of unsigned 32-bit numbers. The tokenizer never joins characters across white space.
 
-    Words are remembered whole. New ones that are plain letters and the signs that follow are split there, because the
-    tokenizer splits them there too, and stretches of letters are encoded many at once: each ends with an end-of-word
-    id. All other words are encoded as they are.
+    Words are remembered, with A-Z in lower case as the tokenizer takes them. New ones that are plain letters and signs
+    are encoded many at once: either part ends with an end-of-word id. All other words are encoded by themselves.
     """
 
     def __init__(self, path: str):
@@ -45,7 +45,6 @@ class _Words:
 
         self.tok = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
         self.held = 0
         self.stop = np.zeros(self.tok.get_vocab_size(), bool)
         self.stop[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
@@ -53,50 +52,41 @@ class _Words:
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _spell(self, letters: list[str]) -> None:
-        single = []
-        for at in range(0, len(letters), 512):
-            some = letters[at : at + 512]
-            ids = self._encoded([" ".join(some)])[0]
-            ends = np.flatnonzero(self.stop[ids]) + 1
-            if len(ends) != len(some) or ends[-1] != len(ids):
-                single += some
-                continue
-            raw, last = ids.tobytes(), 0
-            for w, e in zip(some, (4 * ends).tolist()):
-                self.letters[w], last = raw[last:e], e
-        for w, e in zip(single, self._encoded(single)):
-            self.letters[w] = e.tobytes()
-
     def _learn(self, words: list[bytes]) -> None:
-        split: list[tuple[bytes, str, str]] = []
+        plain: list[bytes] = []
+        parts: list[int] = []
         other: list[bytes] = []
-        for raw in words:
-            w = raw.decode()
-            head = w.rstrip(_SIGNS)
-            if _LETTERS.fullmatch(head):
-                split.append((raw, head.lower(), w[len(head) :]))
+        match = _PLAIN.fullmatch
+        for raw, text in zip(words, b" ".join(words).decode().split(" ") if words else ()):
+            m = match(text)
+            if m:
+                plain.append(raw)
+                parts.append(1 + (m.start(1) < m.end(1)))
             else:
                 other.append(raw)
-        new = {x for _, head, tail in split for x in (head, tail) if x not in self.letters}
-        self._spell([x for x in new if _LETTERS.fullmatch(x)])
-        signs = [x for x in new if x not in self.letters]
-        for x, e in zip(signs, self._encoded(signs)):
-            self.letters[x] = e.tobytes()
-        for raw, head, tail in split:
-            self.words[raw] = self.letters[head] + self.letters[tail]
+        for at in range(0, len(plain), 512):
+            some = plain[at : at + 512]
+            ids = self._encoded([b" ".join(some).decode()])[0]
+            stops = np.flatnonzero(self.stop[ids]) + 1
+            last = np.cumsum(parts[at : at + 512])
+            if last[-1] != len(stops) or stops[-1] != len(ids):
+                other += some
+                continue
+            ids, begin = ids.tobytes(), 0
+            for raw, end in zip(some, (4 * stops[last - 1]).tolist()):
+                self.words[raw], begin = ids[begin:end], end
         for raw, e in zip(other, self._encoded([w.decode() for w in other])):
             self.words[raw] = e.tobytes()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         if self.held > REMEMBERED:
             self.words.clear()
-            self.letters.clear()
             self.held = 0
-        split = [(t or b"").split() for t in texts]
+        # the tokenizer knows special tokens before it lower-cases
+        split = [(t if b"<|" in t else t.lower()).split() for t in (t or b"" for t in texts)]
         new = list(set(itertools.chain.from_iterable(split)).difference(self.words))
         self._learn(new)
-        self.held += 400 * len(new) + 4 * sum(map(len, new))  # a word's entry, that of its letters, and what Python spends on both
+        self.held += ENTRY * len(new) + 3 * sum(map(len, new))
         get = self.words.__getitem__
         end = np.array([END], "<u4").tobytes()
         return [b"".join(map(get, words)) + end for words in split]
@@ -120,8 +110,9 @@ def tokenized(docs: DataFrame, path: str, id_column: str = "doc_id", text_column
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary()).to_pylist()
             n, windows, units, tails = [], [], [], []
-            for at in range(0, len(texts), 32):
-                for raw in words.encode(texts[at : at + 32]):
+            size = np.cumsum([len(t or b"") for t in texts]) // TOGETHER
+            for some in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(size)) + 1):
+                for raw in words.encode([texts[i] for i in some]):
                     count = len(raw) // 4
                     full, rest = divmod(count, WINDOW)
                     n.append(count)
