@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import importlib
 import itertools
+import os
 import re
 import zlib
 
@@ -20,12 +21,12 @@ from emberline.llm.common import id_key, null_if_no_id, running_totals, table
 WINDOW, UNIT, DEPTH, END = 2048, 32, 4, 1
 UNITS = WINDOW // UNIT
 #: Bytes that a task spends on words whose ids it remembers; the memory starts anew beyond it. What Python spends on a word besides its own bytes.
-REMEMBERED, ENTRY = 160 << 20, 200
+REMEMBERED, ENTRY = 220 << 20, 200
 #: Words that the tokenizer splits into their letters and the signs that follow: letters that stay single letters under
 #: normalisation and lower-casing (ASCII, Latin-1, basic Cyrillic), signs without the apostrophe, which can start a piece of its own.
 _PLAIN = re.compile(r"""[A-Za-zÀ-ÖØ-öø-ÿЀ-џ]+([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)""")
-#: Bytes of text that are encoded together.
-TOGETHER = 1 << 20
+#: Bytes of text that are looked at together; new words that are encoded together.
+TOGETHER, SPELT = 1 << 20, 128
 _ZEROS = bytes(4 * UNIT)
 
 
@@ -64,11 +65,11 @@ class _Words:
                 parts.append(1 + (m.start(1) < m.end(1)))
             else:
                 other.append(raw)
-        for at in range(0, len(plain), 512):
-            some = plain[at : at + 512]
+        for at in range(0, len(plain), SPELT):
+            some = plain[at : at + SPELT]
             ids = self._encoded([b" ".join(some).decode()])[0]
             stops = np.flatnonzero(self.stop[ids]) + 1
-            last = np.cumsum(parts[at : at + 512])
+            last = np.cumsum(parts[at : at + SPELT])
             if last[-1] != len(stops) or stops[-1] != len(ids):
                 other += some
                 continue
@@ -94,7 +95,8 @@ class _Words:
 
 @functools.lru_cache(maxsize=1)
 def _words(path: str) -> _Words:
-    """One memory per Python worker, which serves many tasks."""
+    """One memory per Python worker, which serves many tasks. Tasks are the parallelism here; the tokenizer's own threads would only compete with them."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return _Words(path)
 
 
