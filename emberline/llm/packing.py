@@ -7,6 +7,7 @@ import importlib
 import itertools
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -20,13 +21,17 @@ from emberline.llm.common import id_key, null_if_no_id, running_totals, table
 #: Tokens in a window; a remainder's body is a multiple of UNIT tokens; lengths in a combination at most; the id that ends a document.
 WINDOW, UNIT, DEPTH, END = 2048, 32, 4, 1
 UNITS = WINDOW // UNIT
-#: Bytes that a task spends on words whose ids it remembers; the memory starts anew beyond it. What Python spends on a word besides its own bytes.
+#: Bytes that a task spends on words whose ids it remembers; those of the older half that aren't met again go. What Python spends on a word besides its own bytes.
 REMEMBERED, ENTRY = 220 << 20, 200
 #: Words that the tokenizer splits into their letters and the signs that follow: letters that stay single letters under
 #: normalisation and lower-casing (ASCII, Latin-1, basic Cyrillic), signs without the apostrophe, which can start a piece of its own.
-_PLAIN = re.compile(r"""[A-Za-zÀ-ÖØ-öø-ÿЀ-џ]+([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)""")
-#: Bytes of text that are looked at together; new words that are encoded together.
-TOGETHER, SPELT = 1 << 20, 128
+_PLAIN = re.compile(r"""([A-Za-zÀ-ÖØ-öø-ÿЀ-џ]+)([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)""")
+#: The characters by which byte-level vocabularies spell the bytes from 127 on that aren't printable in Latin-1.
+_SPELLING = {**{b: b + 162 for b in range(127, 161)}, 173: 323}
+#: Words by which a tokenizer shows that it takes letters and signs as pieces of their own.
+_PROBES = ("a", "hello", "Straße", "été", "Привет", "unbelievableness", "word.", "naïve,", "слово!?", "x=", "token);", "ÀÉ--")
+#: Bytes of text that are looked at together.
+TOGETHER = 1 << 20
 _ZEROS = bytes(4 * UNIT)
 
 
@@ -37,62 +42,69 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class _Words:
     """Token ids of words, as bytes of unsigned 32-bit numbers. The tokenizer never joins characters across white space.
 
-    Words are remembered, with A-Z in lower case as the tokenizer takes them. New ones that are plain letters and signs
-    are encoded many at once: either part ends with an end-of-word id. All other words are encoded by themselves.
+    Words are remembered, with A-Z in lower case as the tokenizer takes them. Of new ones that are plain letters and signs
+    either part goes to the tokenizer's model at once, if the model proves to take them so; all other words are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
+        self.signs = functools.lru_cache(1 << 12)(self._piece)
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.held = 0
-        self.stop = np.zeros(self.tok.get_vocab_size(), bool)
-        self.stop[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
-
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+        self.in_parts = all(self._plain(w) == self._whole([w])[0] for w in _PROBES)
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [_packed(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _piece(self, text: str) -> bytes:
+        """Ids of letters or of signs alone, which the tokenizer doesn't split before its model does."""
+        text = text.lower()
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(_SPELLING)
+        return _packed([t.id for t in self.model.tokenize(text)])
+
+    def _plain(self, text: str) -> bytes | None:
+        """Ids of a word of plain letters and signs, else None. Its letters may be known as a word."""
+        m = _PLAIN.fullmatch(text)
+        if not m:
+            return None
+        if not m[2]:
+            return self._piece(text)
+        return (self.words.get(m[1].encode()) or self._piece(m[1])) + self.signs(m[2])
 
     def _learn(self, words: list[bytes]) -> None:
-        plain: list[bytes] = []
-        parts: list[int] = []
         other: list[bytes] = []
-        match = _PLAIN.fullmatch
         for raw, text in zip(words, b" ".join(words).decode().split(" ") if words else ()):
-            m = match(text)
-            if m:
-                plain.append(raw)
-                parts.append(1 + (m.start(1) < m.end(1)))
-            else:
+            ids = self._plain(text) if self.in_parts else None
+            if ids is None:
                 other.append(raw)
-        for at in range(0, len(plain), SPELT):
-            some = plain[at : at + SPELT]
-            ids = self._encoded([b" ".join(some).decode()])[0]
-            stops = np.flatnonzero(self.stop[ids]) + 1
-            last = np.cumsum(parts[at : at + SPELT])
-            if last[-1] != len(stops) or stops[-1] != len(ids):
-                other += some
-                continue
-            ids, begin = ids.tobytes(), 0
-            for raw, end in zip(some, (4 * stops[last - 1]).tolist()):
-                self.words[raw], begin = ids[begin:end], end
-        for raw, e in zip(other, self._encoded([w.decode() for w in other])):
-            self.words[raw] = e.tobytes()
+            else:
+                self.words[raw] = ids
+        self.words.update(zip(other, self._whole([w.decode() for w in other])))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        if self.held > REMEMBERED:
-            self.words.clear()
-            self.held = 0
+        if self.held > REMEMBERED // 2:
+            self.words, self.older, self.held = {}, self.words, 0
         # the tokenizer knows special tokens before it lower-cases
         split = [(t if b"<|" in t else t.lower()).split() for t in (t or b"" for t in texts)]
-        new = list(set(itertools.chain.from_iterable(split)).difference(self.words))
-        self._learn(new)
+        new = set(itertools.chain.from_iterable(split)).difference(self.words)
+        again = new.intersection(self.older)
+        self.words.update(zip(again, map(self.older.__getitem__, again)))
+        self._learn(list(new - again))
         self.held += ENTRY * len(new) + 3 * sum(map(len, new))
         get = self.words.__getitem__
-        end = np.array([END], "<u4").tobytes()
+        end = _packed([END])
         return [b"".join(map(get, words)) + end for words in split]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 @functools.lru_cache(maxsize=1)
 def _words(path: str) -> _Words:
     """One memory per Python worker, which serves many tasks. Tasks are the parallelism here; the tokenizer's own threads would only compete with them."""

@@ -277,6 +277,23 @@ def test_words_like_the_tokenizer():
         assert np.frombuffer(raw, "<u4").tolist() == [*tok.encode(text, add_special_tokens=False).ids, packing.END], repr(text)
 
 
+def test_words_with_little_memory(monkeypatch):
+    """Words that are forgotten, kept from the older half or met with other signs have the same ids."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "REMEMBERED", 40_000)
+    path, rng = packing.tokenizer_path(), random.Random(9)
+    tok, words = Tokenizer.from_file(path), packing._Words(path)
+    assert words.in_parts
+    letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100), *range(0x400, 0x460))]
+    known = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(200)]
+    for _ in range(40):
+        some = rng.sample(known, 50) + ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(50)]
+        text = " ".join(w + rng.choice(["", "", ".", ",", "%%%", '")', "--", "'"]) for w in some)
+        assert np.frombuffer(words.encode([text.encode()])[0], "<u4").tolist() == [*tok.encode(text, add_special_tokens=False).ids, packing.END]
+        assert len(words.words) <= 400 and len(words.older) <= 400
+
+
 def test_repeat_counts():
     combos = packing.combinations()
     assert all(sum(c) == packing.UNITS and 2 <= len(c) <= packing.DEPTH for c in combos)
