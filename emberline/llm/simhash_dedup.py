@@ -86,19 +86,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Fingerprints link at 4 or fewer differing bits; component_id is the smallest doc_id reachable, itself included.
     Texts without words (null too) have fingerprint zero and link like any other. A text that isn't null but shorter
-    than a shingle counts as one. Rows with a null id take part and come last as component_id. Rows with equal
-    fingerprints are one node of the graph, so copies never form pairs.
+    than a shingle counts as one. Rows with a null id link like any other, but only ids name a component: its
+    component_id is null if none of its rows has one. Distinct fingerprints are the nodes of the graph, so copies never
+    form pairs.
     """
     prints = table(fingerprints(docs, id_column, text_column))
-    reps = table(prints.groupBy("fp").agg(F.coalesce(F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))), F.lit(NO_ID)).alias("rep")))
-    parts = connected_components(linked_pairs(reps.where(F.col("rep") != NO_ID)))
-    labels = table(
-        reps.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    )
+    nodes = table(prints.groupBy("fp").agg(F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).alias("least")))
+    parts = connected_components(linked_pairs(nodes.select("fp", F.col("fp").alias("rep"))))
+    placed = table(nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp")))
+    least = placed.groupBy("component", splittable("component")).agg(F.min("least").alias("component_id")).select("component", "component_id")
+    labels = table(placed.join(least, "component").select("fp", "component_id"))
     return prints.join(labels, "fp").select(
         null_if_no_id(F.col("doc_id")).alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        null_if_no_id(F.col("component_id")).alias("component_id"),
+        "component_id",
     )
 
 

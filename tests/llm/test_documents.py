@@ -113,6 +113,23 @@ def test_simhash(docs, none, rows):
     assert simhash_dedup.deduplicate(docs).where("doc_id is not null").count() == len({c for _, c in want.values()})
 
 
+def test_simhash_links_over_null_ids(spark):
+    """A text whose rows have no id joins those that it links with, and is in their component."""
+    rng, chain = random.Random(11), None
+    distance = lambda a, b: (a ^ b).bit_count()
+    while chain is None:
+        words = [rng.choice(WORDS) for _ in range(300)]
+        texts = [" ".join(words)]
+        for _ in range(12):
+            words[rng.randrange(300)] = rng.choice(WORDS)
+            texts.append(" ".join(words))
+        p = [plain_print(t) for t in texts]
+        chain = next(((texts[i], texts[j], texts[k]) for i in range(13) for j in range(i + 1, 13) for k in range(j + 1, 13) if distance(p[i], p[j]) <= 4 and distance(p[j], p[k]) <= 4 < distance(p[i], p[k])), None)
+    rows = [(7, chain[0], "s"), (None, chain[1], "s"), (3, chain[2], "s"), (None, " ".join(WORDS), "s")]
+    got = {r.fingerprint: (r.doc_id, r.component_id) for r in simhash_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert [got[f"{plain_print(t):016x}"] for _, t, _ in rows] == [(7, 3), (None, 3), (3, 3), (None, None)]
+
+
 def test_pigeonring_finds_every_pair(spark):
     rng = random.Random(4)
     prints = set()
