@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from emberline.llm import embedding_dedup, exact_dedup, html_extract, mixing, packing, pii_surrogates, secret_scan, simhash_dedup, substring_dedup, toxicity
+from emberline.llm import (
+    conversation_repair, embedding_dedup, exact_dedup, html_extract, line_dedup, mixing, packing, pii_surrogates, secret_scan, simhash_dedup, spelling_variants, substring_dedup, toxicity,
+)
 
 
 def documents(spark, sf_dir):
@@ -50,5 +52,20 @@ def op10_embedding_near_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_sequence_packing, op4_pii_surrogates, op5_secret_scan, op6_toxicity, op7_substring_dedup, op8_html_extract, op9_simhash_near_dedup, op10_embedding_near_dedup)}
-ORACLE = {"op1_exact_dedup": exact_dedup.ORACLE, "op7_substring_dedup": substring_dedup.ORACLE, "op10_embedding_near_dedup": embedding_dedup.ORACLE}
+def op11_line_dedup(spark, sf_dir):
+    return line_dedup.deduplicate(documents(spark, sf_dir)).drop("kept_text")
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants.group_variants(documents(spark, sf_dir))
+
+
+def op13_conversation_repair(spark, sf_dir):
+    return conversation_repair.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_source_mixing, op3_sequence_packing, op4_pii_surrogates, op5_secret_scan, op6_toxicity, op7_substring_dedup, op8_html_extract, op9_simhash_near_dedup,
+    op10_embedding_near_dedup, op11_line_dedup, op12_spelling_variants, op13_conversation_repair,
+)}
+ORACLE = {"op1_exact_dedup": exact_dedup.ORACLE, "op7_substring_dedup": substring_dedup.ORACLE, "op10_embedding_near_dedup": embedding_dedup.ORACLE, "op11_line_dedup": line_dedup.ORACLE}
