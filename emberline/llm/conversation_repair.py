@@ -29,17 +29,21 @@ _ROLES = {"u": "user", "a": "assistant"}
 SOUND, BLANK, DUPLICATE, CUT = range(4)
 
 
-def damaged(rows: DataFrame) -> DataFrame:
-    """``rows`` (conv_id, turn, role, text) after damage by a checksum of conversation and turn, with ``copy`` (1 for a repeated row).
+def _kinds(rows: DataFrame) -> DataFrame:
+    """``rows`` (conv_id, turn, role, text) that damage leaves, with its ``kind`` by a checksum of conversation and turn, and ``copy`` (1 for a repeated row).
 
     Null roles and texts count as one space, null ids and turns likewise in the checksum.
     """
     space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
-    kind = F.pmod(F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))), F.lit(20))
-    each = rows.select("conv_id", "turn", space("role").alias("was_role"), space("text").alias("was_text"), kind.alias("kind")).where("kind <> 0")
-    each = each.withColumn("copy", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("was_text", "[.!?]", "")).otherwise(F.col("was_text"))
-    return each.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("was_role")).alias("role"), text.alias("text"), "was_role", "was_text", "copy")
+    kind = F.pmod(F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))), F.lit(20)).cast("int")
+    each = rows.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), kind.alias("kind")).where("kind <> 0")
+    return each.withColumn("copy", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """``rows`` with the role and text that their ``kind`` leaves."""
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.withColumns({"role": F.when(F.col("kind") == 4, "user").otherwise(F.col("role")), "text": text})
 
 
 def retained(codes: list[tuple[str, int]], start: str) -> dict[str, tuple[int, str]]:
@@ -123,10 +127,10 @@ def _segments(conversations: DataFrame, id_column: str) -> DataFrame:
     rows: struct (at, turn, role, text, fault). Rows are numbered in one sort over all conversations, so a conversation of a
     third of all rows lies in many tasks; segments are its stretches of SEGMENT_ROWS rows and SEGMENT_POINTS code points.
     """
-    rows = damaged(conversations.select(F.col(id_column).alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"))
-    rows = rows.withColumns({"digest": F.sha2("text", 256), "points": F.length("text").cast("long")}).withColumn("tie", F.monotonically_increasing_id())
-    order = ["conv_id", "turn", "was_role", "was_text", "tie", "copy"]
-    numbered = table(running_totals(rows.select("conv_id", "turn", "role", "text", "was_role", "was_text", "tie", "copy", "digest", "points"), order, "points").drop("was_role", "was_text", "tie", "copy"))
+    rows = _kinds(conversations.select(F.col(id_column).alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"))
+    rows = rows.withColumns({"points": F.length("text").cast("long"), "tie": F.monotonically_increasing_id()})
+    sorted_ = running_totals(rows, ["conv_id", "turn", "role", "text", "tie", "copy"], "points")
+    numbered = table(_damaged(sorted_).withColumn("digest", F.sha2("text", 256)).select("conv_id", "turn", "role", "text", "digest", "row_index", "before"))
     same = ["conv_id", "role", "digest"]
     firsts = numbered.groupBy(*same).agg(F.min("row_index").alias("first_at"), F.count("*").alias("c")).where("c > 1").withColumnsRenamed({c: f"_{c}" for c in same})
     is_same = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & (F.col("role") == F.col("_role")) & (F.col("digest") == F.col("_digest"))
@@ -290,7 +294,7 @@ def repaired_turns(conversations: DataFrame, id_column: str = "conv_id") -> Data
 def repair(conversations: DataFrame, id_column: str = "conv_id") -> DataFrame:
     """One row per conversation (conv_id, null too): gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256.
 
-    Rows are damaged first (see :func:`damaged`), then taken by turn, nulls first; rows of one turn by their role and text
+    Rows are damaged first (see :func:`_kinds`), then taken by turn, nulls first; rows of one turn by their role and text
     before damage, so that rows that are equal in all may stand in any order. A row's first fault counts: blank, duplicate
     (role and text stood before), truncated. The edits are the cheapest whose role initials are (s?(ua)+)?, of these the
     ASCII-least audit. A conversation that loses all its rows has zeros, an empty audit and the hash of an empty string.
