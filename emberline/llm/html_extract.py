@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -23,14 +24,24 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # Fixed words of HTML and of common page layouts.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math object canvas".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+_RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg canvas annotation annotation-xml".split())
+_INLINE = frozenset(
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr object"
+    " math mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _CLOSES_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _HOLDS_ROWS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
 _OUT = frozenset("nav aside footer head button select option dialog menu input label legend".split())
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words in a class or id that name parts which never hold the article, and words that may also name what is around it.
+#: Elements that hold an article's running text.
+_TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption blockquote pre".split())
+#: Words in a class or id that name readers' comments, and in a class only, as ids may be of headings, adverts and buttons: within an article too.
+_COMMENT_WORDS = frozenset("comment comments commentlist disqus".split())
+_WITHIN_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense share sharing".split()) | _COMMENT_WORDS
+#: Words of articles that only point to others.
+_TEASER_WORDS = frozenset("card teaser preview related recommended promo promoted sponsored".split())
+#: Words in a class or id that name parts outside an article which never hold one, and words that may also name what is around it.
 _OUT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense promo promotion promoted sponsor sponsored comment comments commentlist disqus discussion"
     " respond reply replies breadcrumb breadcrumbs cookie cookies consent gdpr newsletter related recommended recommendations popup pagination pager copyright".split()
@@ -47,8 +58,16 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape((m[2] or "").strip("\"'")) for m in _ATTRIBUTE.finditer(text)} if text.strip(" /\n\t") else {}
 
 
-def _left_out(tag: str, attributes: dict[str, str], in_article: bool) -> int:
-    """How an element leaves out what it holds."""
+#: Where an element lies.
+_OUTSIDE, _MAIN_PART, _ARTICLE_PART = 0, 1, 2
+
+
+def _named(attributes: dict[str, str], *names: str) -> set[str]:
+    return {w.lower() for n in names for w in _PARTS.findall(attributes.get(n, ""))}
+
+
+def _left_out(tag: str, attributes: dict[str, str], within: int) -> int:
+    """How an element leaves out what it holds, from where it lies. In an article, class words may only name comments, adverts and buttons."""
     if tag in _OUT:
         return _HARD
     if attributes and (
@@ -58,11 +77,13 @@ def _left_out(tag: str, attributes: dict[str, str], in_article: bool) -> int:
         or "display:none" in attributes.get("style", "").replace(" ", "").lower()
     ):
         return _HARD
-    if tag == "form" or (tag == "header" and not in_article):
+    if tag == "form" or (tag == "header" and not within):
         return _SOFT
     if tag in ("body", "html", "main", "article") or not attributes:
-        return _IN
-    named = {w.lower() for w in _PARTS.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")}
+        return _SOFT if tag == "article" and _named(attributes, "class") & _TEASER_WORDS else _IN
+    if within == _ARTICLE_PART:
+        return _HARD if _named(attributes, "class") & _WITHIN_WORDS or _named(attributes, "id") & _COMMENT_WORDS else _IN
+    named = _named(attributes, "class", "id")
     return _HARD if named & _OUT_WORDS else _SOFT if named & _AROUND_WORDS else _IN
 
 
@@ -90,29 +111,49 @@ def _tag_end(page: str, at: int, lost: set[str]) -> int:
             at = close + 1
 
 
-def blocks(page: str) -> tuple[list[tuple[str, int, bool, int]], list[int]]:
+class Block(NamedTuple):
+    text: str
+    out: int  # how it is left out
+    within: int  # where it lies
+    signature: int  # of its element
+    running: bool = False  # its element holds running text
+    linked: bool = False  # over half of it is links
+
+
+def blocks(page: str) -> tuple[list[Block], list[int]]:
     """(blocks, tags) of a page in order.
 
-    A block is its text, how it is left out, whether it lies in an article and the signature of its element; tags are
-    the signatures of all elements: a hash of name, class and id and of the signature of the element around. Unclosed
+    Tags are the signatures of all elements: a hash of name, class and id and of the signature of the element around. Unclosed
     elements end where HTML ends them: a paragraph at the next block, the rest with what is around them. Time and
     memory grow with the page's length only, however tags nest or stay open.
     """
-    found: list[tuple[str, int, bool, int]] = []
+    found: list[Block] = []
     tags: list[int] = []
-    stack: list[tuple[str, int, bool, int]] = []  # tag, left out, in an article, signature
+    stack: list[tuple[str, int, int, int]] = []  # tag, left out, where, signature
     open_at: dict[str, list[int]] = {}  # tag -> its places on the stack
     block_at: list[int] = []  # places of elements that aren't inline
     parts: list[str] = []
+    links = 0  # code points of ``parts`` that are within links
     lost: set[str] = set()
     pos, n, last_end = 0, len(page), page.rfind(">")
 
+    def add(text: str) -> None:
+        nonlocal links
+        if stack and stack[-1][1] == _HARD and stack[-1][0] in _INLINE:
+            return
+        parts.append(text)
+        if open_at.get("a"):
+            links += len(text)
+
     def close() -> None:
-        text = _WHITE.sub(" ", html.unescape("".join(parts))).strip(" ")
+        nonlocal links
+        whole = "".join(parts)
+        text = _WHITE.sub(" ", html.unescape(whole)).strip(" ")
         if text:
-            _, out, article, signature = stack[-1] if stack else ("", _IN, False, 0)
-            found.append((text, out, article, signature))
+            _, out, within, signature = stack[-1] if stack else ("", _IN, _OUTSIDE, 0)
+            found.append(Block(text, out, within, signature, bool(block_at) and stack[block_at[-1]][0] in _TEXT, 2 * links > len(whole)))
         parts.clear()
+        links = 0
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
@@ -126,9 +167,9 @@ def blocks(page: str) -> tuple[list[tuple[str, int, bool, int]], list[int]]:
     while pos < n:
         less = page.find("<", pos) if pos <= last_end else -1
         if less < 0:
-            parts.append(page[pos:])
+            add(page[pos:])
             break
-        parts.append(page[pos:less])
+        add(page[pos:less])
         if page.startswith("<!--", less):
             end = page.find("-->", less + 4)
             pos = n if end < 0 else end + 3
@@ -140,7 +181,7 @@ def blocks(page: str) -> tuple[list[tuple[str, int, bool, int]], list[int]]:
         name = _NAME.match(page, less + 1 + closing)
         end = _tag_end(page, name.end(), lost) if name else -1
         if end < 0:
-            parts.append("<")
+            add("<")
             pos = less + 1
             continue
         tag, inner, pos = name[0].lower(), page[name.end() : end], end + 1
@@ -151,7 +192,7 @@ def blocks(page: str) -> tuple[list[tuple[str, int, bool, int]], list[int]]:
                 pop_to(open_at[tag][-1])
             continue
         if tag in _RAW:
-            if not (tag in ("svg", "math") and inner.endswith("/")):
+            if not (tag == "svg" and inner.endswith("/")):
                 stop = re.compile(rf"</{re.escape(tag)}\b", re.IGNORECASE).search(page, pos)
                 pos = (page.find(">", stop.end()) + 1 if stop else 0) or n
             parts.append(" ")
@@ -172,16 +213,21 @@ def blocks(page: str) -> tuple[list[tuple[str, int, bool, int]], list[int]]:
                 if same > innermost(_HOLDS_ROWS[tag]):
                     pop_to(same)
         attributes = _attributes(inner)
-        _, out, article, signature = stack[-1] if stack else ("", _IN, False, 0)
-        if tag in ("article", "main") or attributes.get("role") == "main" or attributes.get("itemprop") == "articleBody":
-            article, out = True, _IN if out == _SOFT else out
-        out = max(out, _left_out(tag, attributes, article) if tag != "a" else _IN)
+        _, out, within, signature = stack[-1] if stack else ("", _IN, _OUTSIDE, 0)
+        if tag == "article" or attributes.get("itemprop") == "articleBody":
+            here = _ARTICLE_PART
+        else:
+            here = _MAIN_PART if tag == "main" or attributes.get("role") == "main" else _OUTSIDE
+        if here > within:
+            out = _IN if out == _SOFT else out
+            within = here
+        out = max(out, _left_out(tag, attributes, within) if tag != "a" else _IN)
         if tag not in _INLINE:
             signature = _hash(f"{tag}.{attributes.get('class', '')}#{attributes.get('id', '')}", signature)
             tags.append(signature)
             block_at.append(len(stack))
         open_at.setdefault(tag, []).append(len(stack))
-        stack.append((tag, out, article, signature))
+        stack.append((tag, out, within, signature))
     close()
     return found, tags
 
@@ -191,25 +237,31 @@ def _host(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def candidates(found: list[tuple[str, int, bool, int]]) -> list[tuple[str, int, bool, int]]:
-    """The blocks that may be main text: those of the articles, if there are any, else all that aren't left out.
+def candidates(found: list[Block]) -> list[Block]:
+    """The blocks that may be main text: those that aren't left out; without any, those whose class or kind may also stand around an article."""
+    return [b for b in found if b.out == _IN] or [b for b in found if b.out == _SOFT]
 
-    If nothing else holds text, parts whose class or kind may also stand around an article are taken.
-    """
-    for most in (_IN, _SOFT):
-        some = [b for b in found if b[1] <= most]
-        inside = [b for b in some if b[2]]
-        if some:
-            return inside or some
-    return []
 
+#: What is known of a candidate beside its text: where it lies, and whether it is running text or mostly links.
+_WHERE, _RUNNING, _LINKED = 3, 4, 8
 
-def main_text(kept: list[str], fixed: list[bool]) -> str:
-    """The candidates that aren't fixed text of the template. If over half of their text is fixed, the pages are copies of each other and all of it stays."""
-    template = sum(len(t) for t, f in zip(kept, fixed) if f)
-    if 2 * template > sum(map(len, kept)):
-        template = 0
-    return "\n".join(t for t, f in zip(kept, fixed) if not (f and template))
+
+def main_text(kept: list[str], kinds: list[int], fixed: list[bool]) -> str:
+    """The main text among the candidates, given their kinds and which are fixed text of the template.
+
+    Fixed texts go, but for the running text of an article (paragraphs, headings, lists, tables), as articles of a site
+    may share headings and passages. A page all of whose candidates are fixed has no slots: it is a copy of others and
+    keeps them. If articles hold at least as much text as what lies outside them, links not counted, they are the main
+    text; else what the page marks as its main part, likewise; else the page doesn't mark its main text, and all that is
+    left is.
+    """
+    stays = [not f or (k & _WHERE == _ARTICLE_PART and k & _RUNNING) for k, f in zip(kinds, fixed)]
+    left = [(t, k) for t, k, s in zip(kept, kinds, stays) if s] or list(zip(kept, kinds))
+    for least in (_ARTICLE_PART, _MAIN_PART):
+        inside = [t for t, k in left if k & _WHERE >= least]
+        if inside and sum(map(len, inside)) >= sum(len(t) for t, k in left if k & _WHERE < least and not k & _LINKED):
+            return "\n".join(inside)
+    return "\n".join(t for t, _ in left)
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
@@ -217,36 +269,36 @@ def _parsed(pages: DataFrame) -> DataFrame:
 
     row, page_id, url, host, key (names the host and html); tokens, counts and tags: the page's distinct tokens, the
     first ``tags`` of them elements, the rest texts in their elements, and how often each occurs; holders: for each text
-    token the place of its element's; kept (texts of the candidates) and kept_at (the places of their tokens).
+    token the place of its element's; kept (texts of the candidates), kinds and kept_at (the places of their tokens).
     """
 
     def run(batches):
         for batch in batches:
-            columns: list[list] = [[] for _ in range(8)]
+            columns: list[list] = [[] for _ in range(9)]
             for url, page in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 page, host = page or "", _host(url)
                 found, tags = blocks(page)
-                keys = [_signed(_hash(b[0], b[3])) for b in found]
+                keys = [_signed(_hash(b.text, b.signature)) for b in found]
                 counts: list[dict[int, int]] = [{}, {}]
                 for at, some in enumerate(([_signed(t) for t in tags], keys)):
                     for k in some:
                         counts[at][k] = counts[at].get(k, 0) + 1
                 place = {t: i for i, t in enumerate([*counts[0]])}
-                holder = {k: place.get(_signed(b[3]), -1) for k, b in zip(keys, found)}
+                holder = {k: place.get(_signed(b.signature), -1) for k, b in zip(keys, found)}
                 at = {t: len(place) + i for i, t in enumerate(counts[1])}
-                main = candidates([(k, *b[1:]) for k, b in enumerate(found)])
+                main = candidates([b._replace(signature=k) for k, b in enumerate(found)])
                 one = (
                     host, _signed(_hash(page, _hash(host))), [*counts[0], *counts[1]], [*counts[0].values(), *counts[1].values()], len(place),
-                    [holder[k] for k in counts[1]], [found[b[0]][0] for b in main], [at[keys[b[0]]] for b in main],
+                    [holder[k] for k in counts[1]], [b.text for b in main], [b.within + _RUNNING * b.running + _LINKED * b.linked for b in main], [at[keys[b.signature]] for b in main],
                 )
                 for c, v in zip(columns, one):
                     c.append(v)
             longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-            kinds = [pa.string(), pa.int64(), longs, ints, pa.int32(), ints, pa.list_(pa.string()), ints]
-            names = ["row", "page_id", "url", "host", "key", "tokens", "counts", "tags", "holders", "kept", "kept_at"]
+            kinds = [pa.string(), pa.int64(), longs, ints, pa.int32(), ints, pa.list_(pa.string()), ints, ints]
+            names = ["row", "page_id", "url", "host", "key", "tokens", "counts", "tags", "holders", "kept", "kinds", "kept_at"]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, k) for c, k in zip(columns, kinds))], names=names)
 
-    schema = "row long, page_id long, url string, host string, key long, tokens array<long>, counts array<int>, tags int, holders array<int>, kept array<string>, kept_at array<int>"
+    schema = "row long, page_id long, url string, host string, key long, tokens array<long>, counts array<int>, tags int, holders array<int>, kept array<string>, kinds array<int>, kept_at array<int>"
     return pages.mapInArrow(run, schema)
 
 
@@ -281,7 +333,7 @@ def template_texts(parsed: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars.
 
-    The main text of the whole page: the blocks of its articles, or of the whole page if it marks none, without menus,
+    The main text of the whole page: the blocks of its articles, or of the whole page if it marks no larger ones, without menus,
     headers, footers, sidebars, notices, adverts, forms, scripts, styles, markup, reader comments and texts of the
     host's template (see :func:`template_texts` and :func:`main_text`). Character references are decoded; each block is
     one line. Null html counts as empty and gives an empty text; pages without a host in their url form one group. Rows
@@ -302,11 +354,11 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     def run(batches):
         for batch in batches:
             out = []
-            for kept, tokens, some in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
+            for kept, kinds, tokens, some in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
                 gone = set(some or ())
-                out.append(main_text(kept, [t in gone for t in tokens]))
+                out.append(main_text(kept, kinds, [t in gone for t in tokens]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    joined = parsed.select("row", "page_id", "url", "kept", kept_tokens.alias("kept_tokens")).join(fixed, "row", "left")
-    out = joined.select("page_id", "url", "kept", "kept_tokens", "fixed").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    joined = parsed.select("row", "page_id", "url", "kept", "kinds", kept_tokens.alias("kept_tokens")).join(fixed, "row", "left")
+    out = joined.select("page_id", "url", "kept", "kinds", "kept_tokens", "fixed").mapInArrow(run, "page_id long, url string, text string, n_chars long")
     return out.withColumn("page_id", null_if_no_id(F.col("page_id")))

@@ -179,6 +179,55 @@ def test_wrappers_keep_the_article():
     assert text("<article><svg width='1'/><p>After</p><svg><text>No</text></svg><p>1 < 2 &amp; <b>3</b></p></article>") == "After\n1 < 2 & 3"
 
 
+def test_articles_lose_no_text(spark):
+    """Short pages, teasers, class words, shared headings and formulas."""
+    short = "<html><body><div class='x1'>Read this every day on our site</div><section class='z'><p>Hi {0}</p></section></body></html>"
+    rows = [(i, f"http://short.example/{i}", short.format(i)) for i in range(8)]
+    body = "<html><body><nav>Menu</nav><article><h1>Title {0}</h1><h2 class='s'>Summary</h2><p>Words of {0}.</p><div class='tools'>Print this page</div><section id='discussion'><h2>Discussion</h2><p class='related'>Related work.</p></section></article></body></html>"
+    rows += [(100 + i, f"http://shared.example/{i}", body.format(i)) for i in range(8)]
+    teaser = "<body><div id='content'><p>The main text is here and long enough.</p></div><article class='card'>Teaser</article></body>"
+    rows += [(200, "http://t/1", teaser), (201, "http://u/1", teaser.replace(" class='card'", "")), (202, "http://v/1", "<body><article class='card'>Nothing else</article></body>")]
+    rows += [(203, "http://w/1", "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be a number.</p><p>Name <label>L</label> here <object>shown</object></p></article>")]
+    rows += [(204, "http://m/1", "<main><div class='sidebar'>No</div><h1>Yes</h1><p>And more</p><article class='teaser'><p>Other</p></article></main><p>outside</p>")]
+    got = extracted(spark, rows)
+    assert [got[i] for i in range(8)] == [f"Hi {i}" for i in range(8)]
+    assert [got[100 + i] for i in range(8)] == [f"Title {i}\nSummary\nWords of {i}.\nDiscussion\nRelated work." for i in range(8)]
+    main = "The main text is here and long enough."
+    assert (got[200], got[201], got[202]) == (main, main + "\nTeaser", "Nothing else")
+    assert got[203] == "Let x=2 be a number.\nName here shown" and got[204] == "Yes\nAnd more"
+
+
+def test_sites_with_known_text(spark):
+    """Sites with random templates around and random parts within articles: no text is lost, none kept wrongly."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    rows, want = [], {}
+    for site in range(12):
+        kinds = rng.sample(["nav", "aside", "footer", "header", "form", "div class='ad'", "div class='sidebar'", "div role='banner'", "section class='newsletter'", "div class='cookie-notice'"], 5)
+        frame = [f"<{k}><p>{words(6)} &copy;</p><script>var x = '<p>{word()}</p>';</script></{k.split()[0]}>" for k in kinds]
+        plain = [f"<div class='k{k}'><span>{words(3)}</span></div>" for k in range(2)]  # given away by the template only
+        shared, marks = words(8), site % 3
+        for page in range(6):
+            parts, text = [], []
+            for _ in range(rng.randint(2, 9)):
+                some = words(rng.randint(1, 12))
+                form = rng.choice(["<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<ul><li>{}</ul>", "<p><b>{}</b></p>", "<table><tr><td>{}</table>", "<blockquote>{}</blockquote>", "<p>\n {} <br></p>", "<div>{}</div>"])
+                parts.append(form.format(some.replace(" ", rng.choice((" ", "\n", "&nbsp;", " <i></i>")))))
+                text.append(some)
+            if marks == 0:  # every article of the site repeats a passage
+                parts.append(f"<p>{shared}</p>")
+                text.append(shared)
+            if rng.random() < 0.5:
+                parts.append(f"<div class='comments'><p>{words(4)}</p></div>" if rng.random() < 0.5 else f"<aside>{words(3)}</aside>")
+            body = "".join(parts)
+            body = (f"<article>{body}</article>", f"<main>{body}</main>", f"<div id='b'>{body}</div>")[marks]
+            rows.append((len(rows), f"https://site{site}.example/{page}", f"<html><head><title>{words(3)}</title></head><body>{''.join(frame[:3])}{plain[0]}{body}{plain[1]}{''.join(frame[3:])}</body></html>"))
+            want[len(rows) - 1] = "\n".join(text)
+    got = extracted(spark, rows)
+    assert [got[i] for i in want] == list(want.values())
+
+
 def test_awkward_markup_takes_linear_time():
     n = 50_000
     for page in ("<div>" * n, "<a " * n, "<a \"" * n + ">", "<a '\">" * n, "<b>" * n + "<p></i>" * n, "<script></script " * n, "<!--" * n, "<li><b>" * n, "&" * n, "<" * n):
