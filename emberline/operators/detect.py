@@ -116,7 +116,8 @@ def flares(b12, b11, b8a, shape: tuple[int, int], offset: float, quantification:
     return out
 
 
-_FOUND = "row int, col int, max_b12 double, avg_b12 double, peak_b11 double, b12_b11_ratio double, peakedness double, pixels int, radiance double, saturated smallint"
+#: What :func:`flares` finds, as columns.
+FOUND = "row int, col int, max_b12 double, avg_b12 double, peak_b11 double, b12_b11_ratio double, peakedness double, pixels int, radiance double, saturated smallint"
 _META = ("br", "bc", "date", "mgrs", "scene", "epsg", "img_min_x", "img_max_y", "res_x", "res_y", "block_offset_x", "block_offset_y", "width", "height", "sun_elevation", "sun_azimuth")
 
 
@@ -143,9 +144,13 @@ def detect_blocks(blocks: DataFrame, thresholds: Thresholds | None = None, canon
             for r in f.itertuples(index=False):
                 for found in flares(r.b12, r.b11, r.b8a, (r.height, r.width), r.offset, r.quant, t):
                     rows.append([*(getattr(r, c) for c in _META), *found.values()])
-            yield pd.DataFrame(rows, columns=[*_META, *(c.split()[0] for c in _FOUND.split(", "))])
+            yield pd.DataFrame(rows, columns=[*_META, *(c.split()[0] for c in FOUND.split(", "))])
 
-    found = screened.mapInPandas(kernel, f"{kept}, {_FOUND}")
+    return located(screened.mapInPandas(kernel, f"{kept}, {FOUND}"), canonical)
+
+
+def located(found: DataFrame, canonical: bool = True) -> DataFrame:
+    """Flares (FOUND, row and col in their block) with the block's columns, as detections: place, sun and position in the image."""
     row, col = F.col("block_offset_y") + F.col("row"), F.col("block_offset_x") + F.col("col")
     if canonical:
         found = found.where((F.floor(row / BLOCK_SIZE) == F.col("br")) & (F.floor(col / BLOCK_SIZE) == F.col("bc")))

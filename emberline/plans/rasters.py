@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from emberline.functions import geo, pixels
+from emberline.functions import geo, pixels, tables
 from emberline.operators import coverage, detect, plume
 from emberline.plans import proxies
 from emberline.plans.proxies import DETECTIONS, PIXELS
@@ -71,7 +71,10 @@ BLOCK_COMPONENTS = f"WITH RECURSIVE {_MASKED} SELECT 'V' || vec_id AS scene, CAS
 
 def block_detections(spark, sf_dir):
     """The whole block detector: gates, hot core, radiance, ratio, glint and place."""
-    d = detect.detect_blocks(proxies.blocks(spark, sf_dir))
+    return _shown(detect.detect_blocks(proxies.blocks(spark, sf_dir)))
+
+
+def _shown(d):
     return d.select("scene", "date", "peak_img_row", "peak_img_col", "pixels", F.col("saturated").cast("int").alias("saturated"), *_r(7, "lon", "lat"), *_r(9, "max_b12", "avg_b12", "peak_b11", "peakedness", "radiance", "glint_angle", "glint_score"), F.round("b12_b11_ratio", 9).alias("ratio"))
 
 
@@ -95,6 +98,19 @@ SELECT 'V' || vec_id AS scene, '2024-01-' || lpad(CAST(vec_id % 28 + 1 AS VARCHA
  90 - sun AS glint_angle, CASE WHEN 90 - sun <= 25 THEN 1e0 WHEN 90 - sun >= 65 THEN 0e0 ELSE (65 - (90 - sun)) / 40 END AS glint_score, round(peak / low, 9) AS ratio FROM g"""
 
 
+def sql_block_detections(spark, sf_dir):
+    """The block detector as a table function of SQL, called per block by LATERAL."""
+    tables.register(spark)
+    found = spark.sql(
+        """SELECT b.*, f.* FROM {blocks} AS b, LATERAL detect_block(b.b12, b.b11, b.b8a, b.scl, b.width, b.height, b.radiometric_offset, b.quantification) AS f""",
+        blocks=proxies.blocks(spark, sf_dir),
+    )
+    return _shown(detect.located(found))
+
+
+SQL_BLOCK_DETECTIONS = BLOCK_DETECTIONS
+
+
 def class_histograms(spark, sf_dir):
     """Scene classes of each block, as text, and the cloud fraction of pixels with data."""
     b = proxies.blocks(spark, sf_dir).withColumn("h", pixels.histogram(F.col("scl")))
@@ -140,6 +156,15 @@ def scene_scores(spark, sf_dir):
     return plume.scene_scores(proxies.rasters(spark, sf_dir), 5).select("id", F.round("score", 6).alias("score"))
 
 
+#: The least probability of a set of five or more cells that hang together is greatest at v; the bisection stops around it.
+SCENE_SCORES = f"""WITH RECURSIVE {PIXELS}, nb AS (SELECT a.i AS x, b.i AS y FROM range(0, 64) AS a(i) JOIN range(0, 64) AS b(i) ON a.i <> b.i AND abs(a.i // 8 - b.i // 8) <= 1 AND abs(a.i % 8 - b.i % 8) <= 1),
+rc AS (SELECT vec_id, idx AS s, prob AS least, idx AS x FROM pr UNION SELECT rc.vec_id, rc.s, rc.least, nb.y FROM rc JOIN nb USING (x) JOIN pr ON pr.vec_id = rc.vec_id AND pr.idx = nb.y AND pr.prob >= rc.least),
+v AS (SELECT vec_id, max(least) AS v FROM (SELECT vec_id, s, least FROM rc GROUP BY vec_id, s, least HAVING count(*) >= 5) GROUP BY vec_id),
+bi AS (SELECT vec_id, min(prob) AS low, max(prob) AS high, coalesce(v, -1e0) AS v FROM pr LEFT JOIN v USING (vec_id) GROUP BY vec_id, v
+  UNION ALL SELECT vec_id, CASE WHEN (low + high) / 2 < v THEN (low + high) / 2 ELSE low END, CASE WHEN (low + high) / 2 < v THEN high ELSE (low + high) / 2 END, v FROM bi WHERE high - low > 1e-3)
+SELECT vec_id AS id, round((low + high) / 2, 6) AS score FROM bi WHERE high - low <= 1e-3"""
+
+
 def flux_rates(spark, sf_dir):
     """Flux and uncertainty of each raster's cells above one half, taken as enhancements."""
     r = proxies.rasters(spark, sf_dir)

@@ -125,6 +125,36 @@ def test_flux_golden(spark):
     assert (none.rate, none.sigma) == (0, 0)
 
 
+@pytest.mark.parametrize("least", [1, 2, 5, 30])
+def test_levels_by_labelling(least):
+    """The max-tree's level answers each cutoff as labels of the cells above it do; also among ties and in narrow rasters."""
+    rng = np.random.default_rng(least)
+    for shape in ((9, 11), (1, 30), (30, 1), (1, 1)):
+        for values in (rng.random(shape), rng.integers(0, 4, shape) / 4, np.zeros(shape)):
+            level = plume.level_of(values, least)
+            for cutoff in (*np.unique(values), -1.0, 0.37, 2.0):
+                largest = np.bincount(plain_labels(values > cutoff, True).ravel())[1:].max(initial=0)
+                assert (level is not None and cutoff < level) == (largest >= least)
+
+
+def test_table_function(spark):
+    """detect_block in SQL finds what the operator finds, with thresholds by name; rows without pixels give none."""
+    from emberline.functions import tables
+
+    tables.register(spark)
+    b12 = np.full((24, 24), 2000)
+    b12[10, 10], b12[10, 11], b12[11, 10] = 9000, 7000, 6000
+    one = block(spark, b12)
+    call = "SELECT f.* FROM {b} AS b, LATERAL detect_block(b12, b11, b8a, scl, width, height, radiometric_offset, quantification%s) AS f"
+    r = spark.sql(call % "", b=one).collect()
+    assert len(r) == 1 and (r[0].row, r[0].col, r[0].pixels) == (10, 10, 2) and r[0].max_b12 == pytest.approx(0.8)
+    assert spark.sql(call % ", map('peak_b12_min', 0.85D)", b=one).count() == 0
+    for odd in ({"scl": F.array_repeat(F.lit(9), 576)}, {"width": F.lit(0)}, {"b12": F.lit(None).cast("array<int>")}):
+        assert spark.sql(call % "", b=one.withColumns(odd)).count() == 0
+    with pytest.raises(Exception, match="unknown thresholds"):
+        spark.sql(call % ", map('nothing', 1D)", b=one).collect()
+
+
 def test_plume_pipeline(spark):
     n = 32
     rng = np.random.default_rng(1)
