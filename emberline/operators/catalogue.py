@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberline.functions.geo import pad_bbox
+from emberline.work import cut
 
 #: Background scenes: at least 5 minutes and at most 120 days away, up to this cloud cover; how many; clear shares.
 NEAR_S, FAR_S, MOST_CLOUD, BACKGROUNDS, STRICT, LOOSE = 300, 120 * 86400, 95.0, 20, 95.0, 65.0
@@ -135,7 +140,7 @@ def work_list(areas: DataFrame, scenes: DataFrame, done: DataFrame, detector: st
 
 
 def background_candidates(targets: DataFrame, scenes: DataFrame) -> DataFrame:
-    """(target, id, place, gap, clear): scenes of the target's tile within the time limits, nearest first.
+    """(target, id, gap, clear): all scenes of the target's tile within the time limits. For the nearest clear ones see :func:`nearest_backgrounds`.
 
     Both carry tile and unix time t; scenes id, cloud, clear (percent). Scenes meet targets by tile and 120-day bin, so a
     target sees its own and the neighbouring bins only.
@@ -143,28 +148,151 @@ def background_candidates(targets: DataFrame, scenes: DataFrame) -> DataFrame:
     t = targets.select(F.col("id").alias("target"), "tile", F.col("t").alias("tt"), F.explode(F.sequence(F.floor(F.col("t") / FAR_S) - 1, F.floor(F.col("t") / FAR_S) + 1)).alias("bin"))
     c = scenes.where(F.coalesce("cloud", F.lit(100.0)) <= MOST_CLOUD).withColumn("bin", F.floor(F.col("t") / FAR_S))
     gap = F.abs(F.col("t") - F.col("tt"))
-    near = t.join(c, ["tile", "bin"]).withColumn("gap", gap).where(F.col("gap").between(NEAR_S, FAR_S))
-    order = Window.partitionBy("target").orderBy("gap", "id")
-    return near.select("target", "id", "gap", "clear").withColumn("place", F.row_number().over(order))
+    return t.join(c, ["tile", "bin"]).withColumn("gap", gap).where(F.col("gap").between(NEAR_S, FAR_S)).select("target", "id", "gap", "clear")
 
 
-def chosen_backgrounds(candidates: DataFrame) -> DataFrame:
-    """Candidates to compare with each target: the first 20 strictly clear ones, or without any the first 20 loosely clear.
+def _nearest(at: np.ndarray, times: np.ndarray, ids: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(gap, row, there) of the ``few`` nearest rows on either side of each time, 2 * few columns.
 
-    Candidates are looked at in order until 20 strict ones are found; only those looked at count.
+    Rows of one time are taken by id on both sides, so the earlier side reads them in an order of their own.
     """
-    before = Window.partitionBy("target").orderBy("place")
-    strict = (F.col("clear") >= STRICT).cast("int")
-    seen = candidates.withColumn("s", F.sum(strict).over(before)).where((F.col("s") < BACKGROUNDS) | ((F.col("s") == BACKGROUNDS) & (strict == 1)))
-    any_strict = F.max(strict).over(Window.partitionBy("target"))
-    usable = seen.withColumn("strict", any_strict).where(F.when(F.col("strict") == 1, F.col("clear") >= STRICT).otherwise(F.col("clear") >= LOOSE))
-    return usable.withColumn("n", F.row_number().over(before)).where(F.col("n") <= BACKGROUNDS).select("target", "id", "place", "gap", "clear")
+    right, left = np.lexsort((ids, times)), np.lexsort((-ids, times))
+    step = np.arange(few)
+    ends = np.searchsorted(times[left], at - NEAR_S, "right")[:, None] - 1 - step
+    starts = np.searchsorted(times[right], at + NEAR_S, "left")[:, None] + step
+    inside = np.concatenate((ends >= 0, starts < len(times)), 1)
+    rows = np.concatenate((left[np.maximum(ends, 0)], right[np.minimum(starts, len(times) - 1)]), 1)
+    gap = np.abs(times[rows] - at[:, None])
+    return gap, rows, inside & (gap <= FAR_S)
+
+
+#: Tiles of a partition are told apart by so many seconds; targets that are looked at together.
+_TILE_S, _TOGETHER = 1 << 44, 1 << 14
+
+
+def _scan(tile: np.ndarray, t: np.ndarray, ids: np.ndarray, clear: np.ndarray, is_target: np.ndarray, more: pd.DataFrame) -> pd.DataFrame:
+    """The chosen backgrounds of the targets of a sorted stretch; ``more`` are scenes from beyond its ends."""
+    found = []
+    scenes = ~is_target
+    names = np.concatenate((tile[scenes], more["tile"].to_numpy(np.int64)))
+    known, number = np.unique(np.concatenate((names, tile[is_target])), return_inverse=True)
+    times = number[: len(names)] * _TILE_S + np.concatenate((t[scenes], more["t"].to_numpy(np.int64)))
+    name, share = np.concatenate((ids[scenes], more["id"].to_numpy(np.int64))), np.concatenate((clear[scenes], more["clear"].to_numpy(float)))
+    at, target = number[len(names) :] * _TILE_S + t[is_target], ids[is_target]
+    strict = share >= STRICT
+    take = lambda x, o: np.take_along_axis(x, o, 1)
+    for first in range(0, len(at), _TOGETHER):
+        part = slice(first, first + _TOGETHER)
+        left = np.ones(len(at[part]), bool)
+        for kind in (strict, share >= LOOSE):  # loosely clear ones only where no strictly clear one is there
+            todo = np.flatnonzero(left)
+            if not len(todo) or not kind.any():
+                continue
+            gap, near, there = _nearest(at[part][todo], times[kind], name[kind], BACKGROUNDS)
+            gap[~there] = FAR_S + 1
+            by_id = np.argsort(name[kind][near], axis=1, kind="stable")
+            gap, near = take(gap, by_id), take(near, by_id)
+            by_gap = np.argsort(gap, axis=1, kind="stable")[:, :BACKGROUNDS]
+            gap, near = take(gap, by_gap), take(near, by_gap)
+            row, place = np.nonzero(gap <= FAR_S)
+            left[todo[row]] = False
+            near = near[row, place]
+            found.append(pd.DataFrame({"target": target[part][todo[row]], "id": name[kind][near], "place": place + 1, "gap": gap[row, place], "clear": share[kind][near]}))
+    return pd.concat(found) if found else pd.DataFrame({"target": [], "id": [], "place": [], "gap": [], "clear": []})
+
+
+def _edge(tile: np.ndarray, t: np.ndarray, ids: np.ndarray, clear: np.ndarray, at_end: bool) -> list[tuple]:
+    """Scenes of the stretch's last (first) tile that targets beyond its end may take: those near the end in time and the BACKGROUNDS strictly and loosely clear ones before them."""
+    if not at_end:
+        tile, t, ids, clear = tile[::-1], -t[::-1], ids[::-1], clear[::-1]
+    rows = np.flatnonzero(tile == tile[-1])
+    close = rows[t[rows] > t[rows[-1]] - NEAR_S]
+    kept = set(close.tolist())
+    for limit in (STRICT, LOOSE):
+        fit = rows[(clear[rows] >= limit) & (t[rows] <= t[rows[-1]] - NEAR_S)]
+        if len(fit):  # those of the last one's time tie with it
+            kept.update(fit[t[fit] >= t[fit[-BACKGROUNDS:][0]]].tolist())
+    return [(int(tile[i]), int(t[i]) * (1 if at_end else -1), int(ids[i]), float(clear[i])) for i in sorted(kept) if clear[i] >= LOOSE]
+
+
+def nearest_backgrounds(targets: DataFrame, scenes: DataFrame) -> DataFrame:
+    """(target, id, place, gap, clear): scenes to compare with each target, nearest in time first.
+
+    Of a tile's scenes up to MOST_CLOUD, at least NEAR_S and at most FAR_S away, the BACKGROUNDS nearest strictly clear
+    ones, or without any the nearest loosely clear ones; equal gaps fall to the smaller id. Both frames carry tile (long),
+    id (long) and unix time t (long); scenes cloud and clear (percent), null clear counts as 0. Targets without a tile or
+    time have none.
+
+    Targets and scenes lie in one order by tile and time, over as many tasks as they need, whatever the tile. A task
+    walks outward from each target on both sides and stops at BACKGROUNDS scenes a side, so rows touched grow with
+    targets times 2 * BACKGROUNDS, not with the scenes within reach. Scenes beyond a task's ends come from the edges of the
+    tasks beside it: a few dozen rows a task, which the driver deals out.
+    """
+    spark = targets.sparkSession
+    usable = scenes.where((F.coalesce("cloud", F.lit(100.0)) <= MOST_CLOUD) & (F.col("clear") >= LOOSE))
+    kind = lambda df, clear, is_target: df.select(F.col("tile").cast("long"), F.col("t").cast("long"), F.col("id").cast("long"), clear.cast("double").alias("clear"), F.lit(is_target).alias("is_target")).where("tile is not null and t is not null")
+    both = kind(targets, F.lit(0.0), True).unionByName(kind(usable, F.col("clear"), False))
+    ordered = cut(both.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "tile", "t", "id").sortWithinPartitions("tile", "t", "id"))
+
+    def whole(batches):
+        parts = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(5)] for b in batches]
+        return [np.concatenate([p[i] for p in parts]) for i in range(5)] if parts else None
+
+    def edges(batches):
+        rows = whole(batches)
+        if rows is None:
+            return
+        tile, t, ids, clear, is_target = rows
+        s = ~is_target
+        some = [(0, *x) for x in _edge(tile[s], t[s], ids[s], clear[s], False)] + [(1, *x) for x in _edge(tile[s], t[s], ids[s], clear[s], True)] if s.any() else []
+        ends = [(2, int(tile[0]), int(t[0]), 0, 0.0), (3, int(tile[-1]), int(t[-1]), 0, 0.0)]
+        f = pd.DataFrame([*some, *ends], columns=["side", "tile", "t", "id", "clear"]).astype({"side": np.int32})
+        yield pa.RecordBatch.from_pandas(f.assign(part=np.int32(TaskContext.get().partitionId())), preserve_index=False)
+
+    schema = "side int, tile long, t long, id long, clear double, part int"
+    beyond = spark.sparkContext.broadcast(_dealt(ordered.mapInArrow(edges, schema).toPandas()))
+
+    def scan(batches):
+        rows = whole(batches)
+        if rows is None:
+            return
+        tile, t, ids, clear, is_target = rows
+        more = beyond.value.get(TaskContext.get().partitionId(), pd.DataFrame({"tile": [], "t": [], "id": [], "clear": []}))
+        out = _scan(tile, t, ids, clear, is_target, more).astype({"target": np.int64, "id": np.int64, "place": np.int32, "gap": np.int64, "clear": float})
+        yield pa.RecordBatch.from_pandas(out, preserve_index=False)
+
+    return ordered.mapInArrow(scan, "target long, id long, place int, gap long, clear double")
+
+
+def _dealt(edges: pd.DataFrame) -> dict[int, pd.DataFrame]:
+    """The scenes that each task takes from the tasks beside it: outward while those hold its first (last) tile and enough isn't there."""
+    out = {}
+    by = {(p, s): g for (p, s), g in edges.groupby(["part", "side"])}
+    parts = sorted(edges["part"].unique())
+    columns = ["tile", "t", "id", "clear"]
+    for n, p in enumerate(parts):
+        taken = []
+        for end, step, side, far in ((2, -1, 1, 3), (3, 1, 0, 2)):
+            own = by[p, end].iloc[0]
+            strict = loose = 0
+            k = n + step
+            while 0 <= k < len(parts) and by[parts[k], far].iloc[0]["tile"] == own["tile"] and abs(by[parts[k], far].iloc[0]["t"] - own["t"]) <= FAR_S and not (strict >= BACKGROUNDS and loose >= BACKGROUNDS):
+                some = by.get((parts[k], side))
+                if some is not None:
+                    some = some[some["tile"] == own["tile"]]
+                    taken.append(some[columns])
+                    reached = some[(some["t"] - own["t"]).abs() >= NEAR_S]
+                    strict, loose = strict + int((reached["clear"] >= STRICT).sum()), loose + len(reached)
+                k += step
+        if taken:
+            out[int(p)] = pd.concat(taken)
+    return out
 
 
 def most_similar(candidates: DataFrame) -> DataFrame:
-    """(target, id) with the least similarity distance; the first in order wins a tie, infinite distances never do."""
+    """(target, id) with the least similarity distance; the nearest in time, then the smaller id wins a tie, infinite distances never do."""
     finite = candidates.where(F.col("distance") < float("inf"))
-    return finite.groupBy("target").agg(F.min_by("id", F.struct("distance", "place")).alias("id"))
+    return finite.groupBy("target").agg(F.min_by("id", F.struct("distance", "gap", "id")).alias("id"))
 
 
 def upsert(new: DataFrame, old: DataFrame, key: str) -> DataFrame:

@@ -24,7 +24,7 @@ SCENE_DEDUP = f"""WITH {SCENES} SELECT tile, date, id FROM (SELECT *, row_number
 def scene_backgrounds(spark, sf_dir):
     """The first twenty clear scenes around each scene."""
     s = proxies.scenes(spark, sf_dir)
-    return catalogue.chosen_backgrounds(catalogue.background_candidates(s.select("id", "tile", "t"), s)).select("target", "id", "gap")
+    return catalogue.nearest_backgrounds(s.select("id", "tile", "t"), s).select("target", "id", "gap")
 
 
 SCENE_BACKGROUNDS = f"""WITH {SCENES}, n AS (SELECT a.id AS target, b.id, b.clear, abs(a.t - b.t) AS gap FROM s AS a JOIN s AS b USING (tile) WHERE coalesce(b.cloud, 100) <= 95 AND abs(a.t - b.t) BETWEEN 300 AND 10368000),

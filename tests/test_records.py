@@ -1,6 +1,7 @@
 """Records to views and back, catalogues, sinks, the registered queries."""
 
 import json
+import random
 
 import duckdb
 import pytest
@@ -83,10 +84,42 @@ def test_catalogue(spark):
     assert (box.w, box.s, box.e, box.n) == (0.5, -4.5, 3.0, 9.0)
     features = spark.createDataFrame([(0, None, {"ProjectID": "P", "TerminalName": "N"}, '{"coordinates":[1,2]}'), (1, None, {}, '{"coordinates":[1,2]}')], "index int, id string, properties map<string,string>, geometry string")
     assert [(r.id, r.name, r.w, r.n) for r in catalogue.areas(features).collect()] == [("P", "N", 1.0, 2.0), ("1", "", 1.0, 2.0)]
-    near = spark.createDataFrame([("t", i, i, 99.0 if i <= 25 else 70.0) for i in range(30)], "target string, id long, place long, clear double").withColumn("gap", F.col("place"))
-    assert sorted(r.id for r in catalogue.chosen_backgrounds(near).collect()) == list(range(20))
-    loose = near.withColumn("clear", F.when(F.col("id") % 2 == 0, 70.0).otherwise(10.0))
-    assert sorted(r.id for r in catalogue.chosen_backgrounds(loose).collect()) == list(range(0, 30, 2))
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_backgrounds_by_hand(spark, parts):
+    """Nearest clear scenes of each target against all pairs: a tile with most rows over several tasks, ties in time, sparse and cloudy tiles, nulls."""
+    rng = random.Random(parts)
+    day = 86400
+    rows = []
+    for i in range(1400):
+        tile = 5 if i % 3 else rng.choice((1, 2, 9, None))
+        t = rng.randrange(0, 2000) * day // 4 if tile == 5 else rng.randrange(0, 900) * day
+        clear = rng.choice((99.0, 96.0, 80.0, 70.0, 10.0, None)) if tile != 2 else rng.choice((70.0, 66.0, 20.0))
+        rows.append((i, tile, t + rng.choice((0, 0, 100, 299, 300)), rng.choice((None, 5.0, 50.0, 97.0)) if i % 5 else 3.0, clear))
+    rows += [(5000 + i, 7, 1000 * day, 1.0, 99.0) for i in range(60)] + [(6000, 7, 1001 * day, 1.0, 99.0), (6001, 8, 5, 1.0, 99.0), (6002, 7, None, 1.0, 99.0)]
+    df = spark.createDataFrame(rows, "id long, tile long, t long, cloud double, clear double").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {}
+        for r in catalogue.nearest_backgrounds(df.select("id", "tile", "t"), df).orderBy("target", "place").collect():
+            got.setdefault(r.target, []).append((r.place, r.gap, r.id, r.clear))
+        assert catalogue.nearest_backgrounds(df.select("id", "tile", "t"), df.where("false")).count() == 0
+        assert catalogue.nearest_backgrounds(df.select("id", "tile", "t").where("false"), df).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {}
+    for i, tile, t, _, _ in rows:
+        near = [(abs(u - t), j, share or 0.0) for j, k, u, cloud, share in rows if tile is not None and t is not None and k == tile and u is not None and (100.0 if cloud is None else cloud) <= 95 and 300 <= abs(u - t) <= 120 * day]
+        near.sort()
+        limit = 95 if any(c >= 95 for _, _, c in near) else 65
+        chosen = [x for x in near if x[2] >= limit][:20]
+        if chosen:
+            want[i] = [(n, *x) for n, x in enumerate(chosen, 1)]
+    assert got == want
 
 
 @pytest.fixture(scope="module")
