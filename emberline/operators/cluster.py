@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +16,8 @@ from emberline.work import cut
 
 #: Metres of a degree, for the cells that detections are sorted into.
 DEGREE = 111320.0
+#: Cells along a block's side, and places that are settled in one.
+BLOCK_CELLS, BLOCK_PLACES = 64, 20_000
 
 
 def _in_reach(points: DataFrame, anchors: DataFrame, metres: float) -> DataFrame:
@@ -28,6 +34,75 @@ def _in_reach(points: DataFrame, anchors: DataFrame, metres: float) -> DataFrame
     return met.select("a", "ka", "b", F.struct("d", "s.dr", "s.dc", F.col("kb").alias("key")).alias("how"))
 
 
+def _settle(rows: pd.DataFrame, metres: float) -> pd.DataFrame:
+    """(det_id, state) of a block's own places that its rows decide: 1 anchors, 2 members.
+
+    rows: the block's open places (own) and, from it and its rim, other open places and known anchors. In the order of
+    their keys, a place with an anchor in reach is a member; one with an undecided place in reach waits; any other is an anchor.
+    """
+    rows = rows.sort_values(["b", "date", "scene", "lon", "lat", "det_id"])
+    anchors, waiting = defaultdict(list), defaultdict(list)
+
+    def meets(held: dict[tuple, list[tuple]], r: int, c: int, x: float, y: float) -> bool:
+        for dr in (-1, 0, 1):
+            for dc in (-1, 0, 1):
+                for u, v in held.get((r + dr, c + dc), ()):
+                    dx, dy = math.radians(u - x) * math.cos(math.radians((y + v) / 2)), math.radians(v - y)
+                    if geo.EARTH_RADIUS * math.sqrt(dx * dx + dy * dy) <= metres:
+                        return True
+        return False
+
+    decided = []
+    for own, state, r, c, x, y, name in zip(rows["own"].tolist(), rows["state"].tolist(), rows["r"].tolist(), rows["c"].tolist(), rows["lon"].tolist(), rows["lat"].tolist(), rows["det_id"].tolist()):
+        if own:
+            state = 2 if meets(anchors, r, c, x, y) else 0 if meets(waiting, r, c, x, y) else 1
+            if state:
+                decided.append((name, state))
+        if state < 2:
+            (anchors if state else waiting)[r, c].append((x, y))
+    return pd.DataFrame(decided, columns=["det_id", "state"]).astype({"state": "int32"})
+
+
+def _anchor_round(open_: DataFrame, metres: float) -> tuple[DataFrame, DataFrame]:
+    """(anchors, open places left) after one round of joins: the brightest place of 3 x 3 cells is an anchor, what it reaches a member."""
+    least = open_.groupBy("r", "c").agg(F.min("key").alias("k"))
+    steps = F.explode(F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr in (-1, 0, 1) for dc in (-1, 0, 1)))).alias("s")
+    around = least.select("r", "c", "k", steps).groupBy((F.col("r") + F.col("s.dr")).alias("r"), (F.col("c") + F.col("s.dc")).alias("c")).agg(F.min("k").alias("near"))
+    top = least.join(around, ["r", "c"]).where("k = near").select(F.col("k.det_id").alias("det_id"))
+    anchors = cut(open_.join(top, "det_id", "left_semi"))
+    reached = _in_reach(open_, anchors, metres).select(F.col("a").alias("det_id")).distinct()
+    return anchors, cut(open_.join(reached, "det_id", "left_anti"))
+
+
+def anchors_of(places: DataFrame, metres: float) -> tuple[DataFrame, int]:
+    """(anchors among ``places``, rounds): the first maximal independent set of the places in reach of each other, in the order of their keys.
+
+    places: det_id, key, lon, lat and cells r, c, each place once. Blocks of BLOCK_CELLS x BLOCK_CELLS cells are settled on
+    their own, as far as their own places and the rim around them decide; what waits for a place of another block takes
+    part in the next round, with that block's new anchors. So rounds grow with the blocks that a chain of falling
+    brightness crosses, not with its length, and pairs of places are never listed. Blocks of more than BLOCK_PLACES
+    places first lose what their brightest places reach, in rounds of joins.
+    """
+    block = lambda c: F.floor(F.col(c) / BLOCK_CELLS)
+    none = places.where("false")
+    anchors, open_, rounds = none, places, 0
+    while (open_.groupBy(block("r"), block("c")).count().agg(F.max("count")).first()[0] or 0) > BLOCK_PLACES:
+        new, open_ = _anchor_round(open_, metres)
+        anchors, rounds = anchors.unionByName(new), rounds + 1
+    columns = ["det_id", "lon", "lat", "r", "c", "key.b", "key.date", "key.scene"]
+    touched = lambda c: F.sequence(F.floor((F.col(c) - 1) / BLOCK_CELLS), F.floor((F.col(c) + 1) / BLOCK_CELLS))
+    schema = f"det_id {places.schema['det_id'].dataType.simpleString()}, state int"
+    while not open_.isEmpty():
+        rows = open_.select(*columns, F.lit(0).alias("state")).unionByName(anchors.select(*columns, F.lit(1).alias("state")))
+        spread = rows.withColumn("br", F.explode(touched("r"))).withColumn("bc", F.explode(touched("c")))
+        spread = spread.withColumn("own", (F.col("state") == 0) & (F.col("br") == block("r")) & (F.col("bc") == block("c")))
+        busy = open_.select(block("r").alias("br"), block("c").alias("bc")).distinct()
+        decided = cut(spread.join(busy, ["br", "bc"], "left_semi").groupBy("br", "bc").applyInPandas(lambda f: _settle(f, metres), schema))
+        new = open_.join(decided.where("state = 1").select("det_id"), "det_id", "left_semi")
+        anchors, open_, rounds = cut(anchors.unionByName(new)), cut(open_.join(decided.select("det_id"), "det_id", "left_anti")), rounds + 1
+    return anchors, rounds
+
+
 def assign_sites(detections: DataFrame, metres: float = 135.0) -> DataFrame:
     """``detections`` (with a unique det_id) with site: the det_id of the anchor that each belongs to.
 
@@ -35,24 +110,15 @@ def assign_sites(detections: DataFrame, metres: float = 135.0) -> DataFrame:
     becomes one. Ties in brightness fall to date, scene, place, id. Detections without a place are left out.
 
     Whether a place holds an anchor depends on the brightest detection there, so the search runs on distinct places,
-    however many dates saw them: anchors are the first maximal independent set of the places in reach of each other.
-    Round by round, a place with an earlier anchor in reach is a member, and one whose earlier neighbours are all members
-    is an anchor. Anchors keep apart, so few are in reach of a place; each detection takes the first of these that is
-    earlier than itself. No group is gathered but a place's anchors.
+    however many dates saw them (:func:`anchors_of`). Anchors keep apart, so few are in reach of a place; each detection
+    takes the first of these that is earlier than itself. No group is gathered but a place's anchors.
     """
     cell = metres / DEGREE
     key = F.struct((-F.col("max_b12")).alias("b"), "date", "scene", "lon", "lat", "det_id")
     keyed = detections.where("lon is not null and lat is not null")
     places = keyed.groupBy("lon", "lat").agg(F.min(key).alias("key")).withColumns({"det_id": F.col("key.det_id"), "r": F.floor(F.col("lat") / cell), "c": F.floor(F.col("lon") / cell)})
     places = cut(places)
-    earlier = cut(_in_reach(places, places, metres).where(F.col("how.key") < F.col("ka")).select("a", "b"))
-    state = cut(places.select("det_id", F.lit(0).alias("state")))  # 1 anchor, 2 member
-    while not state.where("state = 0").isEmpty():
-        seen = earlier.join(state.select(F.col("det_id").alias("b"), F.col("state").alias("sb")), "b")
-        seen = seen.groupBy("a").agg(F.max((F.col("sb") == 1).cast("int")).alias("anchored"), F.min((F.col("sb") == 2).cast("int")).alias("free"))
-        judged = state.join(seen.withColumnRenamed("a", "det_id"), "det_id", "left")
-        state = cut(judged.select("det_id", F.when(F.col("state") > 0, F.col("state")).when(F.col("anchored") == 1, 2).when(F.coalesce("free", F.lit(1)) == 1, 1).otherwise(0).alias("state")))
-    anchors = places.join(state.where("state = 1").select("det_id"), "det_id", "left_semi")
+    anchors, _ = anchors_of(places, metres)
     reach = _in_reach(places, anchors, metres).groupBy("a").agg(F.array_sort(F.collect_list(F.struct("how", "b"))).alias("anchors"))
     listed = places.select("lon", "lat", F.col("det_id").alias("a")).join(reach, "a").select("lon", "lat", "anchors")
     own = keyed.withColumn("_key", key).join(listed, ["lon", "lat"])

@@ -81,6 +81,25 @@ def test_sites_equal_the_sequential_pass(spark, seed):
     assert cluster.assign_sites(df.withColumn("lon", F.lit(None).cast("double"))).count() == 0
 
 
+@pytest.mark.parametrize(("cells", "most"), [(64, 20_000), (2, 20_000), (64, 30)])
+def test_chains_and_crowds(spark, monkeypatch, cells, most):
+    """A long chain of falling brightness, a crowd within a few cells, scattered places; with tiny blocks and limits, too. Rounds follow blocks, not the chain."""
+    monkeypatch.setattr(cluster, "BLOCK_CELLS", cells)
+    monkeypatch.setattr(cluster, "BLOCK_PLACES", most)
+    rng = random.Random(cells + most)
+    rows = [(51 + i * 9e-4, 25.0 + (i % 2) * 1e-5, "2024-01-01", 5 - i * 1e-3, 0.5, 40.0) for i in range(400 if cells > 2 and most > 30 else 60)]
+    rows += [(51.5 + rng.random() * 5e-3, 26 + rng.random() * 5e-3, "2024-01-02", round(rng.random(), 2), 0.5, 40.0) for _ in range(150)]
+    rows += [(51 + rng.random(), -3 + rng.random() * 0.02, "2024-01-03", round(rng.random(), 2), 0.5, 40.0) for _ in range(100)]
+    df = detections(spark, [(*r, None) for r in rows]).repartition(3)
+    assert {r.det_id: r.site for r in cluster.assign_sites(df).collect()} == sequential(rows)
+    if len(rows) == 650:
+        cell = 135.0 / cluster.DEGREE
+        key = F.struct((-F.col("max_b12")).alias("b"), "date", "scene", "lon", "lat", "det_id").alias("key")
+        places = df.select("det_id", "lon", "lat", key, F.floor(F.col("lat") / cell).alias("r"), F.floor(F.col("lon") / cell).alias("c"))
+        anchors, rounds = cluster.anchors_of(places, 135.0)
+        assert anchors.count() == len(set(sequential(rows).values())) and rounds <= 8
+
+
 def test_cover(spark):
     sites = spark.createDataFrame([("a", 51.0, 25.0), ("b", 53.0, 25.0)], "site string, lon double, lat double")
     from emberline.functions import geo
