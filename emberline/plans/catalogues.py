@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from emberline.functions import geo, pixels, text
 from emberline.operators import catalogue
 from emberline.plans import proxies
 from emberline.plans.proxies import DETECTIONS, FACILITIES, SCENES
-from emberline.sources import records
+from emberline.sources import catalogue_pages, records
+from emberline.work import shared_folder
 
 
 def scene_dedup(spark, sf_dir):
@@ -21,6 +24,20 @@ def scene_dedup(spark, sf_dir):
 SCENE_DEDUP = f"""WITH {SCENES} SELECT tile, date, id FROM (SELECT *, row_number() OVER (PARTITION BY tile, date ORDER BY coalesce(cloud, 100), seq) AS n FROM s) WHERE n = 1 AND coalesce(cloud, 100) <= 60"""
 
 
+def paged_catalogue(spark, sf_dir):
+    """Scenes of each year as pages of a search, read back through the data source from July 1996 on, then the least cloudy of each tile and date."""
+    catalogue_pages.register(spark)
+    year = F.substring("date", 1, 4)
+    s = proxies.scenes(spark, sf_dir).select(year.alias("search"), "seq", "id", F.concat("date", F.lit("T07:00:00Z")).alias("datetime"), F.col("tile").cast("string").alias("mgrs_tile"), "cloud")
+    folder = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    catalogue_pages.record_pages(s, folder)
+    read = spark.read.format("catalogue_pages").load(folder).where("date >= '1996-07-01'")
+    return catalogue.dedup_scenes(read, 60.0).select(F.col("mgrs_tile").cast("long").alias("tile"), "date", F.col("id").cast("long").alias("id"))
+
+
+PAGED_CATALOGUE = f"""{SCENE_DEDUP} AND date >= '1996-07-01'"""
+
+
 def scene_backgrounds(spark, sf_dir):
     """The first twenty clear scenes around each scene."""
     s = proxies.scenes(spark, sf_dir)

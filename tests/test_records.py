@@ -86,6 +86,36 @@ def test_catalogue(spark):
     assert [(r.id, r.name, r.w, r.n) for r in catalogue.areas(features).collect()] == [("P", "N", 1.0, 2.0), ("1", "", 1.0, 2.0)]
 
 
+def test_catalogue_pages(spark, tmp_path):
+    """Pages follow next links in order, searches outside the dates stay unread, a page that fails is tried again."""
+    from emberline.sources import catalogue_pages
+
+    catalogue_pages.register(spark)
+    rows = [(f"s{y}", i, f"i{y}-{i}", f"{y}-0{1 + i % 9}-01T10:00:00Z", float(i % 7) if i % 3 else None, "MGRS-31TCJ") for y in (2020, 2021, 2022) for i in range(25)]
+    folder = str(tmp_path / "pages")
+    index = catalogue_pages.record_pages(spark.createDataFrame(rows, "search string, seq long, id string, datetime string, cloud double, grid_code string").repartition(4), folder, page=10)
+    assert [tuple(r) for r in index.orderBy("name").collect()][0] == ("s2020", "s2020-0.json", "2020-01-01", "2020-09-01")
+    read = lambda **o: spark.read.format("catalogue_pages").options(wait="0", **o).load(folder)
+    got = read().orderBy("seq").collect()
+    assert [(r.search, r.id, r.datetime, r.cloud, r.grid_code) for r in got] == [(r[0], r[2], r[3], r[4], r[5]) for r in rows]
+    (tmp_path / "pages" / "s2020-0.json").write_text("{")  # a broken page
+    late = read(attempts="2").where("date >= '2021-02-01' and date < '2022-02-01' and cloud is not null")
+    want = [r[2] for r in rows if "2021-02-01" <= r[3][:10] < "2022-02-01" and r[4] is not None]
+    assert sorted(r.id for r in late.collect()) == sorted(want)
+    with pytest.raises(Exception, match="after 2 attempts"):
+        read(attempts="2").count()
+    assert read().where("date = '1990-01-01'").count() == 0
+    odd = tmp_path / "odd"
+    odd.mkdir()
+    (odd / "index.json").write_text(json.dumps([{"name": "a", "href": "p.json"}]))
+    (odd / "p.json").write_text(json.dumps({"features": [{"id": "x", "assets": {"B11": {"href": "u"}, "q": 1}}, {"id": "y", "bbox": [1, 2, 3, 4], "properties": {"datetime": "2020-01-01T00:00:00Z"}}]}))
+    x, y = spark.read.format("catalogue_pages").load(str(odd)).orderBy("seq").collect()
+    assert (x.id, x.date, x.cloud, x.assets, y.w, y.n, y.date) == ("x", "", None, {"B11": "u"}, 1.0, 4.0, "2020-01-01")
+    areas = spark.createDataFrame([(1.0, 2.0, 1.0, 3.0)], "w double, s double, e double, n double")
+    body = json.loads(catalogue_pages.requests(areas, F.lit("2024-01-01"), F.lit("2024-01-31")).first().body)
+    assert body == {"collections": ["sentinel-2-l2a"], "bbox": [1 - 1e-6, 2.0, 1 + 1e-6, 3.0], "datetime": "2024-01-01T00:00:00Z/2024-01-31T23:59:59Z", "limit": 100}
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_backgrounds_by_hand(spark, parts):
     """Nearest clear scenes of each target against all pairs: a tile with most rows over several tasks, ties in time, sparse and cloudy tiles, nulls."""
