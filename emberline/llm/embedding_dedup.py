@@ -20,8 +20,10 @@ from emberline.llm.components import connected_components
 LEAST, NEIGHBOURS, BITS = 0.9, 256, 64
 #: Chance that two vectors at the least cosine of a link fall on the same side of a plane, and the share of such links that passes may leave out.
 SAME_SIDE, MISSED = 1 - math.acos(LEAST) / math.pi, 0.04
-#: Vectors that are compared with all others to measure what the passes found, the share of their links that must be found, and how often passes are added for it at most.
-ASKED, FOUND, MOST_ROUNDS = 256, 0.95, 8
+#: Vectors that are compared with all others to measure what the passes found; more, up to so many bytes, until so many links are seen.
+ASKED, ASKED_BYTES, ENOUGH = 256, 32 << 20, 200
+#: The share of links that must be found with a confidence of 95 %, and after how many rounds of passes all vectors are compared with all instead.
+FOUND, MOST_ROUNDS = 0.92, 8
 #: Members of a component that a task compares with as many others, some at a time.
 BLOCK, TOGETHER = 4096, 512
 #: Stands for a null id: after every other.
@@ -102,7 +104,7 @@ def _window_links(signed: DataFrame) -> DataFrame:
         def at_border(rows: pa.RecordBatch, first: bool) -> pa.RecordBatch:
             n = len(rows)
             none = pa.nulls(n, pa.int64())
-            place = pa.array(np.full(n, task - first, np.int32))
+            place = pa.array(np.full(n, task, np.int32))
             return pa.RecordBatch.from_arrays([none, none, place, rows.column(0), rows.column(1), pa.array([first] * n, pa.bool_()), rows.column(3), rows.column(4)], names=names)
 
         def compared(last: bool):
@@ -149,31 +151,86 @@ def _window_links(signed: DataFrame) -> DataFrame:
         near = np.concatenate((np.zeros((len(before), len(before)), bool), unit[0] @ unit[1].T >= LEAST), axis=1)
         return pd.DataFrame(dict(zip("ab", _forest(ids[: len(before)], near, ids))))
 
-    borders = out.where("border is not null").groupBy("border", "dim", "turn").applyInPandas(across, "a long, b long")  # 2 * NEIGHBOURS rows each
+    edges = out.where("border is not null")
+    tasks = sorted(r.border for r in edges.select("border").distinct().collect())  # a task without rows isn't among them
+    number = out.sparkSession.createDataFrame(list(zip(tasks, range(len(tasks)))), "border int, n int")
+    edges = edges.join(F.broadcast(number), "border").withColumn("border", F.col("n") - F.col("first").cast("int"))
+    borders = edges.groupBy("border", "dim", "turn").applyInPandas(across, "a long, b long")  # 2 * NEIGHBOURS rows each
     return out.where("a is not null").select("a", "b").unionByName(borders).distinct()
 
 
-def _found(reps: DataFrame, parts: DataFrame) -> float:
-    """The share of all links of ASKED vectors, by brute force, whose ends the passes brought into one component."""
-    asked = reps.orderBy(F.xxhash64("rep"), "rep").limit(ASKED).select("rep", "dim", "embedding").toPandas()
-    queries = {int(d): (g["rep"].to_numpy(), _scaled(np.stack(g["embedding"].to_numpy()))) for d, g in asked.groupby("dim")}
-    shared = reps.sparkSession.sparkContext.broadcast(queries)  # ASKED vectors
+def _asked_links(reps: DataFrame, asked: int) -> DataFrame:
+    """(a, b): all links of ``asked`` vectors, drawn by a hash, with any vector b, by comparing them with all."""
+    some = reps.orderBy(F.xxhash64("rep"), "rep").limit(asked).select("rep", "dim", "embedding").toPandas()
+    queries = {int(d): (g["rep"].to_numpy(), np.stack(g["embedding"].to_numpy())) for d, g in some.groupby("dim")}
+    shared = reps.sparkSession.sparkContext.broadcast(queries)  # ASKED vectors, or ASKED_BYTES
 
     def run(batches):
         for batch in batches:
             dims = batch.column(1).to_numpy()
-            for dim, (ids, unit) in shared.value.items():
+            for dim, (ids, embeddings) in shared.value.items():
                 part = batch.filter(pa.array(dims == dim))
-                if len(part):
-                    i, j = np.nonzero(_matrix(part.column(2)) @ unit.T >= LEAST)
-                    a, b = part.column(0).to_numpy()[i], ids[j]
-                    yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"])
-
-    links = reps.select("rep", "dim", "embedding").mapInArrow(run, "a long, b long")
+                for at in range(0, len(part), BLOCK):
+                    rows = part.slice(at, BLOCK)
+                    unit, own = _matrix(rows.column(2)), rows.column(0).to_numpy()
+                    for q in range(0, len(ids), BLOCK):
+                        i, j = np.nonzero(unit @ _scaled(embeddings[q : q + BLOCK]).T >= LEAST)
+                        b, a = own[i], ids[q + j]
+                        yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"])
+
+    return reps.select("rep", "dim", "embedding").mapInArrow(run, "a long, b long")
+
+
+def _sample(reps: DataFrame, vectors: int) -> tuple[DataFrame, bool]:
+    """(links of a sample with all vectors, whether it holds all vectors): ASKED vectors, more while these show less than ENOUGH links."""
+    widest = (reps.agg(F.max("dim")).first()[0] or 1) * 8
+    most, asked = min(vectors, max(ASKED, ASKED_BYTES // widest)), min(ASKED, vectors)
+    links = _asked_links(reps, asked)
+    while asked < most and links.count() < ENOUGH:
+        asked = min(most, 16 * asked)
+        links = table(_asked_links(reps, asked))  # few: the smaller sample showed less than ENOUGH
+    return links, asked >= vectors
+
+
+def lower_bound(n: int, of: int) -> float:
+    """Of a share n / of: what it exceeds with a confidence of 95 % (Wilson); 0 without cases."""
+    if not of:
+        return 0.0
+    z, p = 1.645, n / of
+    return (p + z * z / (2 * of) - z * math.sqrt(p * (1 - p) / of + z * z / (4 * of * of))) / (1 + z * z / of)
+
+
+def _enough(sample: DataFrame, parts: DataFrame) -> bool:
+    """Whether the passes brought the ends of enough of the sample's links into one component; of fewer than ENOUGH links, all."""
+    links = sample
     for end in "ab":
         links = links.join(parts.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left")
     row = links.agg(F.count("*").alias("of"), F.count(F.when(F.col("ca") == F.col("cb"), 1)).alias("n")).first()
-    return row.n / row.of if row.of else 1.0
+    return row.n == row.of if row.of < ENOUGH else lower_bound(row.n, row.of) >= FOUND
+
+
+def all_links(reps: DataFrame, vectors: int) -> DataFrame:
+    """(a, b): as few links as join all linked vectors, by comparing each block of BLOCK vectors with each: exact, and quadratic."""
+    blocks = max(1, -(-vectors // BLOCK))
+    own = F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int")
+    each = reps.select("rep", "dim", "embedding", own.alias("own"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
+    each = each.select("rep", "dim", "embedding", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        one, two = pdf[pdf["own"] == pdf["x"]], pdf[pdf["own"] == pdf["y"]]
+        if not len(one) or not len(two):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        both = pd.concat((one, two)) if pdf["x"].iloc[0] != pdf["y"].iloc[0] else one
+        ids, unit = both["rep"].to_numpy(), _scaled(np.stack(both["embedding"].to_numpy()))
+        out = []
+        for at in range(0, len(one), TOGETHER):
+            turn = np.concatenate((np.arange(at, min(at + TOGETHER, len(one))), np.arange(0, at), np.arange(min(at + TOGETHER, len(one)), len(ids))))
+            here = ids[turn]
+            n = min(at + TOGETHER, len(one)) - at
+            out.append(_forest(here[:n], unit[turn[:n]] @ unit[turn].T >= LEAST, here))
+        return pd.DataFrame({"a": np.concatenate([o[0] for o in out]), "b": np.concatenate([o[1] for o in out])})
+
+    return each.groupBy("dim", "x", "y").applyInPandas(compare, "a long, b long").distinct()
 
 
 def _outer_links(members: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -217,8 +274,11 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column
     A pass sorts all vectors by a signature of random hashes (range partitioning) and compares each with its next
     neighbours; vectors that differ little share long prefixes in some pass. Links of all passes are united to
     components. The number of passes follows from the number of vectors if they are spread evenly; where many crowd
-    together, a window holds less of a prefix. So what was found is measured: ASKED vectors are compared with all, and
-    as many passes again are added until FOUND of their links lie within components. Then links are counted within components, exactly, whatever the windows saw: members within half the
+    together, a window holds less of a prefix. So what was found is measured: ASKED vectors, or more until they show ENOUGH
+    links, are compared with all, and as many passes again are added until, with a confidence of 95 %, FOUND of their links
+    lie within components. If MOST_ROUNDS don't reach that, all vectors are compared with all in blocks. A table so small that the
+    sample holds all its vectors is thereby exact; in a larger one that shows fewer than ENOUGH links, all of these must be found.
+    Then links are counted within components, exactly, whatever the windows saw: members within half the
     link's angle of the centre link with each other for certain; all others are compared in blocks. A window thus bounds
     the search but not a vector's links, and large groups never form pairs.
     """
@@ -234,15 +294,23 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column
     reps = table(
         rows.where("good").groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("embedding")).withColumn("dim", F.size("embedding"))
     )
-    passes = passes_for(reps.count())
+    vectors = reps.count()
+    passes = passes_for(vectors)
+    sample, whole = _sample(reps, vectors)
     done, links = 0, None
     while True:
-        new = _window_links(_signed(reps, range(done, done + passes)))
-        links = table(new if links is None else links.unionByName(new).distinct())
+        if done >= MOST_ROUNDS * passes:
+            links = all_links(reps, vectors)
+        else:
+            new = _window_links(_signed(reps, range(done, done + passes)))
+            links = new if links is None else links.unionByName(new)
+        if whole:  # then the sample's links are all there are
+            links = links.unionByName(sample)
+        links = table(links.distinct())
         parts = table(connected_components(links))
-        done += passes
-        if done >= MOST_ROUNDS * passes or _found(reps, parts) >= FOUND:
+        if done >= MOST_ROUNDS * passes or whole or _enough(sample, parts):
             break
+        done += passes
     members = reps.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("component_id")), "rep")
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     spread = members.select("component_id", "copies", F.posexplode(F.transform("embedding", lambda x: x.cast("double") / length)))

@@ -4,6 +4,7 @@ import random
 import time
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -122,6 +123,42 @@ def test_passes_grow_slowly():
     assert embedding_dedup.passes_for(0) >= 1 and embedding_dedup.passes_for(10**9) < 100
 
 
+def cone(n, links, dim=48, seed=6):
+    """n vectors that crowd in a cone without links, and planted pairs at cosine 0.91; with the links that are there."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=dim) / np.sqrt(dim)
+    x = centre + 0.75 * rng.normal(size=(n, dim)) / np.sqrt(dim)
+    x[: 2 * links] = pairs_at(rng, links, dim, 0.91, x[:links].copy())
+    x = x.astype(np.float32).astype(np.float64)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    a, b = np.nonzero(np.triu(unit @ unit.T >= 0.9, 1))
+    return x, a, b
+
+
+@pytest.mark.parametrize(("n", "links", "asked_bytes"), [(6000, 400, 0), (6000, 20, 0), (3000, 0, 0), (4000, 40, 32 << 20)])
+def test_recall_in_a_cone(spark, monkeypatch, n, links, asked_bytes):
+    """Recall where a crowd hides few links: measured on enough of them, and exact where the sample holds all vectors."""
+    monkeypatch.setattr(embedding_dedup, "ASKED_BYTES", asked_bytes or 48 * 8 * 2000)
+    x, a, b = cone(n, links)
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(5)
+    part = embedding_dedup.near_duplicates(df).toPandas().set_index("vec_id").sort_index()["component_id"].to_numpy()
+    share = (part[a] == part[b]).mean() if len(a) else 1.0
+    assert share == 1 if asked_bytes else share >= 0.9
+    assert len(a) or (part == np.arange(n)).all()
+
+
+def test_all_against_all(spark, monkeypatch):
+    """The exact way finds each link, whatever passes see; also with blocks of a few vectors."""
+    x, a, b = cone(900, 60)
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    monkeypatch.setattr(embedding_dedup, "MOST_ROUNDS", 0)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 200)
+    monkeypatch.setattr(embedding_dedup, "TOGETHER", 64)
+    part = embedding_dedup.near_duplicates(df).toPandas().set_index("vec_id").sort_index()["component_id"].to_numpy()
+    assert len(a) >= 60 and (part[a] == part[b]).all()
+    assert embedding_dedup.lower_bound(200, 200) > 0.98 and embedding_dedup.lower_bound(190, 200) > 0.91 and embedding_dedup.lower_bound(0, 0) == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body><header>Site name</header><nav><ul><li><a href="/">Home</a></ul></nav>
 <div class="cookie-notice">We use cookies</div><article><h1>Head &amp; more</h1><p><b>First
  line<br>goes on<p>Second&nbsp;para</p><form><label>Mail</label></form><div class="share">Share this</div><ul><li>one<li>two</ul><section id="comments"><p>Nice!</p></section></article>
