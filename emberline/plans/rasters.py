@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import uuid
 
+import numpy as np
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from emberline.functions import geo, pixels, tables
@@ -11,6 +14,8 @@ from emberline.operators import coverage, detect, plume
 from emberline.plans import proxies
 from emberline.plans.proxies import DETECTIONS, PIXELS
 from emberline.schema import Thresholds
+from emberline.sources import tiled_rasters
+from emberline.work import shared_folder
 
 
 def _r(digits, *names):
@@ -111,6 +116,34 @@ def sql_block_detections(spark, sf_dir):
 SQL_BLOCK_DETECTIONS = BLOCK_DETECTIONS
 
 
+def tiled_blocks(spark, sf_dir):
+    """Mosaics of 8 x 8 blocks written as tiled TIFF files, and what the left half of their 32-pixel blocks holds when read back."""
+    tiled_rasters.register(spark)
+    b = proxies.blocks(spark, sf_dir).select(F.floor(F.col("vec_id") / 64).alias("image"), (F.col("vec_id") % 64).alias("place"), "b12")
+    folder = f"{shared_folder(spark)}/tiles-{uuid.uuid4().hex}"
+
+    def write(f):
+        grid = np.zeros((64, 64), np.uint16)
+        for place, values in zip(f["place"], f["b12"]):
+            y, x = divmod(int(place), 8)
+            grid[8 * y : 8 * y + 8, 8 * x : 8 * x + 8] = np.reshape(values, (8, 8))
+        store, at = fs.FileSystem.from_uri(folder)
+        store.create_dir(at, recursive=True)
+        with store.open_output_stream(f"{at}/{int(f['image'].iloc[0])}.tif") as out:
+            out.write(tiled_rasters.encoded(grid, tile=16, deflate=bool(f["image"].iloc[0] % 2), epsg=32639, min_x=500000.0, max_y=2800000.0, res=20.0))
+        return f[["image"]].head(1)
+
+    b.groupBy("image").applyInPandas(write, "image long").write.format("noop").mode("overwrite").save()
+    read = spark.read.format("tiled_raster").options(block="32").load(folder).where("x1 <= 32")
+    total = F.aggregate("pixels", F.lit(0).cast("long"), lambda a, x: a + x)
+    image = F.regexp_extract("path", r"(\d+)\.tif", 1).cast("long")
+    return read.select(image.alias("image"), "br", "bc", "epsg", total.alias("total"), F.array_max("pixels").alias("most")).where("total > 0")
+
+
+TILED_BLOCKS = f"""WITH {PIXELS}, t AS (SELECT vec_id // 64 AS image, vec_id % 64 // 8 * 8 + idx // 8 AS y, vec_id % 8 * 8 + idx % 8 AS x, dn12 FROM pr)
+SELECT CAST(image AS BIGINT) AS image, CAST(y // 32 AS INTEGER) AS br, CAST(x // 32 AS INTEGER) AS bc, 32639 AS epsg, CAST(sum(dn12) AS BIGINT) AS total, max(dn12) AS most FROM t WHERE x < 32 GROUP BY ALL"""
+
+
 def class_histograms(spark, sf_dir):
     """Scene classes of each block, as text, and the cloud fraction of pixels with data."""
     b = proxies.blocks(spark, sf_dir).withColumn("h", pixels.histogram(F.col("scl")))
