@@ -213,11 +213,88 @@ SELECT id, round(CASE WHEN n = 0 OR s <= 0 THEN 0 ELSE 3600 * ue * ime / len END
 
 
 def registrations(spark, sf_dir):
-    """Shift between neighbouring vectors' images: checked against known shifts in the tests."""
+    """Shift between neighbouring vectors' images, and a weighted sum of the pixels of the image that was moved."""
     r = proxies.rasters(spark, sf_dir)
     image = F.concat("prob", "prob", "prob")
     after = r.select((F.col("id") - 1).alias("id"), image.alias("background"))
-    return plume.aligned(r.select("id", "width", "height", image.alias("target")).join(after, "id"), (0, 1, 2)).select("id", *_r(5, "tx", "ty"))
+    got = plume.aligned(r.select("id", "width", "height", image.alias("target")).join(after, "id"), (0, 1, 2))
+    total = F.aggregate(F.transform("aligned", lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    return got.select("id", *_r(5, "tx", "ty"), F.round(total, 4).alias("total"))
+
+
+def _finer(low: str, high: str) -> str:
+    return f"coalesce(CASE WHEN abs({low} - 2 * c + {high}) >= 1e-12 THEN greatest(-5e-1, least(5e-1, 5e-1 * ({low} - {high}) / ({low} - 2 * c + {high}))) END, 0)"
+
+
+REGISTRATIONS = f"""WITH {PIXELS}, p AS (SELECT vec_id AS id, idx // 8 AS y, idx % 8 AS x, prob AS v FROM pr),
+ab AS (SELECT a.id, a.y - b.y AS dy, a.x - b.x AS dx, a.v AS a, b.v AS b FROM p AS a JOIN p AS b ON b.id = a.id + 1 WHERE a.y BETWEEN 1 AND 6 AND a.x BETWEEN 1 AND 6 AND abs(a.y - b.y) <= 5 AND abs(a.x - b.x) <= 5),
+sc AS (SELECT id, dy, dx, corr(a, b) AS c FROM ab GROUP BY id, dy, dx HAVING var_pop(a) > 0 AND var_pop(b) > 0),
+be AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY id ORDER BY c DESC, dy, dx) = 1),
+ne AS (SELECT be.*, l.c AS cl, r.c AS cr, u.c AS cu, d.c AS cd FROM be LEFT JOIN sc AS l ON l.id = be.id AND l.dy = be.dy AND l.dx = be.dx - 1 LEFT JOIN sc AS r ON r.id = be.id AND r.dy = be.dy AND r.dx = be.dx + 1
+       LEFT JOIN sc AS u ON u.id = be.id AND u.dx = be.dx AND u.dy = be.dy - 1 LEFT JOIN sc AS d ON d.id = be.id AND d.dx = be.dx AND d.dy = be.dy + 1),
+f AS (SELECT id, dx + {_finer("cl", "cr")} AS tx, dy + {_finer("cu", "cd")} AS ty FROM ne),
+t AS (SELECT id, CASE WHEN tx * tx + ty * ty <= 25 THEN tx ELSE 0e0 END AS tx, CASE WHEN tx * tx + ty * ty <= 25 THEN ty ELSE 0e0 END AS ty FROM f),
+m AS (SELECT id - 1 AS id, map_from_entries(list((y * 8 + x, v))) AS m FROM p GROUP BY id),
+g AS (SELECT t.*, m, unnest(range(0, 64)) AS i FROM t JOIN m USING (id)),
+h AS (SELECT *, floor(i // 8 - ty) AS ay, floor(i % 8 - tx) AS ax, i // 8 - ty - floor(i // 8 - ty) AS wy, i % 8 - tx - floor(i % 8 - tx) AS wx FROM g),
+k AS (SELECT *, CAST(greatest(0, least(7, ay)) AS BIGINT) AS j0, CAST(greatest(0, least(7, ay + 1)) AS BIGINT) AS j1, CAST(greatest(0, least(7, ax)) AS BIGINT) AS i0, CAST(greatest(0, least(7, ax + 1)) AS BIGINT) AS i1 FROM h),
+z AS (SELECT *, (m[j0 * 8 + i0] * (1 - wx) + m[j0 * 8 + i1] * wx) * (1 - wy) + (m[j1 * 8 + i0] * (1 - wx) + m[j1 * 8 + i1] * wx) * wy AS v FROM k)
+SELECT id, round(tx, 5) AS tx, round(ty, 5) AS ty, round(sum(v * (3 * (i + 1) + 192)), 4) AS total FROM z GROUP BY id, tx, ty"""
+
+
+_AMF, _COLUMNS = (2.0, 2.2, 2.5, 3.0, 4.0), (1300.0, 1800.0, 2500.0, 4000.0, 8000.0)
+
+
+def _transmittances() -> dict:
+    """A transmittance table of our own."""
+    along = lambda k: [[math.exp(-k * a * c / 1e4) for c in _COLUMNS] for a in _AMF]
+    own = {"transmittance_b12": along(0.5), "transmittance_b11": along(0.1), "transmittance_b12_bg": [math.exp(-0.09 * a) for a in _AMF], "transmittance_b11_bg": [math.exp(-0.018 * a) for a in _AMF]}
+    return {"amf_arr": list(_AMF), "mr_ch4_arr": [list(_COLUMNS)] * 5, "background_concentration": 1800.0, "S2B": own}
+
+
+def plume_retrievals(spark, sf_dir):
+    """Methane in each block's cells above one half, seen under angles of its own."""
+    b = proxies.blocks(spark, sf_dir).withColumnRenamed("vec_id", "id")
+    shifted = lambda c, by: F.transform(c, lambda v: (v - by).cast("double"))
+    six = lambda low, high: F.concat(*[low] * 5, high)
+    cells = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.get("prob", i) > 0.5)
+    chips = b.join(proxies.rasters(spark, sf_dir).select("id", "prob"), "id").select(
+        "id", six(shifted("b11", 1000), shifted("b12", 1000)).alias("target"), six(shifted("b11", 900), shifted("b8a", 800)).alias("aligned"), F.transform("scl", lambda v: v % 3 > 0).alias("valid"),
+        F.lit("S2B").alias("satellite"), (F.col("id") % 50 + 20).cast("double").alias("sun_zenith"), (F.col("id") % 9).cast("double").alias("view_zenith"),
+        F.array(F.struct(F.lit(0).alias("component"), cells.alias("cells"))).alias("parts"),
+    )
+    total = F.aggregate("ppb", F.lit(0.0), lambda a, v: a + v)
+    return plume.retrievals(chips, _transmittances()).select("id", F.size("ppb").alias("cells"), F.round(total, 4).alias("total"), F.round(F.array_max("ppb"), 4).alias("most"), F.round(F.array_min("ppb"), 4).alias("least"))
+
+
+def _weights(x: list[str], at: str) -> list[str]:
+    """SQL of the factors by which the not-a-knot spline through five points takes their values: only the middle one is a knot."""
+    over = lambda i, t: "(" + " * ".join(f"(({t}) - {x[j]}) / ({x[i]} - {x[j]})" for j in range(5) if j != i) + ")"
+    divided = lambda i: "(1e0 / (" + " * ".join(f"({x[i]} - {x[j]})" for j in range(5) if j != i) + "))"
+    cut = lambda t: f"pow(greatest(0e0, ({t}) - {x[2]}), 3)"
+    bend = " + ".join(f"{cut(x[i])} * {divided(i)}" for i in range(5))
+    rest = f"({cut(at)} - (" + " + ".join(f"{cut(x[i])} * {over(i, at)}" for i in range(5)) + "))"
+    return [f"({over(i, at)} + {divided(i)} / ({bend}) * {rest})" for i in range(5)]
+
+
+def _weighed(values: list[str]) -> str:
+    return "(" + " + ".join(f"w{i} * {v}" for i, v in enumerate(values)) + ")"
+
+
+def _decays(k: float) -> list[str]:
+    return [_weighed([f"exp({-k * a * c / 1e4!r}::DOUBLE)" for a in _AMF]) for c in _COLUMNS]
+
+
+PLUME_RETRIEVALS = f"""WITH {PIXELS}, q AS (SELECT vec_id AS id, prob > 5e-1 AS cell, scl % 3 > 0 AS valid, CASE WHEN b11 <> 0 THEN least(10e0, b12 / b11) END AS rt, (b8a + 2e-2) / (b11 + 1e-2) AS rb FROM pr),
+mn AS (SELECT id, coalesce(avg(rt) FILTER (valid AND NOT cell), 1) AS mt, avg(least(10e0, rb)) AS mb FROM q GROUP BY id),
+r AS (SELECT id, CASE WHEN rt <> 0 AND rb <> 0 AND mt <> 0 THEN least(10e0, (rt / mt) / (least(10e0, rb) / mb)) ELSE 1e0 END AS r FROM q JOIN mn USING (id) WHERE cell),
+g AS (SELECT DISTINCT vec_id AS id, least(4e0, 1 / cos(radians(vec_id % 9)) + 1 / cos(radians(vec_id % 50 + 20))) AS t FROM pr),
+w AS (SELECT id, {", ".join(f"{e} AS w{i}" for i, e in enumerate(_weights([f"{a!r}::DOUBLE" for a in _AMF], "t")))} FROM g),
+cv AS (SELECT id, {_weighed([f"exp({-0.09 * a!r}::DOUBLE)" for a in _AMF])} / {_weighed([f"exp({-0.018 * a!r}::DOUBLE)" for a in _AMF])} AS base, {", ".join(f"{h} / {low} AS x{i}" for i, (h, low) in enumerate(zip(_decays(0.5), _decays(0.1))))} FROM w),
+tb AS (SELECT *, greatest(3e-1, least(108e-2, r)) * base AS t FROM r JOIN cv USING (id)),
+ww AS (SELECT id, r, {", ".join(f"{e} AS w{i}" for i, e in enumerate(_weights([f"x{i}" for i in range(5)], "t")))} FROM tb),
+pb AS (SELECT id, CASE WHEN r = 1 THEN 0 ELSE {_weighed([f"{c!r}::DOUBLE" for c in _COLUMNS])} - 1800 END AS ppb FROM ww)
+SELECT vec_id AS id, CAST(count(ppb) AS INTEGER) AS cells, round(coalesce(sum(ppb), 0), 4) AS total, round(max(ppb), 4) AS most, round(min(ppb), 4) AS least FROM embeddings LEFT JOIN pb ON pb.id = vec_id GROUP BY vec_id"""
 
 
 def scene_statuses(spark, sf_dir):
@@ -334,10 +411,6 @@ SELECT vec_id AS id, round((m[j0 * 8 + i0] * (1 - u) + m[j0 * 8 + i1] * u) * (1
 
 def plume_pipeline(spark, sf_dir):
     """The whole plume pipeline on small images of each vector, with a transmittance table of its own: checked in the tests."""
-    amf, columns = [2.0, 2.2, 2.5, 3.0, 4.0], [1300.0, 1800.0, 2500.0, 4000.0, 8000.0]
-    along = lambda k: [[math.exp(-k * a * c / 1e4) for c in columns] for a in amf]
-    own = {"transmittance_b12": along(0.5), "transmittance_b11": along(0.1), "transmittance_b12_bg": [math.exp(-0.09 * a) for a in amf], "transmittance_b11_bg": [math.exp(-0.018 * a) for a in amf]}
-    table = {"amf_arr": amf, "mr_ch4_arr": [columns] * 5, "background_concentration": 1800.0, "S2B": own}
     cells = F.sequence(F.lit(0), F.lit(24 * 24 - 1))
     wide = F.transform(cells, lambda i: F.get("prob", (F.floor(F.floor(i / 24) / 3) * 8 + F.floor(i % 24 / 3)).cast("int")))
     band = lambda k: F.transform(wide, lambda p, i: 1000 + p * 300 + (i * (37 + k)) % 50)
@@ -347,5 +420,5 @@ def plume_pipeline(spark, sf_dir):
         F.transform(cells, lambda i: F.lit(True)).alias("valid"), F.array(F.lit(3.0), F.col("id") % 5 + F.lit(0.5)).alias("wind"), F.lit("S2B").alias("satellite"), F.lit(35.0).alias("sun_zenith"), F.lit(5.0).alias("view_zenith"),
         (F.col("id") * 13 % 100).cast("double").alias("clear_percent"), F.transform(wide, lambda p: F.when(p > 0.55, 0.9).otherwise(p / 2)).alias("prob"),
     )
-    got = plume.detect_plumes(scenes, table).select("id", "status", F.round("score", 6).alias("score"), F.explode_outer("plumes").alias("p"))
+    got = plume.detect_plumes(scenes, _transmittances()).select("id", "status", F.round("score", 6).alias("score"), F.explode_outer("plumes").alias("p"))
     return got.select("id", "status", "score", "p.component", "p.pixels", *(F.round(f"p.{c}", 4).alias(c) for c in ("row", "col", "max_probability", "rate", "sigma")))

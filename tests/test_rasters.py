@@ -83,12 +83,44 @@ def test_shift():
     assert plume.shift_between(np.zeros((20, 20)), np.zeros((20, 20))) == (0.0, 0.0)
 
 
-def test_input_and_ratio():
+def plain_scores(fixed, moving):
+    """Correlations window by window."""
+    height, width = fixed.shape
+    crop = min(height, width, int(np.floor(min(height, width) * plume.CENTRAL + 0.5)))
+    ys, xs = ([n // 2 for n in (height - crop, width - crop)])
+    out = np.full((11, 11), -np.inf)
+    for dy in range(-5, 6):
+        for dx in range(-5, 6):
+            at = [(y, x) for y in range(ys, height - ys) for x in range(xs, width - xs) if 0 <= y - dy < height and 0 <= x - dx < width]
+            a, b = np.array([fixed[p] for p in at]), np.array([moving[y - dy, x - dx] for y, x in at])
+            if len(at) > 1 and np.ptp(a) > 0 and np.ptp(b) > 0:
+                out[dy + 5, dx + 5] = np.corrcoef(a, b)[0, 1]
+    return out
+
+
+@pytest.mark.parametrize("shape", [(24, 24), (8, 8), (12, 31), (31, 12), (5, 5), (3, 7), (2, 2), (1, 1)])
+def test_shift_scores_by_windows(shape):
+    """One transform gives each shift's correlation, also in images smaller than the largest shift, with large values and flat parts."""
+    rng = np.random.default_rng(shape[0])
+    for fixed in (rng.random(shape), rng.random(shape) * 50 + 9000, np.where(np.arange(shape[1]) < 3, 7.0, rng.random(shape))):
+        moving = rng.random(shape)
+        want, got = plain_scores(fixed, moving), plume.shift_scores(fixed, moving)
+        assert (np.isfinite(want) == np.isfinite(got)).all()
+        assert got[np.isfinite(got)] == pytest.approx(want[np.isfinite(want)], abs=1e-7)
+
+
+def test_shift_of_odd_images():
+    image = np.arange(400.0).reshape(20, 20)
+    for odd in (np.full((20, 20), 3.7), np.where(image == 5, np.nan, image)):
+        assert plume.shift_between(odd, image) == plume.shift_between(image, odd) == (0.0, 0.0)
+    assert plume.shift_between(np.zeros((0, 0)), np.zeros((0, 0))) == (0.0, 0.0)
+
+
+def test_network_input():
     target = np.arange(24, dtype=float).reshape(6, 2, 2) + 1
     valid = np.array([[True, True], [False, True]])
     x = plume.network_input(target, target, valid, (8.0, -4.0))
     assert x.shape == (16, 2, 2) and (x[13] == 1).all() and (x[14] == -0.5).all() and x[15].ravel().tolist() == [0, 0, 1, 0] and (x[0] == 1).all()
-    assert plume.retrieval_ratio(target, target, np.ones((2, 2), bool), np.zeros((2, 2), bool), 4, 5) == pytest.approx(np.ones((2, 2)))
 
 
 def test_spline_reproduces_cubics():
@@ -107,13 +139,69 @@ def table():
     return {"amf_arr": amf, "mr_ch4_arr": [columns] * 5, "background_concentration": 1800.0, "S2B": one}
 
 
-def test_enhancement():
+def plain_retrieval(target, background, valid, plume_cells, geometry, table):
+    """Ratios and methane of a scene in numpy alone."""
+
+    def ratios(image, keep):
+        with np.errstate(all="ignore"):
+            r = image[5] / image[4]
+        ok = (image[4] != 0) & np.isfinite(r)
+        r = np.where(ok, np.clip(r, 0, 10), 0.0)
+        return r / (r[keep & ok].mean() if (keep & ok).any() else 1.0)
+
+    off = valid.copy()
+    off[plume_cells] = False
+    a, b = ratios(target, off), ratios(background, np.ones(len(valid), bool))
+    ratio = np.where((a != 0) & (b != 0), np.clip(np.divide(a, b, out=np.ones_like(a), where=b != 0), 0, 10), 1.0)
+    base, *_ = plume.methane_curve(*geometry, table)
+    amf = min(sum(1 / np.cos(np.radians(v)) for v in geometry[1:]), table["amf_arr"][-1])
+    own = table[geometry[0]]
+    trans = [plume.cubic(table["amf_arr"], np.array(own["transmittance_b12"])[:, k], amf) / plume.cubic(table["amf_arr"], np.array(own["transmittance_b11"])[:, k], amf) for k in range(5)]
+    got = plume.cubic(trans, table["mr_ch4_arr"][0], np.clip(ratio, 0.3, 1.08) * base) - table["background_concentration"]
+    return np.where(ratio == 1.0, 0.0, got)[plume_cells]
+
+
+def test_retrievals_by_hand(spark):
+    """Expressions and numpy agree to 1e-9: zeros, infinities, invalid pixels, several plumes, none, everything plume, unknown angles."""
+    rng = np.random.default_rng(7)
+    rows, want = [], {}
+    for i in range(9):
+        n = 40
+        target, background = rng.random((6, n)) * 100 + 900, rng.random((6, n)) * 100 + 900
+        target[4, :4], background[4, 2:5], target[5, 6] = 0.0, 0.0, np.inf
+        target[5, 8:10] = 0.0
+        valid = rng.random(n) < 0.7
+        parts = [(0, list(range(3, 12))), (1, [20, 22, 39])] if i < 6 else [(0, list(range(n)))] if i == 6 else []
+        geometry = ("S2B", 10.0 + 9 * (i % 4), float(i % 3)) if i != 5 else ("S2B", None, 1.0)
+        rows.append((i, target.ravel().tolist(), background.ravel().tolist(), valid.tolist(), *geometry, parts))
+        for k, cells in parts:
+            want[i, k] = None if i == 5 else plain_retrieval(target, background, valid, [c for c in cells], geometry, table()) if len(parts) == 1 else (target, background, valid, parts, geometry)
+    for (i, k), v in list(want.items()):
+        if isinstance(v, tuple):
+            target, background, valid, parts, geometry = v
+            every = [c for _, cells in parts for c in cells]
+            want[i, k] = np.array([x for c, x in zip(every, plain_retrieval(target, background, valid, every, geometry, table())) if c in parts[k][1]])
+    schema = "id long, target array<double>, aligned array<double>, valid array<boolean>, satellite string, sun_zenith double, view_zenith double, parts array<struct<component:int,cells:array<int>>>"
+    frame = spark.createDataFrame(rows, schema).withColumn("base", F.lit(1)).withColumn("ppb", F.lit("clash"))
+    got = {(r.id, r.component): r.ppb for r in plume.retrievals(frame, table()).collect()}
+    assert got.keys() == want.keys()
+    for key, values in want.items():
+        assert (got[key] is None) == (values is None)
+        assert values is None or got[key] == pytest.approx(values, rel=1e-9, abs=1e-6)
+    assert plume.retrievals(frame.where("false"), table()).count() == 0
+
+
+def test_enhancement(spark):
+    """Methane of a known column comes back; ratios of 1, none and such that aren't numbers give 0."""
     amf = 1 / np.cos(np.radians(35.2)) + 1 / np.cos(np.radians(4.7))
     more = 1500.0
-    got = plume.enhancement(np.array([np.exp(-0.4 * amf * more / 1e4), 1.0, np.nan]), "S2B", 35.2, 4.7, table())
-    assert got[0] == pytest.approx(more, rel=0.03) and got[1] == 0 and got[2] == 0
+    ratios = [float(np.exp(-0.4 * amf * more / 1e4)), 1.0, float("nan"), float("inf"), None]
+    curve = plume.methane_curves(spark.createDataFrame([("S2B", 35.2, 4.7), ("S2B", float("nan"), 1.0), (None, 1.0, 1.0)], "satellite string, sun_zenith double, view_zenith double"), table())
+    one = curve.crossJoin(spark.createDataFrame([(i, r) for i, r in enumerate(ratios)], "i int, r double"))
+    got = [r.e for r in one.select("i", plume.enhancement(F.col("r"), F.col("base"), F.col("starts"), F.col("factors"), table()).alias("e")).orderBy("i").collect()]
+    assert got[0] == pytest.approx(more, rel=0.03) and got[1:] == [0, 0, 0, 0]
     with pytest.raises(ValueError):
-        plume.enhancement(np.ones(1), "S9", 1, 1, table())
+        plume.methane_curve("S9", 1, 1, table())
 
 
 def test_flux_golden(spark):
