@@ -152,6 +152,46 @@ SELECT date, m AS mgrs, 'scene-' || uid || '-' || date AS scene, pixels, 'abc' A
 FROM g WHERE (uid + CAST(substr(date, 9, 2) AS INTEGER)) % 5 <> 0"""
 
 
+def archived_detections(spark, sf_dir):
+    """A record per tile and date as files of their own, published, read into the archive of detections and from there."""
+    d = proxies.detections(spark, sf_dir).withColumn("scene", F.concat("mgrs", F.lit("-"), "date"))
+    made = records.features_by_scene(d.select("date", "mgrs", "scene", "lon", "lat", "max_b12", "peak_b11", "radiance", "pixels"))
+    tile, date = F.substring_index("scene", "-", 1), F.substring("scene", F.instr("scene", "-") + 1, F.lit(10))
+    analysis = made.select(
+        F.concat(F.lit("area "), tile).alias("area"), F.lit("{}").alias("area_json"), F.struct(F.col("scene").alias("id"), date.alias("date"), tile.alias("mgrs")).alias("scene"),
+        F.struct(tile.alias("id")).alias("target"), records.method_fingerprint("flares", F.struct(F.lit(0.3).alias("floor"))).alias("method"), F.lit("ok").alias("status"), "features",
+    )
+    folder = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}"
+    records.commit_records(records.envelope("flares", analysis), f"{folder}/work")
+    records.publish(spark, f"{folder}/work", f"{folder}/public")
+    read = records.read_records(spark, f"{folder}/public", "flares-*.geojson")
+    records.write_detections(records.detections_view(read), f"{folder}/views/detections")
+    found = records.read_detections(spark, f"{folder}/views/detections")
+    return found.select("date", "mgrs", "scene", "pixels", *(F.round(c, 9).alias(c) for c in ("lon", "lat", "max_b12", "max_b11", "radiance")))
+
+
+ARCHIVED_DETECTIONS = f"""WITH {DETECTIONS} SELECT date, mgrs, mgrs || '-' || date AS scene, pixels, round(lon, 9) AS lon, round(lat, 9) AS lat, round(max_b12, 9) AS max_b12, round(peak_b11, 9) AS max_b11, round(radiance, 9) AS radiance FROM d"""
+
+
+def published_files(spark, sf_dir):
+    """Files of pages by site: all published, then only those that a second run has to; what the manifest and the tree hold in the end."""
+    pages = proxies.read(spark, sf_dir, "pages").select("page_id", "html")
+    folder = f"{shared_folder(spark)}/tree-{uuid.uuid4().hex}"
+    path = F.concat(F.lit("s"), (F.col("page_id") % 7).cast("string"), F.lit("/p "), F.col("page_id").cast("string"), F.when(F.col("page_id") % 5 == 0, ".err").otherwise(".html"))
+    write = lambda rows: records.commit_records(rows.select(path.alias("path"), F.coalesce("html", F.lit("")).alias("json")), f"{folder}/work")
+    write(pages.where("page_id % 2 = 0"))
+    records.publish(spark, f"{folder}/work", f"{folder}/public")
+    write(pages.where("page_id % 2 = 1"))
+    records.publish(spark, f"{folder}/work", f"{folder}/public")
+    listed = records.published(spark, f"{folder}/public").join(records.listed_files(spark, f"{folder}/public").select("path", "length"), ["path", "length"])
+    run = F.dense_rank().over(Window.partitionBy().orderBy("first"))
+    runs = listed.groupBy("run").agg(F.min(F.regexp_extract("path", r"(\d+)\.html", 1).cast("long") % 2).alias("first")).select("run", run.alias("nth"))
+    return listed.join(F.broadcast(runs), "run").select("path", "length", "nth")
+
+
+PUBLISHED_FILES = """SELECT 's' || (page_id % 7) || '/p ' || page_id || '.html' AS path, CAST(octet_length(encode(coalesce(html, ''))) + 1 AS BIGINT) AS length, CAST(page_id % 2 + 1 AS INTEGER) AS nth FROM pages WHERE page_id % 5 <> 0"""
+
+
 def record_retrievals(spark, sf_dir):
     """Records as JSON to the retrievals view: records without features stay, with validity unknown."""
     v = records.retrievals_view(records.parsed(proxies.record_texts(spark, sf_dir)), ["site1:2024-01-0", "site2%:plume-1"])

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -195,14 +197,11 @@ def commit_records(records: DataFrame, root: str) -> None:
     systems (``file``, ``hdfs``, ``s3``, ``gs``; ``s3a`` and ``s3n`` are names of ``s3``), so rerun tasks overwrite what
     a lost one left.
     """
-    root = re.sub("^s3[an]://", "s3://", root)
 
     def write(rows):
-        from pyarrow import fs
-
-        where, base = fs.FileSystem.from_uri(root)
+        where, base = _store(root)
         for r in rows:
-            path = f"{base.rstrip('/')}/{r['path']}"
+            path = f"{base}/{r['path']}"
             where.create_dir(path.rsplit("/", 1)[0], recursive=True)
             with where.open_output_stream(f"{path}.part") as out:
                 out.write(r["json"].encode() + b"\n")
@@ -224,17 +223,82 @@ def errors_after(before: DataFrame, failed: DataFrame, succeeded: DataFrame) ->
     return failed.unionByName(before.join(failed.select(*key), key, "left_anti")).join(succeeded.select(*key), key, "left_anti")
 
 
+#: Where a published tree keeps the list of its files; readers skip the folder for its name.
+MANIFEST = "_manifest"
+NOT_PUBLISHED = (".err", ".part", ".crc")
+
+
+def _store(root: str):
+    """(file system, path) of a URI, for the executors."""
+    from pyarrow import fs
+
+    where, base = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", root))
+    return where, base.rstrip("/")
+
+
+def listed_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length, modified) of the files below ``root``, paths relative to it, but for a manifest; no file is opened.
+
+    Tasks list folders: the root, then its folders, then theirs with all below.
+    """
+    kinds = "path string, length long, modified timestamp, folder boolean"
+
+    def below(entries: DataFrame, deep: bool) -> DataFrame:
+        def run(batches):
+            from pyarrow import fs
+
+            store, base = _store(root)
+            for batch in batches:
+                folders = [p for p, f in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()) if f]
+                yield batch.filter(pc.invert(batch.column(3)))
+                for folder in folders:
+                    found = store.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/"), recursive=deep))
+                    found = [f for f in found if f.type == fs.FileType.File or not deep and f.base_name != MANIFEST]
+                    columns = ([f.path[len(base) + 1 :] for f in found], [f.size for f in found], [f.mtime_ns // 1000 if f.mtime_ns else None for f in found], [f.type != fs.FileType.File for f in found])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, batch.schema.types)], schema=batch.schema)
+
+        return entries.mapInArrow(run, kinds)
+
+    found = below(spark.createDataFrame([("", None, None, True)], kinds), False)
+    for deep in (False, True):
+        found = below(found.repartition("path"), deep)
+    return found.drop("folder")
+
+
+def published(spark: SparkSession, target: str) -> DataFrame:
+    """The manifest of a published tree: path, length, modified (at the source), run."""
+    kinds = "path string, length long, modified timestamp, run string"
+    at = f"{target.rstrip('/')}/{MANIFEST}"
+    return spark.read.schema(kinds).parquet(at) if any_file(spark, f"{at}/*.parquet") else spark.createDataFrame([], kinds)
+
+
 def publish(spark: SparkSession, source: str, target: str) -> int:
-    """Copies a tree but for error and part files; returns how many files it copied."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(source)
-    a, b = path.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path(target).getFileSystem(conf)
-    root, n = a.makeQualified(path).toString().rstrip("/"), 0
-    files = a.listFiles(path, True)
-    while files.hasNext():
-        at = files.next().getPath()
-        rest = at.toString()[len(root) :]
-        if not rest.endswith((".err", ".part", ".crc")):
-            jvm.org.apache.hadoop.fs.FileUtil.copy(a, at, b, jvm.org.apache.hadoop.fs.Path(target.rstrip("/") + rest), False, True, conf)
-            n += 1
-    return n
+    """Copies a tree but for error and part files; returns how many files it copied.
+
+    Executors copy, each file under another name first, then renamed. A run's files enter the manifest when all are
+    there; a later run leaves out what the manifest has with the same length and time and the target still holds, so a
+    run that broke off is repeated safely. Files that the source no longer has stay in the target.
+    """
+    source, target, run = source.rstrip("/"), target.rstrip("/"), uuid.uuid4().hex
+    files = listed_files(spark, source).where(~F.col("path").rlike(r"\.(?:" + "|".join(e[1:] for e in NOT_PUBLISHED) + ")$"))
+    before = published(spark, target)
+    if any_file(spark, f"{target}/{MANIFEST}/*.parquet"):
+        there = before.join(listed_files(spark, target).select("path", "length"), ["path", "length"], "left_semi")
+        files = files.join(there.select("path", "length", "modified"), ["path", "length", "modified"], "left_anti")
+
+    def copy(batches):
+        (a, root), (b, into) = _store(source), _store(target)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                to = f"{into}/{path}"
+                b.create_dir(to.rsplit("/", 1)[0], recursive=True)
+                part = f"{to}.{uuid.uuid4().hex}.part"
+                with a.open_input_stream(f"{root}/{path}") as read, b.open_output_stream(part) as write:
+                    while block := read.read(1 << 23):
+                        write.write(block)
+                b.move(part, to)
+            yield batch
+
+    copied = files.select("path", "length", "modified").mapInArrow(copy, "path string, length long, modified timestamp")
+    copied.withColumn("run", F.lit(run)).write.mode("append").parquet(f"{target}/{MANIFEST}")
+    return published(spark, target).where(F.col("run") == run).count()

@@ -57,6 +57,28 @@ def test_views(spark, tree):
     assert not list((tree / "out").rglob("*.err"))
 
 
+def test_publish_again(spark, tree):
+    """A second run copies only what is new, changed or gone from the target; a run whose manifest is missing is repeated."""
+    source, target = tree / "observations", tree / "out"
+    (source / "a" / "s 100%").mkdir()
+    (source / "a" / "s 100%" / "ü#.json").write_text("{}")
+    run = lambda: records.publish(spark, f"file://{source}/", f"file://{target}")
+    assert run() == 3 and run() == 0
+    assert (target / "a" / "s 100%" / "ü#.json").read_text() == "{}" and not list(target.rglob("*.part"))
+    (source / "a" / "s1" / "flares-m.geojson").write_text("changed")
+    (target / "a" / "s2" / "flares-m.geojson").unlink()
+    (source / "new.json").write_text("")
+    assert run() == 3 and (target / "a/s1/flares-m.geojson").read_text() == "changed" and (target / "new.json").read_text() == ""
+    assert sorted(r.path for r in records.published(spark, f"file://{target}").select("path").distinct().collect()) == sorted(str(f.relative_to(source)) for f in source.rglob("*.*json"))
+    for f in (target / records.MANIFEST).iterdir():
+        f.unlink()
+    (target / "new.json").write_text("half a copy")
+    assert run() == 4 and run() == 0 and (target / "new.json").read_text() == ""
+    (tree / "none").mkdir()
+    assert records.publish(spark, f"file://{tree}/none", f"file://{tree}/nothing") == 0
+    assert records.published(spark, f"file://{tree}/never").count() == 0
+
+
 def test_commit_and_follow(spark, tree):
     rows = spark.createDataFrame([("x/y/flares-1.geojson", json.dumps(record("s3", [point(52.0, max_b12=0.8)])))], "path string, json string")
     root = f"file://{tree}/observations"
