@@ -17,29 +17,41 @@ GIVEN = {
 TITLES = {
     "m": r"Mr|Sir|Herr|Monsieur|Señor|Sr|г-н|господин",
     "f": r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|г-жа|госпожа",
+    "n": r"Dr|Doctor|Prof|Professor|Mx|д-р|доктор|проф|профессор",
+}
+# Fixed lists: further given names that are found without a title, by gender.
+FURTHER = {
+    "m": "Ahmed Ali Amir Andrew Anthony Arjun Brian Carlos Chen Christopher Daniel Diego Edward Eric Fernando Gary George Giovanni Hans Hiroshi Ibrahim Jorge Jose Joseph Juan Kenji Kevin Luis Marco Mario Matthew Mohamed Mohammed Omar Patrick Pedro Rahul Raj Richard Ronald Ryan Samuel Sanjay Stephen Steven Takeshi Timothy Wei William Yusuf".split(),
+    "f": "Aisha Alice Amanda Andrea Angela Barbara Carmen Carol Catherine Chiara Christine Deborah Elizabeth Emily Fatima Francesca Hannah Heather Helen Ingrid Jane Jennifer Jessica Karen Katherine Kavita Keiko Kimberly Lakshmi Linda Lisa Lucia Margaret Megan Melissa Michelle Mei Nancy Nicole Patricia Priya Rachel Rebecca Samantha Sandra Sharon Stephanie Susan Yuki Zoe".split(),
 }
 # Fixed patterns: what counts as personal data, in the order in which they are tried at a place.
 _BYTE = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
 IP = rf"(?<![0-9.])(?:{_BYTE}\.){{3}}{_BYTE}(?![0-9]|\.[0-9])"
+_HEX = "[0-9A-Fa-f]{1,4}"
+IP6 = rf"(?<![\w:.])(?=[0-9A-Fa-f:]{{0,39}}[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\w:]|\.[0-9])"
+IBAN = r"(?<!\w)[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}(?:\x20?(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}(?:\x20?(?=[A-Z]{0,3}[0-9])[A-Z0-9]{1,4})?(?!\w)"
 CARD = r"(?<![\w.+-])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?!\w)"
 NATIONAL = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
 PHONE = r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{2,4}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?!\w)"
-_TITLE = rf"(?:{TITLES['m']}|{TITLES['f']})\.?"
-_LISTED = "|".join(n for names in GIVEN.values() for n in names)
-_NAME, _WORD_STARTS, _WORD_ENDS = r"\p{Lu}\p{Ll}+", r"(?<![\p{L}\p{N}_])(?=[\p{Lu}г])", r"(?![\p{L}\p{N}_])"
+_TITLE = rf"(?:{'|'.join(TITLES.values())})\.?"
+_TITLE = rf"(?:{_TITLE}\x20){{0,2}}{_TITLE}"
+_LISTED = "|".join(n for names in (*GIVEN.values(), *FURTHER.values()) for n in names)
+_PART = r"\p{Lu}\p{Ll}+(?:\p{Lu}\p{Ll}+){0,2}"  # Smith, McDonald
+_NAME = rf"(?:\p{{Lu}}['’])?{_PART}(?:[-'’]{_PART}){{0,3}}"  # O'Brien, Smith-Jones
+_WORD_STARTS, _WORD_ENDS = r"(?<![\p{L}\p{N}_])(?=[\p{Lu}гдп])", r"(?![\p{L}\p{N}_])"
 PERSON = rf"{_WORD_STARTS}(?:{_TITLE}\x20{_NAME}(?:\x20{_NAME})?|(?:{_LISTED})\x20{_NAME}){_WORD_ENDS}"
-PATTERN = "|".join((EMAIL, IP, CARD, NATIONAL, PHONE, PERSON))
+PATTERN = "|".join((EMAIL, IP, IP6, IBAN, CARD, NATIONAL, PHONE, PERSON))
 #: Every match holds one of these.
 HINT = rf"[0-9@]|{_WORD_STARTS}(?:{_TITLE}|{_LISTED})\x20\p{{Lu}}"
-KINDS = ("email", "ip", "card", "national", "phone", "person")
+KINDS = ("email", "ip", "ip6", "iban", "card", "national", "phone", "person")
 #: Draws in an entity's own format; later ones leave parts of the format that would make room scarce, then grow.
 OWN_FORMAT = 3
 
 
 def kind_of(surface: Column) -> Column:
     return (
-        F.when(surface.rlike(r"\p{L}\.?\x20\p{Lu}"), "person").when(surface.contains("@"), "email").when(surface.rlike(rf"^{IP}$"), "ip")
+        F.when(surface.rlike(rf"^{IBAN}$"), "iban").when(surface.rlike(rf"^{IP6}$"), "ip6").when(surface.rlike(r"\p{L}\.?\x20\p{Lu}"), "person").when(surface.contains("@"), "email").when(surface.rlike(rf"^{IP}$"), "ip")
         .when(surface.rlike(rf"^{NATIONAL}$"), "national").when(surface.rlike(rf"^{CARD}$"), "card").otherwise("phone")
     )
 
@@ -60,15 +72,16 @@ def _plain_surname(name: Column) -> Column:
 def entities_of(surface: Column, kind: Column) -> Column:
     """array<struct<kind, entity>>: what all spellings of an entity share.
 
-    That is an address in lower case, or a number's digits. A person is a given name (by gender and script; the gender
-    is that of the name if it is listed, else that of the title) and a surname (by script), so that whoever shares a
+    That is an address in lower case, or a number's digits, or an account number without spaces. A person is a given name (by gender and script; the gender
+    is that of the name if it is listed, else that of the title, else open) and a surname (by script), so that whoever shares a
     name still does, whatever the title.
     """
-    whole = F.when(kind == "email", F.lower(surface)).when(kind.isin("card", "national", "phone"), F.regexp_replace(surface, "[^0-9]", "")).otherwise(surface)
+    whole = F.when(kind.isin("email", "ip6"), F.lower(surface)).when(kind == "iban", F.replace(surface, F.lit(" "))).when(kind.isin("card", "national", "phone"), F.regexp_replace(surface, "[^0-9]", "")).otherwise(surface)
     title = _title(surface)
     names = F.split(F.when(title == "", surface).otherwise(F.substring(surface, F.length(title) + 2, F.length(surface))), " ")
-    listed = lambda g: names[0].isin(*GIVEN[g, "latin"], *GIVEN[g, "cyrillic"])
-    gender = F.when(listed("m"), "m").when(listed("f"), "f").when(title.rlike(rf"^(?:{TITLES['m']})\.?$"), "m").otherwise("f")
+    listed = lambda g: names[0].isin(*GIVEN[g, "latin"], *GIVEN[g, "cyrillic"], *FURTHER[g])
+    titled = lambda g: title.rlike(rf"(?:^|\x20)(?:{TITLES[g]})\.?(?:\x20|$)")
+    gender = F.when(listed("m"), "m").when(listed("f"), "f").when(titled("m"), "m").when(titled("f"), "f").otherwise("n")
     last = F.element_at(names, -1)
     surname = F.struct(F.concat(F.lit("last "), _script(last)).alias("kind"), _plain_surname(last).alias("entity"))
     given = F.struct(F.concat_ws(" ", F.lit("given"), gender, _script(names[0])).alias("kind"), names[0].alias("entity"))
@@ -130,6 +143,24 @@ def _ip(text: Column, digest: Column, attempt: Column) -> Column:
     return F.array_join(F.transform(F.split(text, r"\."), lambda p, i: part(p, i).cast("string")), ".")
 
 
+def _ip6(text: Column, digest: Column, attempt: Column) -> Column:
+    """Hexadecimal digits in the same places; later draws are any address of eight groups."""
+    nibble = lambda i: F.lower(F.hex(_drawn(digest, i, 16)))
+    own = _chars(text, lambda c, i: F.when(c == ":", c).otherwise(nibble(i)))
+    whole = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.concat(*(nibble(i * 4 + k) for k in range(4)))), ":")
+    return F.when(attempt < OWN_FORMAT, own).otherwise(whole)
+
+
+def _iban(text: Column, digest: Column, attempt: Column) -> Column:
+    """The same country, letters for letters and digits for digits, check digits that are right. Later draws are longer."""
+    tail = F.substring(text, F.lit(5), F.length(text))
+    drawn = F.concat(_chars(tail, lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(_letter(digest, i))).otherwise(_digit(digest, i))), F.array_join(F.transform(_places(_more(attempt)), lambda i: _digit(digest, -i)), ""))
+    country = F.substring(text, 1, 2)
+    value = lambda c: F.when(c.rlike("[A-Z]"), F.ascii(c) - 55).otherwise(F.ascii(c) - 48)
+    rest = F.aggregate(F.split(F.concat(drawn, country, F.lit("00")), ""), F.lit(0), lambda a, c: (a * F.when(c.rlike("[A-Z]"), 100).otherwise(10) + value(c)) % 97)
+    return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), drawn)
+
+
 _SOUNDS = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу")}
 
 
@@ -139,17 +170,24 @@ def _spelt(script: str, length: Column, digest: Column) -> Column:
     return F.array_join(F.transform(_places(length), lambda i: F.when(i % 2 == 1, letter(0, i)).otherwise(letter(1, i))), "")
 
 
+def _masked(text: Column, letters: Column) -> Column:
+    """``letters`` with the capitals, hyphens and apostrophes of ``text``, and those beyond its length as they are."""
+    letter = lambda i: F.substring(letters, i + 1, F.lit(1))
+    return F.concat(_chars(text, lambda c, i: F.when(c.rlike("[-'’]"), c).when(c.rlike(r"\p{Lu}"), F.upper(letter(i))).otherwise(letter(i))), F.substring(letters, F.length(text) + 1, F.length(letters)))
+
+
 def _name(kind: Column, text: Column, digest: Column, attempt: Column) -> Column:
-    """A listed given name of the same gender and script, later one that ends like them; a surname of the same script, length and ending, later a longer one."""
+    """A listed given name of the same gender and script, later one that ends like them; a surname of the same script, shape and ending, later a longer one."""
     out = F.lit(None).cast("string")
     for script in ("latin", "cyrillic"):
-        for gender in ("m", "f"):
-            names = GIVEN[gender, script]
+        for gender in ("m", "f", "n"):
+            names = [n for g in ("mf" if gender == "n" else gender) for n in GIVEN[g, script]]
             listed = F.element_at(F.array(*map(F.lit, names)), (_drawn(digest, F.lit(0), len(names)) + 1).cast("int"))
             made = F.initcap(F.concat(_spelt(script, 2 * _more(attempt) + 1, digest), F.lit(("a" if script == "latin" else "а") if gender == "f" else "")))
             out = F.when(kind == f"given {gender} {script}", F.when(attempt < OWN_FORMAT, listed).otherwise(made)).otherwise(out)
         ending = F.regexp_extract(text, "(?:ов|ев|ёв|ин|ын)$", 0)
-        surname = F.initcap(F.concat(_spelt(script, F.greatest(F.length(text) - F.length(ending), F.lit(1)) + _more(attempt), digest), ending))
+        stem = F.substring(text, F.lit(1), F.greatest(F.length(text) - F.length(ending), F.lit(1)))
+        surname = F.concat(_masked(stem, _spelt(script, F.length(stem) + _more(attempt), digest)), ending)
         out = F.when(kind == f"last {script}", surname).otherwise(out)
     return out
 
@@ -157,7 +195,8 @@ def _name(kind: Column, text: Column, digest: Column, attempt: Column) -> Column
 def surrogate(kind: Column, text: Column, key: str, attempt: Column) -> Column:
     digest = F.sha2(F.concat_ws("|", F.lit(key), kind, text, attempt.cast("string")), 256)
     return (
-        F.when(kind == "email", _email(text, digest, attempt)).when(kind == "ip", _ip(text, digest, attempt)).when(kind.contains(" "), _name(kind, text, digest, attempt))
+        F.when(kind == "email", _email(text, digest, attempt)).when(kind == "ip", _ip(text, digest, attempt)).when(kind == "ip6", _ip6(text, digest, attempt))
+        .when(kind == "iban", _iban(text, digest, attempt)).when(kind.contains(" "), _name(kind, text, digest, attempt))
         .otherwise(_digits(text, digest, kind, attempt))
     )
 
@@ -188,8 +227,13 @@ def assigned(entities: DataFrame, key: str) -> DataFrame:
 def _rendered(surface: Column, kind: Column, new: Column) -> Column:
     """The surrogates in the spelling of ``surface``: its capitals, its separators between digits, its title. new: map from kind to surrogate."""
     one = new[kind]
-    place = lambda i: F.length(F.regexp_replace(F.substring(surface, F.lit(1), i + 1), "[^0-9]", ""))
-    numbers = F.concat(_chars(surface, lambda c, i: F.when(c.rlike("[0-9]"), F.substring(one, place(i), F.lit(1))).otherwise(c)), F.substring(one, F.length(F.regexp_replace(surface, "[^0-9]", "")) + 1, F.length(one)))
+
+    def kept(signs: str) -> Column:
+        """The surrogate's characters in the places of ``surface``'s ``signs``, those beyond them at the end."""
+        held = lambda text: F.length(F.regexp_replace(text, f"[^{signs}]", ""))
+        own = _chars(surface, lambda c, i: F.when(c.rlike(f"[{signs}]"), F.substring(one, held(F.substring(surface, F.lit(1), i + 1)), F.lit(1))).otherwise(c))
+        return F.concat(own, F.substring(one, held(surface) + 1, F.length(one)))
+
     letters = F.concat(
         _chars(surface, lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substring(one, i + 1, F.lit(1)))).otherwise(F.substring(one, i + 1, F.lit(1)))),
         F.substring(one, F.length(surface) + 1, F.length(one)),
@@ -199,14 +243,14 @@ def _rendered(surface: Column, kind: Column, new: Column) -> Column:
     last = F.regexp_extract(surface, r"\S+$", 0)
     surname = F.concat(part("last"), F.when(_plain_surname(last) != last, "а").otherwise(""))
     person = F.concat_ws(" ", F.when(title != "", title), part("given"), surname)
-    return F.when(kind == "email", letters).when(kind.isin("card", "national", "phone"), numbers).when(kind == "person", person).otherwise(one)
+    return F.when(kind == "email", letters).when(kind.isin("card", "national", "phone"), kept("0-9")).when(kind == "iban", kept("A-Z0-9")).when(kind == "ip6", F.when(surface == F.upper(surface), F.upper(one)).otherwise(one)).when(kind == "person", person).otherwise(one)
 
 
 def replace_entities(docs: DataFrame, key: str = "emberline", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, text (with surrogates), n_entities and a count for each kind.
 
-    E-mail and IP addresses, card, national and phone numbers, and names of people after a title or with a listed given
-    name are found in whole texts and replaced by keyed surrogates of the same type, format, gender and script; the same
+    E-mail and IP addresses (of both versions), bank account (IBAN), card, national and phone numbers, and names of people
+    after a title or with a listed given name are found in whole texts and replaced by keyed surrogates of the same type, format, gender and script; the same
     entity gets the same surrogate everywhere and different entities get different ones (see :func:`assigned`). All else
     stays. Null text stays null, without entities. Rows are told apart by numbers of their own, so null and repeated ids
     are replaced each. Texts are searched once; each distinct spelling is rendered once and meets the documents that

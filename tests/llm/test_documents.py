@@ -432,6 +432,54 @@ def test_pii(spark, docs, none):
     assert plain.where("text <> t").count() == 0
 
 
+ODD_PEOPLE = "Mr McDonald met Mrs O'Brien, Dr Jane Roe and Prof. Kim; Wei Zhang wrote to Mr Smith-Jones' office. Prof. Dr. Ann D’Arcy left. Dr Jane Roe's dog."
+
+
+def test_shapes_of_names_and_accounts(spark):
+    """Names keep capitals, hyphens and apostrophes, titles stay, no part of a name is left; accounts keep country, groups and right check digits."""
+    numbers = "Pay DE89 3704 0044 0532 0130 00 or GB29NWBK60161331926819 AND NOTE 2001:db8::ff00:42:8329, FE80::1 at 12:30:45, std::vector a::b, 1::2::3 too."
+    got = {r.doc_id: r for r in pii_surrogates.replace_entities(frame(spark, [(1, ODD_PEOPLE, "a"), (2, numbers, "a"), (3, "AaBb" * 40000 + " Mr " + "Xx-" * 9000, "a")]), key="k").collect()}
+    people = got[1].text
+    assert got[1].n_person == got[1].n_entities == 8
+    assert not [n for n in "McDonald Donald O'Brien Brien Jane Roe Kim Wei Zhang Smith Jones Arcy".split() if re.search(rf"\b{n}\b", people)]
+    m = re.fullmatch(r"Mr ([A-Z][a-z][A-Z][a-z]{5}) met Mrs ([A-Z]'[A-Z][a-z]{4}), Dr (\w+) (\w{3}) and Prof\. (\w{3}); (\w+) (\w{5}) wrote to Mr ([A-Z][a-z]{4}-[A-Z][a-z]{4})' office\. Prof\. Dr\. (\w+) ([A-Z]’[A-Z][a-z]{3}) left\. Dr (\w+) (\w{3})'s dog\.", people)
+    assert m and m[3] == m[11] in pii_surrogates.GIVEN["f", "latin"] and m[4] == m[12] and m[6] in pii_surrogates.GIVEN["m", "latin"]
+    m = re.fullmatch(r"Pay (DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d) or (GB\d\d[A-Z]{4}\d{14}) AND NOTE ([0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{2}:[0-9a-f]{4}), ([0-9A-F]{4}::[0-9A-F]) at 12:30:45, std::vector a::b, 1::2::3 too\.", got[2].text)
+    assert m and (got[2].n_iban, got[2].n_ip6, got[2].n_entities) == (2, 2, 4)
+    for account in (m[1], m[2]):
+        plain = account.replace(" ", "")
+        assert account not in numbers and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert got[3].text.startswith("AaBb" * 40000)
+
+
+def test_replacement_by_plain_python(spark, docs):
+    """Whole texts against a plain search: the same places are replaced, nothing else; each surrogate has its entity's kind; equal entities have equal ones, others differ."""
+    import regex
+
+    pattern = regex.compile(pii_surrogates.PATTERN)
+    texts = [r.text for r in docs.select("text").collect()] + [ODD_PEOPLE, "Mail a.b@c.org, A.B@c.org or 10.0.0.1; call +49 30 1234567."]
+    rows = dict(enumerate(texts))
+    both = frame(spark, [(i, t, "a") for i, t in rows.items()])
+    made, back = {}, {}
+    got = pii_surrogates.replace_entities(both, key="k").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = rows[r.doc_id]
+        found = [m for m in pattern.finditer(text or "")]
+        assert r.n_entities == len(found)
+        if not found:
+            assert r.text == text
+            continue
+        gaps = [text[a:b] for a, b in zip([0, *(m.end() for m in found)], [*(m.start() for m in found), len(text)])]
+        new = regex.fullmatch("(.+?)".join(map(regex.escape, gaps)), r.text, flags=regex.DOTALL)
+        assert new
+        for m, surrogate in zip(found, new.groups()):
+            assert surrogate != m[0] and regex.search(pattern, surrogate)[0] == surrogate
+            assert made.setdefault(m[0], surrogate) == surrogate
+            if "@" in surrogate:
+                assert back.setdefault(surrogate.lower(), m[0].lower()) == m[0].lower()
+
+
 def test_surrogates_are_distinct(spark):
     ips = spark.createDataFrame([("ip", f"{a}.{b}.1.1") for a in range(10) for b in range(10)], "kind string, entity string")
     got = pii_surrogates.assigned(ips, "k").collect()
