@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.common import id_key, null_if_no_id, table
+from emberline.llm.common import drop_table, id_key, null_if_no_id, table
 
 #: Lengths of n-grams in characters of the lower-cased text.
 GRAMS = (3, 4, 5)
 #: Labelled rows of each class that the classifier is fitted on at most; n-grams share 2 ** BUCKETS features by their hash.
-SAMPLE, BUCKETS = 1500, 20
+SAMPLE, BUCKETS = 3000, 20
+#: Tasks that fit the model, and features that a task looks at together.
+PARTS, TOGETHER = 8, 1 << 22
 HELD_OUT_OF = 5
 #: Characters of a text that are looked at together; a longer text is read in such parts.
 PART = 1 << 16
@@ -69,7 +72,10 @@ class Model:
 
 
 def _examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, toxic, text) of at most SAMPLE labelled ids of each class, drawn by a hash of the id, never from the held-out fifth."""
+    """(doc_id, toxic, text) of at most SAMPLE labelled ids of each class, drawn by a hash of the id, never from the held-out fifth.
+
+    A row per id: of several texts of an id the one with the least hash counts, so that the sample is bounded in rows too.
+    """
     known = (
         labels.where("toxic is not null and doc_id is not null")
         .where(F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % HELD_OUT_OF != 0)
@@ -78,72 +84,112 @@ def _examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     drawn = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for c in (0, 1)]
     sample = drawn[0].unionByName(drawn[1])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")  # 2 * SAMPLE rows
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(sample), "doc_id")  # 2 * SAMPLE rows
+    return rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least")).select("doc_id", "toxic", "least.text")
+
+
+def _vectors(examples: DataFrame) -> DataFrame:
+    """(toxic, features): a written row per example with its distinct features as 32-bit integers, in PARTS files."""
+
+    def run(batches):
+        distinct = _Distinct()
+        for batch in batches:
+            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1)):  # a text at a time, as features take more room than texts
+                held = b"".join(f.tobytes() for f in distinct.features(text.as_py()))
+                yield pa.RecordBatch.from_arrays([pa.array([toxic], pa.int32()), pa.array([held], pa.binary())], names=["toxic", "features"])
+
+    placed = examples.repartition(PARTS, "doc_id").sortWithinPartitions("doc_id")
+    return table(placed.select("toxic", "text").mapInArrow(run, "toxic int, features binary"))
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(toxic, features, row of each feature) of consecutive rows of ``batch`` with TOGETHER features or a single row each."""
+    y, column = batch.column(0).to_numpy(), batch.column(1).cast(pa.binary())
+    n = len(column)
+    if not n:
+        return
+    ends = np.frombuffer(column.buffers()[1], np.int32, n + 1, column.offset * 4) // 4
+    held = np.frombuffer(column.buffers()[2] or b"", np.int32, ends[-1]) if ends[-1] else np.zeros(0, np.int32)
+    at = 0
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + TOGETHER, "right")) - 1)
+        yield y[at:to], held[ends[at] : ends[to]], np.repeat(np.arange(to - at), np.diff(ends[at : to + 1]))
+        at = to
+
+
+def _summed(vectors: DataFrame, add: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], None], rows: int) -> np.ndarray:
+    """The sum of what ``add(total, toxic, features, row)`` adds to (rows, 2 ** BUCKETS + 1) zeros over all blocks of ``vectors``.
+
+    Tasks stream their share, and each of at most PARTS tasks returns one array; the driver adds these.
+    """
+    width = (1 << BUCKETS) + 1
+
+    def run(batches):
+        total = np.zeros((rows, width))
+        for batch in batches:
+            for block in _blocks(batch):
+                add(total, *block)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["part", "total"])
+
+    parts = sorted(vectors.coalesce(PARTS).mapInArrow(run, "part int, total binary").collect(), key=lambda r: r.part)  # PARTS rows
+    return sum((np.frombuffer(r.total, np.float32).astype(np.float64) for r in parts), np.zeros(rows * width)).reshape(rows, width)
+
+
+def _counts(total: np.ndarray, toxic: np.ndarray, features: np.ndarray, row: np.ndarray) -> None:
+    """Adds to total[c] the rows of class c that hold each feature, and the rows of that class in the last place."""
+    for c in (0, 1):
+        total[c, :-1] += np.bincount(features[toxic[row] == c], minlength=1 << BUCKETS)
+        total[c, -1] += (toxic == c).sum()
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fits the model on a bounded sample of the labelled rows (SAMPLE ids of each class at most).
+    """Fits the model on a bounded sample of the labelled rows (SAMPLE ids of each class at most, a row each).
 
     Every character n-gram of the sample counts; n-grams are told apart by 2 ** BUCKETS hashes. A feature's ratio is
     r = log((p / |p|) / (q / |q|)) with p and q one more than the number of toxic and other documents that hold it. The
     documents become vectors of r where the feature occurs, and a logistic regression with an L2 penalty is fitted to
-    them. Features are found and counted on the executors; the driver gets a number per feature and the sample's features.
-    Rows of one id and text count once. Without examples of both classes the model gives every text the larger class.
+    them. Features are found, written and counted by the executors, which also sum each round's gradient; the driver gets
+    PARTS arrays of 2 ** BUCKETS numbers a round, however long the texts are. Null texts count as empty, labels without an
+    id or a value don't count, and an id with several labels is toxic if one of them says so. Without examples of both
+    classes the model gives every text the larger class.
     """
-
-    def run(batches):
-        distinct = _Distinct()
-        for batch in batches:
-            out = [b"".join(f.tobytes() for f in distinct.features(t.as_py() or "")) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["doc_id", "toxic", "features"])
-
-    examples = _examples(docs, labels).select("doc_id", "toxic", "text").dropDuplicates()
-    vectors = table(examples.mapInArrow(run, "doc_id long, toxic int, features binary"))
-    rows = sorted(((r.toxic, r.doc_id, np.frombuffer(r.features, np.int32)) for r in vectors.toLocalIterator()), key=lambda r: (r[0], r[1], len(r[2]), r[2].tobytes()[:64]))
-    y, columns = np.array([r[0] for r in rows], np.float64), [r[2] for r in rows]  # of at most 2 * SAMPLE ids
-    del rows
-    if not 0 < y.sum() < len(y):
-        return Model(np.zeros(1 << BUCKETS, np.float32), 30.0 * np.sign((y.mean() if len(y) else 0.5) - 0.5))
-    held = np.zeros((2, 1 << BUCKETS))
-    for toxic, features in zip(y.astype(int), columns):
-        held[toxic, features] += 1
-    r = np.log((held[1] + 1) / (y.sum() + 2)) - np.log((held[0] + 1) / (len(y) - y.sum() + 2))
-    weights, bias = _regression(columns, y, np.where(held.sum(0) > 0, r, 0.0).astype(np.float32))
-    return Model(weights, bias)
-
-
-def _regression(columns: list[np.ndarray], y: np.ndarray, r: np.ndarray, penalty: float = 3e-4, rounds: int = 60, together: int = 128) -> tuple[np.ndarray, float]:
-    """(w * r, b) of a logistic regression on x[i, f] = r[f] for f in columns[i]; lengths are scaled to a mean of 1 and classes weigh alike. Empties ``columns``."""
-    seen = np.zeros(len(r), bool)
-    for c in columns:
-        seen[c] = True
-    used = np.flatnonzero(seen)
-    number = (np.cumsum(seen) - 1).astype(np.int32)
-    blocks = []
-    for at in range(0, len(columns), together):
-        some = columns[at : at + together]
-        lengths = [len(c) for c in some]
-        blocks.append((slice(at, at + len(some)), number[np.concatenate(some)], np.repeat(np.arange(len(some), dtype=np.int32), lengths), len(some)))
-        columns[at : at + together] = [None] * len(some)  # one copy at a time is in memory
-    x = r[used].astype(np.float64)
-    x *= 1 / np.sqrt(max(1e-9, sum((x[f] ** 2).sum() for _, f, _, _ in blocks) / len(columns)))
-    each = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    vectors = _vectors(_examples(docs, labels))
+    held = _summed(vectors, _counts, 2)
+    (clean, toxic), held = held[:, -1], held[:, :-1]
+    if not clean or not toxic:
+        model = Model(np.zeros(1 << BUCKETS, np.float32), 30.0 * np.sign(toxic - clean))
+    else:
+        r = np.log((held[1] + 1) / (toxic + 2)) - np.log((held[0] + 1) / (clean + 2))
+        r[held.sum(0) == 0] = 0
+        model = _regression(vectors, r / np.sqrt(max(1e-9, (held.sum(0) * r * r).sum() / (clean + toxic))), (clean, toxic))
+    drop_table(vectors)
+    return model
+
+
+def _regression(vectors: DataFrame, x: np.ndarray, sizes: tuple[float, float], penalty: float = 3e-4, rounds: int = 60) -> Model:
+    """The logistic regression on vectors that hold x[f] for each of their features f; classes weigh alike. A round is one pass over ``vectors``."""
+    sc = vectors.sparkSession.sparkContext
+    each = np.array([0.5 / sizes[0], 0.5 / sizes[1]])
     w, ahead = np.zeros(len(x)), np.zeros(len(x))
     b, b_ahead, t, step = 0.0, 0.0, 1.0, 3.0
     for _ in range(rounds):  # accelerated gradient
-        v, g, total = ahead * x, np.zeros(len(x)), 0.0
-        for docs, f, row, n in blocks:
-            z = np.bincount(row, v[f], n) + b_ahead
-            error = each[docs] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[docs])
-            g += np.bincount(f, error[row], len(x))
-            total += error.sum()
-        w_next, b_next = ahead - step * (g * x + penalty * ahead), b_ahead - step * total
+        shared = sc.broadcast(((ahead * x).astype(np.float32), b_ahead))  # 2 ** BUCKETS numbers
+
+        def gradient(total, toxic, features, row, shared=shared):
+            v, bias = shared.value
+            z = np.bincount(row, v[features], len(toxic)) + bias
+            error = each[toxic] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic)
+            total[0, :-1] += np.bincount(features, error[row], 1 << BUCKETS)
+            total[0, -1] += error.sum()
+
+        g = _summed(vectors, gradient, 1)[0]
+        shared.destroy()
+        w_next, b_next = ahead - step * (g[:-1] * x + penalty * ahead), b_ahead - step * g[-1]
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead, b_ahead = w_next + (t - 1) / t_next * (w_next - w), b_next + (t - 1) / t_next * (b_next - b)
         w, b, t = w_next, b_next, t_next
-    weights = np.zeros(len(r), np.float32)
-    weights[used] = w * x
-    return weights, float(b)
+    return Model((w * x).astype(np.float32), b)
 
 
 def scorer(docs: DataFrame, model: Model) -> Column:

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -536,3 +537,61 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score(none, model).count() == 0
     bare_model = toxicity.fit(df, lab.where("false"))
     assert {r.score for r in toxicity.score(df.limit(3), bare_model).collect()} == {0.5}
+
+
+def plain_grams(text):
+    """Hashed n-grams of a text by whole-number arithmetic, one n-gram at a time."""
+    text, found = f" {text} ".lower(), set()
+    for k in toxicity.GRAMS:
+        for at in range(len(text) - k + 1):
+            h = 0
+            for c in text[at : at + k]:
+                h = (h * 0x100000001B3 + ord(c) + 1) % 2**64
+            found.add((h * 0x9E3779B97F4A7C15 % 2**64) >> (64 - toxicity.BUCKETS))
+    return found
+
+
+@pytest.mark.parametrize("length", [0, 1, 2, 3, 65533, 65534, 65535, 65536, 140000])
+def test_toxicity_features_across_parts(length):
+    rng = random.Random(length)
+    text = "".join(rng.choice("abcdé Z\U0001f600") for _ in range(length))
+    found = np.concatenate([*toxicity._Distinct().features(text), np.zeros(0, np.int32)])
+    assert len(found) == len(set(found.tolist())) and set(found.tolist()) == plain_grams(text)
+
+
+def test_toxicity_fit_against_a_plain_one(spark):
+    rng = random.Random(3)
+    texts = {i: " ".join(rng.choice([*WORDS, "vile"]) for _ in range(rng.randint(0, 30))) for i in range(60)}
+    toxic = {i: int("vile" in t) for i, t in texts.items()}
+    rows = [(i, t, "s") for i, t in texts.items()] + [(1, texts[1], "s"), (None, "vile", "s"), (99, None, "s")]
+    labels = [(i, 0, y) for i, y in toxic.items()] + [(99, 0, 0), (None, 0, 1), (4, 0, None), (500, 0, 1)]
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+    sample = [(toxic.get(i, 0), plain_grams(texts.get(i, ""))) for i in [*texts, 99] if zlib.crc32(str(i).encode()) % 5]
+    used = {f: i for i, f in enumerate(sorted(set().union(*(g for _, g in sample))))}
+    x = np.zeros((len(sample), len(used)))
+    for held, (_, grams) in zip(x, sample):
+        held[[used[f] for f in grams]] = 1
+    y = np.array([t for t, _ in sample], float)
+    df = np.stack([x[y == c].sum(0) for c in (0, 1)])
+    r = np.log((df[1] + 1) / (y.sum() + 2)) - np.log((df[0] + 1) / ((1 - y).sum() + 2))
+    x *= r
+    x /= np.sqrt((x**2).sum() / len(y))
+    each = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    w, b = np.zeros(len(used)), 0.0
+    aw, ab, t = w, b, 1.0
+    for _ in range(60):
+        error = each * (1 / (1 + np.exp(-x @ aw - ab)) - y)
+        w2, b2 = aw - 3 * (x.T @ error + 3e-4 * aw), ab - 3 * error.sum()
+        t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        aw, ab, w, b, t = w2 + (t - 1) / t2 * (w2 - w), b2 + (t - 1) / t2 * (b2 - b), w2, b2, t2
+    plain = 1 / (1 + np.exp(-(x @ w + b)))
+    got = model.scores(pa.array([texts.get(i) for i in [*texts, 99] if zlib.crc32(str(i).encode()) % 5]))
+    assert np.abs(got - plain).max() < 1e-4
+
+
+def test_toxicity_rows_of_one_id(spark):
+    rows = [(2, f"text {i}", "s") for i in range(300)] + [(3, None, "s"), (3, "", "s")]
+    labels = spark.createDataFrame([(2, 0, 1), (2, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    got = {(r.doc_id, r.toxic): r.text for r in toxicity._examples(frame(spark, rows), labels).collect()}
+    assert set(got) == {(2, 1), (3, 0)} and got[3, 0] == "" and got[2, 1].startswith("text ")
