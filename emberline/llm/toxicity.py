@@ -16,8 +16,10 @@ from emberline.llm.common import drop_table, id_key, null_if_no_id, table
 GRAMS = (3, 4, 5)
 #: Labelled rows of each class that the classifier is fitted on at most; n-grams share 2 ** BUCKETS features by their hash.
 SAMPLE, BUCKETS = 3000, 20
-#: Tasks that fit the model, and features that a task looks at together.
-PARTS, TOGETHER = 8, 1 << 22
+#: Tasks that fit the model at most, and features that a task holds at a time (64 MB).
+PARTS, TOGETHER = 4, 1 << 24
+#: Rounds of fitting, and each block's steps in a round.
+ROUNDS, STEPS = 6, 10
 HELD_OUT_OF = 5
 #: Characters of a text that are looked at together; a longer text is read in such parts.
 PART = 1 << 16
@@ -103,44 +105,52 @@ def _vectors(examples: DataFrame) -> DataFrame:
     return table(placed.select("toxic", "text").mapInArrow(run, "toxic int, features binary"))
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(toxic, features, row of each feature) of consecutive rows of ``batch`` with TOGETHER features or a single row each."""
-    y, column = batch.column(0).to_numpy(), batch.column(1).cast(pa.binary())
-    n = len(column)
-    if not n:
-        return
-    ends = np.frombuffer(column.buffers()[1], np.int32, n + 1, column.offset * 4) // 4
-    held = np.frombuffer(column.buffers()[2] or b"", np.int32, ends[-1]) if ends[-1] else np.zeros(0, np.int32)
-    at = 0
-    while at < n:
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + TOGETHER, "right")) - 1)
-        yield y[at:to], held[ends[at] : ends[to]], np.repeat(np.arange(to - at), np.diff(ends[at : to + 1]))
-        at = to
-
-
-def _summed(vectors: DataFrame, add: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], None], rows: int) -> np.ndarray:
-    """The sum of what ``add(total, toxic, features, row)`` adds to (rows, 2 ** BUCKETS + 1) zeros over all blocks of ``vectors``.
-
-    Tasks stream their share, and each of at most PARTS tasks returns one array; the driver adds these.
+def _blocks(batches: Iterator[pa.RecordBatch], together: int) -> Iterator[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Consecutive rows of (toxic, features) with up to ``together`` features, or one row, as a list of (toxic, features, row of each feature)."""
+    made, size = [], 0
+    for batch in batches:
+        y, column = batch.column(0).to_numpy(), batch.column(1).cast(pa.binary())
+        n = len(column)
+        if not n:
+            continue
+        ends = np.frombuffer(column.buffers()[1], np.int32, n + 1, column.offset * 4) // 4
+        held = np.frombuffer(column.buffers()[2], np.int32, ends[-1]) if ends[-1] else np.zeros(0, np.int32)
+        at = 0
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + together // 8, "right")) - 1)
+            here = int(ends[to] - ends[at])
+            if made and size + here > together:
+                yield made
+                made, size = [], 0
+            made.append((y[at:to].copy(), held[ends[at] : ends[to]].copy(), np.repeat(np.arange(to - at, dtype=np.int32), np.diff(ends[at : to + 1]))))
+            at, size = to, size + here
+    if made:
+        yield made
+
+
+def _summed(vectors: DataFrame, add: Callable[[np.ndarray, list], None], rows: int, tasks: int) -> np.ndarray:
+    """The sum of what ``add(total, block)`` adds to (rows, 2 ** BUCKETS + 1) zeros over all blocks of ``vectors``.
+
+    Tasks stream their share, a block of at most TOGETHER features at a time; each of ``tasks`` returns one array, and the driver adds these.
     """
-    width = (1 << BUCKETS) + 1
+    width, together = (1 << BUCKETS) + 1, TOGETHER
 
     def run(batches):
         total = np.zeros((rows, width))
-        for batch in batches:
-            for block in _blocks(batch):
-                add(total, *block)
+        for block in _blocks(batches, together):
+            add(total, block)
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["part", "total"])
 
-    parts = sorted(vectors.coalesce(PARTS).mapInArrow(run, "part int, total binary").collect(), key=lambda r: r.part)  # PARTS rows
+    parts = sorted(vectors.coalesce(tasks).mapInArrow(run, "part int, total binary").collect(), key=lambda r: r.part)  # as many rows as tasks
     return sum((np.frombuffer(r.total, np.float32).astype(np.float64) for r in parts), np.zeros(rows * width)).reshape(rows, width)
 
 
-def _counts(total: np.ndarray, toxic: np.ndarray, features: np.ndarray, row: np.ndarray) -> None:
+def _counts(total: np.ndarray, block: list) -> None:
     """Adds to total[c] the rows of class c that hold each feature, and the rows of that class in the last place."""
-    for c in (0, 1):
-        total[c, :-1] += np.bincount(features[toxic[row] == c], minlength=1 << BUCKETS)
-        total[c, -1] += (toxic == c).sum()
+    for toxic, features, row in block:
+        for c in (0, 1):
+            total[c, :-1] += np.bincount(features[toxic[row] == c], minlength=1 << BUCKETS)
+            total[c, -1] += (toxic == c).sum()
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -149,47 +159,59 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     Every character n-gram of the sample counts; n-grams are told apart by 2 ** BUCKETS hashes. A feature's ratio is
     r = log((p / |p|) / (q / |q|)) with p and q one more than the number of toxic and other documents that hold it. The
     documents become vectors of r where the feature occurs, and a logistic regression with an L2 penalty is fitted to
-    them. Features are found, written and counted by the executors, which also sum each round's gradient; the driver gets
-    PARTS arrays of 2 ** BUCKETS numbers a round, however long the texts are. Null texts count as empty, labels without an
+    them. Features are found, written and counted by the executors, which also fit: in each of ROUNDS a block of vectors
+    takes STEPS from the shared weights, and the blocks' weights are averaged by their rows. The driver gets PARTS arrays
+    of 2 ** BUCKETS numbers a round, however long the texts are. Null texts count as empty, labels without an
     id or a value don't count, and an id with several labels is toxic if one of them says so. Without examples of both
     classes the model gives every text the larger class.
     """
     vectors = _vectors(_examples(docs, labels))
-    held = _summed(vectors, _counts, 2)
+    held = _summed(vectors, _counts, 2, PARTS)
     (clean, toxic), held = held[:, -1], held[:, :-1]
     if not clean or not toxic:
         model = Model(np.zeros(1 << BUCKETS, np.float32), 30.0 * np.sign(toxic - clean))
     else:
+        both = held.sum(0)
         r = np.log((held[1] + 1) / (toxic + 2)) - np.log((held[0] + 1) / (clean + 2))
-        r[held.sum(0) == 0] = 0
-        model = _regression(vectors, r / np.sqrt(max(1e-9, (held.sum(0) * r * r).sum() / (clean + toxic))), (clean, toxic))
+        r[both == 0] = 0
+        x = r / np.sqrt(max(1e-9, (both * r * r).sum() / (clean + toxic)))  # lengths have a mean square of 1
+        model = _regression(vectors, x.astype(np.float32), (clean, toxic), min(PARTS, 1 + int(both.sum()) // TOGETHER))
     drop_table(vectors)
     return model
 
 
-def _regression(vectors: DataFrame, x: np.ndarray, sizes: tuple[float, float], penalty: float = 3e-4, rounds: int = 60) -> Model:
+def _regression(vectors: DataFrame, x: np.ndarray, sizes: tuple[float, float], tasks: int, penalty: float = 3e-4, step: float = 3.0) -> Model:
     """The logistic regression on vectors that hold x[f] for each of their features f; classes weigh alike. A round is one pass over ``vectors``."""
     sc = vectors.sparkSession.sparkContext
-    each = np.array([0.5 / sizes[0], 0.5 / sizes[1]])
-    w, ahead = np.zeros(len(x)), np.zeros(len(x))
-    b, b_ahead, t, step = 0.0, 0.0, 1.0, 3.0
-    for _ in range(rounds):  # accelerated gradient
-        shared = sc.broadcast(((ahead * x).astype(np.float32), b_ahead))  # 2 ** BUCKETS numbers
-
-        def gradient(total, toxic, features, row, shared=shared):
-            v, bias = shared.value
-            z = np.bincount(row, v[features], len(toxic)) + bias
-            error = each[toxic] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic)
-            total[0, :-1] += np.bincount(features, error[row], 1 << BUCKETS)
-            total[0, -1] += error.sum()
-
-        g = _summed(vectors, gradient, 1)[0]
+    n, each = sum(sizes), np.array([0.5 / sizes[0], 0.5 / sizes[1]])
+    scale = sc.broadcast(x)  # 2 ** BUCKETS numbers, as are the weights below
+    w, b = np.zeros(len(x), np.float32), 0.0
+    for _ in range(ROUNDS):
+        shared = sc.broadcast((w, b))
+
+        def local(total, block, shared=shared):
+            x, share = scale.value, sum(len(toxic) for toxic, _, _ in block) / n
+            w, b = shared.value[0].astype(np.float64), shared.value[1]
+            ahead, b_ahead, t = w, b, 1.0
+            for _ in range(STEPS):  # accelerated gradient
+                v, g, slope = ahead * x, np.zeros(len(x)), 0.0
+                for toxic, features, row in block:
+                    z = np.bincount(row, v[features], len(toxic)) + b_ahead
+                    error = each[toxic] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic) / share
+                    g += np.bincount(features, error[row], len(x))
+                    slope += error.sum()
+                w_next, b_next = ahead - step * (g * x + penalty * ahead), b_ahead - step * slope
+                t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
+                ahead, b_ahead = w_next + (t - 1) / t_next * (w_next - w), b_next + (t - 1) / t_next * (b_next - b)
+                w, b, t = w_next, b_next, t_next
+            total[0, :-1] += share * w
+            total[0, -1] += share * b
+
+        mean = _summed(vectors, local, 1, tasks)[0]
         shared.destroy()
-        w_next, b_next = ahead - step * (g[:-1] * x + penalty * ahead), b_ahead - step * g[-1]
-        t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        ahead, b_ahead = w_next + (t - 1) / t_next * (w_next - w), b_next + (t - 1) / t_next * (b_next - b)
-        w, b, t = w_next, b_next, t_next
-    return Model((w * x).astype(np.float32), b)
+        w, b = mean[:-1].astype(np.float32), float(mean[-1])
+    scale.destroy()
+    return Model(w * x, b)
 
 
 def scorer(docs: DataFrame, model: Model) -> Column:

@@ -579,8 +579,9 @@ def test_toxicity_fit_against_a_plain_one(spark):
     x /= np.sqrt((x**2).sum() / len(y))
     each = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     w, b = np.zeros(len(used)), 0.0
-    aw, ab, t = w, b, 1.0
-    for _ in range(60):
+    for step in range(toxicity.ROUNDS * toxicity.STEPS):
+        if step % toxicity.STEPS == 0:
+            aw, ab, t = w, b, 1.0
         error = each * (1 / (1 + np.exp(-x @ aw - ab)) - y)
         w2, b2 = aw - 3 * (x.T @ error + 3e-4 * aw), ab - 3 * error.sum()
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -590,6 +591,17 @@ def test_toxicity_fit_against_a_plain_one(spark):
     assert np.abs(got - plain).max() < 1e-4
 
 
+def test_toxicity_fit_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TOGETHER", 20000)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice([*WORDS, *["vile"] * 4]) for _ in range(rng.randint(0, 60))) for _ in range(500)]
+    labels = spark.createDataFrame([(i, 0, int("vile" in t)) for i, t in enumerate(texts)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), labels)
+    held = [i for i in range(500) if zlib.crc32(str(i).encode()) % 5 == 0]
+    got = model.scores(pa.array([texts[i] for i in held]))
+    assert sum((s >= 0.5) == ("vile" in texts[i]) for i, s in zip(held, got)) >= 0.95 * len(held)
+
+
 def test_toxicity_rows_of_one_id(spark):
     rows = [(2, f"text {i}", "s") for i in range(300)] + [(3, None, "s"), (3, "", "s")]
     labels = spark.createDataFrame([(2, 0, 1), (2, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
