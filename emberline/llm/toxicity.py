@@ -19,7 +19,7 @@ SAMPLE, BUCKETS = 3000, 20
 #: Tasks that fit the model at most, and features that a task holds at a time (64 MB).
 PARTS, TOGETHER = 4, 1 << 24
 #: Rounds of fitting, and each block's steps in a round.
-ROUNDS, STEPS = 6, 10
+ROUNDS, STEPS = 6, 40
 HELD_OUT_OF = 5
 #: Characters of a text that are looked at together; a longer text is read in such parts.
 PART = 1 << 16
