@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import inspect
 
-from emberline.plans import catalogues, rasters, sites
+from emberline.plans import catalogues, chips, rasters, sites
 
-_MODULES = (sites, rasters, catalogues)
+_MODULES = (sites, rasters, catalogues, chips)
 QUERIES = {
     name: f
     for m in _MODULES
