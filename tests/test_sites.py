@@ -100,6 +100,26 @@ def test_chains_and_crowds(spark, monkeypatch, cells, most):
         assert anchors.count() == len(set(sequential(rows).values())) and rounds <= 8
 
 
+@pytest.mark.parametrize("most", [20_000, 30])
+def test_sites_by_distance_alone(spark, monkeypatch, most):
+    """Without cells the distance alone counts, at any latitude and beside the pole, and parts share no site."""
+    monkeypatch.setattr(cluster, "BLOCK_CELLS", 2)
+    monkeypatch.setattr(cluster, "BLOCK_PLACES", most)
+    rng = random.Random(most)
+    rows = [(51 + n % 3 * 0.01 + rng.randrange(5) * 4e-4, lat + rng.randrange(3) * 4e-4, "2024-01-01", round(rng.random(), 2), 0.5, 40.0) for lat in (25.0, 62.0, -75.0, 86.5, 89.9992) for n in range(40)]
+    df = detections(spark, [(*r, None) for r in rows]).withColumn("user", F.col("det_id") % 2).repartition(3)
+    order, anchors, expected = sorted(range(len(rows)), key=lambda i: (-rows[i][3], rows[i][2], f"S{i}", rows[i][0], rows[i][1], i)), [], {}
+    for i in order:
+        lon, lat = rows[i][:2]
+        far = {j: 6371000 * math.hypot(math.radians(rows[j][0] - lon) * math.cos(math.radians((lat + rows[j][1]) / 2)), math.radians(rows[j][1] - lat)) for j in anchors if j % 2 == i % 2}
+        cell = 135.0 / cluster.DEGREE
+        near = [(round(d, 6), math.floor(rows[j][1] / cell), math.floor(rows[j][0] / cell), order.index(j), j) for j, d in far.items() if d <= 135.0]
+        if not near:
+            anchors.append(i)
+        expected[i] = min(near)[-1] if near else i
+    assert {r.det_id: r.site for r in cluster.assign_sites(df, within="user", cells=False).collect()} == expected
+
+
 def test_cover(spark):
     sites = spark.createDataFrame([("a", 51.0, 25.0), ("b", 53.0, 25.0)], "site string, lon double, lat double")
     from emberline.functions import geo
