@@ -10,12 +10,13 @@ from pyarrow import fs
 from pyspark.sql import functions as F
 
 from emberline.functions import geo, pixels, tables
+from emberline.functions.binding import let
 from emberline.operators import coverage, detect, plume
 from emberline.plans import proxies
 from emberline.plans.proxies import DETECTIONS, PIXELS
 from emberline.schema import Thresholds
 from emberline.sources import tiled_rasters
-from emberline.work import shared_folder
+from emberline.work import cut, shared_folder
 
 
 def _r(digits, *names):
@@ -412,13 +413,17 @@ SELECT vec_id AS id, round((m[j0 * 8 + i0] * (1 - u) + m[j0 * 8 + i1] * u) * (1
 def plume_pipeline(spark, sf_dir):
     """The whole plume pipeline on small images of each vector, with a transmittance table of its own: checked in the tests."""
     cells = F.sequence(F.lit(0), F.lit(24 * 24 - 1))
-    wide = F.transform(cells, lambda i: F.get("prob", (F.floor(F.floor(i / 24) / 3) * 8 + F.floor(i % 24 / 3)).cast("int")))
-    band = lambda k: F.transform(wide, lambda p, i: 1000 + p * 300 + (i * (37 + k)) % 50)
-    image = F.flatten(F.array(*(band(k) for k in range(6))))
-    scenes = proxies.rasters(spark, sf_dir).select(
-        "id", F.lit(24).alias("width"), F.lit(24).alias("height"), image.alias("target"), F.when(F.col("id") % 7 > 0, F.transform(image, lambda v, i: v + i % 3)).alias("background"),
+    wide = lambda prob: F.transform(cells, lambda i: F.get(prob, (F.floor(F.floor(i / 24) / 3) * 8 + F.floor(i % 24 / 3)).cast("int")))
+    band = lambda w, k: F.transform(w, lambda p, i: 1000 + p * 300 + (i * (37 + k)) % 50)
+    image = lambda w: F.flatten(F.array(*(band(w, k) for k in range(6))))
+    shown = lambda w, im: F.struct(im.alias("target"), F.when(F.col("id") % 7 > 0, F.transform(im, lambda v, i: v + i % 3)).alias("background"), F.transform(w, lambda p: F.when(p > 0.55, 0.9).otherwise(p / 2)).alias("prob"))
+    made = let(F.col("prob"), lambda prob: let(wide(prob), lambda w: let(image(w), lambda im: shown(w, im))))  # each array computed once a vector
+    spread = proxies.rasters(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")  # images are a hundred times a vector
+    scenes = spread.select("id", made.alias("m")).select(
+        "id", F.lit(24).alias("width"), F.lit(24).alias("height"), "m.target", "m.background",
         F.transform(cells, lambda i: F.lit(True)).alias("valid"), F.array(F.lit(3.0), F.col("id") % 5 + F.lit(0.5)).alias("wind"), F.lit("S2B").alias("satellite"), F.lit(35.0).alias("sun_zenith"), F.lit(5.0).alias("view_zenith"),
-        (F.col("id") * 13 % 100).cast("double").alias("clear_percent"), F.transform(wide, lambda p: F.when(p > 0.55, 0.9).otherwise(p / 2)).alias("prob"),
+        (F.col("id") * 13 % 100).cast("double").alias("clear_percent"), "m.prob",
     )
+    scenes = cut(scenes)  # made once, as stored scenes are
     got = plume.detect_plumes(scenes, _transmittances()).select("id", "status", F.round("score", 6).alias("score"), F.explode_outer("plumes").alias("p"))
     return got.select("id", "status", "score", "p.component", "p.pixels", *(F.round(f"p.{c}", 4).alias(c) for c in ("row", "col", "max_probability", "rate", "sigma")))

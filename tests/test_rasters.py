@@ -258,3 +258,15 @@ def test_plume_pipeline(spark):
     assert abs(scored.score - 0.73) < 0.002
     netted = plume.detect_plumes(spark.createDataFrame(rows[:1], schema), table(), network=lambda x: np.where(x[0] > -1, 0.6, 0.0)).first()
     assert [p.pixels for p in netted.plumes] == [n * n]
+
+
+def test_aligned_keeps_columns(spark):
+    """Aligned pairs keep their columns without a join by id: two rows of one id keep each their own; more rows than are taken at a time."""
+    rng = np.random.default_rng(3)
+    rows = [(i // 2, i, 6, 6, (rng.random(6 * 36) * 100).tolist(), (rng.random(6 * 36) * 100).tolist()) for i in range(plume.TOGETHER * 2 + 3)]
+    pairs = spark.createDataFrame(rows, "id long, own int, width int, height int, target array<double>, background array<double>").coalesce(1)
+    got = {r.own: r for r in plume.aligned(pairs, (2, 1, 0), keep=True).collect()}
+    assert len(got) == len(rows)
+    for i, own, _, _, target, background in rows:
+        moved, (tx, ty) = plume.align(np.reshape(target, (6, 6, 6)), np.reshape(background, (6, 6, 6)), (2, 1, 0))
+        assert (got[own].id, got[own].target, got[own].tx, got[own].ty) == (i, target, tx, ty) and np.allclose(got[own].aligned, moved.ravel())
