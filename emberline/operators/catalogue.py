@@ -295,6 +295,33 @@ def most_similar(candidates: DataFrame) -> DataFrame:
     return finite.groupBy("target").agg(F.min_by("id", F.struct("distance", "gap", "id")).alias("id"))
 
 
+def most_similar_scenes(targets: DataFrame, scenes: DataFrame) -> DataFrame:
+    """:func:`most_similar` of the candidates of :func:`background_candidates` where ``distance`` is a column of ``scenes``, without listing pairs.
+
+    targets: id, tile, t (seconds, integers); scenes: id, tile, t, cloud, distance. On either side of a target the best scene
+    doesn't depend on the target: least distance, nearest in time, smallest id. Both windows have the same length, so in blocks
+    of that length a window is the end of one block and the start of the next: two running minima, each over a block sorted
+    once. Rows grow with scenes and targets, not with the scenes within reach.
+    """
+    length = FAR_S - NEAR_S + 1
+    known = scenes.where((F.coalesce("cloud", F.lit(100.0)) <= MOST_CLOUD) & (F.col("distance") < float("inf")))
+    best = F.struct(F.col("distance").cast("double").alias("distance"), F.col("t").cast("long").alias("time"), F.col("id").alias("id"))
+    late = F.struct(best["distance"].alias("distance"), (-best["time"]).alias("time"), best["id"].alias("id"))
+    seen = known.select("tile", F.col("t").cast("long").alias("at"), best.alias("early"), late.alias("late"))
+    asked = targets.select(F.col("id").alias("target"), "tile", F.col("t").cast("long").alias("tt"))
+    found = []
+    for from_start, (before, after) in ((False, (-FAR_S, NEAR_S)), (True, (-NEAR_S, FAR_S))):
+        sides = F.explode(F.array(*(F.struct((F.col("tt") + step).alias("at"), F.lit(is_after).alias("after")) for step, is_after in ((before, False), (after, True))))).alias("q")
+        both = seen.unionByName(asked.select("target", "tile", "tt", sides).select("target", "tile", "tt", "q.at", "q.after"), allowMissingColumns=True)
+        place = F.col("at") if from_start else -F.col("at")
+        run = Window.partitionBy("tile", F.floor(F.col("at") / length)).orderBy(place, F.col("tt").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        met = both.withColumns({"_early": F.min("early").over(run), "_late": F.min("late").over(run)}).where("tt is not null and tile is not null")
+        got = F.when(F.col("after"), F.col("_early")).otherwise(F.col("_late"))
+        gap = F.when(F.col("after"), got["time"] - F.col("tt")).otherwise(got["time"] + F.col("tt"))
+        found.append(met.where(got.isNotNull()).select("target", got["id"].alias("id"), gap.alias("gap"), got["distance"].alias("distance")))
+    return most_similar(found[0].unionByName(found[1]))
+
+
 def upsert(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
     """``new`` and the rows of ``old`` whose key it lacks."""
     return new.unionByName(old.join(new.select(key), key, "left_anti"), allowMissingColumns=True)

@@ -1,6 +1,7 @@
 """Records to views and back, catalogues, sinks, the registered queries."""
 
 import json
+import math
 import random
 
 import duckdb
@@ -207,3 +208,15 @@ def test_query(spark, sf_dir, duck, name):
 def test_mask_join_needs_no_full_mask(spark, sf_dir):
     plan = catalog.QUERIES["needed_mask"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan and "Cross" not in plan
+
+
+def test_most_similar_scenes(spark):
+    """Without pairs the same as with them: times that tie, at the limits and across blocks, infinite, missing and negative values."""
+    rng = random.Random(5)
+    rows = [(i, rng.choice([1, 2, None]), rng.randrange(-40, 40) * 864000 + rng.choice([0, 0, 299, 300, 301]), rng.choice([None, 10.0, 95.0, 96.0]), 50.0, rng.choice([None, math.inf, math.nan, 0.0, 1.0, 2.5, 2.5])) for i in range(600)]
+    rows += [(1000 + i, 3, t, 10.0, 50.0, 1.0) for i, t in enumerate((0, catalogue.NEAR_S, catalogue.FAR_S, catalogue.FAR_S + 1, 2 * catalogue.FAR_S))]
+    df = spark.createDataFrame(rows, "id long, tile long, t long, cloud double, clear double, distance double").repartition(3)
+    near = catalogue.background_candidates(df.select("id", "tile", "t"), df).join(df.select("id", "distance"), "id")
+    expected = sorted(catalogue.most_similar(near).collect())
+    assert expected and sorted(catalogue.most_similar_scenes(df.select("id", "tile", "t"), df).collect()) == expected
+    assert catalogue.most_similar_scenes(df.select("id", "tile", "t"), df.where("false")).count() == 0
