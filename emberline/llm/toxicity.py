@@ -18,6 +18,8 @@ GRAMS = (3, 4, 5)
 SAMPLE, BUCKETS = 3000, 20
 #: Tasks that fit the model at most, and features that a task holds at a time (64 MB).
 PARTS, TOGETHER = 4, 1 << 24
+#: Numbers of a row that carries part of an array (256 kB).
+SLICE = 1 << 16
 #: Rounds of fitting, and each block's steps in a round.
 ROUNDS, STEPS = 6, 40
 HELD_OUT_OF = 5
@@ -129,20 +131,38 @@ def _blocks(batches: Iterator[pa.RecordBatch], together: int) -> Iterator[list[t
 
 
 def _summed(vectors: DataFrame, add: Callable[[np.ndarray, list], None], rows: int, tasks: int) -> np.ndarray:
-    """The sum of what ``add(total, block)`` adds to (rows, 2 ** BUCKETS + 1) zeros over all blocks of ``vectors``.
+    """The sum of what ``add(total, block)`` adds to (rows, 2 ** BUCKETS + 1) zeros over all blocks of ``vectors``, in 32-bit floats.
 
-    Tasks stream their share, a block of at most TOGETHER features at a time; each of ``tasks`` returns one array, and the driver adds these.
+    Tasks stream their share, a block of at most TOGETHER features at a time, and cut their arrays into slices of SLICE
+    numbers, which executors add. The driver takes one array's slices, a partition at a time: no row it holds is large.
     """
-    width, together = (1 << BUCKETS) + 1, TOGETHER
+    width, together, slice_ = (1 << BUCKETS) + 1, TOGETHER, SLICE
 
     def run(batches):
         total = np.zeros((rows, width))
         for block in _blocks(batches, together):
             add(total, block)
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["part", "total"])
+        flat, task = total.astype(np.float32).ravel(), TaskContext.get().partitionId()
+        for at in range(0, len(flat), slice_):
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([task], pa.int32()), pa.array([flat[at : at + slice_].tobytes()], pa.binary())], names=["at", "task", "part"])
 
-    parts = sorted(vectors.coalesce(tasks).mapInArrow(run, "part int, total binary").collect(), key=lambda r: r.part)  # as many rows as tasks
-    return sum((np.frombuffer(r.total, np.float32).astype(np.float64) for r in parts), np.zeros(rows * width)).reshape(rows, width)
+    def one(batches):
+        at, total = None, None
+        for batch in batches:
+            for start, part in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if start != at and at is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["at", "part"])
+                total, at = np.frombuffer(part, np.float32).astype(np.float64) + (total if start == at else 0), start
+        if at is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["at", "part"])
+
+    parts = vectors.coalesce(tasks).mapInArrow(run, "at int, task int, part binary")
+    if tasks > 1:
+        parts = parts.repartition(tasks, "at").sortWithinPartitions("at", "task").mapInArrow(one, "at int, part binary")
+    sums = np.zeros(rows * width, np.float32)
+    for r in parts.select("at", "part").toLocalIterator():
+        sums[r.at : r.at + len(r.part) // 4] = np.frombuffer(r.part, np.float32)
+    return sums.reshape(rows, width)
 
 
 def _counts(total: np.ndarray, block: list) -> None:
@@ -160,8 +180,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     r = log((p / |p|) / (q / |q|)) with p and q one more than the number of toxic and other documents that hold it. The
     documents become vectors of r where the feature occurs, and a logistic regression with an L2 penalty is fitted to
     them. Features are found, written and counted by the executors, which also fit: in each of ROUNDS a block of vectors
-    takes STEPS from the shared weights, and the blocks' weights are averaged by their rows. The driver gets PARTS arrays
-    of 2 ** BUCKETS numbers a round, however long the texts are. Null texts count as empty, labels without an
+    takes STEPS from the shared weights, and the blocks' weights are averaged by their rows. The driver gets one array
+    of 2 ** BUCKETS numbers a round, in slices, however long the texts are. Null texts count as empty, labels without an
     id or a value don't count, and an id with several labels is toxic if one of them says so. Without examples of both
     classes the model gives every text the larger class.
     """

@@ -317,3 +317,22 @@ def test_pipeline(spark, sf_dir):
     made = corpus_pipeline.run(spark, sf_dir)
     packed = made.groupBy("sequence_id").sum("length").collect()
     assert all(r[1] == 2048 or r[1] & (r[1] - 1) == 0 for r in packed)
+
+
+def test_toxicity_sums_reach_the_driver_in_slices(spark, monkeypatch):
+    """Arrays of several tasks are added by executors; no row that the driver takes holds more than SLICE numbers."""
+    from emberline.llm import toxicity
+
+    sizes = []
+    taken = type(spark.range(1)).toLocalIterator
+
+    def watched(df, *args, **kwargs):
+        for r in taken(df, *args, **kwargs):
+            sizes.append(len(r.part))
+            yield r
+
+    monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", watched)
+    vectors = spark.createDataFrame([(i % 2, bytearray((i % 7).to_bytes(4, "little") + (1000 + i).to_bytes(4, "little"))) for i in range(30)], "toxic int, features binary").repartition(3)
+    total = toxicity._summed(vectors, toxicity._counts, 2, 3)
+    assert total[:, -1].tolist() == [15, 15] and total[:, :-1].sum() == 60 and total[:, :7].sum() == 30 and (total[:, 1000:1030].sum(0) == 1).all()
+    assert sizes and max(sizes) <= 4 * toxicity.SLICE
