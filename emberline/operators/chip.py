@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +14,8 @@ from emberline.schema import Thresholds
 
 #: Metres of a chip's pixel; bands that are 20 m wide and interpolated; the class that a pixel without data gets; the networks' tile.
 PIXEL, COARSE, NO_CLASS, TILE = 10, (4, 5, 6, 8, 11, 12), 4, 32
+#: Scenes that a task turns to arrays at a time.
+TOGETHER = 64
 
 
 def band_on_grid(values: np.ndarray, corner: tuple[float, float], resolution: int, bounds: tuple[float, float, float, float], offset: float) -> np.ndarray:
@@ -67,20 +69,22 @@ def read_chips(scenes: DataFrame, clouds: Callable[[np.ndarray], np.ndarray]) ->
     without data in any band get the last class, and only class 0 is valid.
     """
 
-    def run(frames):
-        for f in frames:
-            out = []
-            for r in f.itertuples(index=False):
-                bounds = (r.x0, r.y0, r.x1, r.y1)
-                near = np.stack([band_on_grid(np.asarray(b["values"]).reshape(b["height"], b["width"]), (b["min_x"], b["max_y"]), b["resolution"], bounds, r.offset) for b in r.bands])
-                _, height, width = near.shape
-                tiled, (top, left) = mirrored_to_tiles(near / 10000)
-                classes = np.where((near == 0).any(0), NO_CLASS, np.asarray(clouds(tiled))[top : top + height, left : left + width])
-                values = np.stack([interpolated(b) if i in COARSE else b for i, b in enumerate(near)])
-                out.append((r.id, width, height, values.ravel(), near.astype(np.int32).ravel(), (classes == 0).ravel(), 100.0 * (classes == 0).mean()))
-            yield pd.DataFrame(out, columns=["id", "width", "height", "values", "nearest", "valid", "clear_percent"])
-
-    return scenes.select("id", "x0", "y0", "x1", "y1", "offset", "bands").mapInPandas(
+    def chip(r: dict) -> dict:
+        bounds = (r["x0"], r["y0"], r["x1"], r["y1"])
+        near = np.stack([band_on_grid(np.asarray(b["values"]).reshape(b["height"], b["width"]), (b["min_x"], b["max_y"]), b["resolution"], bounds, r["offset"]) for b in r["bands"]])
+        _, height, width = near.shape
+        tiled, (top, left) = mirrored_to_tiles(near / 10000)
+        classes = np.where((near == 0).any(0), NO_CLASS, np.asarray(clouds(tiled))[top : top + height, left : left + width])
+        values = np.stack([interpolated(b) if i in COARSE else b for i, b in enumerate(near)])
+        return {"id": r["id"], "width": width, "height": height, "values": values.ravel(), "nearest": near.astype(np.int32).ravel(), "valid": (classes == 0).ravel(), "clear_percent": 100.0 * (classes == 0).mean()}
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):  # Python objects of a few rows at a time, however many a batch has
+                yield pa.RecordBatch.from_pylist([chip(r) for r in batch.slice(at, TOGETHER).to_pylist()], schema)
+
+    schema = pa.schema([("id", pa.string()), ("width", pa.int32()), ("height", pa.int32()), ("values", pa.list_(pa.float64())), ("nearest", pa.list_(pa.int32())), ("valid", pa.list_(pa.bool_())), ("clear_percent", pa.float64())])
+    return scenes.select(F.col("id").cast("string"), "x0", "y0", "x1", "y1", "offset", "bands").mapInArrow(
         run, "id string, width int, height int, values array<double>, nearest array<int>, valid array<boolean>, clear_percent double"
     )
 

@@ -38,3 +38,13 @@ def test_read_and_detect(spark):
     more = {"min_x": 500000.0, "max_y": 2800000.0, "epsg": 32639, "date": "2024-01-01", "mgrs": "39RWN", "sun_elevation": 50.0, "sun_azimuth": 1.0}
     found = chip.chip_flares(chips.withColumns({k: F.lit(v) for k, v in more.items()})).collect()
     assert [(f.peak_img_row, f.peak_img_col, f.scene) for f in found] == [(2, 3, "s")] and found[0].max_b12 == pytest.approx(0.9)
+
+
+def test_chips_in_small_lots(spark):
+    """More scenes in one batch than are taken at a time, in an order that stays; no batch becomes Python objects whole."""
+    n = 2 * chip.TOGETHER + 3
+    band = lambda i: ([i + 1] * 16, 4, 4, 500000.0, 2800000.0, 10)
+    schema = "id string, x0 double, y0 double, x1 double, y1 double, offset double, bands array<struct<values:array<int>,width:int,height:int,min_x:double,max_y:double,resolution:int>>"
+    scenes = spark.createDataFrame([(str(i), 500000.0, 2799960.0, 500040.0, 2800000.0, 0.0, [band(i)] * 2) for i in range(n)], schema).coalesce(1)
+    got = chip.read_chips(scenes, lambda x: np.zeros(x.shape[1:], int)).collect()
+    assert [r.id for r in got] == [str(i) for i in range(n)] and all(r.nearest == [i + 1] * 32 and r.valid == [True] * 16 for i, r in enumerate(got))
