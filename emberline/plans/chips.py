@@ -51,7 +51,7 @@ FROM nr JOIN cl USING (vec_id) LEFT JOIN fi ON fi.vec_id = nr.vec_id AND fi.band
 
 def chip_detections(spark, sf_dir):
     """Flares of 16 x 16 chips whose every second pixel is a pixel of the vector's block; the others hold no data."""
-    b = proxies.blocks(spark, sf_dir)
+    b = cut(proxies.blocks(spark, sf_dir))  # each band once a vector, not once a pixel of the chip
     cells = F.sequence(F.lit(0), F.lit(255))
     used = lambda i: (F.floor(i / 16) % 2 == 0) & (i % 2 == 0)
     place = lambda i: (F.floor(i / 32) * 8 + F.floor(i % 16 / 2)).cast("int")
