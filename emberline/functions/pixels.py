@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from emberline.functions.binding import let
+
 #: Scene classes that count as cloud or cloud shadow; the number of classes; the class without data.
 CLOUDY, CLASSES, NO_DATA = (3, 8, 9, 10), 12, 0
 #: From this date on, digital numbers carry an offset.
@@ -69,7 +71,7 @@ def decimated(raster: Column, width: int, height: int, factor: int) -> Column:
 
 def histogram(classes: Column) -> Column:
     """How often each scene class occurs."""
-    return F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), lambda k: F.size(F.filter(classes, lambda v: v == k)))
+    return let(classes, lambda c: F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), lambda k: F.size(c) - F.size(F.array_remove(c, k))))
 
 
 def histogram_cloud_fraction(hist: Column) -> Column:

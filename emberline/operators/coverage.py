@@ -24,24 +24,37 @@ def grid_sites(boxes: DataFrame) -> DataFrame:
 def cover_sites(sites: DataFrame, scenes: DataFrame) -> DataFrame:
     """(site columns, date, scene, hist, valid, cloud_frac): classes around each site in each scene that holds it.
 
-    scenes: date, scene, epsg, width, height, min_x, min_y, max_x, max_y, w, s, e, n (degrees), scl. Sites meet the
-    scenes' footprints by the whole degrees that a scene's box touches, an equi-join, before places are compared; rasters
-    aren't part of that join. The places that lie in a scene then meet its raster once, by date and scene.
+    scenes: date, scene, epsg, width, height, min_x, min_y, max_x, max_y, w, s, e, n (degrees), scl. Scenes of one tile share
+    its pixel grid, so sites meet the distinct grids, by the whole degrees that a grid's box touches, an equi-join, before places
+    are compared. A scene's raster then meets the distinct pixels of its grid that hold sites, and the windows there their sites:
+    a window is counted once, however many sites lie in its pixel. Scenes and pixels are spread over tasks by themselves, as the
+    stored rasters may lie in few tasks and one grid may hold all scenes.
     """
-    touched = lambda a, b: F.explode(F.sequence(F.floor(F.col(a)), F.floor(F.col(b))))
-    spread = scenes.drop("scl").withColumn("_x", touched("w", "e")).withColumn("_y", touched("s", "n"))
-    at = geo.wgs84_to_utm("lon", "lat", geo.utm_zone("epsg"), geo.utm_is_north("epsg"))
+    parts = int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grid = F.struct("epsg", "width", "height", "min_x", "min_y", "max_x", "max_y", *(F.floor(c).alias(c) for c in "wsen"))
+    held = scenes.select("date", "scene", "scl", grid.alias("_g"))
+    touched = lambda a, b: F.explode(F.sequence(F.col(f"_g.{a}"), F.col(f"_g.{b}")))
+    spread = held.select("_g").distinct().withColumn("_x", touched("w", "e")).withColumn("_y", touched("s", "n"))
+    at = geo.wgs84_to_utm("lon", "lat", geo.utm_zone("_g.epsg"), geo.utm_is_north("_g.epsg"))
     keyed = sites.withColumns({"_x": F.floor("lon"), "_y": F.floor("lat")})
     met = keyed.join(spread, ["_x", "_y"]).withColumn("_at", at)
-    col = F.floor((F.col("_at.easting") - F.col("min_x")) / ((F.col("max_x") - F.col("min_x")) / F.col("width"))).cast("int")
-    row = F.floor((F.col("max_y") - F.col("_at.northing")) / ((F.col("max_y") - F.col("min_y")) / F.col("height"))).cast("int")
-    inside = met.withColumns({"_c": col, "_r": row}).where("_c >= 0 and _r >= 0 and _c < width and _r < height")
-    inside = inside.select(*sites.columns, "date", "scene", "width", "height", "_c", "_r").join(scenes.select("date", "scene", "scl"), ["date", "scene"])
-    near = pixels.padded_window(F.col("scl"), F.col("width"), F.col("height"), F.col("_c") - HALF, F.col("_r") - HALF, 2 * HALF + 1)
+    col = F.floor((F.col("_at.easting") - F.col("_g.min_x")) / ((F.col("_g.max_x") - F.col("_g.min_x")) / F.col("_g.width"))).cast("int")
+    row = F.floor((F.col("_g.max_y") - F.col("_at.northing")) / ((F.col("_g.max_y") - F.col("_g.min_y")) / F.col("_g.height"))).cast("int")
+    placed = met.withColumns({"_c": col, "_r": row}).where("_c >= 0 and _r >= 0 and _c < _g.width and _r < _g.height")
+    placed = placed.select(*sites.columns, "_g", "_c", "_r")
+    pixel = ("_g", "_c", "_r")
+    looks = held.repartition(parts, "date", "scene").join(placed.select(*pixel).repartition(parts, *pixel).distinct(), "_g")
+    low = lambda c: F.greatest(F.col(c) - HALF, F.lit(0))
+    high = lambda c, end: F.least(F.col(c) + HALF + 1, F.col(end).cast("int"))
+    x0, y0, x1, y1 = low("_c"), low("_r"), high("_c", "_g.width"), high("_r", "_g.height")
+    beyond = (2 * HALF + 1) ** 2 - (x1 - x0) * (y1 - y0)  # cells outside of the image read as class 0, which has no data
+    counts = pixels.histogram(pixels.window(F.col("scl"), F.col("_g.width").cast("int"), x0, y0, x1, y1))
+    hist = F.transform(counts, lambda n, k: n + F.when(k == pixels.NO_DATA, beyond).otherwise(0))
     valid = lambda h: F.aggregate(F.slice(h, 2, pixels.CLASSES - 1), F.lit(0), lambda a, x: a + x)
-    # cells outside of the image read as class 0, which has no data
-    seen = let(let(near, pixels.histogram), lambda h: F.struct(h.alias("hist"), valid(h).alias("valid"), pixels.histogram_cloud_fraction(h).alias("cloud_frac")))
-    return inside.withColumn("seen", seen).where("seen.valid > 0").select(*sites.columns, "date", "scene", "seen.hist", "seen.valid", "seen.cloud_frac")
+    seen = let(hist, lambda h: F.struct(h.alias("hist"), valid(h).alias("valid"), pixels.histogram_cloud_fraction(h).alias("cloud_frac")))
+    # a filter of rows would count each window a second time, in the join
+    looks = looks.select("date", "scene", *pixel, F.explode(F.filter(F.array(seen), lambda v: v["valid"] > 0)).alias("_seen"))
+    return looks.join(placed, list(pixel)).select(*sites.columns, "date", "scene", "_seen.hist", "_seen.valid", "_seen.cloud_frac")
 
 
 def chip_cell_fractions(chips: DataFrame) -> DataFrame:

@@ -133,6 +133,62 @@ def test_cover(spark):
     assert len(cells) == 6 and cells[0].cell == "51.000,25.000"
 
 
+SCENE = "date string, scene string, epsg int, width int, height int, min_x double, min_y double, max_x double, max_y double, w double, s double, e double, n double, scl array<int>"
+
+
+def join_rows(df):
+    """Rows that the joins of a finished query gave, rising."""
+    found, left = [], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        kind = node.getClass().getSimpleName()
+        if kind.startswith("AdaptiveSparkPlan"):
+            left.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            left.append(node.plan())
+        else:
+            left += [node.children().apply(i) for i in range(node.children().size())]
+        if "Join" in kind:
+            found.append(node.metrics().get("numOutputRows").get().value())
+    return sorted(found)
+
+
+def test_cover_counts_a_window_once(spark):
+    """Places are compared once a grid, not once a scene, and windows counted once a pixel, not once a site."""
+    sites = spark.createDataFrame([(i, 51.0 + i * 1e-6, 25.0) for i in range(40)], "site int, lon double, lat double")
+    scenes = spark.createDataFrame([("2024-01-01", f"s{i}", 32639, 20, 20, 499810.0, 2764810.0, 500210.0, 2765210.0, 50.9, 24.9, 51.1, 25.1, [6] * 400) for i in range(30)], SCENE)
+    df = coverage.cover_sites(sites, scenes)
+    assert len(df.collect()) == 1200
+    *before, last = join_rows(df)
+    assert last == 1200 and before and max(before) <= 40
+
+
+def test_cover_equals_a_plain_pass(spark):
+    """Two grids, windows over edges, nulls in rasters, no raster, a repeated scene, sites with columns named like scenes'."""
+    rng = random.Random(8)
+    from emberline.functions import geo
+
+    places = [(i, 51.0 + rng.random() * 0.006, 25.0 + rng.random() * 0.006, 0.5, 7) for i in range(60)]
+    sites = spark.createDataFrame(places, "site int, lon double, lat double, w double, width int")
+    grids = [(32639, 9, 6, 500000.0, 2764900.0, 500450.0, 2765500.0), (32639, 4, 5, 500200.0, 2765000.0, 500600.0, 2765500.0)]
+    raster = lambda g: [rng.choice([None, *range(12), 0, 0]) for _ in range(g[1] * g[2])]
+    rows = [("2024-01-01", f"s{i}", *(g := grids[i % 2]), 50.99, 24.99, 51.02, 25.02, raster(g)) for i in range(6)]
+    rows += [rows[0], ("2024-01-01", "none", *grids[0], 50.99, 24.99, 51.02, 25.02, None), ("2024-01-01", "empty", *grids[0], 50.99, 24.99, 51.02, 25.02, [0] * 54)]
+    expected = []
+    at = {r.site: r.u for r in sites.select("site", geo.wgs84_to_utm("lon", "lat", F.lit(39), F.lit(True)).alias("u")).collect()}
+    for site in at:
+        for _, scene, _, width, height, x0, y0, x1, y1, *_, scl in rows:
+            c, r = math.floor((at[site].easting - x0) / ((x1 - x0) / width)), math.floor((y1 - at[site].northing) / ((y1 - y0) / height))
+            if scl is None or not (0 <= c < width and 0 <= r < height):
+                continue
+            seen = [scl[y * width + x] if 0 <= x < width and 0 <= y < height else 0 for y in range(r - 2, r + 3) for x in range(c - 2, c + 3)]
+            hist = [seen.count(k) for k in range(12)]
+            if sum(hist[1:]):
+                expected.append((site, scene, hist, sum(hist[1:]), round((hist[3] + hist[8] + hist[9] + hist[10]) / sum(hist[1:]), 9), 0.5, 7))
+    got = [(r.site, r.scene, r.hist, r.valid, round(r.cloud_frac, 9), r.w, r.width) for r in coverage.cover_sites(sites, spark.createDataFrame(rows, SCENE)).collect()]
+    assert len(got) > 100 and sorted(got) == sorted(expected)
+
+
 def test_clear_dates_and_rescore(spark):
     sites = cluster.cluster(detections(spark, seen(1.1, 0.5, 58.0)), ClusterOptions(observations=10))
     cloud = lambda rows: spark.createDataFrame(rows, "i long, j long, date string, cloud_frac double")
